@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions.text import ColumnOrName, _col
+from skein.session import scratch_root
 
 MAX_LEVELS = 8
 
@@ -148,7 +149,11 @@ class RangeIndex:
             self.rules = r
             return
         self.bits = choose_bits(r, "_lo", "_hi") if bits is None else int(bits)
-        r = r.withColumn("_lvl", _level_of(F.col("_lo"), F.col("_hi"), self.bits, max_span))
+        # The prepared rules are read once per level and once per lookup: write
+        # them once to the shared checkpoint folder (this also keeps the level
+        # expression from being re-derived inside pushed-down filters).
+        scratch_root(rules.sparkSession)
+        r = r.withColumn("_lvl", _level_of(F.col("_lo"), F.col("_hi"), self.bits, max_span)).checkpoint(eager=True)
         # At most MAX_LEVELS distinct values reach the driver.
         levels = sorted(row["_lvl"] for row in r.select("_lvl").distinct().collect())
         for i, lv in enumerate(levels):
