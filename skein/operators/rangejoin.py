@@ -154,16 +154,20 @@ class RangeIndex:
         # expression from being re-derived inside pushed-down filters).
         scratch_root(rules.sparkSession)
         r = r.withColumn("_lvl", _level_of(F.col("_lo"), F.col("_hi"), self.bits, max_span)).checkpoint(eager=True)
-        # At most MAX_LEVELS distinct values reach the driver.
-        levels = sorted(row["_lvl"] for row in r.select("_lvl").distinct().collect())
-        for i, lv in enumerate(levels):
+        # One aggregate gives every level in use and its exploded size
+        # (at most MAX_LEVELS rows reach the driver).
+        span = F.expr("shiftright(_hi, _lvl) - shiftright(_lo, _lvl) + 1")
+        stats = sorted(
+            (row["_lvl"], row["rows"])
+            for row in r.groupBy("_lvl").agg(F.sum(span).alias("rows")).collect()
+        )
+        for i, (lv, rows) in enumerate(stats):
             names = {c: f"_skein_{i}_{c}" for c in self.payload}
             side = r.where(F.col("_lvl") == lv).select(
                 F.explode(F.sequence(F.shiftright("_lo", lv), F.shiftright("_hi", lv))).alias("_b"),
                 "_lo", "_hi", *[F.col(c).alias(names[c]) for c in self.payload],
             )
-            small = side.count() <= broadcast_rows
-            self.sides.append((lv, side, small, names))
+            self.sides.append((lv, side, rows <= broadcast_rows, names))
 
     def lookup(self, facts: DataFrame, number: ColumnOrName, default: dict[str, object] | None = None) -> DataFrame:
         """``facts`` plus the payload of the rule holding ``number`` (or ``default``)."""

@@ -8,13 +8,32 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One driver table, ``<sf_dir>/<name>.parquet``.
 
     Parquet keeps column pruning and predicate pushdown: later ``select`` /
     ``where`` calls reach the scan (``ReadSchema`` / ``PushedFilters``).
+    With ``spread`` (default) a scan that yields fewer partitions than the
+    cluster has cores is hash-spread over all cores by its first column
+    (see :func:`spread_small_scan`).
     """
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_small_scan(df, df.columns[0]) if spread else df
+
+
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition ``df`` on ``key`` when its scan has fewer partitions than cores.
+
+    A file with one row group is read by one task, and everything before the
+    first shuffle (tokenising, parsing) would run on that task alone.  Large
+    inputs already split into many scan partitions and are left untouched, so
+    this costs nothing at cluster scale.  Hashing on a key (not round robin)
+    keeps the placement deterministic when a task is retried.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
