@@ -23,8 +23,17 @@ def _keys(keys: KeyList) -> list:
     return list(keys)
 
 
-def count_by(df: DataFrame, keys: KeyList, name: str = "cnt") -> DataFrame:
-    """Rows per key (``map((_, 1)).reduceByKey(_+_)``); counts are BIGINT."""
+def count_by(df: DataFrame, keys: KeyList, name: str = "cnt", partition_by: str | None = None) -> DataFrame:
+    """Rows per key (``map((_, 1)).reduceByKey(_+_)``); counts are BIGINT.
+
+    ``partition_by`` (a subset of the keys) shuffles the raw rows by that
+    column first, so the count and a later window on the same column share
+    one exchange (``reduceByKey(partitioner, f)``).  It gives up the map-side
+    combine and sends a hot value to a single task, so keep the default for
+    skewed data.
+    """
+    if partition_by is not None:
+        df = df.repartition(partition_by)
     return df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(name))
 
 

@@ -104,6 +104,19 @@ def subject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(log, ["subject", "teacher"])
 
 
+def url_pair_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits per (host label, last segment)."""
+    return subject_counts(spark, sf_dir)
+
+
+def topn_per_group_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 3 per host label with the count shuffled straight into label partitions
+    (one exchange serves the count and the window)."""
+    log = inputs.access_log(spark, sf_dir).select(*subject_teacher("value"))
+    counts = count_by(log, ["subject", "teacher"], partition_by="subject")
+    return top_n_per_group(counts, "subject", N_PER_GROUP, TEACHER_RULE)
+
+
 def url_segment_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits per last URL segment, count descending."""
     t = inputs.access_log(spark, sf_dir).select(last_segment("value").alias("teacher"))
@@ -237,7 +250,9 @@ BATCH_QUERIES = {
     "text_sink_roundtrip": text_sink_roundtrip,
     "decode_messages": decode_messages,
     "url_segment_count": url_segment_count,
+    "url_pair_count": url_pair_count,
     "topn_per_group": topn_per_group,
+    "topn_per_group_colocated": topn_per_group_colocated,
     "topn_listed_groups": topn_listed_groups,
     "topn_group_partitions": topn_group_partitions,
     "distinct_groups": distinct_groups,

@@ -103,7 +103,9 @@ SELECT word, count(*) AS cnt FROM (
     "decode_messages": "SELECT doc_id, text FROM documents",
     "url_segment_count": """
 SELECT string_split(url, '/')[-1] AS teacher, count(*) AS cnt FROM pages GROUP BY 1""",
+    "url_pair_count": "WITH " + _SUBJECTS + "\nSELECT subject, teacher, cnt FROM counts",
     "topn_per_group": "WITH " + _SUBJECTS + _TOP_GROUP.format(where=""),
+    "topn_per_group_colocated": "WITH " + _SUBJECTS + _TOP_GROUP.format(where=""),
     "topn_listed_groups": "WITH " + _SUBJECTS
     + _TOP_GROUP.format(where="WHERE subject IN ('blog', 'www', 'm')"),
     "topn_group_partitions": "WITH " + _SUBJECTS + _TOP_GROUP.format(where=""),
