@@ -28,7 +28,7 @@ IP_FIRST_OCTETS = 200
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document text, column ``value``."""
-    return read_table(spark, sf_dir, "documents").select(text_lines("text").alias("value"))
+    return read_table(spark, sf_dir, "documents", spread=True).select(text_lines("text").alias("value"))
 
 
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def hash_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     word = ``u{user_id % 40}``, status = ``event_type``, size = ``floor(value)``.
     """
-    e = read_table(spark, sf_dir, "events")
+    e = read_table(spark, sf_dir, "events", spread=True)
     return e.select(
         F.concat_ws(
             "#",
@@ -81,7 +81,7 @@ def order_ip(orderkey: F.Column, custkey: F.Column) -> F.Column:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orderkey ip item custkey price`` lines from ``orders`` (item = order status)."""
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", spread=True)
     return o.select(
         F.concat_ws(
             " ",

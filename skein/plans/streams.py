@@ -31,13 +31,13 @@ MESSAGE_SCHEMA = "key binary, value binary, topic string, partition int, offset
 
 
 def _doc_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents", spread=True)
     return d.select(text_lines("text").alias("value"), (F.col("doc_id") % ROUNDS).alias("_round"))
 
 
 def _order_message_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as messages: value = UTF-8 bytes of the order line; 3 topic partitions."""
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", spread=True)
     line = F.concat_ws(
         " ",
         F.col("o_orderkey").cast("string"),

@@ -8,14 +8,15 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One driver table, ``<sf_dir>/<name>.parquet``.
 
     Parquet keeps column pruning and predicate pushdown: later ``select`` /
     ``where`` calls reach the scan (``ReadSchema`` / ``PushedFilters``).
-    With ``spread`` (default) a scan that yields fewer partitions than the
-    cluster has cores is hash-spread over all cores by its first column
-    (see :func:`spread_small_scan`).
+    With ``spread`` a scan that yields fewer partitions than the cluster has
+    cores is hash-spread over all cores by its first column (see
+    :func:`spread_small_scan`); worth it before heavy per-row work such as
+    tokenising or parsing, not before a cheap projection.
     """
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return spread_small_scan(df, df.columns[0]) if spread else df
