@@ -91,19 +91,6 @@ def _top_n_window(df: DataFrame, group: list[str], n: int, rule: SortRule, rn: s
     )
 
 
-def _top_n_listed(df: DataFrame, group: str, values: Sequence[str], n: int, rule: SortRule,
-                  rn: str) -> DataFrame:
-    """One ordered take per listed value, unioned (the per-subject loop as one plan)."""
-    parts = [df.where(F.col(group) == F.lit(v)).orderBy(*order_columns(rule)).limit(int(n)) for v in values]
-    if not parts:
-        return _top_n_window(df.limit(0), [group], n, rule, rn)
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    # At most len(values) * n rows reach this window.
-    return _top_n_window(u, [group], n, rule, rn)
-
-
 def _take_per_group(group: str, n: int, rn: str):
     """mapInPandas body: rows arrive sorted by group then rule; keep the first n of each.
 
@@ -167,7 +154,8 @@ def top_n_per_group(
 
     strategy
       ``window``          row_number per group (default; bounded per-task memory)
-      ``listed``          only the values in ``groups``; one ordered take each
+      ``listed``          only the values in ``groups`` (the per-group loop of
+                          ordered takes, as one filtered scan and window)
       ``key_partitions``  one partition per group value and a take inside it
     All strategies give the same rows for the same rule; make the rule a total
     order (e.g. count descending, then name) for a deterministic answer.
@@ -180,7 +168,9 @@ def top_n_per_group(
     if strategy == "listed":
         if groups is None or len(gcols) != 1:
             raise ValueError("strategy 'listed' needs one group column and the list of values")
-        return _top_n_listed(df, gcols[0], groups, n, rule, rn)
+        # One scan for all listed values: the ``isin`` filter is on a grouping
+        # key, so Catalyst pushes it below the aggregate towards the scan.
+        return _top_n_window(df.where(F.col(gcols[0]).isin(list(groups))), gcols, n, rule, rn)
     if strategy == "key_partitions":
         if len(gcols) != 1:
             raise ValueError("strategy 'key_partitions' needs one group column")

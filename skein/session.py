@@ -26,9 +26,10 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings every plan in this package assumes.
 
-    AQE is on (partition coalescing, skew-join splitting), the time zone is UTC
-    and the UI is off.  ``shuffle_partitions`` defaults to the core count of a
-    local master; on a cluster leave it to the cluster configuration.
+    AQE is on (partition coalescing, skew-join splitting), the time zone is
+    UTC, the UI is off and streaming state lives in RocksDB.  Leave
+    ``shuffle_partitions`` unset on a cluster (its configuration and AQE
+    coalescing decide); set it to the core count for a local master.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -41,6 +42,9 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Running counts keep every key forever: keep that state off the JVM heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
