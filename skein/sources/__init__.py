@@ -1,6 +1,6 @@
 """Readers: parquet tables, text lines, in-memory rows, JDBC ranges, Kafka and sockets."""
 
-from skein.sources.files import read_lines, read_table, rows
+from skein.sources.files import read_ip_rules, read_lines, read_table, rows, spread_small_scan
 from skein.sources.jdbc import range_predicates, read_jdbc_range
 from skein.sources.kafka import (
     decode_value,
@@ -15,10 +15,12 @@ __all__ = [
     "kafka_stream",
     "message_values",
     "range_predicates",
+    "read_ip_rules",
     "read_jdbc_range",
     "read_lines",
     "read_table",
     "rows",
     "socket_lines",
+    "spread_small_scan",
     "starting_offsets_json",
 ]

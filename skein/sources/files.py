@@ -45,3 +45,10 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def rows(spark: SparkSession, values: Iterable[str], column: str = "value") -> DataFrame:
     """Small in-memory lines (``parallelize``) for fixtures and examples."""
     return spark.createDataFrame([(v,) for v in values], f"{column} string")
+
+
+def read_ip_rules(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``|``-separated IP rule file(s) -> ``lo, hi, province`` (read in parallel)."""
+    from skein.functions.records import parse_ip_rule
+
+    return read_lines(spark, path).select(*parse_ip_rule("value"))

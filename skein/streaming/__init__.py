@@ -1,6 +1,7 @@
 """Structured Streaming jobs: per-batch counts, running counts, running order totals."""
 
 from skein.streaming.counts import (
+    batch_offsets,
     counts_after,
     latest_counts,
     per_batch_counts,
@@ -11,6 +12,7 @@ from skein.streaming.counts import (
 from skein.streaming.orders import order_deltas, order_totals_stream
 
 __all__ = [
+    "batch_offsets",
     "counts_after",
     "latest_counts",
     "order_deltas",

@@ -115,3 +115,15 @@ def to_console(df: DataFrame, num_rows: int = 10, output_mode: str = "update",
         df.writeStream.format("console").option("numRows", num_rows).outputMode(output_mode)
         .trigger(**(trigger or DEFAULT_TRIGGER)).start()
     )
+
+
+def batch_offsets(query: StreamingQuery) -> list[dict]:
+    """Per finished batch: its id and each source's start and end offsets
+    (what the original read from ``HasOffsetRanges``)."""
+    out = []
+    for p in query.recentProgress:
+        for src in p.get("sources", []):
+            out.append({"batch_id": p["batchId"], "source": src.get("description"),
+                        "start": src.get("startOffset"), "end": src.get("endOffset"),
+                        "rows": src.get("numInputRows")})
+    return out

@@ -121,3 +121,43 @@ def test_gb2312_decode(spark):
     raw = "广东".encode("gb2312")
     df = spark.createDataFrame([(bytearray(raw),)], "value binary")
     assert df.select(decode_value(df, "value", "GB2312")).first()[0] == "广东"
+
+
+def _java_split(s, d):
+    """Reference behaviour of the JVM's String.split(regex) with limit 0."""
+    import re
+
+    if s == "":
+        return [""]
+    parts = re.split(d, s)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_jvm_split_matches_java_rules_on_random_lines(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(["a", "b", " ", "#", "é"])
+    lines = st.lists(st.text(alphabet=alphabet, max_size=8), min_size=1, max_size=60)
+
+    @settings(max_examples=5, deadline=None)
+    @given(lines)
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "v string")
+        got = df.select(jvm_split("v", " ").alias("s"), jvm_split("v", "#").alias("h")).collect()
+        for v, r in zip(values, got):
+            assert r.s == _java_split(v, " "), v
+            assert r.h == _java_split(v, "#"), v
+
+    check()
+
+
+def test_read_ip_rules(spark, tmp_path):
+    from skein.sources import read_ip_rules
+
+    p = tmp_path / "ip.txt"
+    p.write_text("1.0.0.0|1.0.0.255|16777216|16777471|亚洲|中国|广东|x\n", encoding="utf-8")
+    r = read_ip_rules(spark, str(p)).first()
+    assert (r.lo, r.hi, r.province) == (16777216, 16777471, "广东")

@@ -94,3 +94,19 @@ def test_order_totals_replayed_batch_counts_once(spark):
 def test_order_totals_gb2312_messages(spark):
     got, _ = _orders_run(spark, charset="GB2312")
     assert got == WANT
+
+
+def test_message_word_count_and_offsets(spark):
+    from skein.sources.kafka import message_values
+    from skein.streaming import batch_offsets
+
+    root = fresh_dir(spark, "t-msg")
+    inp, out, ck = (os.path.join(root, x) for x in ("in", "out", "ck"))
+    msgs = [(None, bytearray(b"hello tom hello jerry"), "t", 0, 0)]
+    spark.createDataFrame(msgs, SCHEMA).write.parquet(inp)
+    q = per_batch_counts(message_values(spark.readStream.schema(SCHEMA).parquet(inp)), out, ck, trigger=ONCE)
+    q.awaitTermination()
+    got = sorted((r.word, r.cnt) for r in read_batch_counts(spark, out).collect())
+    assert got == [("hello", 2), ("jerry", 1), ("tom", 1)]
+    offs = batch_offsets(q)
+    assert offs and offs[0]["batch_id"] == 0 and offs[0]["rows"] >= 1  # the empty-batch probe reads too
