@@ -21,13 +21,19 @@ def key_ids(df: DataFrame, key: str, id_col: str = "_skein_pid") -> DataFrame:
     return keys.select("_skein_key", (F.dense_rank().over(Window.orderBy(F.col("_skein_key").asc_nulls_first())) - 1).alias(id_col))
 
 
-def partition_per_key(df: DataFrame, key: str, max_partitions: int = 4096) -> DataFrame:
-    """Repartition so that every partition holds rows of exactly one ``key`` value."""
-    k = df.select(key).distinct().count()
+def partition_per_key(df: DataFrame, key: str, max_partitions: int = 4096,
+                      keys_from: DataFrame | None = None) -> DataFrame:
+    """Repartition so that every partition holds rows of exactly one ``key`` value.
+
+    ``keys_from`` may name a cheaper DataFrame with the same key values (e.g.
+    the input of a per-partition step) to read the distinct keys from.
+    """
+    src = df if keys_from is None else keys_from
+    k = src.select(key).distinct().count()
     if k == 0:
         return df
     if k > max_partitions:
         return df.repartition(int(max_partitions), key)
-    ids = key_ids(df, key)
+    ids = key_ids(src, key)
     placed = df.join(F.broadcast(ids), df[key].eqNullSafe(ids["_skein_key"]))
     return placed.repartitionById(int(k), "_skein_pid").drop("_skein_key", "_skein_pid")

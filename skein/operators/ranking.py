@@ -136,7 +136,7 @@ def _top_n_key_partitions(df: DataFrame, group: str, n: int, rule: SortRule, rn:
     partial = df.sortWithinPartitions(*sort_keys).mapInPandas(
         _take_per_group(group, n, rn), schema
     ).drop(rn)
-    placed = partition_per_key(partial, group, max_partitions=max_partitions)
+    placed = partition_per_key(partial, group, max_partitions=max_partitions, keys_from=df)
     return placed.sortWithinPartitions(*sort_keys).mapInPandas(_take_per_group(group, n, rn), schema)
 
 
