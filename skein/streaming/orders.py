@@ -3,7 +3,7 @@
 Per batch: message bytes -> text (charset) -> order records -> region of the
 IP (range lookup) -> one grouping-sets aggregate giving all three totals in a
 single pass -> deltas written for that batch id (see :mod:`skein.sinks.totals`).
-Empty batches are skipped.  The rule index is prepared once, outside the
+Empty batches contribute nothing.  The rule index is prepared once, outside the
 batches.
 """
 
@@ -32,12 +32,14 @@ def order_deltas(records: DataFrame, index: RangeIndex, unknown: str = UNKNOWN_R
     metric ``total`` (key ``TOTAL_INCOME``), ``item`` and ``province``; the
     three come from one ``groupingSets`` aggregate (``grouping_id`` 3, 1, 2).
     """
-    enriched = index.lookup(records.withColumn("_n", ip_to_long("ip")), "_n", {"province": unknown})
+    enriched = index.lookup(records.withColumn("_ipn", ip_to_long("ip")), "_ipn", {"province": unknown})
     g = enriched.groupingSets([[], ["item"], ["province"]], "item", "province").agg(
-        F.sum("price").alias("amount"), F.grouping_id().alias("_gid")
+        F.sum("price").alias("amount"), F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n")
     )
     gid = F.col("_gid")
-    return g.select(
+    # An empty batch still yields the global grouping set (with a NULL sum):
+    # dropping rows that saw no record skips empty batches without probing them.
+    return g.where(F.col("_n") > 0).select(
         F.when(gid == 3, F.lit("total")).when(gid == 1, F.lit("item")).otherwise(F.lit("province")).alias("metric"),
         F.when(gid == 3, F.lit(TOTAL_KEY)).when(gid == 1, F.col("item")).otherwise(F.col("province")).alias("key"),
         F.col("amount").cast("double").alias("amount"),
@@ -61,8 +63,6 @@ def order_totals_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         records = message_values(batch, charset).select(*parse_order("value"))
         write_batch_deltas(order_deltas(records, index), totals_root, batch_id)
         if after_write is not None:
