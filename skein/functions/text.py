@@ -19,6 +19,20 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_REGEX_META = set(".$|()[]{}^?*+\\")
+
+
+def _literal_char(delimiter: str) -> str | None:
+    """The single literal character a delimiter regex stands for, if it is one."""
+    if len(delimiter) == 1 and delimiter not in _REGEX_META:
+        return delimiter
+    if len(delimiter) == 3 and delimiter[0] == "[" and delimiter[2] == "]" and delimiter[1] not in "^\\]":
+        return delimiter[1]
+    if len(delimiter) == 2 and delimiter[0] == "\\" and not delimiter[1].isalnum():
+        return delimiter[1]
+    return None
+
+
 def jvm_split(line: ColumnOrName, delimiter: str = " ") -> Column:
     """``line.split(delimiter)`` with the JVM's limit-0 rules, as an array column.
 
@@ -28,14 +42,23 @@ def jvm_split(line: ColumnOrName, delimiter: str = " ") -> Column:
 
     ``delimiter`` is a Java regular expression (``" "``, ``"#"``, ``"[.]"``,
     ``"[|]"``).  Spark's own ``split`` keeps trailing empties, so they are
-    stripped first with an end-anchored ``regexp_replace``.
+    stripped first with an end-anchored ``regexp_replace``.  For a delimiter
+    that is one literal character the strip only runs on lines that end with
+    it, and the split uses the escaped single-character form, which the JVM
+    splits without the regex engine.
     """
     c = _col(line)
-    stripped = F.regexp_replace(c, f"(?:{delimiter})+\\z", "")
+    ch = _literal_char(delimiter)
+    trailing = F.regexp_replace(c, f"(?:{delimiter})+\\z", "")
+    if ch is None:
+        stripped, pattern = trailing, delimiter
+    else:
+        stripped = F.when(F.substring(c, -1, 1) == F.lit(ch), trailing).otherwise(c)
+        pattern = ch if ch not in _REGEX_META else "\\" + ch
     return (
         F.when(c == F.lit(""), F.array(F.lit("")))
         .when(stripped == F.lit(""), F.array().cast("array<string>"))
-        .otherwise(F.split(stripped, delimiter, -1))
+        .otherwise(F.split(stripped, pattern, -1))
     )
 
 
@@ -48,9 +71,15 @@ def text_lines(text: ColumnOrName) -> Column:
     """One row per line of a text value (``\\n``, ``\\r\\n`` or ``\\r`` breaks).
 
     A final line break does not open an extra empty line, as with a text file.
+    Text without ``\\r`` takes a plain single-character split.
     """
-    c = F.regexp_replace(_col(text), "(?:\\r\\n|\\r|\\n)\\z", "")
-    return F.explode(F.split(c, "\\r\\n|\\r|\\n", -1))
+    c = _col(text)
+    any_break = F.regexp_replace(c, "(?:\\r\\n|\\r|\\n)\\z", "")
+    lf_only = F.when(F.substring(c, -1, 1) == F.lit("\n"), F.left(c, F.length(c) - F.lit(1))).otherwise(c)
+    lines = F.when(
+        F.instr(c, "\r") > 0, F.split(any_break, "\\r\\n|\\r|\\n", -1)
+    ).otherwise(F.split(lf_only, "\n", -1))
+    return F.explode(lines)
 
 
 def not_blank(line: ColumnOrName) -> Column:

@@ -161,3 +161,17 @@ def test_read_ip_rules(spark, tmp_path):
     p.write_text("1.0.0.0|1.0.0.255|16777216|16777471|亚洲|中国|广东|x\n", encoding="utf-8")
     r = read_ip_rules(spark, str(p)).first()
     assert (r.lo, r.hi, r.province) == (16777216, 16777471, "广东")
+
+
+def test_split_fast_paths_keep_semantics(spark):
+    vals = ["1.2.3.", "a|b||", "..", "x", "", "a.b.c"]
+    got = one_col(spark, vals, lambda c: jvm_split(c, "[.]"))
+    assert got == [_java_split(v, r"\.") for v in vals]
+    got = one_col(spark, vals, lambda c: jvm_split(c, "[|]"))
+    assert got == [_java_split(v, r"\|") for v in vals]
+
+
+def test_text_lines_lone_cr_and_final_break(spark):
+    df = spark.createDataFrame([("a\rb\r",), ("c\n\n",), ("\n",)], "t string")
+    got = [r[0] for r in df.select(text_lines("t")).collect()]
+    assert got == ["a", "b", "c", "", ""]
