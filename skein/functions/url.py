@@ -25,7 +25,7 @@ def before_last_slash(url: ColumnOrName) -> Column:
 def host_label(url: ColumnOrName, strict: bool = False) -> Column:
     """First dot-separated label of the host of the part before the final ``/``.
 
-    ``http://bigdata.edu360.cn/laozhao`` -> ``bigdata``.  Lines whose prefix is
+    ``http://bigdata.example.cn/tom`` -> ``bigdata``.  Lines whose prefix is
     not ``scheme://host...`` give ``''``; with ``strict=True`` they raise.
     """
     prefix = before_last_slash(url)

@@ -39,11 +39,11 @@ def test_text_lines(spark):
 
 
 def test_url_parts(spark):
-    urls = ["http://bigdata.edu360.cn/laozhao", "http://a.b/x/", "http://host", "nourl",
+    urls = ["http://bigdata.example.cn/tom", "http://a.b/x/", "http://host", "nourl",
             "http://a_b.c/x", "http://u@h.z:80/t"]
     subj = one_col(spark, urls, host_label)
     teach = one_col(spark, urls, last_segment)
-    assert list(zip(subj, teach)) == [("bigdata", "laozhao"), ("a", ""), ("", "host"), ("", "nourl"),
+    assert list(zip(subj, teach)) == [("bigdata", "tom"), ("a", ""), ("", "host"), ("", "nourl"),
                                       ("a_b", "x"), ("h", "t")]
 
 
@@ -71,10 +71,10 @@ def test_fixed2(spark):
 
 
 def test_parse_user_and_render(spark):
-    df = spark.createDataFrame([("laoduan 30 99 extra",)], "l string").select(*parse_user("l"))
+    df = spark.createDataFrame([("ann 30 99 extra",)], "l string").select(*parse_user("l"))
     r = df.first()
-    assert (r.name, r.age, r.fv) == ("laoduan", 30, 99)
-    assert df.select(render_user("name", "age", "fv")).first()[0] == "name: laoduan, age: 30, fv: 99"
+    assert (r.name, r.age, r.fv) == ("ann", 30, 99)
+    assert df.select(render_user("name", "age", "fv")).first()[0] == "name: ann, age: 30, fv: 99"
 
 
 def test_parse_user_strict_and_lenient(spark):

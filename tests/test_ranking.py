@@ -14,13 +14,13 @@ from skein.operators import (
 )
 from skein.sources.files import rows
 
-USERS = ["laoduan 30 99", "laozhao 29 9999", "laozhang 28 98", "laoyang 28 99"]
+USERS = ["ann 30 99", "bob 29 9999", "cid 28 98", "dan 28 99"]
 RULE = [("fv", "desc"), ("age", "asc")]
 
 
 def test_custom_sort_rule(spark):
     u = rows(spark, USERS).select(*parse_user("value"))
-    assert [r.name for r in sort_by_rule(u, RULE).collect()] == ["laozhao", "laoyang", "laoduan", "laozhang"]
+    assert [r.name for r in sort_by_rule(u, RULE).collect()] == ["bob", "dan", "ann", "cid"]
 
 
 def test_with_position_matches_local_sort(spark):
