@@ -40,3 +40,25 @@ def test_query_matches_oracle_sf0001(spark, duck, name):
     oorder = sorted(range(len(ocols)), key=lambda i: ocols[i])
     assert normalise([tuple(r[i] for i in order) for r in rows]) == normalise(
         [tuple(r[i] for i in oorder) for r in orows])
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_read_only_needed_columns(spark):
+    from skein.plans import catalog
+
+    assert "ReadSchema: struct<url:string>" in _plan(catalog.topn_per_group(spark, SF001))
+    wc = _plan(catalog.word_count(spark, SF001))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in wc
+    inc = _plan(catalog.income_by_item(spark, SF001))
+    assert "o_orderdate" not in inc and "o_orderpriority" not in inc
+
+
+def test_region_lookup_is_a_hash_join(spark):
+    from skein.plans import catalog
+
+    plan = _plan(catalog.income_by_region(spark, SF001))
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
