@@ -107,11 +107,17 @@ def counts_after(spark: SparkSession, out_root: str, batch_id: int) -> DataFrame
 
 
 def to_console(df: DataFrame, num_rows: int = 10, output_mode: str = "update",
-               trigger: dict | None = None) -> StreamingQuery:
-    """Print the first rows of each batch (``DStream.print``)."""
+               trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """Print the first rows of each batch (``DStream.print``).
+
+    The progress checkpoint goes below the shared scratch folder unless given.
+    """
+    from skein.session import fresh_dir
+
+    ck = checkpoint or fresh_dir(df.sparkSession, "console-checkpoint")
     return (
         df.writeStream.format("console").option("numRows", num_rows).outputMode(output_mode)
-        .trigger(**(trigger or DEFAULT_TRIGGER)).start()
+        .option("checkpointLocation", ck).trigger(**(trigger or DEFAULT_TRIGGER)).start()
     )
 
 

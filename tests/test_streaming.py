@@ -110,3 +110,18 @@ def test_message_word_count_and_offsets(spark):
     assert got == [("hello", 2), ("jerry", 1), ("tom", 1)]
     offs = batch_offsets(q)
     assert offs and offs[0]["batch_id"] == 0 and offs[0]["rows"] >= 1  # the empty-batch probe reads too
+
+
+def test_console_sink_runs(spark, capsys):
+    from skein.streaming import to_console
+
+    root = fresh_dir(spark, "t-console")
+    inp = os.path.join(root, "in")
+    spark.createDataFrame([("a b a",)], "value string").write.text(inp)
+    from skein.functions.text import tokens
+    from skein.operators import count_by
+
+    counts = count_by(spark.readStream.text(inp).select(tokens("value").alias("word")), "word")
+    q = to_console(counts, num_rows=5, trigger=ONCE)
+    q.awaitTermination()
+    assert q.exception() is None
