@@ -199,14 +199,18 @@ def profile(docs: DataFrame, refs: dict, min_chars: int, min_words: int) -> Data
     return docs.select(F.col("doc_id").cast("bigint"), "text", "lang").mapInArrow(run, PROFILE_SCHEMA)
 
 
-def quality_rules(docs: DataFrame, common: int = 50, max_js_chars: float = 0.25, max_js_words: float = 0.62,
-                  min_chars: int = 200, min_words: int = 50) -> DataFrame:
-    """doc_id, counts, base_failed, kept, js_chars, js_words for (doc_id, text, lang)."""
+def quality_rules(docs: DataFrame, common: int = 50, max_js_chars: float = 0.25, max_js_words: float = 0.36,
+                  slack: float = 0.8, min_chars: int = 200, min_words: int = 50) -> DataFrame:
+    """doc_id, counts, base_failed, kept, js_chars, js_words for (doc_id, text, lang).
+
+    The word limit is ``max_js_words + slack / sqrt(n_words)``: a sample of n words
+    lies about that much further from its own source than a long one.
+    """
     refs = references(docs, common)
     p = profile(docs, refs, min_chars, min_words)
     base = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     far = (F.coalesce("js_chars", F.lit(0.0)) > max_js_chars) | (
-        F.coalesce("js_words", F.lit(0.0)) > max_js_words)
+        F.coalesce("js_words", F.lit(0.0)) > max_js_words + slack / F.sqrt("n_words"))
     return p.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     base.alias("base_failed"), (~base & ~far).alias("kept"), "js_chars", "js_words")
 

@@ -96,8 +96,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
               cut_every: int = 5) -> DataFrame:
     """Personalised PageRank of (kind, host, seed) over (kind, src, dst, share).
 
-    Several kinds run side by side; shares of a source sum to 1, seeds of a
-    kind sum to 1.  Mass at hosts without out-links ends there.
+    Several kinds run side by side; shares of a source sum to 1, seeds of all
+    kinds together sum to 1.  Mass at hosts without out-links ends there.
     """
     rank = seeds.select("kind", "host", F.col("seed").alias("rank"))
     for k in range(rounds):
@@ -110,15 +110,14 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
     return rank
 
 
-def host_verdicts(pages: DataFrame, judged: DataFrame, ratio: float = 1.0, min_labels: int = 2,
+def host_verdicts(pages: DataFrame, judged: DataFrame, ratio: float = 2.0, min_labels: int = 2,
                   damping: float = 0.85, rounds: int = 10) -> DataFrame:
     """host, trust, distrust, host_verdict for every host that some rank reaches."""
     seeds = judged.where("decided is not null and host != ''").select(
         F.when(F.col("decided") == "allow", "trust").otherwise("distrust").alias("kind"), "host")
     seeds = seeds.groupBy("kind", "host").agg(F.count(F.lit(1)).alias("n"))
-    totals = {r["kind"]: r["n"] for r in seeds.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    whole = F.when(F.col("kind") == "trust", float(totals.get("trust", 1))).otherwise(
-        float(totals.get("distrust", 1)))
+    # One scale for both kinds: a page decided either way weighs the same.
+    whole = float(seeds.agg(F.sum("n")).first()[0] or 1)
     seeds = cut(seeds.select("kind", "host", (F.col("n") / whole).alias("seed")), "url-seeds")
     e = cut(host_edges(pages, min_labels), "url-edges")
     both = e.select(F.lit("trust").alias("kind"), "src", "dst", "weight").unionByName(
@@ -135,7 +134,7 @@ def host_verdicts(pages: DataFrame, judged: DataFrame, ratio: float = 1.0, min_l
         F.col("distrust") > F.col("trust") * ratio, "block").otherwise("allow"))
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, ratio: float = 1.0,
+def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, ratio: float = 2.0,
                 min_labels: int = 2, damping: float = 0.85, rounds: int = 10) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for every page (page_id, url, html)."""
     pages = pages.select("page_id", "url", "html")
