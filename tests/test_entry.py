@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from skein.plans import all_queries
 from tests.conftest import SF001
 from tools.oracle_check import TABLES, normalise
 
@@ -13,7 +14,10 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from skein.plans import all_oracles
+
+    assert set(all_queries()) == set(all_oracles())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +28,7 @@ def duck():
     return con
 
 
-BATCH = [k for k in entry.queries() if not k.startswith("stream_")]
+BATCH = list(all_queries())
 
 
 @pytest.mark.parametrize("name", BATCH)
