@@ -55,3 +55,11 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def free_prefix(columns: list[str], base: str = "_x") -> str:
+    """A prefix that no given column name starts with (ignoring case), for helper columns."""
+    names = [c.lower() for c in columns]
+    while any(c.startswith(base) for c in names):
+        base += "_"
+    return base

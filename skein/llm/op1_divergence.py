@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import cut, slices, table
+from skein.llm.common import cut, free_prefix, slices, table
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -42,8 +42,8 @@ MAX_LANGUAGES = 500
 #: Entries of a task's word counter at which it is handed to Spark.
 FLUSH = 400_000
 ALL = "\x00all"
-PROFILE_SCHEMA = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-                  "n_repeat_words bigint, js_chars double, js_words double")
+PROFILE = (("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint"), ("n_dup_lines", "bigint"),
+           ("n_repeat_words", "bigint"), ("js_chars", "double"), ("js_words", "double"))
 
 
 def _class_table() -> np.ndarray:
@@ -162,16 +162,16 @@ def references(docs: DataFrame, common: int = 50) -> dict[str, tuple[np.ndarray,
             for lang, (c, b, w) in refs.items()}
 
 
-def profile(docs: DataFrame, refs: dict, min_chars: int, min_words: int) -> DataFrame:
-    """Counts of each document and its two distances (null below the guards)."""
+def profile(docs: DataFrame, refs: dict, min_chars: int, min_words: int, carry: list[str], prefix: str) -> DataFrame:
+    """Each document's ``carry`` columns, and its counts and two distances (null below
+    the guards) as columns named ``prefix`` + name."""
     shared = docs.sparkSession.sparkContext.broadcast(refs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        refs = shared.value
-        keyed = {k: (c, {w.encode(): b for w, b in bins.items()}, q) for k, (c, bins, q) in refs.items()}
+        keyed = {k: (c, {w.encode(): b for w, b in bins.items()}, q) for k, (c, bins, q) in shared.value.items()}
         for part in slices(batches):
             rows = []
-            for doc_id, text, lang in zip(*(part.column(i).to_pylist() for i in range(3))):
+            for text, lang in zip(*(part.column(i).to_pylist() for i in (-2, -1))):
                 text = text or ""
                 data = text.encode("utf-8", "replace")
                 words = data.split()
@@ -189,30 +189,52 @@ def profile(docs: DataFrame, refs: dict, min_chars: int, min_words: int) -> Data
                     for b, n in hits.items():
                         p[b] = n
                     js_w = js_distance(p, q)
-                rows.append((doc_id, len(words), len(text) - blanks, symbols, duplicate_lines(text),
+                rows.append((len(words), len(text) - blanks, symbols, duplicate_lines(text),
                              repeated_window_words(words), js_c, js_w))
-            cols = list(zip(*rows)) if rows else [()] * 8
-            types = [pa.int64()] * 6 + [pa.float64()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             [f.split()[0] for f in PROFILE_SCHEMA.split(", ")])
+            cols = list(zip(*rows)) if rows else [()] * 7
+            types = [pa.int64()] * 5 + [pa.float64()] * 2
+            yield pa.RecordBatch.from_arrays(
+                part.columns[:-2] + [pa.array(c, t) for c, t in zip(cols, types)], out.names)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text", "lang").mapInArrow(run, PROFILE_SCHEMA)
+    own = docs.select(*[F.col(f"`{c}`") for c in carry])
+    names = [(prefix + n, t) for n, t in PROFILE]
+    out = own.schema
+    for n, t in names:
+        out = out.add(n, t)
+    both = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").alias(prefix + "text"),
+                       F.col("lang").alias(prefix + "lang"))
+    return both.mapInArrow(run, out)
 
 
-def quality_rules(docs: DataFrame, common: int = 50, max_js_chars: float = 0.25, max_js_words: float = 0.36,
-                  slack: float = 0.8, min_chars: int = 200, min_words: int = 50) -> DataFrame:
-    """doc_id, counts, base_failed, kept, js_chars, js_words for (doc_id, text, lang).
+def judged(docs: DataFrame, carry: list[str], prefix: str, common: int = 50, max_js_chars: float = 0.25,
+           max_js_words: float = 0.36, slack: float = 0.8, min_chars: int = 200, min_words: int = 50) -> DataFrame:
+    """``carry`` columns, profile, base_failed and kept (their names behind ``prefix``).
 
     The word limit is ``max_js_words + slack / sqrt(n_words)``: a sample of n words
     lies about that much further from its own source than a long one.
     """
-    refs = references(docs, common)
-    p = profile(docs, refs, min_chars, min_words)
-    base = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    far = (F.coalesce("js_chars", F.lit(0.0)) > max_js_chars) | (
-        F.coalesce("js_words", F.lit(0.0)) > max_js_words + slack / F.sqrt("n_words"))
-    return p.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    base.alias("base_failed"), (~base & ~far).alias("kept"), "js_chars", "js_words")
+    p = profile(docs, references(docs, common), min_chars, min_words, carry, prefix)
+    n, x = F.col(prefix + "n_words"), lambda c: F.col(prefix + c)
+    base = (n < 50) | (x("n_repeat_words") * 100 > n * 50)
+    far = (F.coalesce(x("js_chars"), F.lit(0.0)) > max_js_chars) | (
+        F.coalesce(x("js_words"), F.lit(0.0)) > max_js_words + slack / F.sqrt(n))
+    return p.withColumns({prefix + "base_failed": base, prefix + "kept": ~base & ~far})
+
+
+def quality_rules(docs: DataFrame, **limits) -> DataFrame:
+    """doc_id, counts, base_failed, kept, js_chars, js_words for (doc_id, text, lang)."""
+    prefix = "q_"
+    out = judged(docs.select(F.col("doc_id").cast("bigint"), "text", "lang"), ["doc_id"], prefix, **limits)
+    return out.select("doc_id", *[F.col(prefix + c).alias(c) for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "js_chars", "js_words")])
+
+
+def keep_good(docs: DataFrame, **limits) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns as they are."""
+    prefix = free_prefix(docs.columns)
+    out = judged(docs, docs.columns, prefix, **limits)
+    return out.where(F.col(prefix + "kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

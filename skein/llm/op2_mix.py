@@ -11,7 +11,8 @@ to what is missing.
 
 The point is found in two steps, so that a source holding most rows never meets
 in one task: sums per (source, hash bucket), a running sum over those buckets,
-and an ordering of documents inside the one bucket that holds the point.
+and an ordering of documents inside the one bucket that holds the point.  What
+comes back to the documents is one row per source, so texts are never shuffled.
 
 Defined results
 * null text: size 0; a null source is a source (ordered last); documents of
@@ -29,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import cut, table, word_count
+from skein.llm.common import cut, free_prefix, table, word_count
 
 #: Rows of a per-source table up to which it is broadcast (about 100 bytes a row).
 BROADCAST_SOURCES = 50_000
@@ -85,50 +86,83 @@ def water_fill(sources: DataFrame, max_epochs: float, total: float | None = None
     return sources.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: float = 3.0,
-        seed: int = 17) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken for every document.
+def mix_plan(sized: DataFrame, weights: Sequence[float], max_epochs: float) -> tuple[DataFrame, int]:
+    """One row per source: source_size, target, whole repetitions, and up to which
+    (hash, id, size) its documents get one more; and the number of sources.
 
-    ``docs`` needs doc_id, text and source.  ``copies`` says how often the mix
-    repeats the whole document.
+    ``sized`` has doc_id, source, size, u.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    sized = cut(sized.withColumn(
-        "_u", F.xxhash64(F.lit(seed), "doc_id")).withColumn(
-        "_b", F.pmod("_u", F.lit(BUCKETS))), "mix-sizes")
-    buckets = cut(sized.groupBy("source", "_b").agg(F.sum("size").alias("_sum")), "mix-buckets")
+    bucketed = sized.withColumn("_b", F.pmod("u", F.lit(BUCKETS)))
+    buckets = cut(bucketed.groupBy("source", "_b").agg(F.sum("size").alias("_sum")), "mix-buckets")
     per_source = buckets.groupBy("source").agg(F.sum("_sum").alias("source_size"))
     weighed = cut(source_weights(per_source, weights), "mix-weights")
     n = weighed.count()
-    plan = water_fill(weighed, max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(epochs)
-    plan = cut(plan.select(
-        "source", "source_size", "target", whole.alias("_whole"),
+    plan = cut(water_fill(weighed, max_epochs).select(
+        F.col("source").alias("_s"), "source_size", "target", whole.alias("whole"),
         (F.col("target") - whole * F.col("source_size")).alias("_rest")), "mix-plan")
+    same = F.col("source").eqNullSafe(F.col("_s"))
 
     # The bucket in which the running sum passes the rest.
     upto = Window.partitionBy("source").orderBy("_b")
-    run = buckets.withColumn("_end", F.sum("_sum").over(upto))
-    small = _small(plan.withColumnRenamed("source", "_s"), n)
-    at = run.join(small, F.col("source").eqNullSafe(F.col("_s"))).where(
-        (F.col("_end") - F.col("_sum") <= F.col("_rest")) & (F.col("_end") > F.col("_rest")))
-    at = at.groupBy("_s").agg(F.min("_b").alias("_edge"), F.min(F.col("_end") - F.col("_sum")).alias("_base"))
-    plan = plan.join(at.withColumnRenamed("_s", "_t"), F.col("source").eqNullSafe(F.col("_t")),
-                     "left").drop("_t").withColumnRenamed("source", "_s")
-    d = sized.join(_small(plan, n), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    edge = F.col("_b") == F.col("_edge")
-    below = d.where(~F.coalesce(edge, F.lit(False))).withColumn(
-        "_extra", F.when(F.col("_edge").isNull(), 0).otherwise((F.col("_b") < F.col("_edge")).cast("int")))
-    # In the edge bucket: a document is taken while that brings the sum nearer.
-    order = Window.partitionBy("source").orderBy("_u", "doc_id", "size")
-    so_far = F.col("_base") + F.sum("size").over(order) - F.col("size")
-    inside = d.where(edge).withColumn(
-        "_extra", (so_far + F.col("size") / 2 <= F.col("_rest")).cast("int"))
-    copies = F.when(F.col("size") > 0, F.col("_whole") + F.col("_extra")).otherwise(0).cast("bigint")
-    return below.unionByName(inside).select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"))
+    run = buckets.withColumn("_end", F.sum("_sum").over(upto)).withColumn("_base", F.col("_end") - F.col("_sum"))
+    edge = cut(run.join(_small(plan, n), same).where((F.col("_base") <= F.col("_rest")) & (
+        F.col("_end") > F.col("_rest"))).select("_s", "_rest", "_base", F.col("_b").alias("_edge")), "mix-edges")
+    # Inside it a document is taken while that brings the sum nearer.
+    order = Window.partitionBy("source").orderBy("u", "doc_id", "size")
+    near = bucketed.join(_small(edge, n), same & (F.col("_b") == F.col("_edge"))).withColumn(
+        "_before", F.col("_base") + F.sum("size").over(order) - F.col("size"))
+    last = near.where(F.col("_before") + F.col("size") / 2 <= F.col("_rest")).groupBy("_s").agg(
+        F.max(F.struct("u", "doc_id", "size")).alias("last"))
+    plan = plan.join(edge.select(F.col("_s").alias("_e"), "_edge"), F.col("_s").eqNullSafe(F.col("_e")), "left").join(
+        last.withColumnRenamed("_s", "_l"), F.col("_s").eqNullSafe(F.col("_l")), "left")
+    return cut(plan.select("_s", "source_size", "target", "whole", F.col("_edge").alias("edge"), "last"), "mix-plan"), n
+
+
+def with_copies(sized: DataFrame, plan: DataFrame, n: int, prefix: str = "") -> DataFrame:
+    """Join the plan to rows with doc_id, source and ``prefix`` + size, u; add ``prefix`` + copies."""
+    p = plan.select(*[F.col(c).alias(f"{prefix}_{c}") for c in plan.columns])
+    d = sized.join(_small(p, n), F.col("source").eqNullSafe(F.col(f"{prefix}__s")), "left")
+    size, u = F.col(prefix + "size"), F.col(prefix + "u")
+    bucket, edge, last = F.pmod(u, F.lit(BUCKETS)), F.col(f"{prefix}_edge"), F.col(f"{prefix}_last")
+    me = F.struct(u.alias("u"), F.col("doc_id").cast("bigint").alias("doc_id"), size.alias("size"))
+    more = F.when(edge.isNull(), False).when(bucket < edge, True).when(bucket > edge, False).otherwise(
+        F.coalesce(me <= last, F.lit(False)))
+    copies = F.when(size > 0, F.col(f"{prefix}_whole") + more.cast("int")).otherwise(0)
+    return d.withColumn(prefix + "copies", copies.cast("bigint"))
+
+
+def sizes(docs: DataFrame, seed: int) -> DataFrame:
+    """doc_id, source, size, u (seeded hash) of every document."""
+    d = docs.select(F.col("doc_id").cast("bigint"), "source", word_count(F.col("text")).alias("size"))
+    return d.withColumn("u", F.xxhash64(F.lit(seed), "doc_id"))
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: float = 3.0,
+        seed: int = 17) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken for every document.
+
+    ``docs`` needs doc_id, text and source.  ``copies`` says how often the mix
+    repeats the whole document.
+    """
+    sized = cut(sizes(docs, seed), "mix-sizes")
+    plan, n = mix_plan(sized, weights, max_epochs)
+    return with_copies(sized, plan, n).select(
+        "doc_id", "source", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+        "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: float = 3.0,
+          seed: int = 17) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as it is repeated."""
+    plan, n = mix_plan(cut(sizes(docs, seed), "mix-sizes"), weights, max_epochs)
+    prefix = free_prefix(docs.columns)
+    d = docs.withColumn(prefix + "size", word_count(F.col("text"))).withColumn(
+        prefix + "u", F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint")))
+    d = with_copies(d, plan, n, prefix).where(F.col(prefix + "copies") > 0)
+    return d.withColumn(prefix + "copy", F.explode(F.sequence(F.lit(1), F.col(prefix + "copies").cast("int")))).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
