@@ -244,7 +244,7 @@ def train(counts: DataFrame, depth: int, max_nodes: int) -> Model:
     return Model(depth, nodes.where(seen >= least).select("level", "ctx", "node", "zeros", "ones", "stop").toArrow())
 
 
-def score(docs: DataFrame, depth: int = 4, max_nodes: int = 3_000_000, top_words: int = 200_000) -> DataFrame:
+def score(docs: DataFrame, depth: int = 5, max_nodes: int = 3_000_000, top_words: int = 200_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, code_length."""
     spark = docs.sparkSession
     # The row number of the scan keeps rows of equal ids apart.

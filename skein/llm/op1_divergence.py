@@ -42,8 +42,8 @@ MAX_LANGUAGES = 500
 #: Entries of a task's word counter at which it is handed to Spark.
 FLUSH = 400_000
 ALL = "\x00all"
-PROFILE = (("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint"), ("n_dup_lines", "bigint"),
-           ("n_repeat_words", "bigint"), ("js_chars", "double"), ("js_words", "double"))
+PROFILE = (("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"),
+           ("n_repeat_words", "long"), ("js_chars", "double"), ("js_words", "double"))
 
 
 def _class_table() -> np.ndarray:

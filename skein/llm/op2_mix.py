@@ -6,8 +6,8 @@ others by weight, until none is above.  The rounds need only the water level,
 so each is one aggregate over the per-source sums; no list of sources reaches
 the driver.  Each source then repeats every document ``floor(target / size)``
 times and takes the fractional rest as a seeded sample: documents are ordered by
-a hash of (seed, id), and taken up to the point where their words come nearest
-to what is missing.
+a hash of (seed, id), and taken as long as they fit into what is missing; up to
+``TOP_UPS`` more, each the largest that still fits, fill most of the remainder.
 
 The point is found in two steps, so that a source holding most rows never meets
 in one task: sums per (source, hash bucket), a running sum over those buckets,
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.llm.common import cut, free_prefix, table, word_count
@@ -36,6 +36,8 @@ from skein.llm.common import cut, free_prefix, table, word_count
 BROADCAST_SOURCES = 50_000
 #: Hash buckets of one source in the search for its fractional cut.
 BUCKETS = 4096
+#: Documents that may fill what a source's sample leaves open.
+TOP_UPS = 3
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -109,27 +111,49 @@ def mix_plan(sized: DataFrame, weights: Sequence[float], max_epochs: float) -> t
     run = buckets.withColumn("_end", F.sum("_sum").over(upto)).withColumn("_base", F.col("_end") - F.col("_sum"))
     edge = cut(run.join(_small(plan, n), same).where((F.col("_base") <= F.col("_rest")) & (
         F.col("_end") > F.col("_rest"))).select("_s", "_rest", "_base", F.col("_b").alias("_edge")), "mix-edges")
-    # Inside it a document is taken while that brings the sum nearer.
+    # Inside it documents are taken as long as all of them fit.
     order = Window.partitionBy("source").orderBy("u", "doc_id", "size")
     near = bucketed.join(_small(edge, n), same & (F.col("_b") == F.col("_edge"))).withColumn(
-        "_before", F.col("_base") + F.sum("size").over(order) - F.col("size"))
-    last = near.where(F.col("_before") + F.col("size") / 2 <= F.col("_rest")).groupBy("_s").agg(
-        F.max(F.struct("u", "doc_id", "size")).alias("last"))
-    plan = plan.join(edge.select(F.col("_s").alias("_e"), "_edge"), F.col("_s").eqNullSafe(F.col("_e")), "left").join(
-        last.withColumnRenamed("_s", "_l"), F.col("_s").eqNullSafe(F.col("_l")), "left")
-    return cut(plan.select("_s", "source_size", "target", "whole", F.col("_edge").alias("edge"), "last"), "mix-plan"), n
+        "_after", F.col("_base") + F.sum("size").over(order))
+    last = near.where(F.col("_after") <= F.col("_rest")).groupBy("_s").agg(
+        F.max(F.struct("u", "doc_id", "size")).alias("last"), F.max("_after").alias("_used"))
+    plan = plan.join(edge.select(F.col("_s").alias("_e"), "_edge", "_base"), F.col("_s").eqNullSafe(F.col("_e")),
+                     "left").join(last.withColumnRenamed("_s", "_l"), F.col("_s").eqNullSafe(F.col("_l")), "left")
+    none = F.array().cast("array<struct<u:bigint,doc_id:bigint,size:bigint>>")
+    plan = cut(plan.select("_s", "source_size", "target", "whole", F.col("_edge").alias("edge"), "last",
+                           none.alias("extra"), (F.col("_rest") - F.coalesce("_used", "_base", "_rest")).alias("gap")),
+               "mix-plan")
+    # What is missing then is filled by the largest documents that still fit.
+    for _ in range(TOP_UPS):
+        open_docs = sized.join(_small(plan, n), same).where(
+            (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & ~_sampled("u", "doc_id", "size", ""))
+        best = open_docs.groupBy("_s").agg(F.max(F.struct("size", "u", "doc_id")).alias("_best"))
+        one = F.array(F.struct(F.col("_best.u").alias("u"), F.col("_best.doc_id").alias("doc_id"),
+                               F.col("_best.size").alias("size")))
+        plan = plan.join(best.withColumnRenamed("_s", "_l"), F.col("_s").eqNullSafe(F.col("_l")), "left").select(
+            "_s", "source_size", "target", "whole", "edge", "last",
+            F.when(F.col("_best").isNull(), F.col("extra")).otherwise(F.concat("extra", one)).alias("extra"),
+            (F.col("gap") - F.coalesce("_best.size", F.lit(0))).alias("gap"))
+        plan = cut(plan, "mix-plan")
+    return plan, n
+
+
+def _sampled(u: str, doc_id: str, size: str, prefix: str) -> Column:
+    """Is the document in its source's fractional sample?  Plan columns are behind ``prefix``."""
+    edge, last, extra = (F.col(prefix + c) for c in ("edge", "last", "extra"))
+    me = F.struct(F.col(u).alias("u"), F.col(doc_id).cast("bigint").alias("doc_id"), F.col(size).alias("size"))
+    bucket = F.pmod(F.col(u), F.lit(BUCKETS))
+    inside = F.when(edge.isNull(), False).when(bucket < edge, True).when(bucket > edge, False).otherwise(
+        F.coalesce(me <= last, F.lit(False)))
+    return inside | F.coalesce(F.array_contains(extra, me), F.lit(False))
 
 
 def with_copies(sized: DataFrame, plan: DataFrame, n: int, prefix: str = "") -> DataFrame:
     """Join the plan to rows with doc_id, source and ``prefix`` + size, u; add ``prefix`` + copies."""
     p = plan.select(*[F.col(c).alias(f"{prefix}_{c}") for c in plan.columns])
     d = sized.join(_small(p, n), F.col("source").eqNullSafe(F.col(f"{prefix}__s")), "left")
-    size, u = F.col(prefix + "size"), F.col(prefix + "u")
-    bucket, edge, last = F.pmod(u, F.lit(BUCKETS)), F.col(f"{prefix}_edge"), F.col(f"{prefix}_last")
-    me = F.struct(u.alias("u"), F.col("doc_id").cast("bigint").alias("doc_id"), size.alias("size"))
-    more = F.when(edge.isNull(), False).when(bucket < edge, True).when(bucket > edge, False).otherwise(
-        F.coalesce(me <= last, F.lit(False)))
-    copies = F.when(size > 0, F.col(f"{prefix}_whole") + more.cast("int")).otherwise(0)
+    more = _sampled(prefix + "u", "doc_id", prefix + "size", prefix + "_")
+    copies = F.when(F.col(prefix + "size") > 0, F.col(f"{prefix}_whole") + more.cast("int")).otherwise(0)
     return d.withColumn(prefix + "copies", copies.cast("bigint"))
 
 

@@ -181,7 +181,8 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = SC
     def local(q: DataFrame) -> DataFrame:
         """Meet queries and vectors block by block; vectors go to each block of queries their cell has."""
         keys = ["cell", "split", "q"]
-        blocks = q.select(keys).distinct()
+        q = cut(q, "knn-dealt")
+        blocks = q.select(*[F.col(c).alias(c) for c in keys]).distinct()
         d = data.join(blocks, ["cell", "split"])
         return q.groupBy(keys).cogroup(d.groupBy(keys)).applyInPandas(
             lambda a, b: solve(a, b, dim, k), FOUND)
@@ -207,13 +208,13 @@ def op8_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+    CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON c.vec_id <> q.vec_id
   WHERE q.vec_id % 50 = 0
 ), r AS (
