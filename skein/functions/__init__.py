@@ -3,13 +3,14 @@
 from skein.functions.net import ip_to_long
 from skein.functions.records import (
     field,
-    parse_hash_log,
-    parse_ip_rule,
-    parse_order,
-    parse_user,
+    join_fields,
+    number_field,
+    parse_hash_logs,
+    parse_ip_rules,
+    parse_orders,
+    parse_users,
     render_tuple,
     render_user,
-    to_number,
 )
 from skein.functions.text import fixed2, jvm_split, not_blank, text_lines, tokens
 from skein.functions.url import HOST_LABEL_PATTERN, host_label, last_segment, subject_teacher
@@ -20,17 +21,18 @@ __all__ = [
     "fixed2",
     "host_label",
     "ip_to_long",
+    "join_fields",
     "jvm_split",
     "last_segment",
     "not_blank",
-    "parse_hash_log",
-    "parse_ip_rule",
-    "parse_order",
-    "parse_user",
+    "number_field",
+    "parse_hash_logs",
+    "parse_ip_rules",
+    "parse_orders",
+    "parse_users",
     "render_tuple",
     "render_user",
     "subject_teacher",
     "text_lines",
-    "to_number",
     "tokens",
 ]

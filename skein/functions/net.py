@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skein.functions.text import ColumnOrName, _col, jvm_split
+from skein.functions.text import ColumnOrName, jvm_split
 
 
 def ip_to_long(ip: ColumnOrName) -> Column:
@@ -16,7 +16,7 @@ def ip_to_long(ip: ColumnOrName) -> Column:
     four-part case is unrolled so it stays in generated code; other lengths
     use the general fold.
     """
-    parts = jvm_split(_col(ip), "[.]")
+    parts = jvm_split(ip, "[.]")
 
     def p(i: int) -> Column:
         return F.element_at(parts, i).cast("bigint")

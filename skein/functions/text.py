@@ -7,8 +7,6 @@ built-in function.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,18 +40,17 @@ def jvm_split(line: ColumnOrName, delimiter: str = " ") -> Column:
 
     ``delimiter`` is a Java regular expression (``" "``, ``"#"``, ``"[.]"``,
     ``"[|]"``).  Spark's own ``split`` keeps trailing empties, so they are
-    stripped first with an end-anchored ``regexp_replace``.  For a delimiter
-    that is one literal character the strip only runs on lines that end with
-    it, and the split uses the escaped single-character form, which the JVM
-    splits without the regex engine.
+    stripped first: by ``rtrim`` for a delimiter that is one literal character
+    (which also splits without the regex engine), else by an end-anchored
+    ``regexp_replace``.  The input is named three times, so give it as a column
+    of its own, not as a long expression.
     """
     c = _col(line)
     ch = _literal_char(delimiter)
-    trailing = F.regexp_replace(c, f"(?:{delimiter})+\\z", "")
     if ch is None:
-        stripped, pattern = trailing, delimiter
+        stripped, pattern = F.regexp_replace(c, f"(?:{delimiter})+\\z", ""), delimiter
     else:
-        stripped = F.when(F.substring(c, -1, 1) == F.lit(ch), trailing).otherwise(c)
+        stripped = F.rtrim(c, F.lit(ch))
         pattern = ch if ch not in _REGEX_META else "\\" + ch
     return (
         F.when(c == F.lit(""), F.array(F.lit("")))
@@ -90,8 +87,3 @@ def not_blank(line: ColumnOrName) -> Column:
 def fixed2(x: ColumnOrName) -> Column:
     """``f"$x%1.2f"``: two decimals, HALF_UP, no grouping separators."""
     return F.format_string("%1.2f", _col(x))
-
-
-def regex_literal(s: str) -> str:
-    """Quote a plain string for use as a Java regular expression."""
-    return re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", s)

@@ -1,6 +1,13 @@
 """DataFrame operators: counting, ranking, range lookup, key placement."""
 
-from skein.operators.counting import count_by, distinct_keys, field_stats, grand_total, sum_by
+from skein.operators.counting import (
+    combine_by_key,
+    count_by,
+    distinct_keys,
+    field_stats,
+    grand_total,
+    sum_by,
+)
 from skein.operators.partitioning import key_ids, partition_per_key
 from skein.operators.rangejoin import RangeIndex, check_rules, range_lookup, rule_violations
 from skein.operators.ranking import (
@@ -16,6 +23,7 @@ from skein.operators.ranking import (
 __all__ = [
     "RangeIndex",
     "check_rules",
+    "combine_by_key",
     "count_by",
     "distinct_keys",
     "field_stats",

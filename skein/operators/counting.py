@@ -7,8 +7,9 @@ is reduced to one row per map task before it moves.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,19 +27,17 @@ def _keys(keys: KeyList) -> list:
 def count_by(df: DataFrame, keys: KeyList, name: str = "cnt", partition_by: str | None = None) -> DataFrame:
     """Rows per key (``map((_, 1)).reduceByKey(_+_)``); counts are BIGINT.
 
-    ``partition_by`` (a subset of the keys) shuffles the raw rows by that
-    column first, so the count and a later window on the same column share
-    one exchange (``reduceByKey(partitioner, f)``).  It gives up the map-side
-    combine and sends a hot value to a single task, so keep the default for
-    skewed data.
+    ``partition_by`` (a subset of the keys) places the counts by that column
+    (``reduceByKey(partitioner, f)``): rows are combined per map task and per
+    key first, so only one row per key moves to its place, and a later window
+    on the same column needs no further exchange.
     """
-    if partition_by is not None:
-        df = df.repartition(partition_by)
-    return df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(name))
+    counts = df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(name))
+    return counts if partition_by is None else counts.repartition(partition_by)
 
 
 def sum_by(df: DataFrame, keys: KeyList, value: str, name: str) -> DataFrame:
-    """Sum of ``value`` per key (``reduceByKey(_+_)`` / ``combineByKey`` as a sum)."""
+    """Sum of ``value`` per key (``reduceByKey(_+_)``)."""
     return df.groupBy(*_keys(keys)).agg(F.sum(value).alias(name))
 
 
@@ -62,3 +61,37 @@ def field_stats(df: DataFrame, value: str, with_avg: bool = True) -> DataFrame:
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     """Distinct values of ``key``."""
     return df.select(key).distinct()
+
+
+def combine_by_key(
+    df: DataFrame,
+    key: str,
+    create: Callable[[pd.DataFrame], pd.DataFrame],
+    merge: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+    fan_in: int = 64,
+) -> DataFrame:
+    """``combineByKey`` with user functions over a mergeable state.
+
+    ``create`` turns a batch of rows into one state row per key of the batch;
+    ``merge`` turns state rows of one key into one.  ``schema`` is the state
+    row's, ``key`` included.  Each map task merges its batches' states before
+    the shuffle, so a key sends one row per task; those meet in up to
+    ``fan_in`` groups per key first, so a hot key is no single task's work.
+    """
+
+    def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            new = create(batch)
+            both = new if held is None else pd.concat([held, new], ignore_index=True)
+            held = pd.concat([merge(g) for _, g in both.groupby(key, dropna=False, sort=False)], ignore_index=True)
+        if held is not None:
+            yield held
+
+    states = df.mapInPandas(per_task, schema)
+    salted = states.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
+    first = salted.groupBy(key, "_salt").applyInPandas(lambda g: merge(g.drop(columns="_salt")), schema)
+    return first.groupBy(key).applyInPandas(lambda g: merge(g), schema)

@@ -2,11 +2,9 @@
 
 ``repartition(col)`` hashes, so two keys can share a partition.  To give each
 distinct key its own partition, keys get dense ids ``0..k-1`` and rows are
-placed with ``repartitionById``.  The id table has one row per distinct key;
-it is only built (and broadcast) when ``k <= max_partitions``, which bounds
-both the broadcast and the single-task id window.  Beyond that the operator
-falls back to hash partitioning into ``max_partitions`` partitions, where keys
-share partitions but never straddle them.
+placed with ``repartitionById``.  The distinct keys are counted first; more
+than ``max_partitions`` of them are refused, which bounds the id table (one
+row per key), its broadcast and its numbering.
 """
 
 from __future__ import annotations
@@ -14,26 +12,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.session import written
 
-def key_ids(df: DataFrame, key: str, id_col: str = "_skein_pid") -> DataFrame:
-    """Distinct ``key`` values with dense ids from 0, in key order (NULL first)."""
-    keys = df.select(F.col(key).alias("_skein_key")).distinct()
-    return keys.select("_skein_key", (F.dense_rank().over(Window.orderBy(F.col("_skein_key").asc_nulls_first())) - 1).alias(id_col))
+
+def key_ids(keys: DataFrame, key: str, max_keys: int, id_col: str = "_skein_pid") -> tuple[DataFrame, int]:
+    """Distinct ``key`` values with dense ids from 0 in key order (NULL first), and their number."""
+    distinct = written(keys.select(F.col(key).alias("_skein_key")).distinct(), "keys")
+    k = distinct.count()
+    if k > max_keys:
+        raise ValueError(f"{k} distinct keys exceed max_partitions={max_keys}")
+    order = Window.orderBy(F.col("_skein_key").asc_nulls_first())
+    return distinct.select("_skein_key", (F.row_number().over(order) - 1).alias(id_col)), k
 
 
 def partition_per_key(df: DataFrame, key: str, max_partitions: int = 4096,
                       keys_from: DataFrame | None = None) -> DataFrame:
     """Repartition so that every partition holds rows of exactly one ``key`` value.
 
-    ``keys_from`` may name a cheaper DataFrame with the same key values (e.g.
-    the input of a per-partition step) to read the distinct keys from.
+    Raises ``ValueError`` when there are more than ``max_partitions`` keys.
+    ``keys_from`` may name a cheaper DataFrame with the same key values; without
+    it ``df`` is read twice (for its keys, and to be placed).
     """
-    src = df if keys_from is None else keys_from
-    k = src.select(key).distinct().count()
+    ids, k = key_ids(df if keys_from is None else keys_from, key, max_partitions)
     if k == 0:
         return df
-    if k > max_partitions:
-        return df.repartition(int(max_partitions), key)
-    ids = key_ids(src, key)
     placed = df.join(F.broadcast(ids), df[key].eqNullSafe(ids["_skein_key"]))
     return placed.repartitionById(int(k), "_skein_pid").drop("_skein_key", "_skein_pid")

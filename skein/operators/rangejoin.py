@@ -12,12 +12,18 @@ are spread over *levels*: a rule goes to the finest level (``bits``,
 ``bits+8``, ``bits+16`` ...) at which it spans at most ``max_span`` buckets.
 Each non-empty level is one left join; since rules must not overlap, a number
 matches at most one rule over all levels, and the payload is the first
-non-NULL one.  Nothing is capped: every rule is matched exactly.
-
-Per level the exploded rule table is counted.  Up to ``broadcast_rows`` rows
-it is broadcast (no shuffle of the facts).  Beyond that the join shuffles
-both sides on the bucket; AQE splits a skewed bucket, and ``salts > 1`` also
-spreads a hot bucket over ``salts`` tasks by copying rules ``salts`` times.
+non-NULL one.
+
+Rules are checked unless the caller says otherwise: an empty interval
+(``lo > hi``), a NULL bound or two overlapping rules raise.  Unchecked, rules
+with a NULL bound or an empty interval match nothing.
+
+Per level the exploded rule side is measured (rows and bytes, payload
+included).  Up to ``broadcast_bytes`` it is broadcast (no shuffle of the facts).
+Beyond that the join shuffles both sides on the bucket; AQE splits a skewed
+bucket, and ``salts > 1`` also spreads a hot bucket over ``salts`` tasks by
+copying rules ``salts`` times; a fact's salt is a hash of its row, so a task
+that runs again deals its rows the same way.
 """
 
 from __future__ import annotations
@@ -29,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions.text import ColumnOrName, _col
-from skein.session import scratch_root
+from skein.session import written
 
 MAX_LEVELS = 8
 
@@ -43,7 +49,7 @@ def choose_bits(rules: DataFrame, lo: str = "lo", hi: str = "hi") -> int:
 
 
 def _level_of(lo: Column, hi: Column, bits: int, max_span: int) -> Column:
-    """Smallest ladder step whose bucket span fits ``max_span``."""
+    """Smallest ladder step whose bucket span fits ``max_span`` (rules have ``lo <= hi``)."""
     expr = None
     for i in reversed(range(MAX_LEVELS)):
         b = min(63, bits + 8 * i)
@@ -53,7 +59,7 @@ def _level_of(lo: Column, hi: Column, bits: int, max_span: int) -> Column:
 
 
 def rule_violations(rules: DataFrame, lo: str = "lo", hi: str = "hi") -> dict[str, int]:
-    """Counts of empty intervals (``lo > hi``) and of overlapping neighbours.
+    """Counts of NULL bounds, empty intervals (``lo > hi``) and overlapping neighbours.
 
     Rules are range-partitioned on ``lo`` and sorted; inside a partition a
     rule overlaps if its ``lo`` is not above the running max ``hi`` before
@@ -61,8 +67,9 @@ def rule_violations(rules: DataFrame, lo: str = "lo", hi: str = "hi") -> dict[st
     """
     from pyspark.sql import Window
 
-    empty = rules.where(F.col(lo) > F.col(hi)).count()
-    r = rules.select(F.col(lo).alias("lo"), F.col(hi).alias("hi"))
+    no_bound = F.col(lo).isNull() | F.col(hi).isNull()
+    nulls, empty = rules.agg(F.count_if(no_bound), F.count_if(F.col(lo) > F.col(hi))).first()
+    r = rules.where(~no_bound).select(F.col(lo).cast("bigint").alias("lo"), F.col(hi).cast("bigint").alias("hi"))
     part = r.repartitionByRange("lo").sortWithinPartitions("lo", "hi").withColumn(
         "_p", F.spark_partition_id()
     )
@@ -100,13 +107,13 @@ def rule_violations(rules: DataFrame, lo: str = "lo", hi: str = "hi") -> dict[st
         "bad", (F.col("first_lo") <= F.max("max_hi").over(prev)).cast("int").alias("cross")
     ).agg(F.sum("bad").alias("bad"), F.sum("cross").alias("cross")).first()
     overlaps = int(checked["bad"] or 0) + int(checked["cross"] or 0)
-    return {"empty": int(empty), "overlaps": overlaps}
+    return {"nulls": int(nulls), "empty": int(empty), "overlaps": overlaps}
 
 
 def check_rules(rules: DataFrame, lo: str = "lo", hi: str = "hi") -> None:
-    """Raise when a rule is empty or two rules overlap (overlaps would duplicate rows)."""
+    """Raise when a rule has no bounds, is empty, or overlaps another (which would duplicate rows)."""
     v = rule_violations(rules, lo, hi)
-    if v["empty"] or v["overlaps"]:
+    if any(v.values()):
         raise ValueError(f"invalid interval rules: {v}")
 
 
@@ -126,48 +133,39 @@ class RangeIndex:
         hi: str = "hi",
         bits: int | None = None,
         max_span: int = 256,
-        broadcast_rows: int = 500_000,
+        broadcast_bytes: int = 32 << 20,
         salts: int = 1,
-        strategy: str = "bucketed",
-        validate: bool = False,
+        validate: bool = True,
     ):
-        if strategy not in ("bucketed", "broadcast"):
-            raise ValueError(f"unknown strategy {strategy!r}")
         self.payload = list(payload)
-        self.strategy = strategy
+        self.types = {c: rules.schema[c].dataType for c in self.payload}
         self.salts = int(salts)
+        # Every rule is used by the check, the measuring and the joins: write it once.
+        r = written(rules.select(
+            F.col(lo).cast("bigint").alias("_lo"), F.col(hi).cast("bigint").alias("_hi"), *self.payload), "rules")
         if validate:
-            check_rules(rules, lo, hi)
-        r = rules.select(
-            F.col(lo).cast("bigint").alias("_lo"), F.col(hi).cast("bigint").alias("_hi"), *self.payload
-        )
-        self.sides: list[tuple[int, DataFrame, bool, dict[str, str]]] = []
-        if strategy == "broadcast":
-            k = r.count()
-            if k > broadcast_rows:
-                raise ValueError(f"{k} rules exceed broadcast_rows={broadcast_rows}; use strategy='bucketed'")
-            self.rules = r
-            return
+            check_rules(r, "_lo", "_hi")
+        r = r.where(F.col("_lo") <= F.col("_hi"))
         self.bits = choose_bits(r, "_lo", "_hi") if bits is None else int(bits)
-        # The prepared rules are read once per level and once per lookup: write
-        # them once to the shared checkpoint folder (this also keeps the level
-        # expression from being re-derived inside pushed-down filters).
-        scratch_root(rules.sparkSession)
-        r = r.withColumn("_lvl", _level_of(F.col("_lo"), F.col("_hi"), self.bits, max_span)).checkpoint(eager=True)
-        # One aggregate gives every level in use and its exploded size
+        r = written(r.withColumn("_lvl", _level_of(F.col("_lo"), F.col("_hi"), self.bits, max_span)), "rules")
+        # One aggregate gives every level in use and the size of its exploded side
         # (at most MAX_LEVELS rows reach the driver).
         span = F.expr("shiftright(_hi, _lvl) - shiftright(_lo, _lvl) + 1")
+        width = F.lit(64)
+        for c in self.payload:
+            width = width + 16 + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
         stats = sorted(
-            (row["_lvl"], row["rows"])
-            for row in r.groupBy("_lvl").agg(F.sum(span).alias("rows")).collect()
+            (row["_lvl"], row["size"])
+            for row in r.groupBy("_lvl").agg(F.sum(span * width).alias("size")).collect()
         )
-        for i, (lv, rows) in enumerate(stats):
+        self.sides: list[tuple[int, DataFrame, bool, dict[str, str]]] = []
+        for i, (lv, size) in enumerate(stats):
             names = {c: f"_skein_{i}_{c}" for c in self.payload}
             side = r.where(F.col("_lvl") == lv).select(
                 F.explode(F.sequence(F.shiftright("_lo", lv), F.shiftright("_hi", lv))).alias("_b"),
                 "_lo", "_hi", *[F.col(c).alias(names[c]) for c in self.payload],
             )
-            self.sides.append((lv, side, rows <= broadcast_rows, names))
+            self.sides.append((lv, side, size <= broadcast_bytes, names))
 
     def lookup(self, facts: DataFrame, number: ColumnOrName, default: dict[str, object] | None = None) -> DataFrame:
         """``facts`` plus the payload of the rule holding ``number`` (or ``default``)."""
@@ -175,31 +173,27 @@ class RangeIndex:
         payload = self.payload
         f = facts.withColumn("_skein_n", _col(number).cast("bigint"))
         inside = F.col("_skein_n").between(F.col("_lo"), F.col("_hi"))
-        if self.strategy == "broadcast":
-            out = f.join(F.broadcast(self.rules), inside, "left").drop("_lo", "_hi", "_skein_n")
-        else:
-            out = f
-            for lv, side, small, _names in self.sides:
-                on_bucket = F.shiftright(F.col("_skein_n"), lv) == F.col("_b")
-                if small:
-                    out = out.join(F.broadcast(side), on_bucket & inside, "left")
-                elif self.salts > 1:
-                    salted = side.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
-                    left = out.withColumn(
-                        "_ls", F.pmod(F.monotonically_increasing_id(), F.lit(self.salts)).cast("int")
-                    )
-                    out = left.join(salted, on_bucket & (F.col("_ls") == F.col("_s")) & inside, "left")
-                    out = out.drop("_ls", "_s")
-                else:
-                    out = out.join(side, on_bucket & inside, "left")
-                out = out.drop("_b", "_lo", "_hi")
-            tagged = [names for _, _, _, names in self.sides]
-            merged = [
-                (F.coalesce(*[F.col(t[c]) for t in tagged]) if tagged else F.lit(None).cast("string")).alias(c)
-                for c in payload
-            ]
-            drop = [t[c] for t in tagged for c in payload]
-            out = out.select("*", *merged).drop(*drop, "_skein_n")
+        out = f
+        for lv, side, small, _names in self.sides:
+            on_bucket = F.shiftright(F.col("_skein_n"), lv) == F.col("_b")
+            if small:
+                out = out.join(F.broadcast(side), on_bucket & inside, "left")
+            elif self.salts > 1:
+                salted = side.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
+                row = [F.col(f"`{c.name}`") for c in f.schema if not c.dataType.typeName() == "map"]
+                left = out.withColumn("_ls", F.pmod(F.xxhash64(*row), F.lit(self.salts)).cast("int"))
+                out = left.join(salted, on_bucket & (F.col("_ls") == F.col("_s")) & inside, "left")
+                out = out.drop("_ls", "_s")
+            else:
+                out = out.join(side, on_bucket & inside, "left")
+            out = out.drop("_b", "_lo", "_hi")
+        tagged = [names for _, _, _, names in self.sides]
+        merged = [
+            (F.coalesce(*[F.col(t[c]) for t in tagged]) if tagged else F.lit(None).cast(self.types[c])).alias(c)
+            for c in payload
+        ]
+        drop = [t[c] for t in tagged for c in payload]
+        out = out.select("*", *merged).drop(*drop, "_skein_n")
         fills = [
             F.coalesce(F.col(c), F.lit(default[c])).alias(c) if c in default else F.col(c)
             for c in payload
@@ -220,7 +214,6 @@ def range_lookup(
 
     Returns ``facts`` plus the ``payload`` columns of the matching rule, or
     ``default`` values where no rule holds the number.  ``options`` go to
-    :class:`RangeIndex` (``strategy``: ``bucketed`` (default) or
-    ``broadcast``, a nested loop for small, size-checked rule tables).
+    :class:`RangeIndex`.
     """
     return RangeIndex(rules, payload, **options).lookup(facts, number, default)

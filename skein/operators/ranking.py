@@ -14,14 +14,12 @@ Design notes (scale):
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from skein.session import scratch_root
+from skein.session import written
 
 SortRule = Sequence[str | tuple[str, str]]
 
@@ -51,19 +49,19 @@ def sort_by_rule(df: DataFrame, rule: SortRule) -> DataFrame:
 def with_position(df: DataFrame, rule: SortRule, name: str = "pos") -> DataFrame:
     """Add the 1-based position of each row in the total order ``rule``.
 
-    The sort is range-partitioned; the sorted rows are checkpointed to the
-    shared checkpoint folder so partition boundaries are fixed, then each row's
-    position is ``rows in earlier partitions + index within its partition``.
+    The sort is range-partitioned and written once to the shared scratch folder:
+    Spark samples the range bounds anew in every run, so they must be fixed
+    before partitions are counted.  A row's position is ``rows in earlier
+    partitions + index within its partition``; counting reads one column.
     Only one row per partition reaches the single-task offset window.  Make the
     rule a total order (end with a unique column) for a deterministic result.
     """
-    scratch_root(df.sparkSession)
     cols = df.columns
     p, m = "_skein_part", "_skein_mono"
     s = df.orderBy(*order_columns(rule)).select(
         *cols, F.spark_partition_id().alias(p), F.monotonically_increasing_id().alias(m)
     )
-    s = s.checkpoint(eager=True)
+    s = written(s, "positions")
     sizes = s.groupBy(p).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(p, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -91,53 +89,18 @@ def _top_n_window(df: DataFrame, group: list[str], n: int, rule: SortRule, rn: s
     )
 
 
-def _take_per_group(group: str, n: int, rn: str):
-    """mapInPandas body: rows arrive sorted by group then rule; keep the first n of each.
-
-    Vectorised per Arrow batch; only the current group and its running count
-    carry over from one batch to the next, so memory stays at one batch.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, seen, started = None, 0, False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            g = pdf[group]
-            prev = g.shift(1)
-            if started:
-                prev.iloc[0] = current
-            new_run = ~((g == prev) | (g.isna() & prev.isna()))
-            if not started:
-                new_run.iloc[0] = True
-            run_id = new_run.cumsum()
-            rank = pdf.groupby(run_id, sort=False).cumcount() + 1
-            if started and not bool(new_run.iloc[0]):
-                rank = rank + seen * (run_id == run_id.iloc[0])
-            current, seen, started = g.iloc[-1], int(rank.iloc[-1]), True
-            out = pdf.assign(**{rn: rank.astype("int64")})[rank <= n]
-            if not out.empty:
-                yield out
-
-    return run
-
-
 def _top_n_key_partitions(df: DataFrame, group: str, n: int, rule: SortRule, rn: str,
                           max_partitions: int) -> DataFrame:
-    """One partition per group value, then a streaming take inside each partition.
+    """The first ``n`` rows of each group, placed one partition per group value.
 
-    A partial take per map partition runs first, so a hot group sends at most
-    ``n`` rows per partition into its single target partition.
+    The input is read once and cut to ``n`` rows per group by the window (with
+    its partial limit before the shuffle); only that cut, written once, is asked
+    for its keys and placed.
     """
     from skein.operators.partitioning import partition_per_key
 
-    schema = T.StructType([*df.schema.fields, T.StructField(rn, T.LongType())])
-    sort_keys = [F.col(group).asc(), *order_columns(rule)]
-    partial = df.sortWithinPartitions(*sort_keys).mapInPandas(
-        _take_per_group(group, n, rn), schema
-    ).drop(rn)
-    placed = partition_per_key(partial, group, max_partitions=max_partitions, keys_from=df)
-    return placed.sortWithinPartitions(*sort_keys).mapInPandas(_take_per_group(group, n, rn), schema)
+    first = written(_top_n_window(df, [group], n, rule, rn), "topn")
+    return partition_per_key(first, group, max_partitions, keys_from=first.where(F.col(rn) == 1))
 
 
 def top_n_per_group(
@@ -156,7 +119,8 @@ def top_n_per_group(
       ``window``          row_number per group (default; bounded per-task memory)
       ``listed``          only the values in ``groups`` (the per-group loop of
                           ordered takes, as one filtered scan and window)
-      ``key_partitions``  one partition per group value and a take inside it
+      ``key_partitions``  the same cut, then one partition per group value (at
+                          most ``max_partitions`` of them, else ValueError)
     All strategies give the same rows for the same rule; make the rule a total
     order (e.g. count descending, then name) for a deterministic answer.
     """
@@ -197,28 +161,16 @@ def top_n_distinct_counts(counts: DataFrame, n: int, key: str = "word", cnt: str
     )
 
 
-def top_counts_all_keys(
-    counts: DataFrame,
-    n: int,
-    key: str = "word",
-    cnt: str = "cnt",
-    chunk_keys: int = 100_000,
-) -> DataFrame:
-    """The ``n`` highest distinct counts with *all* their keys, sorted and joined with no separator.
+def top_counts_all_keys(counts: DataFrame, n: int, key: str = "word", cnt: str = "cnt") -> DataFrame:
+    """The ``n`` highest distinct counts with *all* their keys: rows (cnt, position, key).
 
-    The top counts are found first (``n`` rows, broadcast); only their keys are
-    kept.  A count shared by very many keys is cut into parts of at most
-    ``chunk_keys`` keys in key order (column ``part``), so no single group
-    collects an unbounded list: concatenating the parts of a count in ``part``
-    order gives the whole string.
+    ``position`` numbers the keys of a count from 1 in key order.  One row per
+    key at any size; :func:`skein.sinks.files.write_joined_text` joins them.
+    The top counts are found first (``n`` rows, broadcast).
     """
     top = counts.select(cnt).distinct().orderBy(F.col(cnt).desc()).limit(int(n))
     chosen = counts.join(F.broadcast(top), cnt, "left_semi")
     pos = with_position(chosen.select(cnt, key), [(cnt, "desc"), (key, "asc")], name="_pos")
     first = pos.groupBy(cnt).agg(F.min("_pos").alias("_first"))
-    return (
-        pos.join(F.broadcast(first), cnt)
-        .withColumn("part", F.floor((F.col("_pos") - F.col("_first")) / F.lit(int(chunk_keys))).cast("bigint"))
-        .groupBy(cnt, "part")
-        .agg(F.array_join(F.sort_array(F.collect_list(key)), "").alias("words"))
-    )
+    return pos.join(F.broadcast(first), cnt).select(
+        cnt, (F.col("_pos") - F.col("_first") + 1).alias("position"), key)

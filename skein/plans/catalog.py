@@ -7,18 +7,20 @@ plan per query.  Output columns are named to match the SQL oracle.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions import (
     host_label,
     ip_to_long,
+    join_fields,
     last_segment,
     not_blank,
-    parse_hash_log,
-    parse_ip_rule,
-    parse_order,
-    parse_user,
+    parse_hash_logs,
+    parse_ip_rules,
+    parse_orders,
+    parse_users,
     render_tuple,
     render_user,
     subject_teacher,
@@ -26,7 +28,9 @@ from skein.functions import (
 )
 from skein.operators import (
     RangeIndex,
+    combine_by_key,
     count_by,
+    distinct_keys,
     field_stats,
     grand_total,
     sort_by_rule,
@@ -38,8 +42,10 @@ from skein.operators import (
     with_position,
 )
 from skein.plans import inputs
+from skein.session import fresh_dir
+from skein.sinks.files import read_tuple_text, read_tuple_text_in_order, write_tuple_text
 from skein.sources.files import read_table
-from skein.sources.kafka import decode_value
+from skein.sources.kafka import allow_java_charsets, decode_value
 
 # Fixed query parameters.
 TOP_WORDS = 100
@@ -82,19 +88,34 @@ def word_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts written as sorted tuple text, then read back and parsed."""
-    from skein.session import fresh_dir
-    from skein.sinks.files import read_tuple_text, write_tuple_text
-
     path = fresh_dir(spark, "tuple-text")
     write_tuple_text(count_by(words(spark, sf_dir), "word"), path, ["word", "cnt"], COUNT_RULE)
     return read_tuple_text(spark, path, ["word", "cnt"], ["string", "bigint"])
 
 
+def text_sink_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written tuple text read back with each line's position over the part files."""
+    path = fresh_dir(spark, "tuple-text")
+    write_tuple_text(count_by(words(spark, sf_dir), "word"), path, ["word", "cnt"], COUNT_RULE)
+    return read_tuple_text_in_order(spark, path, ["word", "cnt"], ["string", "bigint"])
+
+
+def _decoded(spark: SparkSession, sf_dir: str, charset: str) -> DataFrame:
+    d = read_table(spark, sf_dir, "documents")
+    msgs = d.select(F.col("doc_id").cast("string").alias("key"), F.encode("text", charset).alias("value"))
+    return msgs.select(F.col("key").cast("bigint").alias("doc_id"), decode_value(msgs, "value", charset).alias("text"),
+                       F.octet_length("value").cast("bigint").alias("bytes"))
+
+
 def decode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as message bytes (``key``/``value``), decoded back to text."""
-    d = read_table(spark, sf_dir, "documents")
-    msgs = d.select(F.col("doc_id").cast("string").alias("key"), F.encode("text", "UTF-8").alias("value"))
-    return msgs.select(F.col("key").cast("bigint").alias("doc_id"), decode_value(msgs, "value", "UTF-8").alias("text"))
+    return _decoded(spark, sf_dir, "UTF-8").select("doc_id", "text")
+
+
+def decode_messages_gb18030(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a multi-byte charset of the JVM, with the messages' sizes."""
+    allow_java_charsets(spark)
+    return _decoded(spark, sf_dir, "GB18030")
 
 
 # ------------------------------------------------------------- C2 web log --
@@ -110,8 +131,7 @@ def url_pair_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topn_per_group_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top 3 per host label with the count shuffled straight into label partitions
-    (one exchange serves the count and the window)."""
+    """Top 3 per host label with the counts placed by label before the window."""
     log = inputs.access_log(spark, sf_dir).select(*subject_teacher("value"))
     counts = count_by(log, ["subject", "teacher"], partition_by="subject")
     return top_n_per_group(counts, "subject", N_PER_GROUP, TEACHER_RULE)
@@ -129,7 +149,7 @@ def topn_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topn_listed_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top 3 for the listed host labels only, one ordered take each."""
+    """Top 3 for the listed host labels only (the filter reaches the scan)."""
     return top_n_per_group(subject_counts(spark, sf_dir), "subject", N_PER_GROUP, TEACHER_RULE,
                            strategy="listed", groups=LISTED_SUBJECTS)
 
@@ -142,13 +162,13 @@ def topn_group_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def distinct_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct host labels."""
-    return inputs.access_log(spark, sf_dir).select(host_label("value").alias("subject")).distinct()
+    return distinct_keys(inputs.access_log(spark, sf_dir).select(host_label("value").alias("subject")), "subject")
 
 
 # ------------------------------------------------------------ C3 sorting --
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.user_lines(spark, sf_dir).select(*parse_user("value"))
+    return parse_users(inputs.user_lines(spark, sf_dir))
 
 
 def multi_key_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +180,7 @@ def multi_key_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------ C4 log profiling --
 
 def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.hash_log_lines(spark, sf_dir).where(not_blank("value")).select(*parse_hash_log("value"))
+    return parse_hash_logs(inputs.hash_log_lines_with_blanks(spark, sf_dir).where(not_blank("value")))
 
 
 def log_status_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,6 +193,25 @@ def log_size_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return field_stats(log_records(spark, sf_dir), "size")
 
 
+def log_size_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Max and min of the size field only."""
+    return field_stats(log_records(spark, sf_dir), "size", with_avg=False)
+
+
+def combine_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per word: sum and count of the sizes in one user-combined state."""
+
+    def create(rows: pd.DataFrame) -> pd.DataFrame:
+        g = rows.groupby("word", sort=False)["size"]
+        return pd.DataFrame({"total": g.sum().astype("int64"), "n": g.size().astype("int64")}).reset_index()
+
+    def merge(states: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"word": [states["word"].iloc[0]], "total": [states["total"].sum()], "n": [states["n"].sum()]})
+
+    sizes = log_records(spark, sf_dir).select("word", "size")
+    return combine_by_key(sizes, "word", create, merge, "word string, total bigint, n bigint")
+
+
 def log_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines per word field."""
     return count_by(log_records(spark, sf_dir), "word")
@@ -184,18 +223,18 @@ def topn_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topn_counts_all_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 5 highest distinct word counts with all their words, joined."""
+    """The 5 highest distinct word counts with all their words, one row per word."""
     return top_counts_all_keys(log_word_count(spark, sf_dir), TOP_COUNTS, "word", "cnt")
 
 
 # ------------------------------------------------------ C5 IP enrichment --
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.order_lines(spark, sf_dir).select(*parse_order("value"))
+    return parse_orders(inputs.order_lines(spark, sf_dir))
 
 
 def ip_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.ip_rule_lines(spark, sf_dir).select(*parse_ip_rule("value"))
+    return parse_ip_rules(inputs.ip_rule_lines(spark, sf_dir))
 
 
 def ip_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,19 +242,33 @@ def ip_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_records(spark, sf_dir).select("ip", ip_to_long("ip").alias("n"))
 
 
-def _region_lookup(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
-    index = RangeIndex(ip_rules(spark, sf_dir), ["province"], strategy=strategy)
+def ip_to_long_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of three-part addresses, the last part up to 399."""
+    o = read_table(spark, sf_dir, "orders")
+    ip = join_fields(".", F.col("o_custkey") % inputs.IP_FIRST_OCTETS + 1, F.col("o_orderkey") % 256,
+                     F.col("o_orderkey") % 400)
+    return o.select("o_orderkey", ip.alias("ip")).select("o_orderkey", "ip", ip_to_long("ip").alias("n"))
+
+
+def _region_lookup(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    index = RangeIndex(ip_rules(spark, sf_dir), ["province"], **options)
     return index.lookup(ip_numbers(spark, sf_dir), "n", {"province": inputs.UNKNOWN_REGION})
 
 
 def ip_region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Region of every order IP (bucketed range join)."""
-    return _region_lookup(spark, sf_dir, "bucketed")
+    """Region of every order IP; both sides shuffled on the bucket, salted."""
+    return _region_lookup(spark, sf_dir, broadcast_bytes=0, salts=4)
 
 
 def ip_region_lookup_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same rows through the size-checked broadcast nested loop."""
-    return _region_lookup(spark, sf_dir, "broadcast")
+    """Same rows with the rule side broadcast (its bytes are checked)."""
+    return _region_lookup(spark, sf_dir)
+
+
+def ip_region_lookup_multilevel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of all orders against narrow, wide and very wide rules, nothing broadcast."""
+    index = RangeIndex(inputs.multilevel_rules(spark, sf_dir), ["province"], broadcast_bytes=0)
+    return index.lookup(inputs.multilevel_numbers(spark, sf_dir), "n", {"province": inputs.UNKNOWN_REGION})
 
 
 def income_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,7 +301,9 @@ BATCH_QUERIES = {
     "hash_token_count": hash_token_count,
     "word_count_lines": word_count_lines,
     "text_sink_roundtrip": text_sink_roundtrip,
+    "text_sink_order": text_sink_order,
     "decode_messages": decode_messages,
+    "decode_messages_gb18030": decode_messages_gb18030,
     "url_segment_count": url_segment_count,
     "url_pair_count": url_pair_count,
     "topn_per_group": topn_per_group,
@@ -259,12 +314,16 @@ BATCH_QUERIES = {
     "multi_key_sort": multi_key_sort,
     "log_status_count": log_status_count,
     "log_size_stats": log_size_stats,
+    "log_size_range": log_size_range,
+    "combine_by_key": combine_sizes,
     "log_word_count": log_word_count,
     "topn_distinct_counts": topn_distinct_counts,
     "topn_counts_all_words": topn_counts_all_words,
     "ip_to_long": ip_numbers,
+    "ip_to_long_odd": ip_to_long_odd,
     "ip_region_lookup": ip_region_lookup,
     "ip_region_lookup_broadcast": ip_region_lookup_broadcast,
+    "ip_region_lookup_multilevel": ip_region_lookup_multilevel,
     "income_total": income_total,
     "income_by_item": income_by_item,
     "income_by_region": income_by_region,

@@ -87,6 +87,15 @@ hl AS (
   FROM events
 )"""
 
+# GB18030 takes one byte for ASCII, two for the letters listed here, four for the
+# other letters of the texts.
+_TWO_BYTES = "éóèüêíáàìòúù"
+_GB18030 = f"""
+SELECT doc_id, text,
+       length(text) + length(regexp_replace(text, '[^{_TWO_BYTES}]', '', 'g'))
+         + 3 * length(regexp_replace(text, '[\\x00-\\x7F{_TWO_BYTES}]', '', 'g')) AS bytes
+FROM documents"""
+
 ORACLE_SQL: dict[str, str] = {
     "word_count": _WORD_COUNT,
     "word_count_top": _WORD_COUNT + "\nORDER BY cnt DESC, word ASC LIMIT 100",
@@ -100,7 +109,10 @@ SELECT word, count(*) AS cnt FROM (
     "word_count_lines": "SELECT '(' || word || ',' || CAST(cnt AS VARCHAR) || ')' AS line FROM ("
     + _WORD_COUNT + ")",
     "text_sink_roundtrip": _WORD_COUNT,
+    "text_sink_order": "SELECT row_number() OVER (ORDER BY cnt DESC, word) AS pos, word, cnt FROM ("
+    + _WORD_COUNT + ")",
     "decode_messages": "SELECT doc_id, text FROM documents",
+    "decode_messages_gb18030": _GB18030,
     "url_segment_count": """
 SELECT string_split(url, '/')[-1] AS teacher, count(*) AS cnt FROM pages GROUP BY 1""",
     "url_pair_count": "WITH " + _SUBJECTS + "\nSELECT subject, teacher, cnt FROM counts",
@@ -124,19 +136,40 @@ FROM (
          (200 * sum(size) + count(size)) // (2 * count(size)) AS r
   FROM recs
 )""",
+    "log_size_range": "WITH " + _LOG + "\nSELECT max(size) AS max_value, min(size) AS min_value FROM recs",
+    "combine_by_key": "WITH " + _LOG
+    + "\nSELECT word, CAST(sum(size) AS BIGINT) AS total, count(*) AS n FROM recs GROUP BY word",
     "log_word_count": "WITH " + _LOG + "\nSELECT word, cnt FROM wc",
     "topn_distinct_counts": "WITH " + _LOG + """
 SELECT cnt, max(word) AS word FROM wc GROUP BY cnt ORDER BY cnt DESC LIMIT 5""",
     "topn_counts_all_words": "WITH " + _LOG + """,
 top AS (SELECT DISTINCT cnt FROM wc ORDER BY cnt DESC LIMIT 5),
 sel AS (
-  SELECT wc.cnt, wc.word,
-         (row_number() OVER (PARTITION BY wc.cnt ORDER BY wc.word) - 1) // 100000 AS part
+  SELECT wc.cnt, wc.word, row_number() OVER (PARTITION BY wc.cnt ORDER BY wc.word) AS position
   FROM wc JOIN top ON wc.cnt = top.cnt
 )
-SELECT cnt, CAST(part AS BIGINT) AS part, string_agg(word, '' ORDER BY word) AS words
-FROM sel GROUP BY cnt, part""",
+SELECT cnt, position, word FROM sel""",
     "ip_to_long": "WITH " + _IPS + "\nSELECT ip, n FROM ipn",
+    "ip_to_long_odd": """
+SELECT o_orderkey, concat_ws('.', o_custkey % 200 + 1, o_orderkey % 256, o_orderkey % 400) AS ip,
+       ((((o_custkey % 200 + 1) << 8) | (o_orderkey % 256)) << 8) | (o_orderkey % 400) AS n
+FROM orders""",
+    "ip_region_lookup_multilevel": """
+WITH rules AS (
+  SELECT (CAST(n_nationkey AS BIGINT) * 8 + 1) << 24 AS lo,
+         ((CAST(n_nationkey AS BIGINT) * 8 + 7) << 24) - 1 AS hi, n_name AS province FROM nation
+  UNION ALL
+  SELECT ((CAST(c_nationkey AS BIGINT) * 8 + 7) << 24) + c_custkey * 64,
+         ((CAST(c_nationkey AS BIGINT) * 8 + 7) << 24) + c_custkey * 64 + 63, c_name FROM customer
+  UNION ALL
+  SELECT CAST(250 AS BIGINT) << 24, CAST(1 AS BIGINT) << 40, 'rest'
+), facts AS (
+  SELECT o_orderkey, (CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 25 * 8 + 7
+                           ELSE o_orderkey % 260 END AS BIGINT) << 24) + o_custkey * 64 + o_orderkey % 100 AS n
+  FROM orders
+)
+SELECT o_orderkey, n, coalesce(province, '未知') AS province
+FROM facts LEFT JOIN rules ON n BETWEEN lo AND hi""",
     "ip_region_lookup": "WITH " + _IPS + "\nSELECT ip, n, province FROM regional",
     "ip_region_lookup_broadcast": "WITH " + _IPS + "\nSELECT ip, n, province FROM regional",
     "income_total": "SELECT round(sum(o_totalprice), 2) AS total_income FROM orders",
@@ -148,6 +181,7 @@ SELECT province, round(sum(price), 2) AS income FROM regional GROUP BY province"
 SELECT CAST(doc_id % 4 AS BIGINT) AS batch_id, word, count(*) AS cnt
 FROM doc_words GROUP BY 1, 2""",
     "stream_running_counts": _WORD_COUNT,
+    "stream_state_update": _WORD_COUNT,
     "stream_order_totals": _ORDER_TOTALS,
     "stream_resume": _ORDER_TOTALS,
 }

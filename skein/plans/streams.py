@@ -1,11 +1,12 @@
 """Registered streaming queries, driven by file replay.
 
 Input rows derived from a driver table are appended to a stream folder in
-``ROUNDS`` drops (drop ``r`` holds the rows with ``key % ROUNDS == r``).  After
-each drop the query is (re)started from its checkpoint with
-``availableNow``, so drop ``r`` becomes batch ``r`` and every round also
-exercises a resume.  Each run uses a fresh folder under the shared scratch
-root.
+``ROUNDS`` drops (drop ``r`` holds the rows with ``key % ROUNDS == r``), written
+once, partitioned by drop.  After each drop the query is (re)started from its
+checkpoint with ``availableNow``, so drop ``r`` becomes batch ``r`` and every
+round also exercises a resume.  The order streams get a drop without rows after
+the others.  Stores are compacted every second batch.  Each run uses a fresh
+folder under the shared scratch root.
 """
 
 from __future__ import annotations
@@ -22,10 +23,11 @@ from skein.plans import inputs
 from skein.session import fresh_dir
 from skein.sinks.totals import read_totals
 from skein.sources.files import read_table
-from skein.streaming.counts import latest_counts, per_batch_counts, read_batch_counts, running_counts
+from skein.streaming.counts import latest_counts, per_batch_counts, read_batch_counts, running_counts, running_state
 from skein.streaming.orders import order_totals_stream
 
 ROUNDS = 4
+COMPACT_EVERY = 2
 ONCE = {"availableNow": True}
 MESSAGE_SCHEMA = "key binary, value binary, topic string, partition int, offset bigint"
 
@@ -38,14 +40,7 @@ def _doc_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_message_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as messages: value = UTF-8 bytes of the order line; 3 topic partitions."""
     o = read_table(spark, sf_dir, "orders", spread=True)
-    line = F.concat_ws(
-        " ",
-        F.col("o_orderkey").cast("string"),
-        inputs.order_ip(F.col("o_orderkey"), F.col("o_custkey")),
-        F.col("o_orderstatus"),
-        F.col("o_custkey").cast("string"),
-        F.col("o_totalprice").cast("string"),
-    )
+    line = inputs.order_line()
     return o.select(
         F.lit(None).cast("binary").alias("key"),
         F.encode(line, "UTF-8").alias("value"),
@@ -56,13 +51,19 @@ def _order_message_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _drop(drops: DataFrame, r: int, path: str, fmt: str) -> None:
-    drops.where(F.col("_round") == r).drop("_round").write.mode("append").format(fmt).save(path)
-
-
-def _run_rounds(drops: DataFrame, fmt: str, input_dir: str, start, crash_round: int | None = None) -> None:
-    for r in range(ROUNDS):
-        _drop(drops, r, input_dir, fmt)
+def _run_rounds(drops: DataFrame, fmt: str, input_dir: str, start, crash_round: int | None = None,
+                empty_rounds: int = 0) -> None:
+    spark = drops.sparkSession
+    # One pass over the source table; a round then reads its own folder.
+    staged = fresh_dir(spark, "stream-drops")
+    drops.write.partitionBy("_round").parquet(staged)
+    schema = drops.drop("_round").schema
+    for r in range(ROUNDS + empty_rounds):
+        if r < ROUNDS:
+            rows = spark.read.schema(drops.schema).parquet(staged).where(F.col("_round") == r).select(*schema.names)
+        else:
+            rows = spark.createDataFrame([], schema)
+        rows.write.mode("append").format(fmt).save(input_dir)
         q = start()
         try:
             q.awaitTermination()
@@ -93,12 +94,27 @@ def stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     drops = _doc_drops(spark, sf_dir)
 
     def start():
-        return running_counts(spark.readStream.text(inp), out, ck, trigger=ONCE)
+        return running_counts(spark.readStream.text(inp), out, ck, trigger=ONCE, compact_every=COMPACT_EVERY)
 
     _run_rounds(drops, "text", inp, start)
     return latest_counts(spark, out)
 
 
+def stream_state_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running token counts by a user's state update function, ``(word, cnt)``."""
+    root = fresh_dir(spark, "stream-state-update")
+    inp, out, ck = (os.path.join(root, x) for x in ("input", "out", "checkpoint"))
+
+    def update(key, batches, old):
+        return (sum(len(b) for b in batches) + (old[0] if old else 0),)
+
+    def start():
+        return running_state(spark.readStream.text(inp), out, ck, update, trigger=ONCE, compact_every=COMPACT_EVERY)
+
+    _run_rounds(_doc_drops(spark, sf_dir), "text", inp, start)
+    return latest_counts(spark, out)
+
+
 def _order_totals(spark: SparkSession, sf_dir: str, crash_round: int | None) -> DataFrame:
     root = fresh_dir(spark, "stream-order-totals")
     inp, out, ck = (os.path.join(root, x) for x in ("input", "totals", "checkpoint"))
@@ -115,9 +131,10 @@ def _order_totals(spark: SparkSession, sf_dir: str, crash_round: int | None) ->
 
     def start():
         stream = spark.readStream.schema(MESSAGE_SCHEMA).parquet(inp)
-        return order_totals_stream(stream, index, out, ck, trigger=ONCE, after_write=after_write)
+        return order_totals_stream(stream, index, out, ck, trigger=ONCE, after_write=after_write,
+                                   compact_every=COMPACT_EVERY)
 
-    _run_rounds(drops, "parquet", inp, start, crash_round=crash_round)
+    _run_rounds(drops, "parquet", inp, start, crash_round=crash_round, empty_rounds=1)
     if crash_round is not None and crash_round not in crashed:
         raise RuntimeError("the injected failure did not happen")
     return read_totals(spark, out)
@@ -137,6 +154,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_batch_counts": stream_batch_counts,
     "stream_running_counts": stream_running_counts,
+    "stream_state_update": stream_state_update,
     "stream_order_totals": stream_order_totals,
     "stream_resume": stream_resume,
 }

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -42,6 +42,8 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Checkpoint files go when the DataFrame that wrote them is gone.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Running counts keep every key forever: keep that state off the JVM heap.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -57,7 +59,8 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -94,3 +97,11 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, tag: str) -> str:
     """A new, unused folder below :func:`scratch_root` (never reused, never wiped)."""
     return os.path.join(scratch_root(spark), f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as a table below :func:`scratch_root` and read it back: a lineage
+    cut, and one evaluation for a plan that needs its rows more than once."""
+    path = fresh_dir(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,7 +1,17 @@
-"""Sinks: tuple text files, JDBC append, idempotent running totals, console."""
+"""Sinks: tuple text files, JDBC append, exactly-once batch stores, running totals."""
 
-from skein.sinks.files import read_tuple_text, write_tuple_text
+from skein.sinks.files import read_tuple_text, read_tuple_text_in_order, write_joined_text, write_tuple_text
 from skein.sinks.jdbc import jdbc_append
-from skein.sinks.totals import read_totals, write_batch_deltas
+from skein.sinks.store import BatchStore
+from skein.sinks.totals import read_totals, totals_store
 
-__all__ = ["jdbc_append", "read_totals", "read_tuple_text", "write_batch_deltas", "write_tuple_text"]
+__all__ = [
+    "BatchStore",
+    "jdbc_append",
+    "read_totals",
+    "read_tuple_text",
+    "read_tuple_text_in_order",
+    "totals_store",
+    "write_joined_text",
+    "write_tuple_text",
+]

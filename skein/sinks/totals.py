@@ -1,37 +1,31 @@
 """Running totals kept as per-batch deltas, so a replayed batch cannot count twice.
 
-A streaming batch writes its deltas ``(batch_id, metric, key, amount)`` into
-its own folder ``<root>/batch=<id>``, replacing whatever an earlier attempt of
-the same batch left there.  Totals are a ``groupBy(metric, key).sum`` over all
-folders.  Compared with incrementing counters in a key-value store before the
-progress commit, a crash between output and commit now re-writes the same
-folder instead of adding the batch again.
+A streaming batch writes its deltas ``(metric, key, amount)`` once per batch id
+into a :class:`~skein.sinks.store.BatchStore`; totals are the sums per (metric,
+key) over its snapshot and the batches behind it.  Compared with incrementing
+counters in a key-value store before the progress commit, a crash between output
+and commit finds the batch written and leaves it.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.sinks.store import BatchStore
 
-def write_batch_deltas(deltas: DataFrame, root: str, batch_id: int) -> None:
-    """Replace the deltas of ``batch_id`` (idempotent per batch)."""
-    deltas.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode("overwrite").parquet(
-        os.path.join(root, f"batch={int(batch_id)}")
-    )
+TOTALS_SCHEMA = "metric string, key string, amount double"
 
 
-def read_deltas(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """All deltas written so far (no partition inference; ``batch_id`` is a column)."""
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+def _sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("metric", "key").agg(F.sum("amount").alias("amount"), F.max("batch_id").alias("batch_id"))
 
 
-TOTALS_SCHEMA = "metric string, key string, amount double, batch_id bigint"
+def totals_store(spark: SparkSession, root: str, compact_every: int = 100) -> BatchStore:
+    """The store of the totals below ``root``."""
+    return BatchStore(spark, root, TOTALS_SCHEMA, _sums, compact_every)
 
 
 def read_totals(spark: SparkSession, root: str, digits: int = 2) -> DataFrame:
-    """Current totals ``(metric, key, amount)``: the sum of every batch's deltas."""
-    d = read_deltas(spark, root, TOTALS_SCHEMA)
-    return d.groupBy("metric", "key").agg(F.round(F.sum("amount"), digits).alias("amount"))
+    """Current totals ``(metric, key, amount)``."""
+    return totals_store(spark, root).current().select("metric", "key", F.round("amount", digits).alias("amount"))

@@ -1,8 +1,9 @@
 """Readers: parquet tables, text lines, in-memory rows, JDBC ranges, Kafka and sockets."""
 
-from skein.sources.files import read_ip_rules, read_lines, read_table, rows, spread_small_scan
+from skein.sources.files import read_ip_rules, read_lines, read_table, rows
 from skein.sources.jdbc import range_predicates, read_jdbc_range
 from skein.sources.kafka import (
+    allow_java_charsets,
     decode_value,
     kafka_stream,
     message_values,
@@ -11,6 +12,7 @@ from skein.sources.kafka import (
 from skein.sources.socket import socket_lines
 
 __all__ = [
+    "allow_java_charsets",
     "decode_value",
     "kafka_stream",
     "message_values",
@@ -21,6 +23,5 @@ __all__ = [
     "read_table",
     "rows",
     "socket_lines",
-    "spread_small_scan",
     "starting_offsets_json",
 ]

@@ -8,33 +8,24 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Session option naming into how many partitions a scan is dealt before heavy per-row work.
+SPREAD_OPTION = "spark.skein.spreadScans"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One driver table, ``<sf_dir>/<name>.parquet``.
 
     Parquet keeps column pruning and predicate pushdown: later ``select`` /
     ``where`` calls reach the scan (``ReadSchema`` / ``PushedFilters``).
-    With ``spread`` a scan that yields fewer partitions than the cluster has
-    cores is hash-spread over all cores by its first column (see
-    :func:`spread_small_scan`); worth it before heavy per-row work such as
-    tokenising or parsing, not before a cheap projection.
+    ``spread`` marks tables that are read for heavy per-row work (tokenising,
+    parsing).  It has an effect only if the session sets :data:`SPREAD_OPTION`:
+    the rows are then dealt over that many partitions by their first column,
+    which shuffles the raw rows.  That is for small files of one row group on
+    one machine; leave the option unset on a cluster.
     """
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_small_scan(df, df.columns[0]) if spread else df
-
-
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition ``df`` on ``key`` when its scan has fewer partitions than cores.
-
-    A file with one row group is read by one task, and everything before the
-    first shuffle (tokenising, parsing) would run on that task alone.  Large
-    inputs already split into many scan partitions and are left untouched, so
-    this costs nothing at cluster scale.  Hashing on a key (not round robin)
-    keeps the placement deterministic when a task is retried.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    parts = int(spark.conf.get(SPREAD_OPTION, "0")) if spread else 0
+    return df.repartition(parts, df.columns[0]) if parts else df
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -49,6 +40,6 @@ def rows(spark: SparkSession, values: Iterable[str], column: str = "value") -> D
 
 def read_ip_rules(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``|``-separated IP rule file(s) -> ``lo, hi, province`` (read in parallel)."""
-    from skein.functions.records import parse_ip_rule
+    from skein.functions.records import parse_ip_rules
 
-    return read_lines(spark, path).select(*parse_ip_rule("value"))
+    return parse_ip_rules(read_lines(spark, path))

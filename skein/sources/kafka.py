@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 # Charsets Spark 4 decodes without the legacy switch.
 STANDARD_CHARSETS = ("US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32")
 
-KAFKA_SCHEMA = (
-    "key binary, value binary, topic string, partition int, offset bigint, "
-    "timestamp timestamp, timestampType int"
-)
+JAVA_CHARSETS = "spark.sql.legacy.javaCharsets"
+
+
+def allow_java_charsets(spark: SparkSession) -> None:
+    """Let this session decode every charset of the JVM (``GB2312``, ``GB18030`` ...)."""
+    spark.conf.set(JAVA_CHARSETS, "true")
 
 
 def starting_offsets_json(topic: str, offsets: dict[int, int]) -> str:
@@ -40,13 +42,16 @@ def kafka_stream(
     starting: str = "earliest",
     extra: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Streaming DataFrame over ``topic`` (Kafka source schema)."""
+    """Streaming DataFrame over ``topic`` (Kafka source schema).
+
+    Offsets that are gone (aged out, topic deleted) fail the query, Spark's
+    default; pass ``failOnDataLoss`` in ``extra`` to decide otherwise.
+    """
     r = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets_json(topic, saved_offsets) if saved_offsets else starting)
-        .option("failOnDataLoss", "false")
     )
     for k, v in (extra or {}).items():
         r = r.option(k, v)
@@ -56,11 +61,11 @@ def kafka_stream(
 def decode_value(df: DataFrame, column: str = "value", charset: str = "UTF-8") -> Column:
     """Bytes -> text in ``charset``.
 
-    Charsets outside the standard set (``GB2312`` ...) need
-    ``spark.sql.legacy.javaCharsets``; it is switched on for this session.
+    Charsets outside the standard set (``GB2312`` ...) need a session that
+    allows them, see :func:`allow_java_charsets`.
     """
-    if charset.upper() not in STANDARD_CHARSETS:
-        df.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")
+    if charset.upper() not in STANDARD_CHARSETS and df.sparkSession.conf.get(JAVA_CHARSETS, "false") != "true":
+        raise ValueError(f"charset {charset!r}: call allow_java_charsets(spark) first")
     return F.decode(F.col(column), charset)
 
 

@@ -3,22 +3,28 @@
 from skein.streaming.counts import (
     batch_offsets,
     counts_after,
+    for_each_partition,
     latest_counts,
     per_batch_counts,
     read_batch_counts,
     running_counts,
+    running_state,
     to_console,
+    update_state,
 )
 from skein.streaming.orders import order_deltas, order_totals_stream
 
 __all__ = [
     "batch_offsets",
     "counts_after",
+    "for_each_partition",
     "latest_counts",
     "order_deltas",
     "order_totals_stream",
     "per_batch_counts",
     "read_batch_counts",
     "running_counts",
+    "running_state",
     "to_console",
+    "update_state",
 ]

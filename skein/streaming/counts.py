@@ -1,29 +1,63 @@
 """Streaming token counts: per batch (no carry-over) and running (stateful).
 
 Both read a streaming DataFrame of text lines (column ``value``), from files,
-a socket or Kafka message values, and write through ``foreachBatch`` into
-one folder per batch id, overwritten if the batch is replayed.  With a
+a socket or Kafka message values, and write through ``foreachBatch`` into a
+:class:`~skein.sinks.store.BatchStore`, one batch per id.  With a
 ``checkpointLocation`` a restarted query resumes after the last committed
-batch; a batch that crashed before its commit keeps its id and input and is
-simply written again.
+batch; a batch that crashed before its commit keeps its id and input, and what
+it had finished writing is kept.
 """
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skein.functions.text import tokens
 from skein.operators.counting import count_by
+from skein.sinks.store import BatchStore
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
+COUNTS_SCHEMA = "word string, cnt bigint"
 
 
-def _batch_dir(root: str, batch_id: int) -> str:
-    return os.path.join(root, f"batch={int(batch_id)}")
+def _latest(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("word").agg(F.max_by("cnt", "batch_id").alias("cnt"), F.max("batch_id").alias("batch_id"))
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    return rows
+
+
+def _store(spark: SparkSession, root: str, running: bool, compact_every: int = 100) -> BatchStore:
+    return BatchStore(spark, root, COUNTS_SCHEMA, _latest if running else _apart, compact_every)
+
+
+def start_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
+                  trigger: dict | None = None, name: str | None = None, output_mode: str | None = None) -> StreamingQuery:
+    """Start a ``foreachBatch`` query; the trigger is every 5 seconds by default."""
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if output_mode:
+        w = w.outputMode(output_mode)
+    if name:
+        w = w.queryName(name)
+    return w.trigger(**(trigger or DEFAULT_TRIGGER)).start()
+
+
+def _store_batches(stream: DataFrame, out_root: str, checkpoint: str, running: bool, compact_every: int,
+                   trigger: dict | None, name: str | None, output_mode: str | None = None) -> StreamingQuery:
+    store = _store(stream.sparkSession, out_root, running, compact_every)
+    store.claim(checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # One action only: a second one would compute a stateful batch again.
+        store.write(batch.select("word", "cnt"), batch_id)
+
+    return start_batches(stream, write, checkpoint, trigger, name, output_mode)
 
 
 def per_batch_counts(
@@ -36,20 +70,15 @@ def per_batch_counts(
 ) -> StreamingQuery:
     """Counts of each micro-batch on its own (``reduceByKey`` on a DStream).
 
-    Output rows ``(batch_id, word, cnt)``; an empty batch yields no rows.
-    The batch is read once (no separate emptiness probe).
+    An empty batch yields no rows.  Batches stay apart, so nothing is merged away.
     """
+    store = _store(lines.sparkSession, out_root, running=False, compact_every=1 << 62)
+    store.claim(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        c = count_by(batch.select(tokens("value", delimiter).alias("word")), "word")
-        c.select(F.lit(int(batch_id)).cast("bigint").alias("batch_id"), "word", "cnt").write.mode(
-            "overwrite"
-        ).parquet(_batch_dir(out_root, batch_id))
+        store.write(count_by(batch.select(tokens("value", delimiter).alias("word")), "word"), batch_id)
 
-    w = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    if name:
-        w = w.queryName(name)
-    return w.trigger(**(trigger or DEFAULT_TRIGGER)).start()
+    return start_batches(lines, write, checkpoint, trigger, name)
 
 
 def running_counts(
@@ -60,6 +89,7 @@ def running_counts(
     output_mode: str = "update",
     trigger: dict | None = None,
     name: str | None = None,
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Counts accumulated over all batches so far (``updateStateByKey`` with a sum).
 
@@ -68,40 +98,66 @@ def running_counts(
     only the words whose total changed in a batch; ``complete`` writes every
     word each batch, as the original did.  Keys never expire.
     """
+    counts = count_by(lines.select(tokens("value", delimiter).alias("word")), "word")
+    return _store_batches(counts, out_root, checkpoint, True, compact_every, trigger, name, output_mode)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # One action only: a second one would recompute the stateful batch.
-        batch.select(F.lit(int(batch_id)).cast("bigint").alias("batch_id"), "word", "cnt").write.mode(
-            "overwrite"
-        ).parquet(_batch_dir(out_root, batch_id))
 
-    counts = count_by(lines.select(tokens("value", delimiter).alias("word")), "word")
-    w = (
-        counts.writeStream.outputMode(output_mode)
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-    )
-    if name:
-        w = w.queryName(name)
-    return w.trigger(**(trigger or DEFAULT_TRIGGER)).start()
+def update_state(
+    rows: DataFrame,
+    key: str,
+    update: Callable[[tuple, Iterator[pd.DataFrame], tuple | None], tuple],
+    state_schema: str,
+) -> DataFrame:
+    """``updateStateByKey`` with a user function, on Spark's state store.
+
+    ``update(key, batches of new rows, old state or None)`` returns the new state
+    tuple (``state_schema``).  Gives (key, state columns) for every key that a
+    micro-batch touches; the rows of a key arrive in Arrow batches, so a hot key
+    is never one object.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    names = [f.split()[0] for f in state_schema.split(", ")]
+    key_type = rows.schema[key].dataType.simpleString()
+
+    def run(k, batches, state):
+        new = tuple(update(k, batches, tuple(state.get) if state.exists else None))
+        state.update(new)
+        yield pd.DataFrame([(k[0], *new)], columns=[key, *names])
+
+    return rows.groupBy(key).applyInPandasWithState(
+        run, f"{key} {key_type}, {state_schema}", state_schema, "update", GroupStateTimeout.NoTimeout)
 
 
-BATCH_COUNTS_SCHEMA = "batch_id bigint, word string, cnt bigint"
+def running_state(
+    lines: DataFrame,
+    out_root: str,
+    checkpoint: str,
+    update: Callable[[tuple, Iterator[pd.DataFrame], tuple | None], tuple],
+    delimiter: str = " ",
+    trigger: dict | None = None,
+    name: str | None = None,
+    compact_every: int = 100,
+) -> StreamingQuery:
+    """Running ``cnt`` per token by a user's state update function (state: ``cnt bigint``)."""
+    words = lines.select(tokens("value", delimiter).alias("word"))
+    return _store_batches(update_state(words, "word", update, "cnt bigint"), out_root, checkpoint, True,
+                          compact_every, trigger, name, "update")
 
 
 def read_batch_counts(spark: SparkSession, out_root: str) -> DataFrame:
-    """Every batch's rows ``(batch_id, word, cnt)``."""
-    return spark.read.schema(BATCH_COUNTS_SCHEMA).option("recursiveFileLookup", "true").parquet(out_root)
+    """Every batch's rows ``(batch_id, word, cnt)`` (batches that a snapshot covers may be gone)."""
+    return _store(spark, out_root, running=False).batches().select("batch_id", "word", "cnt")
 
 
 def latest_counts(spark: SparkSession, out_root: str) -> DataFrame:
     """Current running total per word: the value from the latest batch that changed it."""
-    d = read_batch_counts(spark, out_root)
-    return d.groupBy("word").agg(F.max_by("cnt", "batch_id").alias("cnt"))
+    return _store(spark, out_root, running=True).current().select("word", "cnt")
 
 
 def counts_after(spark: SparkSession, out_root: str, batch_id: int) -> DataFrame:
-    """Running totals as they stood after ``batch_id`` (all keys, as ``complete`` mode shows)."""
+    """Running totals as they stood after ``batch_id`` (all keys, as ``complete`` mode shows),
+    as long as no snapshot has covered that batch."""
     d = read_batch_counts(spark, out_root).where(F.col("batch_id") <= int(batch_id))
     return d.groupBy("word").agg(F.max_by("cnt", "batch_id").alias("cnt"))
 
@@ -121,6 +177,30 @@ def to_console(df: DataFrame, num_rows: int = 10, output_mode: str = "update",
     )
 
 
+def for_each_partition(df: DataFrame, make_writer: Callable[[int, int], object], checkpoint: str,
+                       trigger: dict | None = None) -> StreamingQuery:
+    """Hand rows to a writer per partition and batch (``foreachPartition`` of a batch).
+
+    ``make_writer(partition, batch_id)`` runs on the executor and returns an
+    object with ``write(row)`` and ``close()``; a replayed batch comes with the
+    same two numbers, so a writer can make itself idempotent by them.
+    """
+
+    class Rows:
+        def open(self, partition_id: int, epoch_id: int) -> bool:
+            self.writer = make_writer(partition_id, epoch_id)
+            return True
+
+        def process(self, row) -> None:
+            self.writer.write(row)
+
+        def close(self, error) -> None:
+            self.writer.close()
+
+    return df.writeStream.foreach(Rows()).option("checkpointLocation", checkpoint).trigger(
+        **(trigger or DEFAULT_TRIGGER)).start()
+
+
 def batch_offsets(query: StreamingQuery) -> list[dict]:
     """Per finished batch: its id and each source's start and end offsets
     (what the original read from ``HasOffsetRanges``)."""

@@ -2,7 +2,7 @@
 
 Per batch: message bytes -> text (charset) -> order records -> region of the
 IP (range lookup) -> one grouping-sets aggregate giving all three totals in a
-single pass -> deltas written for that batch id (see :mod:`skein.sinks.totals`).
+single pass -> deltas written once for that batch id (see :mod:`skein.sinks.totals`).
 Empty batches contribute nothing.  The rule index is prepared once, outside the
 batches.
 """
@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skein.functions.net import ip_to_long
-from skein.functions.records import parse_order
+from skein.functions.records import parse_orders
 from skein.operators.rangejoin import RangeIndex
-from skein.sinks.totals import write_batch_deltas
+from skein.sinks.totals import totals_store
 from skein.sources.kafka import message_values
-from skein.streaming.counts import DEFAULT_TRIGGER
+from skein.streaming.counts import start_batches
 
 TOTAL_KEY = "TOTAL_INCOME"  # fixed value: key of the overall income total
 UNKNOWN_REGION = "未知"  # fixed value: region label when no rule matches
@@ -55,20 +55,20 @@ def order_totals_stream(
     trigger: dict | None = None,
     after_write: Callable[[int], None] | None = None,
     name: str | None = None,
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Start the running-totals query over a message stream (Kafka source schema).
 
     ``after_write(batch_id)`` runs after a batch's deltas are written and
     before Spark commits the batch (a hook for failure tests).
     """
+    store = totals_store(messages.sparkSession, totals_root, compact_every)
+    store.claim(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = message_values(batch, charset).select(*parse_order("value"))
-        write_batch_deltas(order_deltas(records, index), totals_root, batch_id)
+        records = parse_orders(message_values(batch, charset))
+        store.write(order_deltas(records, index), batch_id)
         if after_write is not None:
             after_write(batch_id)
 
-    w = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    if name:
-        w = w.queryName(name)
-    return w.trigger(**(trigger or DEFAULT_TRIGGER)).start()
+    return start_batches(messages, write, checkpoint, trigger, name)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import (
@@ -7,10 +8,10 @@ from skein.functions import (
     jvm_split,
     last_segment,
     not_blank,
-    parse_hash_log,
-    parse_ip_rule,
-    parse_order,
-    parse_user,
+    parse_hash_logs,
+    parse_ip_rules,
+    parse_orders,
+    parse_users,
     render_tuple,
     render_user,
     text_lines,
@@ -71,7 +72,7 @@ def test_fixed2(spark):
 
 
 def test_parse_user_and_render(spark):
-    df = spark.createDataFrame([("ann 30 99 extra",)], "l string").select(*parse_user("l"))
+    df = parse_users(spark.createDataFrame([("ann 30 99 extra",)], "l string"), "l")
     r = df.first()
     assert (r.name, r.age, r.fv) == ("ann", 30, 99)
     assert df.select(render_user("name", "age", "fv")).first()[0] == "name: ann, age: 30, fv: 99"
@@ -82,8 +83,8 @@ def test_parse_user_strict_and_lenient(spark):
 
     df = spark.createDataFrame([("bob x 1",)], "l string")
     with pytest.raises(Exception):
-        df.select(*parse_user("l")).collect()
-    r = df.select(*parse_user("l", strict=False)).first()
+        parse_users(df, "l").collect()
+    r = parse_users(df, "l", strict=False).first()
     assert (r.name, r.age, r.fv) == ("bob", None, 1)
 
 
@@ -91,21 +92,21 @@ def test_parse_hash_log_dash_strip(spark):
     import pytest
 
     df = spark.createDataFrame([("1#-#2#w#200#7",)], "l string")
-    r = df.select(*parse_hash_log("l")).first()
+    r = parse_hash_logs(df, "l").first()
     assert (r.word, r.status, r.size) == ("w", "200", 7)
     bad = spark.createDataFrame([("1#2#w-#200#7",)], "l string")
     with pytest.raises(Exception):
-        bad.select(*parse_hash_log("l")).collect()
-    r2 = bad.select(*parse_hash_log("l", strict=False)).first()
+        parse_hash_logs(bad, "l").collect()
+    r2 = parse_hash_logs(bad, "l", strict=False).first()
     assert (r2.word, r2.status, r2.size) == ("w200", "7", None)
 
 
 def test_parse_order_and_rule(spark):
     df = spark.createDataFrame([("t1 1.2.3.4 phone x 10.5",)], "l string")
-    r = df.select(*parse_order("l")).first()
+    r = parse_orders(df, "l").first()
     assert (r.ip, r.item, r.price) == ("1.2.3.4", "phone", 10.5)
     rules = spark.createDataFrame([("a|b|16777216|33554431|c|d|P1|z",)], "l string")
-    r = rules.select(*parse_ip_rule("l")).first()
+    r = parse_ip_rules(rules, "l").first()
     assert (r.lo, r.hi, r.province) == (16777216, 33554431, "P1")
 
 
@@ -116,8 +117,12 @@ def test_render_tuple(spark):
 
 
 def test_gb2312_decode(spark):
-    from skein.sources.kafka import decode_value
+    from skein.sources.kafka import JAVA_CHARSETS, allow_java_charsets, decode_value
 
+    spark.conf.unset(JAVA_CHARSETS)
+    with pytest.raises(ValueError):
+        decode_value(spark.createDataFrame([(bytearray(b"x"),)], "value binary"), "value", "GB2312")
+    allow_java_charsets(spark)
     raw = "广东".encode("gb2312")
     df = spark.createDataFrame([(bytearray(raw),)], "value binary")
     assert df.select(decode_value(df, "value", "GB2312")).first()[0] == "广东"

@@ -22,7 +22,6 @@ def test_edges_closed_interval(spark):
     want = sorted([(100, "A"), (200, "A"), (250, UNKNOWN), (5, UNKNOWN), (1000, UNKNOWN), (300, "B"),
                    (-999, UNKNOWN)])
     assert lookup_all(spark, rules, nums) == want
-    assert lookup_all(spark, rules, nums, strategy="broadcast") == want
 
 
 def test_multi_level_wide_rules(spark):
@@ -33,15 +32,14 @@ def test_multi_level_wide_rules(spark):
     idx = RangeIndex(rules_df(spark, rules), ["province"], bits=2)
     assert len(idx.sides) > 1
     assert lookup_all(spark, rules, nums, bits=2) == want
-    assert lookup_all(spark, rules, nums, strategy="broadcast") == want
 
 
 def test_shuffled_and_salted_paths(spark):
     rules = [(i * 100, i * 100 + 49, f"r{i}") for i in range(50)]
     nums = list(range(0, 5000, 7)) + [3] * 200
-    base = lookup_all(spark, rules, nums, strategy="broadcast")
-    assert lookup_all(spark, rules, nums, broadcast_rows=0) == base
-    assert lookup_all(spark, rules, nums, broadcast_rows=0, salts=4) == base
+    base = lookup_all(spark, rules, nums)
+    assert lookup_all(spark, rules, nums, broadcast_bytes=0) == base
+    assert lookup_all(spark, rules, nums, broadcast_bytes=0, salts=4) == base
 
 
 def test_bucketed_plan_has_no_nested_loop(spark):
@@ -52,7 +50,7 @@ def test_bucketed_plan_has_no_nested_loop(spark):
 
 
 def test_rule_checks(spark):
-    assert rule_violations(rules_df(spark, [(1, 10, "a"), (11, 20, "b")])) == {"empty": 0, "overlaps": 0}
+    assert rule_violations(rules_df(spark, [(1, 10, "a"), (11, 20, "b")])) == {"nulls": 0, "empty": 0, "overlaps": 0}
     assert rule_violations(rules_df(spark, [(1, 10, "a"), (5, 20, "b")]))["overlaps"] > 0
     with pytest.raises(ValueError):
         check_rules(rules_df(spark, [(1, 10, "a"), (5, 20, "b")]))
@@ -61,3 +59,39 @@ def test_rule_checks(spark):
     # overlap hidden behind a long earlier rule, across many partitions
     many = [(i * 10, i * 10 + 5, str(i)) for i in range(2000)] + [(0, 100000, "long")]
     assert rule_violations(rules_df(spark, many).repartition(9))["overlaps"] > 0
+
+
+def test_rules_are_checked_by_default(spark):
+    for bad in ([(1, 10, "a"), (5, 20, "b")], [(10, 1, "a")], [(None, 5, "a")], [(1, None, "a")]):
+        with pytest.raises(ValueError):
+            lookup_all(spark, bad, [5])
+
+
+def test_unchecked_odd_rules_match_nothing(spark):
+    rules = [(2**26, 100, "inverted"), (2**40, 100, "inverted"), (None, 7, "open"), (3, None, "open"), (200, 210, "ok")]
+    want = sorted([(5, UNKNOWN), (150, UNKNOWN), (205, "ok")])
+    assert lookup_all(spark, rules, [5, 150, 205], validate=False) == want
+    assert lookup_all(spark, [(None, None, "x")], [1], validate=False) == [(1, UNKNOWN)]
+
+
+def test_empty_rules_keep_payload_types(spark):
+    rules = spark.createDataFrame([], "lo bigint, hi bigint, code int, region string")
+    facts = spark.createDataFrame([(1,)], "n bigint")
+    out = range_lookup(facts, "n", rules, ["code", "region"])
+    assert dict(out.dtypes)["code"] == "int" and out.collect()[0].code is None
+
+
+def test_wide_payload_is_not_broadcast(spark):
+    rules = spark.createDataFrame([(i * 10, i * 10 + 5, "x" * 2000) for i in range(50)], "lo bigint, hi bigint, province string")
+    idx = RangeIndex(rules, ["province"], broadcast_bytes=50_000)
+    assert not any(small for _, _, small, _ in idx.sides)
+
+
+def test_salts_follow_the_row(spark):
+    """A hot number over many partitions: same rows in any layout."""
+    rules = rules_df(spark, [(0, 9, "a"), (10, 19, "b")])
+    facts = spark.range(0, 5000).select((F.col("id") % 2 * 10).alias("n"), F.col("id").alias("k"))
+    idx = RangeIndex(rules, ["province"], broadcast_bytes=0, salts=8)
+    a = idx.lookup(facts.repartition(3), "n").groupBy("n", "province").count().collect()
+    b = idx.lookup(facts.repartition(11), "n").groupBy("n", "province").count().collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) == [(0, "a", 2500), (10, "b", 2500)]

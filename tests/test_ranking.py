@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from skein.functions import parse_user, subject_teacher
+from skein.functions import parse_users, subject_teacher
 from skein.operators import (
     count_by,
     partition_per_key,
@@ -19,7 +19,7 @@ RULE = [("fv", "desc"), ("age", "asc")]
 
 
 def test_custom_sort_rule(spark):
-    u = rows(spark, USERS).select(*parse_user("value"))
+    u = parse_users(rows(spark, USERS))
     assert [r.name for r in sort_by_rule(u, RULE).collect()] == ["bob", "dan", "ann", "cid"]
 
 
@@ -98,12 +98,52 @@ def test_tied_counts_one_word_and_all_words(spark):
     counts = spark.createDataFrame([("x", 3), ("y", 3), ("z", 2), ("w", 1)], "word string, cnt bigint")
     one = sorted(map(tuple, top_n_distinct_counts(counts, 2).collect()))
     assert one == [(2, "z"), (3, "y")]
-    allw = sorted((r.cnt, r.part, r.words) for r in top_counts_all_keys(counts, 2).collect())
-    assert allw == [(2, 0, "z"), (3, 0, "xy")]
+    allw = sorted(map(tuple, top_counts_all_keys(counts, 2).collect()))
+    assert allw == [(2, 1, "z"), (3, 1, "x"), (3, 2, "y")]
 
 
-def test_all_words_parts_are_bounded(spark):
+def test_all_words_rows_and_joined_text(spark):
+    from skein.session import fresh_dir
+    from skein.sinks.files import write_joined_text
+
     counts = spark.range(0, 25).select(F.format_string("w%02d", "id").alias("word"), F.lit(1).cast("bigint").alias("cnt"))
-    got = sorted((r.part, r.words) for r in top_counts_all_keys(counts, 1, chunk_keys=10).collect())
-    assert [p for p, _ in got] == [0, 1, 2]
-    assert "".join(w for _, w in got) == "".join(f"w{i:02d}" for i in range(25))
+    top = top_counts_all_keys(counts.repartition(5), 1)
+    assert sorted((r.position, r.word) for r in top.collect()) == [(i + 1, f"w{i:02d}") for i in range(25)]
+    path = fresh_dir(spark, "t-joined")
+    write_joined_text(top, path, "word", ["position"], sep="|", by="cnt")
+    import glob
+
+    text = "".join(open(f).read() for f in sorted(glob.glob(f"{path}/cnt=1/part-*")))
+    assert text == "".join(f"w{i:02d}|" for i in range(25))
+
+
+def test_partition_per_key_refuses_more_keys_than_allowed(spark):
+    df = spark.range(0, 40).select((F.col("id") % 20).cast("string").alias("k"), "id")
+    with pytest.raises(ValueError):
+        partition_per_key(df, "k", max_partitions=8)
+    with pytest.raises(ValueError):
+        top_n_per_group(df, "k", 1, ["id"], strategy="key_partitions", max_partitions=8)
+
+
+def test_six_spellings_of_the_user_order_agree(spark):
+    u = parse_users(rows(spark, USERS * 3)).distinct()
+    want = [r.name for r in sort_by_rule(u, RULE).collect()]
+    spellings = [
+        u.orderBy(F.col("fv").desc(), F.col("age").asc()),
+        u.orderBy((-F.col("fv")).asc(), "age"),
+        u.orderBy(F.struct((-F.col("fv")).alias("a"), "age")),
+        u.orderBy(["fv", "age"], ascending=[False, True]),
+        top_n(u, 100, RULE),
+        with_position(u, [*RULE, "name"]).orderBy("pos"),
+    ]
+    assert [[r.name for r in s.collect()] for s in spellings] == [want] * 6
+
+
+def test_colocated_count_combines_before_its_shuffle(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("g"),
+                                     (F.col("id") % 7).alias("t"))
+    placed = count_by(df, ["g", "t"], partition_by="g")
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+    assert sorted((r.g, r.t, r.cnt) for r in placed.collect()) == sorted(
+        (r.g, r.t, r.cnt) for r in count_by(df, ["g", "t"]).collect())

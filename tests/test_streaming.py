@@ -49,6 +49,9 @@ SCHEMA = "key binary, value binary, topic string, partition int, offset bigint"
 
 
 def _orders_run(spark, crash_at=None, charset="UTF-8"):
+    from skein.sources.kafka import allow_java_charsets
+
+    allow_java_charsets(spark)
     # A = 1.0.0.0/8; unknown = 9.9.9.9
     rules = spark.createDataFrame([(1 << 24, (2 << 24) - 1, "A")], "lo bigint, hi bigint, province string")
     index = RangeIndex(rules, ["province"])
@@ -109,7 +112,7 @@ def test_message_word_count_and_offsets(spark):
     got = sorted((r.word, r.cnt) for r in read_batch_counts(spark, out).collect())
     assert got == [("hello", 2), ("jerry", 1), ("tom", 1)]
     offs = batch_offsets(q)
-    assert offs and offs[0]["batch_id"] == 0 and offs[0]["rows"] >= 1  # the empty-batch probe reads too
+    assert offs and offs[0]["batch_id"] == 0 and offs[0]["rows"] >= 1
 
 
 def test_console_sink_runs(spark, capsys):
@@ -125,3 +128,79 @@ def test_console_sink_runs(spark, capsys):
     q = to_console(counts, num_rows=5, trigger=ONCE)
     q.awaitTermination()
     assert q.exception() is None
+
+
+def test_state_update_function(spark):
+    from skein.streaming import latest_counts, running_state
+
+    def update(key, batches, old):
+        return (sum(len(b) for b in batches) + (old[0] if old else 0),)
+
+    root = _replay_text(spark, lambda inp, root: running_state(
+        spark.readStream.text(inp), os.path.join(root, "out"), os.path.join(root, "ck"), update, trigger=ONCE,
+        compact_every=2))
+    got = sorted(map(tuple, latest_counts(spark, os.path.join(root, "out")).collect()))
+    assert got == [("a", 3), ("b", 2), ("c", 1)]
+
+
+def test_state_partitions_stay_fixed_over_a_restart(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    n = iter(["8", "3", "5"])
+
+    def start(inp, root):
+        spark.conf.set("spark.sql.shuffle.partitions", next(n))
+        return running_counts(spark.readStream.text(inp), os.path.join(root, "out"), os.path.join(root, "ck"), trigger=ONCE)
+
+    try:
+        root = _replay_text(spark, start)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    state = os.path.join(root, "ck", "state", "0")
+    assert sum(x.isdigit() for x in os.listdir(state)) == 8
+
+
+def test_rows_reach_a_writer_per_partition(spark):
+    from skein.streaming import for_each_partition
+
+    root = fresh_dir(spark, "t-foreach")
+    inp, out, ck = (os.path.join(root, x) for x in ("in", "out", "ck"))
+    os.makedirs(out)
+    spark.createDataFrame([(f"w{i}",) for i in range(20)], "value string").repartition(3).write.text(inp)
+
+    class Writer:
+        def __init__(self, partition, batch_id):
+            self.f = open(os.path.join(out, f"{batch_id}-{partition}"), "w")
+
+        def write(self, row):
+            self.f.write(row.value + "\n")
+
+        def close(self):
+            self.f.close()
+
+    for_each_partition(spark.readStream.text(inp), Writer, ck, trigger=ONCE).awaitTermination()
+    got = sorted(x for f in os.listdir(out) for x in open(os.path.join(out, f)).read().split())
+    assert got == sorted(f"w{i}" for i in range(20)) and len(os.listdir(out)) >= 1
+
+
+def test_default_trigger_is_five_seconds(spark):
+    root = fresh_dir(spark, "t-trigger")
+    inp = os.path.join(root, "in")
+    spark.createDataFrame([("a b",)], "value string").write.text(inp)
+    q = per_batch_counts(spark.readStream.text(inp), os.path.join(root, "out"), os.path.join(root, "ck"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_batch_counts(spark, os.path.join(root, "out")).count() == 2
+
+
+def test_a_store_belongs_to_one_query(spark):
+    import pytest
+
+    root = fresh_dir(spark, "t-owner")
+    inp = os.path.join(root, "in")
+    spark.createDataFrame([("a",)], "value string").write.text(inp)
+    run = lambda ck: per_batch_counts(spark.readStream.text(inp), os.path.join(root, "out"), os.path.join(root, ck), trigger=ONCE)
+    run("ck1").awaitTermination()
+    with pytest.raises(ValueError):
+        run("ck2")
