@@ -7,7 +7,7 @@ so each is one aggregate over the per-source sums; no list of sources reaches
 the driver.  Each source then repeats every document ``floor(target / size)``
 times and takes the fractional rest as a seeded sample: documents are ordered by
 a hash of (seed, id), and taken as long as they fit into what is missing; up to
-``TOP_UPS`` more, each the largest that still fits, fill most of the remainder.
+``TOP_UPS`` more, each the nearest to what is still missing, make up the remainder.
 
 The point is found in two steps, so that a source holding most rows never meets
 in one task: sums per (source, hash bucket), a running sum over those buckets,
@@ -123,11 +123,12 @@ def mix_plan(sized: DataFrame, weights: Sequence[float], max_epochs: float) -> t
     plan = cut(plan.select("_s", "source_size", "target", "whole", F.col("_edge").alias("edge"), "last",
                            none.alias("extra"), (F.col("_rest") - F.coalesce("_used", "_base", "_rest")).alias("gap")),
                "mix-plan")
-    # What is missing then is filled by the largest documents that still fit.
+    # What is missing then is filled by the documents that come nearest to it.
     for _ in range(TOP_UPS):
+        off = F.abs(F.col("gap") - F.col("size"))
         open_docs = sized.join(_small(plan, n), same).where(
-            (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & ~_sampled("u", "doc_id", "size", ""))
-        best = open_docs.groupBy("_s").agg(F.max(F.struct("size", "u", "doc_id")).alias("_best"))
+            (F.col("size") > 0) & (off < F.col("gap")) & ~_sampled("u", "doc_id", "size", ""))
+        best = open_docs.groupBy("_s").agg(F.min(F.struct(off.alias("off"), "size", "u", "doc_id")).alias("_best"))
         one = F.array(F.struct(F.col("_best.u").alias("u"), F.col("_best.doc_id").alias("doc_id"),
                                F.col("_best.size").alias("size")))
         plan = plan.join(best.withColumnRenamed("_s", "_l"), F.col("_s").eqNullSafe(F.col("_l")), "left").select(
