@@ -221,11 +221,28 @@ def _apply(left: dict[int, int], lengths: list[int], own: list[int]) -> int:
     return times
 
 
+def least_sequences(counts: dict[int, int], size: int) -> int:
+    """A lower bound: the volume, and for every k the pieces above size - k and above half a
+    sequence, with those from k to half of it that can't fill the latter's rooms."""
+    best = -(-sum(x * n for x, n in counts.items()) // size)
+    n, volume = np.zeros(size + 2, np.int64), np.zeros(size + 2, np.int64)
+    for x, c in counts.items():
+        n[x], volume[x] = c, x * c
+    n, volume = np.cumsum(n), np.cumsum(volume)  # up to and with x
+    half = size // 2
+    for k in range(1, half + 1):
+        alone, large = n[size] - n[size - k], n[size - k] - n[half]
+        rooms = large * size - (volume[size - k] - volume[half])
+        small = volume[half] - volume[k - 1]
+        best = max(best, int(alone + large + max(0, -(-(small - rooms) // size))))
+    return best
+
+
 def bin_completion(counts: dict[int, int], size: int, max_nodes: int = 20_000) -> list[tuple[int, tuple[int, ...]]]:
     """Patterns with multiplicities that hold all counted pieces in few sequences."""
     counts = {x: n for x, n in counts.items() if n}
     total = sum(x * n for x, n in counts.items())
-    bound = max(-(-total // size), sum(n for x, n in counts.items() if 2 * x > size))
+    bound = least_sequences(counts, size)
     best = best_fit(counts, size)
     best_n = sum(t for t, _ in best)
     if best_n <= bound:
