@@ -68,5 +68,6 @@ def test_the_mix_repeats_rows_with_all_columns(spark, corpus):
 def test_query_on_the_table(spark):
     out = op2_mix(spark, SF001)
     assert out.count() == 200
-    rel = out.groupBy("source").agg((F.abs(F.sum("taken") - F.first("target")) / F.first("target")).alias("e"))
-    assert max(r.e for r in rel.collect()) < 0.1
+    # Whole documents: no source is further off than half of its largest document.
+    off = out.groupBy("source").agg((F.abs(F.sum("taken") - F.first("target")) - F.max("size") / 2).alias("e"))
+    assert max(r.e for r in off.collect()) <= 0
