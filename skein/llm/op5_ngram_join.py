@@ -15,12 +15,23 @@ document requires.  Cheap shingles have at most ``common`` holders, so the pairs
 they propose grow with the input, not with the square of a group.
 
 Documents that find no such prefix consist mostly of shingles that very many
-documents share: members of large groups of near copies.  They meet through the
-expensive shingles of their shortest prefix: every member is compared with the
-smallest member of each such list, linked ones are joined to components, and
-only members of a list still in different components are compared with each
-other.  So no link between components is lost, and a group of m near copies
-costs about m comparisons.
+documents share: members of large groups of near copies.  Two of them that link
+hold a common expensive shingle in their shortest prefixes, so both are members
+of its list's leader (the smallest node of the list).  Members of a leader are
+described by their difference from a reference set R, D(x) = x ^ R, where R holds
+the shingles of most of the leader's ``REFERENCE`` smallest members (any set
+would do; near a group's common text the differences are short):
+
+* ``|x ^ y| <= |D(x)| + |D(y)|``, and a link means ``|x ^ y| <= c (|x| + |y|)`` with
+  c = (100 - percent) / (100 + percent).  With f(x) = |D(x)| - c |x|, members with
+  f(x) + f(y) <= 0 link for certain, and then both link to the member of least
+  f: one link each joins all of them;
+* any other linked pair shares at least (f(x) + f(y)) / 2 of its differences.  So
+  prefixes of the differences (shingles that R lacks first, cheap ones before
+  expensive ones) must meet; only members of different components are proposed.
+
+So a group of m near copies costs about m comparisons and no link between
+components is lost.
 
 Which shingles count as expensive is kept as a bitmap over their hashes of at
 most ``2 ** MAX_BITS`` bits, whatever the corpus; a false hit only lengthens
@@ -41,7 +52,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.llm.common import cut, slices, table
@@ -50,6 +61,8 @@ from skein.llm.components import components
 MAX_BITS = 24
 #: Ids up to which a list of documents to read again is broadcast (8 bytes each).
 BROADCAST_IDS = 500_000
+#: Members of a leader that vote on its reference set.
+REFERENCE = 7
 _CACHE_WORDS = 500_000
 _HASHES: dict[bytes, int] = {}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -180,59 +193,131 @@ def cheap_pairs(rows: DataFrame, percent: int) -> DataFrame:
         F.count(F.lit(1)).alias("c"), F.first(need).alias("need")).where("c >= need").select("a", "b")
 
 
-def star_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """a, b: every holder of an expensive shingle with the smallest holder of it."""
-    first = rows.groupBy("t").agg(F.min(F.struct("n", "node")).alias("_f"))
-    j = rows.join(first, "t").where(F.col("node") != F.col("_f.node")).where(
-        _length_ok(F.col("n"), F.col("_f.n"), percent))
-    return j.select(F.least("node", "_f.node").alias("a"), F.greatest("node", "_f.node").alias("b")).distinct()
-
-
-def left_pairs(rows: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
-    """a, b: holders of one expensive shingle in different components; within each
-    list all outside its largest component, against the whole list."""
-    r = rows.join(of_node, "node", "left").select(
-        "t", "node", "n", F.coalesce(F.hex("component"), F.hex("node")).alias("c"))
-    sizes = r.groupBy("t", "c").agg(F.count(F.lit(1)).alias("k"))
-    lists = sizes.groupBy("t").agg(F.max(F.struct("k", "c")).alias("_m"), F.count(F.lit(1)).alias("_c"))
-    lists = lists.where("_c > 1").select("t", F.col("_m.c").alias("most"))
-    r = cut(r.join(lists, "t"), "join-left")
-    x, y = r.where("c != most").select("t", "node", "n", "c").alias("x"), r.alias("y")
-    j = x.join(y, "t").where("x.c != y.c").where(_length_ok(F.col("x.n"), F.col("y.n"), percent))
+def leader_pairs(rows: DataFrame) -> DataFrame:
+    """leader, node: every holder of an expensive shingle with the smallest holder of it
+    (a leader is a member of itself)."""
+    first = rows.groupBy("t").agg(F.min("node").alias("leader"))
+    return rows.join(first, "t").select("leader", "node").distinct()
+
+
+def references(of_leader: DataFrame, sets: DataFrame) -> DataFrame:
+    """leader, ref: the shingles of more than half of the leader's smallest members."""
+    small = Window.partitionBy("leader").orderBy("node")
+    few = of_leader.withColumn("_r", F.row_number().over(small)).where(F.col("_r") <= REFERENCE).drop("_r")
+    votes = few.join(sets, "node").select("leader", F.explode("tokens").alias("t")).groupBy("leader", "t").agg(
+        F.count(F.lit(1)).alias("votes"))
+    voters = few.groupBy("leader").agg(F.count(F.lit(1)).alias("voters"))
+    most = votes.join(voters, "leader").where("2 * votes > voters")
+    ref = most.groupBy("leader").agg(F.array_sort(F.collect_list("t")).alias("ref"))
+    return voters.join(ref, "leader", "left").select(
+        "leader", F.coalesce("ref", F.array().cast("array<bigint>")).alias("ref"))
+
+
+def differences(pairs: DataFrame, sets: DataFrame, bitmap: np.ndarray, percent: int) -> DataFrame:
+    """leader, node, n, d, tokens: each member's differences from its leader's reference -
+    their number, and as many as a prefix can need, in the order of that leader."""
+    shared = pairs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+    mask = len(bitmap) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(shared.value).astype(bool)
+        for part in slices(batches, 512):
+            ds, tokens = [], []
+            for n, mine, theirs in zip(part.column(2).to_pylist(), part.column(3), part.column(4)):
+                x, y = mine.values.to_numpy(), theirs.values.to_numpy()
+                own, missing = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
+                costly = bits[own & mask]
+                ordered = np.concatenate([own[~costly], own[costly], missing])
+                ds.append(len(ordered))
+                tokens.append(ordered[:(100 - percent) * n // percent + 2])
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:3], pa.array(ds, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
+                ["leader", "node", "n", "d", "tokens"])
+
+    j = pairs.join(sets.select("node", "n", "tokens"), "node").join(references(pairs, sets), "leader")
+    return j.select("leader", "node", "n", "tokens", "ref").mapInArrow(
+        run, "leader binary, node binary, n bigint, d bigint, tokens array<bigint>")
+
+
+def certain_links(diff: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) links of members to their leader's member of least f, and ``diff`` with f
+    and ``least`` (minus that least f), both times (100 + percent)."""
+    f = F.col("d") * (100 + percent) - F.col("n") * (100 - percent)
+    rows = diff.withColumn("f", f)
+    best = rows.groupBy("leader").agg(F.min(F.struct("f", "node")).alias("_b"))
+    rows = rows.join(best, "leader").select(
+        "leader", "node", "n", "d", "tokens", "f", (-F.col("_b.f")).alias("least"), F.col("_b.node").alias("best"))
+    links = rows.where((F.col("f") <= F.col("least")) & (F.col("node") != F.col("best")))
+    return links.select(F.least("node", "best").alias("a"), F.greatest("node", "best").alias("b")).distinct(), rows
+
+
+def difference_pairs(rows: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
+    """a, b: members of one leader in different components whose differences may agree enough.
+
+    The one with the larger f (it isn't linked to the member of least f) probes with
+    as many differences as its least agreement allows, the other is indexed by
+    as many as its own allows.
+    """
+    unit = 2.0 * (100 + percent)
+    f, least, d, n = (F.col(c) for c in ("f", "least", "d", "n"))
+    share = F.greatest(F.lit(1), F.ceil((f + F.greatest(f, least)) / unit - 1e-6))
+    nearest = d * (100 + percent) - n * ((100 - percent) * (1 + 200.0 / percent))
+    asked = F.greatest(F.lit(1), F.ceil((f + F.greatest(-least, nearest)) / unit - 1e-6))
+    r = rows.join(of_node, "node", "left").withColumn("c", F.coalesce("component", "node"))
+
+    def prefix(agree: Column) -> Column:
+        return F.explode(F.slice("tokens", F.lit(1), F.greatest(F.lit(0), (d - agree + 1)).cast("int")))
+
+    index = r.select("leader", "node", "n", "f", "c", prefix(share).alias("t"))
+    probe = r.where(f > least).select("leader", "node", "n", "f", "c", prefix(asked).alias("t"))
+    j = index.alias("x").join(probe.alias("y"), ["leader", "t"]).where(
+        (F.col("x.c") != F.col("y.c")) & (F.col("x.f") <= F.col("y.f"))).where(
+        _length_ok(F.col("x.n"), F.col("y.n"), percent))
     return j.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b: the pairs that link, by their whole sets (made again from the texts)."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def whole_sets(nodes: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
+    """node, n, tokens: whole sets of the given nodes, made again from one text of each."""
     wanted = cut(reps.join(nodes, "node").select(F.col("rep").alias("doc_id")).distinct(), "join-wanted")
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(ids, "doc_id", "left_semi")
-    sets = cut(sets_of(texts, width, percent, whole=True).where("n > 0").dropDuplicates(["node"]).select(
+    return cut(sets_of(texts, width, percent, whole=True).where("n > 0").dropDuplicates(["node"]).select(
         "node", "n", "tokens"), "join-sets")
+
+
+def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: the pairs that link, by their whole sets."""
     j = pairs.join(sets.toDF("a", "na", "sa"), "a").join(sets.toDF("b", "nb", "sb"), "b")
     both = F.size(F.array_intersect("sa", "sb"))
     return j.where(both * 100 >= (F.col("na") + F.col("nb") - both) * percent).select("a", "b")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, common: int = 16,
                     matches: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id for every document (doc_id, text)."""
     sets = cut(sets_of(docs, width, percent), "join-sets")
     bitmap = expensive_bitmap(sets, common)
     reps = cut(sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep")), "join-nodes")
-    cheap = cheap_pairs(prefix_rows(sets, bitmap, percent, matches, heavy=False), percent)
-    heavy = cut(prefix_rows(sets, bitmap, percent, matches, heavy=True).select("t", "node", "n").distinct(),
-                "join-heavy")
-    pairs = cut(cheap.unionByName(star_pairs(heavy, percent)).distinct(), "join-pairs")
-    links = cut(verify(pairs, docs, reps, width, percent), "join-links")
-    parts = components(links)
-    if not heavy.isEmpty():
-        more = left_pairs(heavy, parts.toDF("node", "component"), percent)
-        more = cut(more.join(pairs, ["a", "b"], "left_anti"), "join-pairs")
+    pairs = cut(cheap_pairs(prefix_rows(sets, bitmap, percent, matches, heavy=False), percent), "join-pairs")
+    links = verify(pairs, whole_sets(_ends(pairs), docs, reps, width, percent), percent)
+    heavy = cut(prefix_rows(sets, bitmap, percent, matches, heavy=True).select("t", "node").distinct(), "join-heavy")
+    if heavy.isEmpty():
+        parts = components(cut(links, "join-links"))
+    else:
+        whole = whole_sets(heavy.select("node").distinct(), docs, reps, width, percent)
+        of_leader = cut(leader_pairs(heavy), "join-leaders")
+        certain, rows = certain_links(
+            cut(differences(of_leader, whole, bitmap, percent), "join-differences"), percent)
+        links = cut(links.unionByName(certain), "join-links")
+        rows = cut(rows, "join-differences")
+        parts = components(links)
+        more = cut(difference_pairs(rows, parts.toDF("node", "component"), percent), "join-pairs")
         if not more.isEmpty():
-            found = cut(verify(more, docs, reps, width, percent), "join-links")
-            parts = components(links.unionByName(found))
+            parts = components(links.unionByName(cut(verify(more, whole, percent), "join-links")))
     named = parts.join(reps.toDF("id", "rep"), "id")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_node = named.join(smallest, "component").select(F.col("id").alias("node"), "component_id")

@@ -69,13 +69,22 @@ def test_components_equal_brute_force(spark, width, percent, common):
 
 
 def test_large_groups_cost_about_one_comparison_each(spark):
-    base = prose(7, 200)
-    rows = [(i, edited(base, i % 3, i)) for i in range(300)]
-    sets = J.sets_of(docs(spark, rows), 3, 90).cache()
+    """Near copies at, above and below the threshold: no pairs but members with leaders."""
+    base = prose(7, 150)
+    rows = [(i, edited(base, 1 + i % 6, i)) for i in range(600)]
+    d = docs(spark, rows)
+    sets = J.sets_of(d, 3, 90).cache()
     bitmap = J.expensive_bitmap(sets, 16)
-    heavy = J.prefix_rows(sets, bitmap, 90, 2, heavy=True).select("t", "node", "n").distinct()
-    nodes = sets.select("node").distinct().count()
-    assert 0 < J.star_pairs(heavy, 90).count() <= 12 * nodes
+    heavy = J.prefix_rows(sets, bitmap, 90, 2, heavy=True).select("t", "node").distinct().cache()
+    of_leader = J.leader_pairs(heavy)
+    nodes = heavy.select("node").distinct().count()
+    assert nodes > 500 and of_leader.count() <= 12 * nodes
+    whole = J.sets_of(d, 3, 90, whole=True).dropDuplicates(["node"]).select("node", "n", "tokens")
+    certain, diff = J.certain_links(J.differences(of_leader, whole, bitmap, 90), 90)
+    parts = components(certain).toDF("node", "component")
+    assert J.difference_pairs(diff, parts, 90).count() <= 10 * nodes
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_duplicates(d, 3, 90).collect()}
+    assert got == brute(rows, 3, 90)
 
 
 def test_levels_keep_their_promise():
