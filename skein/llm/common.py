@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.session import fresh_dir, scratch_root
+from skein.sources.files import read_table
 
 #: A word: a run of characters other than blank and the five ASCII white-space controls.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -17,9 +17,12 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table; later selects prune its columns at the scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """One input table; later selects prune its columns at the scan.
+
+    With ``spread`` a session that asks for it has small one-task scans dealt over its cores.
+    """
+    return read_table(spark, sf_dir, name, spread)
 
 
 def lower_ascii(c: Column) -> Column:
