@@ -12,13 +12,13 @@ asks the deeper context.  A context never seen predicts as its parent.
 Counting: every task counts its (context, byte) pairs and words, Spark sums
 them; the tree's levels are aggregates of the level below.  The model that
 scores is broadcast and bounded by ``max_nodes``: if the tree is larger, the
-nodes seen least often go (the smallest power of two as threshold that fits, by
-exact counts); their contexts then predict as their parents.  Every byte of
+nodes seen least often go (the smallest quarter power of two as threshold that
+fits, by exact counts); their contexts then predict as their parents.  Every byte of
 every text is scored.
 
 Beside it a word unigram base: log10((c + 0.5) / (N + 0.5 (V + 1))) per token.
-The ``top_words`` most frequent words are broadcast; all other words are looked
-up by a join, so the vocabulary may grow with the corpus.
+At most ``top_words`` words, the most frequent, are broadcast; all other words are
+looked up by a join, so the vocabulary may grow with the corpus.
 
 Defined results
 * null or empty text: the end token alone; a null doc_id belongs to training;
@@ -227,17 +227,24 @@ class Remembered:
 _SCORERS: dict[str, Remembered] = {}
 
 
+def least_count(df: DataFrame, count: Column, most: int) -> float:
+    """The smallest threshold 2^(k/4) that at most ``most`` rows' counts reach, from exact
+    counts per quarter power: no sort, and nothing but the histogram leaves the executors."""
+    k = F.floor(F.log2(count) * 4 + 1e-9)
+    sizes = df.groupBy(k.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    kept = 0
+    for k, n in sorted(((r["k"], r["n"]) for r in sizes), reverse=True):
+        kept += n
+        if kept > most:
+            return 2.0 ** ((k + 1) / 4) * (1 - 1e-9)
+    return 0.0
+
+
 def train(counts: DataFrame, depth: int, max_nodes: int) -> Model:
     """The tree of the counted codes, at most ``max_nodes`` nodes of it."""
     nodes = context_tree(counts.where("code is not null").select("code", "n"), depth)
     seen = F.col("zeros") + F.col("ones")
-    sizes = nodes.groupBy(F.floor(F.log2(seen)).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
-    kept, least = 0, 0
-    for k, n in sorted(((r["k"], r["n"]) for r in sizes), reverse=True):
-        kept += n
-        if kept > max_nodes:
-            least = 2 ** (k + 1)
-            break
+    least = least_count(nodes, seen, max_nodes)
     key = F.shiftleft(F.col("level").cast("bigint"), 56).bitwiseOR(F.shiftleft("ctx", 8)).bitwiseOR(F.col("node"))
     return Model(depth, nodes.where(seen >= least).select(
         key.alias("key"), F.col("stop").cast("float").alias("stop"),
@@ -254,7 +261,7 @@ def score(docs: DataFrame, depth: int = 5, max_nodes: int = 1_500_000, top_words
     words = counts.where("word is not null").select("word", F.col("n").alias("c"))
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     norm = math.log10(total + 0.5 * (distinct + 1))
-    top = words.orderBy(F.col("c").desc(), "word").limit(top_words)
+    top = words.where(F.col("c") >= least_count(words, F.col("c"), top_words))
     frequent = {r["word"].encode(): math.log10(r["c"] + 0.5) - norm for r in top.toLocalIterator()}
     unseen = math.log10(0.5) - norm
     shared = spark.sparkContext.broadcast((train(counts, depth, max_nodes), frequent))
