@@ -340,8 +340,14 @@ def _enough(part: str, kind: int) -> bool:
 
 
 def train_field(docs: DataFrame, train_docs: int = 400, train_chars: int = 20_000, seed: int = 5) -> Field:
-    """Fit on ``train_docs`` documents with a digit or ``@``, chosen by a hash of the text."""
-    d = docs.select("text").where(F.col("text").rlike("[0-9@]") & (F.length("text") <= train_chars))
+    """Fit on ``train_docs`` documents with a digit or ``@``, chosen by a hash of the text.
+
+    A hash threshold first leaves about 50 times as many documents as are wanted
+    (of any kind), whatever the corpus holds, so that the choice moves few texts.
+    """
+    share = min(1.0, 50.0 * train_docs / max(1, docs.count()))
+    drawn = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    d = docs.select("text").where(drawn & F.col("text").rlike("[0-9@]") & (F.length("text") <= train_chars))
     rows = d.orderBy(F.xxhash64(F.lit(seed), "text"), "text").limit(train_docs).collect()
     return fit([r["text"] for r in rows])
 
