@@ -40,7 +40,7 @@ CLASSES = ("lower", "upper", "other_letter", "digit", "blank", "punctuation", "s
 #: Languages with a reference of their own.
 MAX_LANGUAGES = 500
 #: Entries of a task's word counter at which it is handed to Spark.
-FLUSH = 400_000
+FLUSH = 200_000
 ALL = "\x00all"
 PROFILE = (("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"),
            ("n_repeat_words", "long"), ("js_chars", "double"), ("js_words", "double"))

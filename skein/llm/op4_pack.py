@@ -47,7 +47,7 @@ BUCKET_ROWS = 4000
 #: White space by Unicode; a text in which none stands beside another falls apart at its blanks.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ADJACENT = re.compile(f"[{SPACE}][{SPACE}]|^[{SPACE}]")
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 150_000
 
 
 def tokenizer_files() -> tuple[str, str, str]:

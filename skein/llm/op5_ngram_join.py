@@ -63,7 +63,7 @@ MAX_BITS = 24
 BROADCAST_IDS = 500_000
 #: Members of a leader that vote on its reference set.
 REFERENCE = 7
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 200_000
 _HASHES: dict[bytes, int] = {}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
