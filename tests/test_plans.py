@@ -16,7 +16,10 @@ def executed(df):
 def test_records_are_split_once(spark, name):
     plan = executed(all_queries()[name](spark, SF001))
     final = plan.split("== Initial Plan ==")[0]
-    assert final.count("split(") <= 6 and len(final) < 20_000
+    # One split of the record; the address fold names its own split six times (four parts,
+    # their number, the general case), which code generation evaluates once.
+    assert final.count("split(") <= (7 if name.startswith(("ip_", "income_by_region")) else 1)
+    assert len(final) < 20_000
 
 
 def test_range_lookups_have_no_nested_loop(spark):
