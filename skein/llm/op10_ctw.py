@@ -10,11 +10,12 @@ mixture those weights define: a node stops with weight Pe / (2 Pw) and otherwise
 asks the deeper context.  A context never seen predicts as its parent.
 
 Counting: every task counts its (context, byte) pairs and words, Spark sums
-them; the tree's levels are aggregates of the level below.  The model that
-scores is broadcast and bounded by ``max_nodes``: if the tree is larger, the
-nodes seen least often go (the smallest quarter power of two as threshold that
-fits, by exact counts); their contexts then predict as their parents.  Every byte of
-every text is scored.
+them; the tree's levels are aggregates of the level below.  Every node stays in
+a table.  Predictions go back down the levels, each level joined to the one
+above, and give the probability of every distinct (context, byte) code of the
+corpus, held-out texts included.  At most ``top_codes`` codes, the most
+frequent, are broadcast; a text's other codes are looked up by a join, so the
+tree may grow with the corpus and no context is dropped.
 
 Beside it a word unigram base: log10((c + 0.5) / (N + 0.5 (V + 1))) per token.
 At most ``top_words`` words, the most frequent, are broadcast; all other words are
@@ -81,6 +82,11 @@ def _counts(depth: int):
         words: Counter = Counter()
         codes: list[pd.Series] = []
 
+        def add(texts: list[bytes], weight: int) -> None:
+            if texts:
+                uniq, n = _unique(byte_codes(texts, depth)[0])
+                codes.append(pd.Series(n * weight, index=uniq))
+
         def hand_over() -> Iterator[pa.RecordBatch]:
             if words:
                 keys, ns = zip(*words.items())
@@ -97,14 +103,18 @@ def _counts(depth: int):
                 codes.clear()
 
         for part in slices(batches, 1024):
-            texts = []
-            for text in part.column(0).to_pylist():
+            texts, asked = [], []
+            for text, held in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 own = (text or "").encode("utf-8", "replace").lower().split()
-                words.update(own)
-                texts.append(_stream(own))
-            words[END.encode()] += len(texts)
-            uniq, n = _unique(byte_codes(texts, depth)[0])
-            codes.append(pd.Series(n, index=uniq))
+                if held:
+                    asked.append(_stream(own))
+                else:
+                    words.update(own)
+                    texts.append(_stream(own))
+            if texts:
+                words[END.encode()] += len(texts)
+            add(texts, 1)
+            add(asked, 0)
             if len(words) > FLUSH_WORDS or sum(map(len, codes)) > FLUSH_CODES:
                 yield from hand_over()
         yield from hand_over()
@@ -117,9 +127,14 @@ def _unique(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return uniq, np.bincount(inverse, minlength=len(uniq)).astype(np.int64)
 
 
-def count_corpus(train: DataFrame, depth: int) -> DataFrame:
-    """word or code, n: all words (and ends) and all (context, byte) codes of the training texts."""
-    parts = train.select("text").mapInArrow(_counts(depth), "word string, code bigint, n bigint")
+def count_corpus(docs: DataFrame, depth: int, held_out: Column | None = None) -> DataFrame:
+    """word or code, n: all words (and ends) and all (context, byte) codes of the training texts.
+
+    Codes that only ``held_out`` texts have come with n = 0.
+    """
+    held_out = F.lit(False) if held_out is None else held_out
+    parts = docs.select("text", held_out.alias("_held")).mapInArrow(
+        _counts(depth), "word string, code bigint, n bigint")
     return cut(parts.groupBy("word", "code").agg(F.sum("n").alias("n")), "ctw-counts")
 
 
@@ -131,43 +146,94 @@ def log_gamma(x: Column) -> Column:
     return stirling - F.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
 
 
-def context_tree(codes: DataFrame, depth: int) -> DataFrame:
-    """level, ctx, node, zeros, ones, stop for every node of every decision's tree.
+def decisions(codes: DataFrame, *carry: str) -> DataFrame:
+    """ctx, node, one and ``carry`` columns of the eight decisions of every code.
 
-    ``node`` is the byte's leading bits behind a leading one; ``stop`` is the
-    weight with which the node predicts by itself.
+    ``node`` is the byte's leading bits behind a leading one; ``one`` the bit that follows.
     """
     byte = F.col("code").bitwiseAND(F.lit(255))
-    bits = codes.select("code", "n", byte.alias("byte"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
-    one = F.expr("shiftright(byte, 7 - i) & 1")
-    level = bits.select(
-        F.shiftright("code", 8).alias("ctx"), F.expr("shiftleft(1L, i) | shiftright(byte, 8 - i)").alias("node"),
-        ((1 - one) * F.col("n")).alias("zeros"), (one * F.col("n")).alias("ones"))
-    level = level.groupBy("ctx", "node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+    bits = codes.select(*carry, F.shiftright("code", 8).alias("ctx"), byte.alias("byte"),
+                        F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
+    return bits.select(*carry, "ctx", F.expr("shiftleft(1L, i) | shiftright(byte, 8 - i)").alias("node"),
+                       F.expr("shiftright(byte, 7 - i) & 1").alias("one"))
+
+
+def tree_levels(codes: DataFrame, depth: int) -> list[DataFrame]:
+    """ctx, node, zeros, ones, pw, stop, go of every decision's tree, a table per level, the
+    root first.
+
+    ``stop`` is the weight with which the node predicts by itself, ``go`` the rest
+    of it.  Codes with n = 0 have nodes without observations, which change no weight.
+    """
+    n, one = F.col("n"), F.col("one")
+    level = decisions(codes, "n").groupBy("ctx", "node").agg(
+        F.sum((1 - one) * n).alias("zeros"), F.sum(one * n).alias("ones"))
     a, b = F.col("zeros"), F.col("ones")
     log_pe = (log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - math.log(math.pi))
-    level = level.withColumn("pw", log_pe).withColumn("stop", F.lit(1.0))
-    out = None
+    level = level.select("*", log_pe.alias("pw"), F.lit(1.0).alias("stop"), F.lit(0.0).alias("go"))
+    out: list[DataFrame] = []
     for d in range(depth, -1, -1):
         level = cut(level, f"ctw-level{d}")
-        own = level.select(F.lit(d).alias("level"), "ctx", "node", "zeros", "ones", "stop")
-        out = own if out is None else out.unionByName(own)
+        out.insert(0, level)
         if d:
             up = level.groupBy(F.shiftright("ctx", 8).alias("ctx"), "node").agg(
                 F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("pw").alias("deep"))
             up = up.withColumn("pe", log_pe)
             top = F.greatest("pe", "deep")
             pw = top + F.log(F.exp(F.col("pe") - top) + F.exp(F.col("deep") - top)) - math.log(2)
+            # Each weight from its own exponent: neither is formed as one minus the other.
             level = up.select("ctx", "node", "zeros", "ones", pw.alias("pw"),
-                              (F.exp(F.col("pe") - F.col("deep")) / (1 + F.exp(F.col("pe") - F.col("deep")))).alias("s"),
-                              (F.col("pe") - F.col("deep") > 700).alias("sure"))
-            level = level.select("ctx", "node", "zeros", "ones", "pw",
-                                 F.when(F.col("sure"), 1.0).otherwise(F.col("s")).alias("stop"))
+                              (1 / (1 + F.exp(F.col("deep") - F.col("pe")))).alias("stop"),
+                              (1 / (1 + F.exp(F.col("pe") - F.col("deep")))).alias("go"))
     return out
 
 
+def context_tree(codes: DataFrame, depth: int) -> DataFrame:
+    """level, ctx, node, zeros, ones, stop for every node of every decision's tree."""
+    out = None
+    for d, level in enumerate(tree_levels(codes, depth)):
+        own = level.select(F.lit(d).alias("level"), "ctx", "node", "zeros", "ones", "stop")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def code_probabilities(codes: DataFrame, depth: int) -> DataFrame:
+    """code, n, log10: the probability of every code's byte in its context, by the whole tree of
+    the codes (code, n); codes with n = 0 are predicted, and count for nothing.
+
+    Down the levels a node carries what the contexts above it have said (``zero``,
+    ``one``), the weight they left (``rest``), and the prediction of the deepest
+    context with observations (``p_zero``, ``p_one``).
+    """
+    a, b = F.col("zeros"), F.col("ones")
+    kt = {"zero": (a + 0.5) / (a + b + 1.0), "one": (b + 0.5) / (a + b + 1.0)}
+    rest = F.col("rest")
+    above = None
+    for d, level in enumerate(tree_levels(codes, depth)):
+        own = level.select("ctx", "node", "zeros", "ones", "stop", "go")
+        if above is None:
+            met = own.select("*", F.lit(0.0).alias("zero"), F.lit(0.0).alias("one"), F.lit(1.0).alias("rest"),
+                             F.lit(0.5).alias("p_zero"), F.lit(0.5).alias("p_one"))
+        else:
+            met = own.withColumn("up", F.shiftright("ctx", 8)).join(
+                above.withColumnRenamed("ctx", "up"), ["up", "node"]).drop("up")
+        seen = a + b > 0
+        above = met.select(
+            "ctx", "node", *[(F.col(x) + rest * F.col("stop") * kt[x]).alias(x) for x in kt],
+            (rest * F.col("go")).alias("rest"),
+            *[F.when(seen, F.col(x) + rest * kt[x]).otherwise(F.col("p_" + x)).alias("p_" + x) for x in kt])
+    bits = decisions(codes, "code", "n").join(above.select("ctx", "node", "p_zero", "p_one"), ["ctx", "node"])
+    return cut(bits.groupBy("code").agg(
+        F.max("n").alias("n"),
+        F.sum(F.log10(F.when(F.col("one") == 1, F.col("p_one")).otherwise(F.col("p_zero")))).alias("log10")),
+        "ctw-codes")
+
+
 class Model:
-    """The broadcast tree: sorted node keys, stopping weights and KT estimates of a one."""
+    """A tree held by one process: sorted node keys, stopping weights and KT estimates of a one.
+
+    For use beside Spark on a corpus that fits; ``score`` uses the tables instead.
+    """
 
     def __init__(self, depth: int, nodes: pa.Table):
         self.depth = depth
@@ -224,7 +290,20 @@ class Remembered:
         return back
 
 
-_SCORERS: dict[str, Remembered] = {}
+class Known:
+    """The probabilities of the broadcast codes; NaN for any other code."""
+
+    def __init__(self, depth: int, codes: pa.Table):
+        self.depth = depth
+        code, value = (codes.column(c).to_numpy() for c in ("code", "log10"))
+        order = np.argsort(code)
+        self.code, self.value = code[order], value[order]
+
+    def log10(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self.code):
+            return np.full(len(codes), np.nan)
+        at = np.minimum(np.searchsorted(self.code, codes), len(self.code) - 1)
+        return np.where(self.code[at] == codes, self.value[at], np.nan)
 
 
 def least_count(df: DataFrame, count: Column, most: int) -> float:
@@ -251,28 +330,29 @@ def train(counts: DataFrame, depth: int, max_nodes: int) -> Model:
         ((F.col("ones") + 0.5) / (seen + 1.0)).cast("float").alias("one")).toArrow())
 
 
-def score(docs: DataFrame, depth: int = 5, max_nodes: int = 1_500_000, top_words: int = 200_000) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, code_length."""
+def score(docs: DataFrame, depth: int = 5, top_words: int = 200_000, top_codes: int = 2_000_000) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     spark = docs.sparkSession
     # The row number of the scan keeps rows of equal ids apart (a scan gives it again on a retry).
     d = docs.select(F.col("doc_id").cast("bigint"), "text", (fold_of(F.col("doc_id")) == 1).alias("held_out"),
                     F.monotonically_increasing_id().alias("row"))
-    counts = count_corpus(d.where(~F.col("held_out")), depth)
+    counts = count_corpus(d, depth, F.col("held_out"))
     words = counts.where("word is not null").select("word", F.col("n").alias("c"))
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     norm = math.log10(total + 0.5 * (distinct + 1))
     top = words.where(F.col("c") >= least_count(words, F.col("c"), top_words))
     frequent = {r["word"].encode(): math.log10(r["c"] + 0.5) - norm for r in top.toLocalIterator()}
     unseen = math.log10(0.5) - norm
-    shared = spark.sparkContext.broadcast((train(counts, depth, max_nodes), frequent))
-    tag = f"{spark.sparkContext.applicationId}-{id(shared)}-{total}"
+    codes = code_probabilities(counts.where("code is not null").select("code", "n"), depth)
+    # n + 1, so that codes of held-out texts alone have a place in the histogram too.
+    often = F.col("n") + 1 >= least_count(codes, F.col("n") + 1, top_codes)
+    best = Known(depth, codes.where(often).select("code", "log10").toArrow())
+    others = codes.where(~often).select(F.col("code").alias("_code"), "log10")
+    shared = spark.sparkContext.broadcast((best, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value
-        if tag not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[tag] = Remembered(model)
-        scorer, end = _SCORERS[tag], END.encode()
+        end = END.encode()
         for part in slices(batches, 1024):
             ids, _, held, at = (c.to_pylist() for c in part.columns)
             rows, texts = [], []
@@ -288,38 +368,54 @@ def score(docs: DataFrame, depth: int = 5, max_nodes: int = 1_500_000, top_words
                     tf = Counter(w for w, x in zip(own, found) if x is None)
                     if found[-1] is None:
                         tf[end] += 1
-                    tail += [(ids[k], at[k], held[k], w.decode("utf-8", "replace"), n) for w, n in tf.items()]
+                    tail += [(k, w.decode("utf-8", "replace"), n) for w, n in tf.items()]
                 rows.append((len(own) + 1, len(own) + 1 - rare, base))
             codes, starts = byte_codes(texts, model.depth)
             inverse, uniq = pd.factorize(codes)
-            bits = np.add.reduceat(scorer.log10(uniq)[inverse], starts)
+            value = model.log10(uniq)
+            rest = np.isnan(value)
+            bits = np.add.reduceat(np.where(rest, 0.0, value)[inverse], starts)
+            # Codes that are not broadcast: one row per text and code.
+            where = np.flatnonzero(rest[inverse])
+            owner = np.searchsorted(starts, where, side="right") - 1
+            pairs, n = _unique(owner * len(uniq) + inverse[where])
+            c_at, c_code = pairs // max(1, len(uniq)), uniq[pairs % max(1, len(uniq))]
             n_tokens, n_known, base = zip(*rows)
-            t = len(tail)
-            t_ids, t_at, t_held, t_words, t_n = zip(*tail) if tail else ((), (), (), (), ())
+            t_at, t_words, t_n = zip(*tail) if tail else ((), (), ())
+            t, c = len(tail), len(pairs)
+            who = [*range(len(rows)), *t_at, *c_at.tolist()]
             yield pa.RecordBatch.from_arrays([
-                pa.array([*ids, *t_ids], pa.int64()), pa.array([*at, *t_at], pa.int64()),
-                pa.array([*held, *t_held], pa.bool_()),
-                pa.array([f" {i}" for i in at] + list(t_words), pa.string()),
-                pa.array([0] * len(rows) + list(t_n), pa.int64()),
-                pa.array([*n_tokens, *[0] * t], pa.int64()), pa.array([*n_known, *[0] * t], pa.int64()),
-                pa.array([*base, *[0.0] * t], pa.float64()), pa.array([*bits, *[0.0] * t], pa.float64()),
-                pa.array([len(x) for x in texts] + [0] * t, pa.int64()),
-            ], ["doc_id", "row", "held_out", "word", "tf", "n_tokens", "n_known", "base", "score", "bytes"])
-
-    parts = d.mapInArrow(run, "doc_id bigint, row bigint, held_out boolean, word string, tf bigint, n_tokens bigint, "
-                              "n_known bigint, base double, score double, bytes bigint")
-    # Own rows carry a key that no word has (a blank and a number), so they meet nothing in the join.
-    met = parts.join(words.withColumnRenamed("word", "_w"), F.col("word") == F.col("_w"), "left")
+                pa.array([ids[k] for k in who], pa.int64()), pa.array([at[k] for k in who], pa.int64()),
+                pa.array([held[k] for k in who], pa.bool_()),
+                pa.array([None] * len(rows) + list(t_words) + [None] * c, pa.string()),
+                pa.array([None] * (len(rows) + t) + c_code.tolist(), pa.int64()),
+                pa.array([0] * len(rows) + list(t_n) + n.tolist(), pa.int64()),
+                pa.array([*n_tokens, *[0] * (t + c)], pa.int64()), pa.array([*n_known, *[0] * (t + c)], pa.int64()),
+                pa.array([*base, *[0.0] * (t + c)], pa.float64()), pa.array([*bits, *[0.0] * (t + c)], pa.float64()),
+                pa.array([len(x) for x in texts] + [0] * (t + c), pa.int64()),
+            ], ["doc_id", "row", "held_out", "word", "code", "tf", "n_tokens", "n_known", "base", "score", "bytes"])
+
+    # Written once: the three branches below read it, and the texts are scored once.
+    parts = cut(d.mapInArrow(run, "doc_id bigint, row bigint, held_out boolean, word string, code bigint, tf bigint, "
+                                  "n_tokens bigint, n_known bigint, base double, score double, bytes bigint"),
+                "ctw-parts")
+    own = parts.where("word is null and code is null")
+    tails = parts.where("word is not null").join(words.withColumnRenamed("word", "_w"), F.col("word") == F.col("_w"), "left")
     c = F.coalesce("c", F.lit(0))
     of_word = F.col("tf") * F.when(c > 0, F.log10(c + 0.5) - norm).otherwise(unseen)
-    out = met.groupBy("row", "doc_id", "held_out").agg(
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(c > 0, F.col("tf")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + of_word).alias("base_score"), F.sum("score").alias("score"),
-        F.sum("bytes").alias("bytes"))
+    sums = ["n_tokens", "n_known", "base", "score", "bytes"]
+    keys = ["row", "doc_id", "held_out"]
+    tails = tails.select(*keys, "n_tokens", F.when(c > 0, F.col("tf")).otherwise(0).alias("n_known"),
+                         of_word.alias("base"), "score", "bytes")
+    # Every code of every text is in the table, so the inner join loses none.
+    deep = parts.where("code is not null").join(others, F.col("code") == F.col("_code")).select(
+        *keys, "n_tokens", "n_known", "base", (F.col("tf") * F.col("log10")).alias("score"), "bytes")
+    out = own.select(*keys, *sums).unionByName(tails).unionByName(deep).groupBy(*keys).agg(
+        *[F.sum(x).alias(x) for x in sums])
     return out.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"),
-        "base_score", "score", (-F.col("score") / math.log10(2) / F.col("bytes")).alias("bits_per_byte"))
+        F.col("base").alias("base_score"), "score",
+        (-F.col("score") / math.log10(2) / F.col("bytes")).alias("bits_per_byte"))
 
 
 def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:

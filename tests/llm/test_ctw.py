@@ -143,3 +143,14 @@ def test_without_training_rows_and_empty(spark):
 def test_held_out_texts_are_predicted(spark):
     out = C.op10_ctw(spark, SF001).where("held_out").agg(F.sum("score"), F.sum("bits_per_byte") / F.count("*"), F.count("*")).first()
     assert out[2] > 10 and out[1] < 3.2  # far below 8 bits, and below an order-0 model's 4
+
+
+def test_no_context_is_dropped_however_few_codes_are_broadcast(spark):
+    """Scores by the whole tree, held-out codes included, whether codes are broadcast or joined."""
+    model = Plain([b" ".join(tokens(t)) + b"\n" for i, t in ROWS if not held_out(i)], 2)
+    want = sorted((i is None, i, model.log10(b" ".join(tokens(t)) + b"\n")) for i, t in ROWS)
+    for most in (0, 50):
+        got = sorted((r.doc_id is None, r.doc_id, r.score)
+                     for r in C.score(docs(spark, ROWS), depth=2, top_words=5, top_codes=most).collect())
+        assert [x[:2] for x in got] == [x[:2] for x in want]
+        assert [x[2] for x in got] == pytest.approx([x[2] for x in want], rel=1e-7)
