@@ -230,16 +230,17 @@ def code_probabilities(codes: DataFrame, depth: int) -> DataFrame:
 
 
 class Model:
-    """A tree held by one process: sorted node keys, stopping weights and KT estimates of a one.
+    """A tree held by one process: sorted node keys, stopping weights and KT estimates of a zero and a one.
 
     For use beside Spark on a corpus that fits; ``score`` uses the tables instead.
     """
 
     def __init__(self, depth: int, nodes: pa.Table):
         self.depth = depth
-        key, stop, one = (nodes.column(c).to_numpy() for c in ("key", "stop", "one"))
+        key, stop, zero, one = (nodes.column(c).to_numpy() for c in ("key", "stop", "zero", "one"))
         order = np.argsort(key)
-        self.key, self.stop, self.one = key[order], stop[order], one[order]
+        self.key, self.stop = key[order], stop[order]
+        self.zero, self.one = zero[order], one[order]
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
         """log10 probability of each code's byte in its context; codes ascending run fastest."""
@@ -254,8 +255,8 @@ class Model:
                 at = np.minimum(np.searchsorted(self.key, key), max(0, len(self.key) - 1))
                 found = self.key[at] == key if len(self.key) else np.zeros(len(codes), bool)
                 if len(self.key):
-                    kt = np.where(bit == 1, self.one[at], 1.0 - self.one[at]).astype(float)
-                    stop = self.stop[at].astype(float)
+                    kt = np.where(bit == 1, self.one[at], self.zero[at])
+                    stop = self.stop[at]
                 else:
                     kt = stop = np.full(len(codes), 0.5)
                 deeper = kt if p is None else np.where(seen_below, p, kt)
@@ -326,8 +327,8 @@ def train(counts: DataFrame, depth: int, max_nodes: int) -> Model:
     least = least_count(nodes, seen, max_nodes)
     key = F.shiftleft(F.col("level").cast("bigint"), 56).bitwiseOR(F.shiftleft("ctx", 8)).bitwiseOR(F.col("node"))
     return Model(depth, nodes.where(seen >= least).select(
-        key.alias("key"), F.col("stop").cast("float").alias("stop"),
-        ((F.col("ones") + 0.5) / (seen + 1.0)).cast("float").alias("one")).toArrow())
+        key.alias("key"), "stop", ((F.col("zeros") + 0.5) / (seen + 1.0)).alias("zero"),
+        ((F.col("ones") + 0.5) / (seen + 1.0)).alias("one")).toArrow())
 
 
 def score(docs: DataFrame, depth: int = 5, top_words: int = 200_000, top_codes: int = 2_000_000) -> DataFrame:

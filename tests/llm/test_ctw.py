@@ -1,3 +1,4 @@
+import functools
 import math
 import zlib
 from collections import Counter
@@ -145,12 +146,29 @@ def test_held_out_texts_are_predicted(spark):
     assert out[2] > 10 and out[1] < 3.2  # far below 8 bits, and below an order-0 model's 4
 
 
+class Quick(Plain):
+    pw = functools.cache(Plain.pw)
+
+
 def test_no_context_is_dropped_however_few_codes_are_broadcast(spark):
     """Scores by the whole tree, held-out codes included, whether codes are broadcast or joined."""
-    model = Plain([b" ".join(tokens(t)) + b"\n" for i, t in ROWS if not held_out(i)], 2)
+    model = Quick([b" ".join(tokens(t)) + b"\n" for i, t in ROWS if not held_out(i)], 3)
     want = sorted((i is None, i, model.log10(b" ".join(tokens(t)) + b"\n")) for i, t in ROWS)
     for most in (0, 50):
         got = sorted((r.doc_id is None, r.doc_id, r.score)
-                     for r in C.score(docs(spark, ROWS), depth=2, top_words=5, top_codes=most).collect())
+                     for r in C.score(docs(spark, ROWS), depth=3, top_words=5, top_codes=most).collect())
         assert [x[:2] for x in got] == [x[:2] for x in want]
         assert [x[2] for x in got] == pytest.approx([x[2] for x in want], rel=1e-7)
+
+
+def test_a_zero_beside_very_many_ones_keeps_its_probability(spark):
+    n, byte = 10**9, 255
+    # Byte 255 alone is seen after "aa"; byte 127 differs in the first decision, 254 in the last.
+    ctx = ord("a") << 16 | ord("a") << 8
+    codes = spark.createDataFrame([(ctx | byte, n), (ctx | 127, 0), (ctx | 254, 0)], "code bigint, n bigint")
+    got = {r.code & 255: r.log10 for r in C.code_probabilities(codes, 2).collect()}
+    rare = math.log10(0.5 / (n + 1))
+    assert got[254] == pytest.approx(rare, abs=1e-6) and got[127] == pytest.approx(rare + 7 * math.log10(0.5), abs=1e-6)
+    counts = codes.where("n > 0").withColumn("word", F.lit(None).cast("string"))
+    model = C.train(counts, 2, 10**6)
+    assert model.log10(np.array([ctx | 254, ctx | 127])) == pytest.approx([got[254], got[127]], abs=1e-6)
