@@ -5,6 +5,8 @@ verdict for their host: personalised PageRank from hosts with allowed pages
 (trust, along links) against personalised PageRank from hosts with blocked
 pages (distrust, against the links: who points at blocked hosts is suspect).
 A host is blocked when its distrust exceeds ``ratio`` times its trust.
+Ranks are iterated until no host's rank changes by more than ``TOLERANCE`` of
+itself over ``cut_every`` rounds, so every host that a seed can reach has one.
 
 Host edges: absolute and protocol-relative links of the page's html, and an
 edge both ways between a host and its parent domain (down to
@@ -18,13 +20,16 @@ Defined results
 * without any blocked (or allowed) page there is no distrust (trust) at all;
 * an empty table gives no rows; other input columns are ignored.
 
-All state is in tables keyed by host; the driver sees counts and sums only.
+All state is in tables keyed by host; the driver sees counts and sums, and the edges
+of a graph with at most ``LOCAL_EDGES`` (same iteration, without a job per round).
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +45,10 @@ RULES = (
 )
 #: Hosts up to which their verdicts are broadcast (under 100 bytes each).
 BROADCAST_HOSTS = 100_000
+#: Greatest relative change of any host's rank between two cuts at which iteration ends.
+TOLERANCE = 1e-6
+#: Host edges (of both kinds) up to which the settled ranks are found in one process.
+LOCAL_EDGES = 200_000
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
 
@@ -92,27 +101,77 @@ def host_edges(pages: DataFrame, min_labels: int = 2) -> DataFrame:
         F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 10,
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 10,
               cut_every: int = 5) -> DataFrame:
     """Personalised PageRank of (kind, host, seed) over (kind, src, dst, share).
 
     Several kinds run side by side; shares of a source sum to 1, seeds of all
     kinds together sum to 1.  Mass at hosts without out-links ends there.
+
+    ``rounds`` rounds from the whole seeds; with ``None``, from the seeds' own share
+    until the ranks are settled.  From there ranks only grow (each is a sum over
+    ever longer paths), so nothing oscillates and a new host counts as a change.
     """
-    rank = seeds.select("kind", "host", F.col("seed").alias("rank"))
-    for k in range(rounds):
+    start = 1.0 if rounds is not None else 1 - damping
+    rank = seeds.select("kind", "host", (F.col("seed") * start).alias("rank"))
+    before = rank
+    for k in itertools.count():
+        if k == rounds:
+            break
         moved = edges.join(rank.withColumnRenamed("host", "src"), ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
         back = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank"))
         rank = moved.unionByName(back).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if (k + 1) % cut_every == 0:
             rank = cut(rank, "url-rank")
+            if rounds is None:
+                if not _moved(before, rank):
+                    break
+                before = rank
     return rank
 
 
+def _moved(before: DataFrame, after: DataFrame) -> bool:
+    """Whether any rank grew by more than ``TOLERANCE`` of itself; the driver sees one number."""
+    both = after.select("kind", "host", "rank", F.lit(0.0).alias("old")).unionByName(
+        before.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("old")))
+    both = both.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("old").alias("old"))
+    most = both.where("rank > 0").agg(F.max((F.col("rank") - F.col("old")) / F.col("rank"))).first()[0]
+    return (most or 0.0) > TOLERANCE
+
+
+def settled(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, cut_every: int = 5) -> DataFrame:
+    """``propagate`` until the ranks are settled, for a graph that fits one process."""
+    e, s = edges.collect(), seeds.collect()
+    at: dict[tuple[str, str], int] = {}
+    for r in e:
+        at.setdefault((r["kind"], r["src"]), len(at))
+        at.setdefault((r["kind"], r["dst"]), len(at))
+    for r in s:
+        at.setdefault((r["kind"], r["host"]), len(at))
+    src = np.array([at[r["kind"], r["src"]] for r in e], dtype=np.int64)
+    dst = np.array([at[r["kind"], r["dst"]] for r in e], dtype=np.int64)
+    share = damping * np.array([r["share"] for r in e], dtype=float)
+    own = np.zeros(len(at))
+    for r in s:
+        own[at[r["kind"], r["host"]]] += (1 - damping) * r["seed"]
+    rank = own
+    while True:
+        before = rank
+        for _ in range(cut_every):
+            rank = np.bincount(dst, rank[src] * share, len(at)) + own
+        if not (rank - before > TOLERANCE * rank).any():
+            break
+    rows = [(kind, host, float(rank[k])) for (kind, host), k in at.items() if rank[k] > 0]
+    return edges.sparkSession.createDataFrame(rows, "kind string, host string, rank double")
+
+
 def host_verdicts(pages: DataFrame, judged: DataFrame, ratio: float = 2.0, min_labels: int = 2,
-                  damping: float = 0.85, rounds: int = 10) -> DataFrame:
-    """host, trust, distrust, host_verdict for every host that some rank reaches."""
+                  damping: float = 0.85, rounds: int | None = 10) -> DataFrame:
+    """host, trust, distrust, host_verdict for every host that some rank reaches.
+
+    ``rounds`` rounds of power iteration; ``None``, as ``filter_urls`` has it, until settled.
+    """
     seeds = judged.where("decided is not null and host != ''").select(
         F.when(F.col("decided") == "allow", "trust").otherwise("distrust").alias("kind"), "host")
     seeds = seeds.groupBy("kind", "host").agg(F.count(F.lit(1)).alias("n"))
@@ -126,7 +185,8 @@ def host_verdicts(pages: DataFrame, judged: DataFrame, ratio: float = 2.0, min_l
     out = both.groupBy("kind", "src").agg(F.sum("weight").alias("_all"))
     shares = cut(both.join(out, ["kind", "src"]).select(
         "kind", "src", "dst", (F.col("weight") / F.col("_all")).alias("share")), "url-shares")
-    rank = propagate(shares, seeds, damping, rounds)
+    small = rounds is None and shares.count() + seeds.count() <= LOCAL_EDGES
+    rank = settled(shares, seeds, damping) if small else propagate(shares, seeds, damping, rounds)
     wide = rank.groupBy("host").agg(
         F.coalesce(F.sum(F.when(F.col("kind") == "trust", F.col("rank"))), F.lit(0.0)).alias("trust"),
         F.coalesce(F.sum(F.when(F.col("kind") == "distrust", F.col("rank"))), F.lit(0.0)).alias("distrust"))
@@ -135,7 +195,7 @@ def host_verdicts(pages: DataFrame, judged: DataFrame, ratio: float = 2.0, min_l
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, ratio: float = 2.0,
-                min_labels: int = 2, damping: float = 0.85, rounds: int = 10) -> DataFrame:
+                min_labels: int = 2, damping: float = 0.85, rounds: int | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for every page (page_id, url, html)."""
     pages = pages.select("page_id", "url", "html")
     judged = judged_by_rules(pages, rules)

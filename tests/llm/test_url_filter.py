@@ -3,6 +3,7 @@ import re
 import numpy as np
 import pytest
 
+from skein.llm import op7_url_filter as U
 from skein.llm.op7_url_filter import RULES, filter_urls, host_edges, host_verdicts, judged_by_rules, op7_url_filter
 from tests.conftest import SF001
 
@@ -105,3 +106,46 @@ def test_query_on_the_table(spark):
     for r in out:
         host, path, rule, verdict = plain(urls[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule) and (rule is None or r.verdict == verdict)
+
+
+CHAIN = [(100 + i, f"http://c{i}.net/", link(f"c{i - 1}.net" if i else "bad.com")) for i in range(25)]
+
+
+@pytest.mark.parametrize("more, blocked", [([], [3, 4, 9]), (CHAIN, [3, 4, *range(100, 125)])])
+def test_ranks_are_the_converged_solution(spark, more, blocked):
+    rows = WEB + [(3, "http://bad.com/de/1", None)] + more
+    p = pages(spark, rows)
+    edges = {(r.src, r.dst): r.weight for r in host_edges(p).collect()}
+    seeds = [(r.decided, r.host) for r in judged_by_rules(p, RULES).collect() if r.decided]
+    hosts = sorted({h for e in edges for h in e} | {h for _, h in seeds})
+    at = {h: i for i, h in enumerate(hosts)}
+    got = {r.host: r for r in filter_urls(p).collect()}  # one page per host
+    for kind, verdict in (("trust", "allow"), ("distrust", "block")):
+        a = np.zeros((len(hosts),) * 2)
+        for (s, d), w in edges.items():
+            s, d = (s, d) if kind == "trust" else (d, s)
+            a[at[s], at[d]] += w
+        out = a.sum(1, keepdims=True)
+        a = np.divide(a, out, out=np.zeros_like(a), where=out > 0)
+        seed = np.zeros(len(hosts))
+        for v, h in seeds:
+            seed[at[h]] += (v == verdict) / len(seeds)
+        want = np.linalg.solve(np.eye(len(hosts)) - 0.85 * a.T, 0.15 * seed)
+        for h, r in got.items():
+            if h in at:
+                assert (getattr(r, kind) or 0) == pytest.approx(want[at[h]], rel=1e-5)
+        if kind == "trust":
+            v = {r.page_id: r.verdict for r in got.values()}
+            assert set(blocked) <= set(v)
+            assert all(v[k] == "block" for k in blocked)
+
+
+def test_the_tables_settle_as_one_process_does(spark, monkeypatch):
+    p = pages(spark, WEB)
+    judged = judged_by_rules(p, RULES)
+    want = {r.host: r for r in host_verdicts(p, judged, damping=0.3, rounds=None).collect()}
+    monkeypatch.setattr(U, "LOCAL_EDGES", 0)
+    got = {r.host: r for r in host_verdicts(p, judged, damping=0.3, rounds=None).collect()}
+    assert want.keys() == got.keys()
+    for h, r in got.items():
+        assert (r.trust, r.distrust) == (pytest.approx(want[h].trust), pytest.approx(want[h].distrust))
