@@ -4,8 +4,8 @@ Base rules find emails, IP addresses, card numbers (Luhn) and phone numbers.
 The field then labels the document's suspicious tokens (those with a digit or
 ``@``): chain potentials tie neighbouring ones, skip potentials tie repeated or
 similar ones wherever they stand (same text, same digits, same last digits, same
-mailbox), each to the next occurrence.  Loopy sum-product message passing gives
-marginals, with base spans as given labels; tokens outside them whose label is
+mailbox), each to the next occurrence.  Loopy sum-product message passing, run
+until the messages settle, gives marginals, with base spans as given labels; tokens outside them whose label is
 surer than ``sure`` are added, neighbours of one label joined to one span.  So a number written once in full
 and later without its prefix, or an address cut short, is found too.
 
@@ -161,6 +161,8 @@ SKIPS = 4  # same text, same digits, same last seven digits, same mailbox
 AGREE = (1.5, 4.0, 4.0, 4.0)
 #: Score of a label that a base span has already given to a token.
 GIVEN = 30.0
+#: Change of a log message below which it counts as settled.
+SETTLED = 1e-4
 
 
 def keys(token: str) -> list[tuple[int, str]]:
@@ -200,12 +202,14 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def beliefs(unary: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int = 12, damp: float = 0.3):
+def beliefs(unary: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int | None = 12, damp: float = 0.3):
     """Loopy sum-product over a graph (or many graphs side by side).
 
     unary (nodes, labels); edges (m, 3) of i, j, type; pair (types, labels,
     labels).  Returns log node marginals and edge marginals; exact on trees of
-    diameter up to ``rounds`` without damping.
+    diameter up to ``rounds`` without damping.  With ``rounds`` None messages run
+    until none changes by more than ``SETTLED``, however far they have to go; only
+    messages next to a change are sent again.
     """
     n, m = len(unary), len(edges)
     if not m:
@@ -216,7 +220,9 @@ def beliefs(unary: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int
     w = np.concatenate([w, w.transpose(0, 2, 1)])  # (edge, label at src, label at dst)
     back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
     msg = np.zeros((2 * m, unary.shape[1]))
-    for _ in range(rounds):
+    if rounds is None:
+        msg = _settled(unary, src, dst, w, back, damp)
+    for _ in range(rounds or 0):
         total = unary.copy()
         np.add.at(total, dst, msg)
         out = _log_sum((total[src] - msg[back])[:, :, None] + w, 1)
@@ -230,6 +236,31 @@ def beliefs(unary: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int
     return total - _log_sum(total, 1)[:, None], both
 
 
+def _settled(unary: np.ndarray, src: np.ndarray, dst: np.ndarray, w: np.ndarray, back: np.ndarray,
+             damp: float) -> np.ndarray:
+    """Messages of all directed edges once they have stopped changing.
+
+    A message crosses any graph in fewer steps than it has nodes; loops that had
+    not settled long after that end there.
+    """
+    msg, total = np.zeros((len(src), unary.shape[1])), unary.copy()
+    send = np.arange(len(src))
+    for _ in range(4 * len(unary) + 100):
+        out = _log_sum((total[src[send]] - msg[back[send]])[:, :, None] + w[send], 1)
+        step = (1 - damp) * (out - _log_sum(out, 1)[:, None] - msg[send])
+        msg[send] += step
+        np.add.at(total, dst[send], step)
+        changed = send[np.abs(step).max(1) > SETTLED]
+        if not len(changed):
+            break
+        near = np.zeros(len(unary), bool)
+        near[dst[changed]] = True
+        again = near[src]
+        again[changed] = True
+        send = np.flatnonzero(again)
+    return msg
+
+
 class Field:
     """Weights of the skip-chain field."""
 
@@ -307,7 +338,7 @@ def added_spans(texts: list[str], base: list[list[Span]], field: Field, sure: fl
     unary, known = field.scores(feats), np.array(given_labels)
     hit = np.flatnonzero(known != OTHER)
     unary[hit, known[hit]] += GIVEN
-    node, _ = beliefs(unary, np.array(edges, dtype=np.int64).reshape(-1, 3), field.pair)
+    node, _ = beliefs(unary, np.array(edges, dtype=np.int64).reshape(-1, 3), field.pair, rounds=None)
     best, p = node.argmax(1), np.exp(node.max(1))
     out = []
     for (at, tokens), text, given in zip(parts, texts, base):

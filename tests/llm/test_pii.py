@@ -124,3 +124,32 @@ def test_query_on_the_table(spark):
         assert set(text.split(",")) - {""} <= set(every) and len(every) == len(base) + r.n_added
         starts = [(int(x.split(":")[1]), P.KINDS.index(x.split(":")[0])) for x in every]
         assert starts == sorted(starts)
+
+
+def test_evidence_reaches_the_fiftieth_repeat():
+    """A number given once, then cut short 50 times, by a field that knows agreement alone."""
+    pair = np.zeros((1 + P.SKIPS, P.LABELS, P.LABELS))
+    pair[1:] = 12.0 * np.eye(P.LABELS)
+    unary = np.zeros((P.FEATURES, P.LABELS))
+    for at in (0, 25, 50):
+        words = ["call 0175557713 soon"] * 51
+        words[at] = "call +10175557713 soon"
+        text = " ".join(words)
+        base = P.base_spans(text)
+        added = P.added_spans([text], [base], P.Field(unary, pair), 0.95)[0]
+        assert len(base) == 1 and [k for _, k, _ in added] == [3] * 50
+
+
+def test_settled_beliefs_are_exact_on_a_long_chain():
+    r = np.random.default_rng(5)
+    n = 60
+    edges = np.array([[i, i + 1, 0] for i in range(n - 1)])
+    unary, pair = np.zeros((n, 3)), 6.0 * np.eye(3)[None] + r.normal(size=(1, 3, 3)) / 100
+    unary[0, 1] = 30
+    left, right = [unary[0]], [np.zeros(3)]
+    for i in range(1, n):
+        left.append(unary[i] + np.logaddexp.reduce(left[-1][:, None] + pair[0], 0))
+        right.append(np.logaddexp.reduce((right[-1] + unary[n - i])[None, :] + pair[0], 1))
+    want = np.array(left) + np.array(right[::-1])
+    want -= np.logaddexp.reduce(want, 1)[:, None]
+    assert np.allclose(P.beliefs(unary, edges, pair, rounds=None)[0], want, atol=1e-2)
