@@ -50,6 +50,9 @@ PROSE = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "dt", "dd",
 #: Starting one of these ends an open element of the set behind it.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}}
+#: Elements that may stand in the head; any other start tag, or text, ends it.
+_IN_HEAD = frozenset(("title", "meta", "link", "base", "basefont", "bgsound", "script", "style", "noscript", "template",
+                      "head", "html", "noframes"))
 _SCOPES = frozenset(("ul", "ol", "dl", "table", "body", "div", "article", "section"))
 _MARK = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S)
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -103,7 +106,14 @@ def parse(source: str) -> Page:
     stack: list[tuple[str, int]] = [("body", 0)]  # open block elements
     held: list[str] = []  # pieces of the text block being read
     linked = [0, 0]  # characters inside links, open links
-    skip: list[str] = []
+    skip: list[str] = []  # open elements without prose
+    inner: list[str] = []  # block elements open inside those
+    ends: dict[str, int] = {}  # where the last end tag of a skipped element stands
+
+    def never_closed(tag: str) -> bool:
+        if tag not in ends:
+            ends[tag] = max((m.start() for m in re.finditer(f"</{re.escape(tag)}(?![^\\s/>])", source, re.I)), default=-1)
+        return ends[tag] < at
 
     def end_block() -> None:
         text = " ".join(entities.unescape("".join(held)).split())
@@ -128,6 +138,8 @@ def parse(source: str) -> Page:
     while True:
         m = _MARK.search(source, at)
         piece = source[at:m.start()] if m else source[at:]
+        if skip == ["head"] and piece.strip():
+            skip.clear()
         if piece and not skip:
             held.append(piece)
             if linked[1]:
@@ -139,10 +151,14 @@ def parse(source: str) -> Page:
         if name is None:
             continue
         tag, closing = name.lower(), bool(m.group(1))
+        if skip == ["head"] and not closing and tag not in _IN_HEAD:
+            skip.clear()
         if tag in SKIPPED:
             if closing:
                 if tag in skip:
                     del skip[skip.index(tag):]
+                    if not skip:
+                        inner.clear()
             elif not (m.group(3) or "").endswith("/"):
                 if tag in RAW:
                     stop = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(source, at)
@@ -155,8 +171,21 @@ def parse(source: str) -> Page:
         if skip:
             if tag == "body" and not closing:
                 skip.clear()
-            else:
+            elif tag not in _BLOCK or skip[0] == "head":
+                continue
+            elif closing and tag in inner:
+                del inner[len(inner) - 1 - inner[::-1].index(tag):]
+                continue
+            elif any(map(never_closed, skip)) and not inner:
+                # The outermost element without an end tag ends with the line it stands in.
+                del skip[next(k for k, t in enumerate(skip) if never_closed(t)):]
+            elif closing and any(t == tag for t, _ in stack[1:]):
+                skip.clear()
+            if skip:
+                if not closing:
+                    inner.append(tag)
                 continue
+            inner.clear()
         if tag in ("br", "hr", "img", "input") or tag in VOID:
             held.append(" ")
         elif tag == "a":

@@ -72,3 +72,26 @@ def test_article_of_the_table(spark, model):
         parts = (" ".join(entities.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))).split())
                  for b in re.split(r"</?(?:p|h1)>", inner))
         assert X.extract_texts([r.html], model)[0] == "\n\n".join(p for p in parts if p)
+
+
+PROSE = "This is a long enough sentence of the main article, which goes on for a while and then ends."
+REST = f"<article><h1>A title of it</h1><p>{PROSE}</p><p>{PROSE}</p></article>"
+MAIN = f"A title of it\n\n{PROSE}\n\n{PROSE}"
+
+
+@pytest.mark.parametrize("html", [
+    f"<html><head><title>T</title>{REST}", f"<html><head><title>T</title><meta charset=utf-8><body>{REST}",
+    f"<head><script>x</script><template><p>no</p></template>{REST}", f"<head><title>T</title></head>{REST}",
+    *(f"<head><title>T</title><div><{t}>x</div>{REST}" for t in ("button", "svg", "object", "canvas", "select")),
+    *(f"<body><{t}>x{REST}" for t in ("button", "svg", "object", "canvas", "select")),
+    *(f"<body><div><{t}>x</div>{REST}<{t}>y</{t}>" for t in ("button", "svg", "object", "canvas", "select")),
+    f"<body><object><div><p>hidden</div><p>hidden too</p></object>{REST}",
+    f"<body><select><option>a<option>b</select><datalist><option>c</datalist>{REST}"])
+def test_left_out_end_tags_lose_no_text(html):
+    texts = [t for _, t in X.parse(html).blocks]
+    assert [t for t in texts if t not in ("x", "y")][-3:] == MAIN.split("\n\n") and "hidden" not in " ".join(texts)
+
+
+def test_text_after_an_unclosed_head(model):
+    assert X.extract_texts([f"<html><head><title>T</title><h1>A title of it</h1><p>{PROSE}<p>{PROSE}"], model) == [MAIN]
+    assert [t for _, t in X.parse(f"<head><title>T</title>{PROSE}").blocks] == [PROSE]
