@@ -9,10 +9,9 @@ observations is not judged, because short samples diverge by chance.
 
 Two passes over the texts: one counts characters and words per language (Spark
 sums the tasks' counters, so a language holding most rows is no hot key), the
-other profiles each document against the broadcast references, whose size is
-(languages) x (classes + common words).  ``MAX_LANGUAGES`` bounds the number of
-languages with a reference of their own, the largest first; all others share
-the reference of the whole corpus, as does a null language.
+other profiles each document against its language's reference.  The references
+of the ``MAX_LANGUAGES`` languages with most words are broadcast; those of any
+others stay a table that their documents are joined to by language and a salt.
 
 Defined results
 * null or empty text: no words, all counts 0, ``base_failed`` true, kept false;
@@ -37,10 +36,12 @@ from skein.llm.common import cut, free_prefix, slices, table
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
 CLASSES = ("lower", "upper", "other_letter", "digit", "blank", "punctuation", "symbol", "other")
-#: Languages with a reference of their own.
+#: Languages whose references are broadcast; documents of others are joined to theirs.
 MAX_LANGUAGES = 500
 #: Entries of a task's word counter at which it is handed to Spark.
 FLUSH = 200_000
+#: Parts of the join of one language's documents to its reference.
+SALTS = 16
 ALL = "\x00all"
 PROFILE = (("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"),
            ("n_repeat_words", "long"), ("js_chars", "double"), ("js_words", "double"))
@@ -133,8 +134,10 @@ def _decoded(hand_over, words) -> pa.RecordBatch:
     return hand_over()
 
 
-def references(docs: DataFrame, common: int = 50) -> dict[str, tuple[np.ndarray, dict[str, int], np.ndarray]]:
-    """Per language (and for all): class counts, word -> bin, word-bin counts.
+def references(docs: DataFrame, common: int = 50) -> tuple[dict[str, tuple[np.ndarray, dict[str, int], np.ndarray]],
+                                                           DataFrame | None]:
+    """Per language (and for all): class counts, word -> bin, word-bin counts; and the table of
+    the languages beyond ``MAX_LANGUAGES``, if there are any.
 
     Counted over all documents in Spark; only the ``common`` largest words of
     at most ``MAX_LANGUAGES`` languages reach the driver.
@@ -144,7 +147,9 @@ def references(docs: DataFrame, common: int = 50) -> dict[str, tuple[np.ndarray,
     is_class = F.col("key").startswith(" ")
     totals = per_lang.where(~is_class).groupBy("lang").agg(F.sum("n").alias("n"))
     own = [r["lang"] for r in totals.where("lang is not null").orderBy(
-        F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()]
+        F.col("n").desc(), "lang").limit(MAX_LANGUAGES + 1).collect()]
+    beyond = len(own) > MAX_LANGUAGES
+    own = own[:MAX_LANGUAGES]
     every = per_lang.groupBy("key").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("lang"), "key", "n")
     both = per_lang.where(F.col("lang").isin(own)).unionByName(every)
     top = both.where(~is_class).withColumn("_r", F.row_number().over(
@@ -158,27 +163,54 @@ def references(docs: DataFrame, common: int = 50) -> dict[str, tuple[np.ndarray,
         _, bins, counts = refs[r["lang"]]
         bins[r["key"]] = r["_r"] - 1
         counts[r["_r"] - 1] = r["n"]
-    return {lang: (c, b, np.array([*w[:-1], sums[lang] - sum(w)], dtype=float))
+    refs = {lang: (c, b, np.array([*w[:-1], sums[lang] - sum(w)], dtype=float))
             for lang, (c, b, w) in refs.items()}
+    return refs, _table_of(per_lang.where(F.col("lang").isNotNull() & ~F.col("lang").isin(own)), common) if beyond else None
 
 
-def profile(docs: DataFrame, refs: dict, min_chars: int, min_words: int, carry: list[str], prefix: str) -> DataFrame:
+def _table_of(per_lang: DataFrame, common: int) -> DataFrame:
+    """lang, chars, words, counts, total: one row per language of the counted words and classes."""
+    is_class = F.col("key").startswith(" ")
+    chars = per_lang.groupBy("lang").agg(
+        F.array(*[F.coalesce(F.sum(F.when(F.col("key") == f" {k}", F.col("n"))), F.lit(0))
+                  for k in range(len(CLASSES))]).alias("chars"),
+        F.sum(F.when(~is_class, F.col("n"))).alias("total"))
+    top = per_lang.where(~is_class).withColumn("_r", F.row_number().over(
+        Window.partitionBy("lang").orderBy(F.col("n").desc(), "key"))).where(F.col("_r") <= common)
+    top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("_r", "key", "n"))).alias("w"))
+    return cut(chars.join(top, "lang").select(
+        "lang", "chars", F.col("w.key").alias("words"), F.col("w.n").alias("counts"), "total"), "divergence-references")
+
+
+def profile(docs: DataFrame, refs: dict, others: DataFrame | None, min_chars: int, min_words: int, carry: list[str],
+            prefix: str, common: int = 50) -> DataFrame:
     """Each document's ``carry`` columns, and its counts and two distances (null below
     the guards) as columns named ``prefix`` + name."""
     shared = docs.sparkSession.sparkContext.broadcast(refs)
 
+    def joined(lang: str, row: dict, kept: dict) -> tuple:
+        """The reference in a joined row; one per language is built."""
+        if lang not in kept:
+            if len(kept) > 1000:
+                kept.clear()
+            counts = row["counts"] + [0] * (common - len(row["counts"]))
+            kept[lang] = (np.array(row["chars"], float), {w.encode(): b for b, w in enumerate(row["words"])},
+                          np.array([*counts, row["total"] - sum(counts)], dtype=float))
+        return kept[lang]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict = {}
         keyed = {k: (c, {w.encode(): b for w, b in bins.items()}, q) for k, (c, bins, q) in shared.value.items()}
         for part in slices(batches):
             rows = []
-            for text, lang in zip(*(part.column(i).to_pylist() for i in (-2, -1))):
+            for text, lang, row in zip(*(part.column(i).to_pylist() for i in (-3, -2, -1))):
                 text = text or ""
                 data = text.encode("utf-8", "replace")
                 words = data.split()
                 blanks = len(data) - len(data.translate(None, BLANKS))
                 symbols = len(data) - len(data.translate(None, SYMBOLS))
                 js_c = js_w = None
-                ref = keyed.get(lang if lang is not None else ALL) or keyed.get(ALL)
+                ref = joined(lang, row, kept) if row else keyed.get(lang if lang is not None else ALL) or keyed.get(ALL)
                 if ref and len(text) >= min_chars and ref[0].sum():
                     js_c = js_distance(char_histogram(text).astype(float), ref[0])
                 if ref and len(words) >= min_words:
@@ -194,7 +226,7 @@ def profile(docs: DataFrame, refs: dict, min_chars: int, min_words: int, carry:
             cols = list(zip(*rows)) if rows else [()] * 7
             types = [pa.int64()] * 5 + [pa.float64()] * 2
             yield pa.RecordBatch.from_arrays(
-                part.columns[:-2] + [pa.array(c, t) for c, t in zip(cols, types)], out.names)
+                part.columns[:-3] + [pa.array(c, t) for c, t in zip(cols, types)], out.names)
 
     own = docs.select(*[F.col(f"`{c}`") for c in carry])
     names = [(prefix + n, t) for n, t in PROFILE]
@@ -203,7 +235,17 @@ def profile(docs: DataFrame, refs: dict, min_chars: int, min_words: int, carry:
         out = out.add(n, t)
     both = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").alias(prefix + "text"),
                        F.col("lang").alias(prefix + "lang"))
-    return both.mapInArrow(run, out)
+    lang, ref = F.col(prefix + "lang"), prefix + "ref"
+    if others is None:
+        return both.withColumn(ref, F.lit(None).cast("struct<chars:array<bigint>>")).mapInArrow(run, out)
+    row = F.struct("chars", "words", "counts", "total")
+    others = others.select(F.col("lang").alias(prefix + "of"), row.alias(ref),
+                           F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(prefix + "at"))
+    listed = lang.isNull() | lang.isin([k for k in refs if k != ALL])
+    near = both.where(listed).withColumn(ref, F.lit(None).cast(others.schema[ref].dataType))
+    far = both.where(~listed).withColumn(prefix + "salt", F.pmod(F.xxhash64(prefix + "text"), F.lit(SALTS)))
+    far = far.join(others, (lang == F.col(prefix + "of")) & (F.col(prefix + "salt") == F.col(prefix + "at")), "left")
+    return near.mapInArrow(run, out).unionByName(far.drop(*(prefix + c for c in ("of", "at", "salt"))).mapInArrow(run, out))
 
 
 def judged(docs: DataFrame, carry: list[str], prefix: str, common: int = 50, max_js_chars: float = 0.25,
@@ -213,7 +255,7 @@ def judged(docs: DataFrame, carry: list[str], prefix: str, common: int = 50, max
     The word limit is ``max_js_words + slack / sqrt(n_words)``: a sample of n words
     lies about that much further from its own source than a long one.
     """
-    p = profile(docs, references(docs, common), min_chars, min_words, carry, prefix)
+    p = profile(docs, *references(docs, common), min_chars, min_words, carry, prefix, common)
     n, x = F.col(prefix + "n_words"), lambda c: F.col(prefix + c)
     base = (n < 50) | (x("n_repeat_words") * 100 > n * 50)
     far = (F.coalesce(x("js_chars"), F.lit(0.0)) > max_js_chars) | (

@@ -1,5 +1,6 @@
 import random
 
+from skein.llm import op1_divergence as D
 from skein.llm.op1_divergence import (
     char_histogram,
     duplicate_lines,
@@ -78,3 +79,14 @@ def test_distance_and_histogram():
 def test_query_on_the_table(spark):
     out = op1_divergence(spark, SF001)
     assert out.count() == 200 and len(rows_of(out, "doc_id")) == 200
+
+
+def test_every_language_has_its_own_reference(spark, monkeypatch):
+    kana = str.maketrans("abcdefghijklmnopqrstuvwxyz", "アイウエオカキクケコサシスセソタチツテトナニヌネノハ")
+    rows = [(i, prose(i, 200), "en") for i in range(40)] + [(100 + i, prose(i, 120).translate(kana), "ja") for i in range(5)]
+    rows += [(200 + i, prose(i, 130).translate(kana), "xx") for i in range(5)] + [(300, None, "zz"), (301, prose(1, 90), None)]
+    want = rows_of(quality_rules(docs(spark, rows)), "doc_id", "n_words", "kept", "js_chars", "js_words")
+    assert all(kept for i, _, kept, *_ in want if i < 300)
+    monkeypatch.setattr(D, "MAX_LANGUAGES", 1)
+    assert rows_of(quality_rules(docs(spark, rows)), "doc_id", "n_words", "kept", "js_chars", "js_words") == want
+    assert sorted(r.doc_id for r in keep_good(docs(spark, rows)).collect() if r.doc_id < 300) == [r[0] for r in rows if r[0] < 300]
