@@ -89,11 +89,15 @@ class ByteBpe:
             return b""
         if _ADJACENT.search(text):
             return self._encode(text)
+        first, rest = _at_blanks(text)
+        return self.ids_of_parts([first, *rest])
+
+    def ids_of_parts(self, parts: list[str]) -> bytes:
+        """Ids of parts that encode on their own."""
         if len(self.known) > _CACHE_WORDS:
             self.known.clear()
-        known, first, rest = self.known, *_at_blanks(text)
-        out = [known.get(first) or self._remember(first)]
-        for part in rest:
+        known, out = self.known, []
+        for part in parts:
             hit = known.get(part)
             out.append(hit if hit is not None else self._remember(part))
         return b"".join(out)

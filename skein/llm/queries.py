@@ -12,6 +12,9 @@ from skein.llm.op7_url_filter import op7_url_filter
 from skein.llm.op8_voronoi_knn import OP8_SQL, op8_voronoi_knn
 from skein.llm.op9_pii import op9_pii
 from skein.llm.op10_ctw import op10_ctw
+from skein.llm.op11_treap_search import OP11_SQL, op11_treap_search
+from skein.llm.op12_align import op12_align
+from skein.llm.op13_toxicity import op13_toxicity
 
 QUERIES = {
     "op1_divergence": op1_divergence,
@@ -24,9 +27,13 @@ QUERIES = {
     "op8_voronoi_knn": op8_voronoi_knn,
     "op9_pii": op9_pii,
     "op10_ctw": op10_ctw,
+    "op11_treap_search": op11_treap_search,
+    "op12_align": op12_align,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLES = {
     "op6_chat": OP6_SQL,
     "op8_voronoi_knn": OP8_SQL,
+    "op11_treap_search": OP11_SQL,
 }
