@@ -2,13 +2,14 @@
 
 from skein.operators.counting import (
     combine_by_key,
+    combine_placed,
     count_by,
     distinct_keys,
     field_stats,
     grand_total,
     sum_by,
 )
-from skein.operators.partitioning import key_ids, partition_per_key
+from skein.operators.partitioning import key_ids, map_partitions, partition_per_key, top_n_batches
 from skein.operators.rangejoin import RangeIndex, check_rules, range_lookup, rule_violations
 from skein.operators.ranking import (
     order_columns,
@@ -24,11 +25,13 @@ __all__ = [
     "RangeIndex",
     "check_rules",
     "combine_by_key",
+    "combine_placed",
     "count_by",
     "distinct_keys",
     "field_stats",
     "grand_total",
     "key_ids",
+    "map_partitions",
     "order_columns",
     "partition_per_key",
     "range_lookup",
@@ -37,6 +40,7 @@ __all__ = [
     "sum_by",
     "top_counts_all_keys",
     "top_n",
+    "top_n_batches",
     "top_n_distinct_counts",
     "top_n_per_group",
     "with_position",

@@ -29,14 +29,17 @@ from skein.functions import (
 from skein.operators import (
     RangeIndex,
     combine_by_key,
+    combine_placed,
     count_by,
     distinct_keys,
     field_stats,
     grand_total,
+    map_partitions,
     sort_by_rule,
     sum_by,
     top_counts_all_keys,
     top_n,
+    top_n_batches,
     top_n_distinct_counts,
     top_n_per_group,
     with_position,
@@ -56,6 +59,7 @@ COUNT_RULE = [("cnt", "desc"), ("word", "asc")]
 TEACHER_RULE = [("cnt", "desc"), ("teacher", "asc")]
 USER_RULE = [("fv", "desc"), ("age", "asc"), ("name", "asc")]
 MONEY_DIGITS = 2
+PART_CLASSES = 16
 
 
 # ----------------------------------------------------------------- C1 words --
@@ -160,6 +164,12 @@ def topn_group_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
                            strategy="key_partitions")
 
 
+def topn_partition_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 3 per host label by a function per partition, one partition per label."""
+    return map_partitions(subject_counts(spark, sf_dir), top_n_batches("subject", N_PER_GROUP, TEACHER_RULE),
+                          "subject string, teacher string, cnt bigint, rn bigint", key="subject", one_key_each=True)
+
+
 def distinct_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct host labels."""
     return distinct_keys(inputs.access_log(spark, sf_dir).select(host_label("value").alias("subject")), "subject")
@@ -212,6 +222,24 @@ def combine_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combine_by_key(sizes, "word", create, merge, "word string, total bigint, n bigint")
 
 
+def combine_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per part of ``lineitem``: quantity, lines and dearest line in one user state, placed by a class of parts."""
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").cast("bigint").alias("part"), F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.col("l_extendedprice").alias("price"))
+
+    def create(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.groupby("part", sort=False).agg(
+            quantity=("quantity", "sum"), lines=("quantity", "size"), dearest=("price", "max")).reset_index()
+
+    def merge(states: pd.DataFrame) -> pd.DataFrame:
+        return states.groupby("part", sort=False).agg(
+            {"quantity": "sum", "lines": "sum", "dearest": "max"}).reset_index()
+
+    return combine_placed(lines, "part", create, merge, "part bigint, quantity bigint, lines bigint, dearest double",
+                          place_by=F.col("part") % PART_CLASSES)
+
+
 def log_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines per word field."""
     return count_by(log_records(spark, sf_dir), "word")
@@ -310,12 +338,14 @@ BATCH_QUERIES = {
     "topn_per_group_colocated": topn_per_group_colocated,
     "topn_listed_groups": topn_listed_groups,
     "topn_group_partitions": topn_group_partitions,
+    "topn_partition_function": topn_partition_function,
     "distinct_groups": distinct_groups,
     "multi_key_sort": multi_key_sort,
     "log_status_count": log_status_count,
     "log_size_stats": log_size_stats,
     "log_size_range": log_size_range,
     "combine_by_key": combine_sizes,
+    "combine_by_key_placed": combine_parts,
     "log_word_count": log_word_count,
     "topn_distinct_counts": topn_distinct_counts,
     "topn_counts_all_words": topn_counts_all_words,

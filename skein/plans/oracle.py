@@ -121,6 +121,7 @@ SELECT string_split(url, '/')[-1] AS teacher, count(*) AS cnt FROM pages GROUP B
     "topn_listed_groups": "WITH " + _SUBJECTS
     + _TOP_GROUP.format(where="WHERE subject IN ('blog', 'www', 'm')"),
     "topn_group_partitions": "WITH " + _SUBJECTS + _TOP_GROUP.format(where=""),
+    "topn_partition_function": "WITH " + _SUBJECTS + _TOP_GROUP.format(where=""),
     "distinct_groups": "WITH " + _SUBJECTS + "\nSELECT DISTINCT subject FROM sc",
     "multi_key_sort": """
 SELECT name, age, fv,
@@ -139,6 +140,10 @@ FROM (
     "log_size_range": "WITH " + _LOG + "\nSELECT max(size) AS max_value, min(size) AS min_value FROM recs",
     "combine_by_key": "WITH " + _LOG
     + "\nSELECT word, CAST(sum(size) AS BIGINT) AS total, count(*) AS n FROM recs GROUP BY word",
+    "combine_by_key_placed": """
+SELECT CAST(l_partkey AS BIGINT) AS part, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity,
+       count(*) AS lines, max(l_extendedprice) AS dearest
+FROM lineitem GROUP BY 1""",
     "log_word_count": "WITH " + _LOG + "\nSELECT word, cnt FROM wc",
     "topn_distinct_counts": "WITH " + _LOG + """
 SELECT cnt, max(word) AS word FROM wc GROUP BY cnt ORDER BY cnt DESC LIMIT 5""",
