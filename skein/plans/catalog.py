@@ -7,6 +7,8 @@ plan per query.  Output columns are named to match the SQL oracle.
 
 from __future__ import annotations
 
+import os
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +49,9 @@ from skein.operators import (
 from skein.plans import inputs
 from skein.session import fresh_dir
 from skein.sinks.files import read_tuple_text, read_tuple_text_in_order, write_tuple_text
-from skein.sources.files import read_table
+from skein.sinks.joined import read_joined_parts, write_joined
+from skein.sources.charset import read_lines_in
+from skein.sources.files import read_id_ranges, read_table
 from skein.sources.kafka import allow_java_charsets, decode_value
 
 # Fixed query parameters.
@@ -60,6 +64,7 @@ TEACHER_RULE = [("cnt", "desc"), ("teacher", "asc")]
 USER_RULE = [("fv", "desc"), ("age", "asc"), ("name", "asc")]
 MONEY_DIGITS = 2
 PART_CLASSES = 16
+ID_RANGES = 8
 
 
 # ----------------------------------------------------------------- C1 words --
@@ -104,6 +109,15 @@ def text_sink_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tuple_text_in_order(spark, path, ["word", "cnt"], ["string", "bigint"])
 
 
+def decode_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of the document lines after a round trip through GB18030 text files."""
+    allow_java_charsets(spark)
+    path = fresh_dir(spark, "gb18030-lines")
+    # The text sink writes the bytes of a string as they are.
+    inputs.doc_lines(spark, sf_dir).select(F.encode("value", "GB18030").cast("string").alias("value")).write.text(path)
+    return count_by(read_lines_in(spark, path, "GB18030").select(tokens("value", " ").alias("word")), "word")
+
+
 def _decoded(spark: SparkSession, sf_dir: str, charset: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents")
     msgs = d.select(F.col("doc_id").cast("string").alias("key"), F.encode("text", charset).alias("value"))
@@ -240,6 +254,27 @@ def combine_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           place_by=F.col("part") % PART_CLASSES)
 
 
+def id_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the middle half of the ids, read by one scan partition per id range."""
+    path = os.path.join(sf_dir, "events.parquet")
+    last = spark.read.parquet(path).agg(F.max("event_id")).first()[0]
+    rows = read_id_ranges(spark, path, "event_id", last // 4, last // 4 * 3, ID_RANGES, number="range_no")
+    return rows.select("event_id", "user_id", "event_type", "range_no")
+
+
+def joined_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest distinct word counts with their words joined without separator, through files.
+
+    A count's words are one text, as the original prints it; its length is the answer's own.
+    """
+    path = fresh_dir(spark, "joined-words")
+    write_joined(topn_counts_all_words(spark, sf_dir), path, "word", ["position"], sep="", by="cnt")
+    parts = read_joined_parts(spark, path).groupBy("folder").agg(
+        F.array_sort(F.collect_list(F.struct("file", "content"))).alias("p"))
+    text = F.concat_ws("", F.transform("p", lambda x: F.decode(x["content"], "UTF-8")))
+    return parts.select(F.regexp_extract("folder", "cnt=(.*)", 1).cast("bigint").alias("cnt"), text.alias("words"))
+
+
 def log_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines per word field."""
     return count_by(log_records(spark, sf_dir), "word")
@@ -332,6 +367,7 @@ BATCH_QUERIES = {
     "text_sink_order": text_sink_order,
     "decode_messages": decode_messages,
     "decode_messages_gb18030": decode_messages_gb18030,
+    "decode_lines": decode_lines,
     "url_segment_count": url_segment_count,
     "url_pair_count": url_pair_count,
     "topn_per_group": topn_per_group,
@@ -346,6 +382,8 @@ BATCH_QUERIES = {
     "log_size_range": log_size_range,
     "combine_by_key": combine_sizes,
     "combine_by_key_placed": combine_parts,
+    "id_range_read": id_range_read,
+    "joined_words": joined_words,
     "log_word_count": log_word_count,
     "topn_distinct_counts": topn_distinct_counts,
     "topn_counts_all_words": topn_counts_all_words,

@@ -96,6 +96,15 @@ SELECT doc_id, text,
          + 3 * length(regexp_replace(text, '[\\x00-\\x7F{_TWO_BYTES}]', '', 'g')) AS bytes
 FROM documents"""
 
+# Order messages: sparse partitions, offsets rising over the drops.
+_ORDER_LOG = """
+msgs AS (
+  SELECT o_orderkey % {rounds} AS drop_no,
+         CASE o_orderkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 3 ELSE 7 END AS partition,
+         o_orderkey % {rounds} * CAST(1000000000000 AS BIGINT) + o_orderkey AS pos, o_totalprice AS price
+  FROM orders
+)"""
+
 ORACLE_SQL: dict[str, str] = {
     "word_count": _WORD_COUNT,
     "word_count_top": _WORD_COUNT + "\nORDER BY cnt DESC, word ASC LIMIT 100",
@@ -113,6 +122,7 @@ SELECT word, count(*) AS cnt FROM (
     + _WORD_COUNT + ")",
     "decode_messages": "SELECT doc_id, text FROM documents",
     "decode_messages_gb18030": _GB18030,
+    "decode_lines": _WORD_COUNT,
     "url_segment_count": """
 SELECT string_split(url, '/')[-1] AS teacher, count(*) AS cnt FROM pages GROUP BY 1""",
     "url_pair_count": "WITH " + _SUBJECTS + "\nSELECT subject, teacher, cnt FROM counts",
@@ -144,6 +154,16 @@ FROM (
 SELECT CAST(l_partkey AS BIGINT) AS part, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity,
        count(*) AS lines, max(l_extendedprice) AS dearest
 FROM lineitem GROUP BY 1""",
+    "id_range_read": """
+WITH b AS (SELECT max(event_id) // 4 AS lo, max(event_id) // 4 * 3 AS hi FROM events),
+r AS (SELECT k, lo + k * (hi - lo + 1) // 8 AS s, lo + (k + 1) * (hi - lo + 1) // 8 - 1 AS e
+      FROM b, (SELECT unnest(range(8)) AS k))
+SELECT event_id, user_id, event_type, CAST(k AS INTEGER) AS range_no
+FROM events JOIN r ON event_id BETWEEN s AND e""",
+    "joined_words": "WITH " + _LOG + """
+SELECT cnt, string_agg(word, '' ORDER BY word) AS words FROM wc
+WHERE cnt IN (SELECT DISTINCT cnt FROM wc ORDER BY cnt DESC LIMIT 5)
+GROUP BY cnt""",
     "log_word_count": "WITH " + _LOG + "\nSELECT word, cnt FROM wc",
     "topn_distinct_counts": "WITH " + _LOG + """
 SELECT cnt, max(word) AS word FROM wc GROUP BY cnt ORDER BY cnt DESC LIMIT 5""",
@@ -187,6 +207,18 @@ SELECT CAST(doc_id % 4 AS BIGINT) AS batch_id, word, count(*) AS cnt
 FROM doc_words GROUP BY 1, 2""",
     "stream_running_counts": _WORD_COUNT,
     "stream_state_update": _WORD_COUNT,
+    "stream_state_dump": _WORD_COUNT,
+    "stream_offsets": "WITH " + _ORDER_LOG.format(rounds=4) + """
+SELECT CAST(drop_no AS BIGINT) AS batch_id, partition, min(pos) AS from_offset, max(pos) + 1 AS until_offset
+FROM msgs GROUP BY 1, 2""",
+    "stream_from_offsets": "WITH " + _ORDER_LOG.format(rounds=1) + """,
+top AS (SELECT max(pos) AS top FROM msgs)
+SELECT partition, min(pos) AS first_offset, count(*) AS cnt, round(sum(price), 2) AS total
+FROM msgs, top
+WHERE pos >= CASE partition WHEN 3 THEN top // 2 WHEN 7 THEN top - top // 10 ELSE 0 END
+GROUP BY partition""",
+    "stream_partition_writer": """
+SELECT CAST(event_id % 4 AS BIGINT) AS epoch, event_id, event_type FROM events""",
     "stream_order_totals": _ORDER_TOTALS,
     "stream_resume": _ORDER_TOTALS,
 }

@@ -9,8 +9,13 @@ from skein.streaming.counts import (
     read_batch_counts,
     running_counts,
     running_state,
+    running_states,
+    state_partitions,
+    stored_offsets,
+    stored_state,
     to_console,
     update_state,
+    update_states,
 )
 from skein.streaming.orders import order_deltas, order_totals_stream
 
@@ -25,6 +30,11 @@ __all__ = [
     "read_batch_counts",
     "running_counts",
     "running_state",
+    "running_states",
+    "state_partitions",
+    "stored_offsets",
+    "stored_state",
     "to_console",
     "update_state",
+    "update_states",
 ]

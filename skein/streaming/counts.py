@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skein.functions.text import tokens
 from skein.operators.counting import count_by
-from skein.sinks.store import BatchStore
+from skein.sinks.store import BatchStore, offset_ranges
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 COUNTS_SCHEMA = "word string, cnt bigint"
@@ -67,16 +67,22 @@ def per_batch_counts(
     delimiter: str = " ",
     trigger: dict | None = None,
     name: str | None = None,
+    compact_every: int = 100,
+    with_offsets: bool = False,
 ) -> StreamingQuery:
     """Counts of each micro-batch on its own (``reduceByKey`` on a DStream).
 
-    An empty batch yields no rows.  Batches stay apart, so nothing is merged away.
+    An empty batch yields no rows.  Compaction puts the rows of many batches into
+    one part and keeps them apart by ``batch_id``.  ``with_offsets`` (for messages:
+    ``topic``, ``partition``, ``offset`` beside ``value``) commits the batch's offset ranges
+    together with its counts; read them with :func:`stored_offsets`.
     """
-    store = _store(lines.sparkSession, out_root, running=False, compact_every=1 << 62)
+    store = _store(lines.sparkSession, out_root, False, compact_every)
     store.claim(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write(count_by(batch.select(tokens("value", delimiter).alias("word")), "word"), batch_id)
+        store.write(count_by(batch.select(tokens("value", delimiter).alias("word")), "word"), batch_id,
+                    offset_ranges(batch) if with_offsets else None)
 
     return start_batches(lines, write, checkpoint, trigger, name)
 
@@ -129,6 +135,98 @@ def update_state(
         run, f"{key} {key_type}, {state_schema}", state_schema, "update", GroupStateTimeout.NoTimeout)
 
 
+def update_states(
+    rows: DataFrame,
+    key: str,
+    update: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    state_schema: str,
+    combine: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
+    combined_schema: str | None = None,
+    buckets: int = 256,
+) -> DataFrame:
+    """``updateStateByKey`` with a user function over frames of many keys.
+
+    ``update(new, old)`` gets a batch's rows of many keys and the states those keys have
+    (``key`` and the columns of ``state_schema``; a key without one is missing) and
+    returns the new state of every key of ``new``, one row each; those rows are the result.
+    ``combine`` (rows of ``combined_schema``) runs per task before rows are shuffled, so that a hot
+    key sends a row per Arrow batch and not each of its rows.
+
+    A call serves one of ``buckets`` groups of keys, whose states are kept together as one value: the
+    cost of a batch is a call per touched group and not per key, at the price of rewriting the
+    touched groups.  Choose ``buckets`` for some thousand keys each; it is fixed at the first start.
+    """
+    import pyarrow as pa
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    key_type = rows.schema[key].dataType.simpleString()
+    names = [key, *[f.split()[0] for f in state_schema.split(", ")]]
+
+    def combined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield combine(batch)
+
+    def run(k, batches, state):
+        new = pd.concat(list(batches), ignore_index=True).drop(columns="_bucket")
+        held = None
+        if state.exists:
+            with pa.ipc.open_stream(state.get[0]) as r:
+                held = r.read_all().to_pandas()
+        mine = None if held is None else held[key].isin(new[key])
+        old = pd.DataFrame(columns=names) if held is None else held[mine].reset_index(drop=True)
+        out = update(new, old)[names]
+        whole = out if held is None else pd.concat([held[~mine], out], ignore_index=True)
+        table = pa.Table.from_pandas(whole, preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as w:
+            w.write_table(table)
+        state.update((sink.getvalue().to_pybytes(),))
+        yield out
+
+    if combine is not None:
+        rows = rows.mapInPandas(combined, combined_schema)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    return rows.withColumn("_bucket", bucket).groupBy("_bucket").applyInPandasWithState(
+        run, f"{key} {key_type}, {state_schema}", "states binary", "update", GroupStateTimeout.NoTimeout)
+
+
+def running_states(
+    lines: DataFrame,
+    out_root: str,
+    checkpoint: str,
+    update: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    delimiter: str = " ",
+    trigger: dict | None = None,
+    name: str | None = None,
+    compact_every: int = 100,
+    buckets: int = 256,
+) -> StreamingQuery:
+    """Running ``cnt`` per token by a user function over frames (:func:`update_states`).
+
+    ``new`` has ``word`` and ``n``, its occurrences in an Arrow batch of a task; the state is ``cnt bigint``.
+    """
+
+    def combine(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.groupby("word", dropna=False, sort=False).size().rename("n").reset_index()
+
+    words = lines.select(tokens("value", delimiter).alias("word"))
+    counts = update_states(words, "word", update, "cnt bigint", combine, "word string, n bigint", buckets)
+    return _store_batches(counts, out_root, checkpoint, True, compact_every, trigger, name, "update")
+
+
+def stored_state(spark: SparkSession, checkpoint: str, operator_id: int = 0) -> DataFrame:
+    """Keys and values that a query's state store holds after its last committed batch:
+    ``key``, ``value`` (structs) and ``partition_id``, read by Spark's ``statestore`` source."""
+    return spark.read.format("statestore").option("path", checkpoint).option("operatorId", operator_id).load()
+
+
+def state_partitions(spark: SparkSession, checkpoint: str, operator_id: int = 0) -> int:
+    """The number of state partitions, fixed at the query's first start (``state-metadata`` source)."""
+    meta = spark.read.format("state-metadata").option("path", checkpoint).load()
+    return int(meta.where(F.col("operatorId") == operator_id).select("numPartitions").first()[0])
+
+
 def running_state(
     lines: DataFrame,
     out_root: str,
@@ -146,7 +244,7 @@ def running_state(
 
 
 def read_batch_counts(spark: SparkSession, out_root: str) -> DataFrame:
-    """Every batch's rows ``(batch_id, word, cnt)`` (batches that a snapshot covers may be gone)."""
+    """Every batch's rows ``(batch_id, word, cnt)`` (of running counts, what compaction has left of them)."""
     return _store(spark, out_root, running=False).batches().select("batch_id", "word", "cnt")
 
 
@@ -157,7 +255,7 @@ def latest_counts(spark: SparkSession, out_root: str) -> DataFrame:
 
 def counts_after(spark: SparkSession, out_root: str, batch_id: int) -> DataFrame:
     """Running totals as they stood after ``batch_id`` (all keys, as ``complete`` mode shows),
-    as long as no snapshot has covered that batch."""
+    as long as compaction has not merged that batch with a later one."""
     d = read_batch_counts(spark, out_root).where(F.col("batch_id") <= int(batch_id))
     return d.groupBy("word").agg(F.max_by("cnt", "batch_id").alias("cnt"))
 
@@ -178,32 +276,59 @@ def to_console(df: DataFrame, num_rows: int = 10, output_mode: str = "update",
 
 
 def for_each_partition(df: DataFrame, make_writer: Callable[[int, int], object], checkpoint: str,
-                       trigger: dict | None = None) -> StreamingQuery:
+                       trigger: dict | None = None, output_mode: str | None = None) -> StreamingQuery:
     """Hand rows to a writer per partition and batch (``foreachPartition`` of a batch).
 
-    ``make_writer(partition, batch_id)`` runs on the executor and returns an
-    object with ``write(row)`` and ``close()``; a replayed batch comes with the
-    same two numbers, so a writer can make itself idempotent by them.
+    ``make_writer(partition, batch_id)`` runs on the executor; a replayed batch comes with
+    the same two numbers.  The writer has ``write(row)`` and may have
+
+    * ``open()``: False refuses the partition, as one that is committed already;
+    * ``commit()`` after its last row, ``abort(error)`` instead if a row failed;
+    * ``close()`` at the end of either.
+
+    Which rows a partition holds must not depend on the run for a replay to be harmless:
+    place them by a key.
     """
 
     class Rows:
         def open(self, partition_id: int, epoch_id: int) -> bool:
             self.writer = make_writer(partition_id, epoch_id)
-            return True
+            ready = self._call("open")
+            self.refused = ready is False
+            return not self.refused
+
+        def _call(self, name: str, *args):
+            f = getattr(self.writer, name, None)
+            return f(*args) if f else None
 
         def process(self, row) -> None:
             self.writer.write(row)
 
         def close(self, error) -> None:
-            self.writer.close()
+            if self.refused:
+                return
+            try:
+                self._call("abort", error) if error is not None else self._call("commit")
+            finally:
+                self._call("close")
+
+    w = df.writeStream.foreach(Rows()).option("checkpointLocation", checkpoint)
+    if output_mode:
+        w = w.outputMode(output_mode)
+    return w.trigger(**(trigger or DEFAULT_TRIGGER)).start()
 
-    return df.writeStream.foreach(Rows()).option("checkpointLocation", checkpoint).trigger(
-        **(trigger or DEFAULT_TRIGGER)).start()
+
+def stored_offsets(spark: SparkSession, out_root: str) -> DataFrame:
+    """batch_id, topic, partition, from_offset, until_offset of every batch in the store: the durable
+    record (``HasOffsetRanges`` and the original's saved offsets), committed with the output."""
+    return _store(spark, out_root, running=False).offsets()
 
 
 def batch_offsets(query: StreamingQuery) -> list[dict]:
-    """Per finished batch: its id and each source's start and end offsets
-    (what the original read from ``HasOffsetRanges``)."""
+    """Ids and source offsets of the batches in this query's recent progress reports.
+
+    For watching a running query: Spark keeps its last 100 reports (see
+    ``spark.sql.streaming.numRecentProgressUpdates``); :func:`stored_offsets` has all batches."""
     out = []
     for p in query.recentProgress:
         for src in p.get("sources", []):

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skein.functions.net import ip_to_long
 from skein.functions.records import parse_orders
 from skein.operators.rangejoin import RangeIndex
+from skein.sinks.store import offset_ranges
 from skein.sinks.totals import totals_store
 from skein.sources.kafka import message_values
 from skein.streaming.counts import start_batches
@@ -56,18 +57,20 @@ def order_totals_stream(
     after_write: Callable[[int], None] | None = None,
     name: str | None = None,
     compact_every: int = 100,
+    with_offsets: bool = False,
 ) -> StreamingQuery:
     """Start the running-totals query over a message stream (Kafka source schema).
 
     ``after_write(batch_id)`` runs after a batch's deltas are written and
-    before Spark commits the batch (a hook for failure tests).
+    before Spark commits the batch (a hook for failure tests).  ``with_offsets`` commits
+    each batch's offset ranges together with its deltas.
     """
     store = totals_store(messages.sparkSession, totals_root, compact_every)
     store.claim(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         records = parse_orders(message_values(batch, charset))
-        store.write(order_deltas(records, index), batch_id)
+        store.write(order_deltas(records, index), batch_id, offset_ranges(batch) if with_offsets else None)
         if after_write is not None:
             after_write(batch_id)
 

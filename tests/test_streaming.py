@@ -204,3 +204,47 @@ def test_a_store_belongs_to_one_query(spark):
     run("ck1").awaitTermination()
     with pytest.raises(ValueError):
         run("ck2")
+
+
+def test_state_of_many_keys_by_frames(spark):
+    from skein.streaming import latest_counts, running_states
+
+    def update(new, old):
+        total = new.groupby("word", sort=False)["n"].sum()
+        before = old.set_index("word")["cnt"].reindex(total.index).fillna(0)
+        return (total + before).astype("int64").rename("cnt").reset_index()
+
+    for buckets in (1, 64):
+        root = _replay_text(spark, lambda inp, root, b=buckets: running_states(
+            spark.readStream.text(inp), os.path.join(root, "out"), os.path.join(root, "ck"), update, trigger=ONCE,
+            compact_every=2, buckets=b))
+        got = sorted(map(tuple, latest_counts(spark, os.path.join(root, "out")).collect()))
+        assert got == [("a", 3), ("b", 2), ("c", 1)]
+
+
+def test_offsets_are_committed_with_order_totals(spark):
+    from skein.sinks.totals import totals_store
+
+    rules = spark.createDataFrame([(1 << 24, (2 << 24) - 1, "A")], "lo bigint, hi bigint, province string")
+    index = RangeIndex(rules, ["province"])
+    root = fresh_dir(spark, "t-orders")
+    inp, out, ck = (os.path.join(root, x) for x in ("in", "totals", "ck"))
+    for i in range(2):
+        msgs = [(None, bytearray(b"t 1.2.3.4 x y 1.0"), "orders", p, 10 * i + p) for p in (0, 4)]
+        spark.createDataFrame(msgs, SCHEMA).write.mode("append").parquet(inp)
+        order_totals_stream(spark.readStream.schema(SCHEMA).parquet(inp), index, out, ck, trigger=ONCE,
+                            with_offsets=True).awaitTermination()
+    got = sorted(map(tuple, totals_store(spark, out).offsets().collect()))
+    assert got == [(0, "orders", 0, 0, 1), (0, "orders", 4, 4, 5), (1, "orders", 0, 10, 11), (1, "orders", 4, 14, 15)]
+
+
+def test_state_partitions_come_from_the_metadata(spark):
+    from skein.streaming import state_partitions, stored_state
+
+    root = _replay_text(spark, lambda inp, root: running_counts(
+        spark.readStream.text(inp), os.path.join(root, "out"), os.path.join(root, "ck"), trigger=ONCE))
+    ck = os.path.join(root, "ck")
+    assert state_partitions(spark, ck) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = stored_state(spark, ck).select("key.word", "value.count", "partition_id").collect()
+    assert sorted((r[0], r[1]) for r in got) == [("a", 3), ("b", 2), ("c", 1)]
+    assert max(r.partition_id for r in got) < state_partitions(spark, ck)
