@@ -10,12 +10,15 @@ mixture those weights define: a node stops with weight Pe / (2 Pw) and otherwise
 asks the deeper context.  A context never seen predicts as its parent.
 
 Counting: every task counts its (context, byte) pairs and words, Spark sums
-them; the tree's levels are aggregates of the level below.  Every node stays in
-a table.  Predictions go back down the levels, each level joined to the one
-above, and give the probability of every distinct (context, byte) code of the
-corpus, held-out texts included.  At most ``top_codes`` codes, the most
-frequent, are broadcast; a text's other codes are looked up by a join, so the
-tree may grow with the corpus and no context is dropped.
+them.  The distinct codes are dealt by their context's nearest three bytes, so that
+whole subtrees meet: a bucket computes its levels in arrays, the deepest
+first, and hands up only the counts and weights of its three-byte contexts.
+The levels above (at most 256 ** 3 contexts) are Spark aggregates of the level below,
+and their predictions come back by joins; the buckets then finish the prediction of every
+distinct code of the corpus, held-out texts included.  No context is dropped; a
+code is shuffled twice and only three-byte contexts are written.  At most
+``top_codes`` codes, the most frequent, are broadcast; a text's other codes are looked
+up by a join, so the tree may grow with the corpus.
 
 Beside it a word unigram base: log10((c + 0.5) / (N + 0.5 (V + 1))) per token.
 At most ``top_words`` words, the most frequent, are broadcast; all other words are
@@ -43,8 +46,6 @@ from pyspark.sql import functions as F
 from skein.llm.common import cut, slices, table
 
 FLUSH_WORDS, FLUSH_CODES = 400_000, 1_000_000
-#: Codes whose probability a worker remembers.
-CACHE_CODES = 3_000_000
 #: The end token in the table of words; no word holds a blank.
 END = " "
 
@@ -138,157 +139,170 @@ def count_corpus(docs: DataFrame, depth: int, held_out: Column | None = None) ->
     return cut(parts.groupBy("word", "code").agg(F.sum("n").alias("n")), "ctw-counts")
 
 
-def log_gamma(x: Column) -> Column:
-    """Natural log of gamma for x >= 1/2 to about 1e-9: Stirling's series at x + 6, stepped down."""
+def log_gamma(x):
+    """Natural log of gamma for x >= 1/2 to about 1e-9: Stirling's series at x + 6, stepped down.
+
+    For a column, or for an array of numbers.
+    """
+    log = F.log if isinstance(x, Column) else np.log
     y = x + 6.0
-    stirling = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12.0 * y) - 1 / (
+    stirling = (y - 0.5) * log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12.0 * y) - 1 / (
         360.0 * y * y * y) + 1 / (1260.0 * y * y * y * y * y)
-    return stirling - F.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
-
+    return stirling - log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
 
-def decisions(codes: DataFrame, *carry: str) -> DataFrame:
-    """ctx, node, one and ``carry`` columns of the eight decisions of every code.
 
-    ``node`` is the byte's leading bits behind a leading one; ``one`` the bit that follows.
-    """
-    byte = F.col("code").bitwiseAND(F.lit(255))
-    bits = codes.select(*carry, F.shiftright("code", 8).alias("ctx"), byte.alias("byte"),
-                        F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
-    return bits.select(*carry, "ctx", F.expr("shiftleft(1L, i) | shiftright(byte, 8 - i)").alias("node"),
-                       F.expr("shiftright(byte, 7 - i) & 1").alias("one"))
+def log_estimate(a, b):
+    """Natural log of the Krichevsky-Trofimov probability of a zeros and b ones."""
+    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - math.log(math.pi)
 
 
-def tree_levels(codes: DataFrame, depth: int) -> list[DataFrame]:
-    """ctx, node, zeros, ones, pw, stop, go of every decision's tree, a table per level, the
-    root first.
+class Level:
+    """The decisions of all contexts of one length: ``key`` = context << 8 | node, ascending, where a node
+    is the byte's leading bits behind a leading one; their zeros, ones and log weight ``pw``;
+    the weight ``stop`` with which each predicts by itself, and ``go``, the rest."""
 
-    ``stop`` is the weight with which the node predicts by itself, ``go`` the rest
-    of it.  Codes with n = 0 have nodes without observations, which change no weight.
-    """
-    n, one = F.col("n"), F.col("one")
-    level = decisions(codes, "n").groupBy("ctx", "node").agg(
-        F.sum((1 - one) * n).alias("zeros"), F.sum(one * n).alias("ones"))
-    a, b = F.col("zeros"), F.col("ones")
-    log_pe = (log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - math.log(math.pi))
-    level = level.select("*", log_pe.alias("pw"), F.lit(1.0).alias("stop"), F.lit(0.0).alias("go"))
-    out: list[DataFrame] = []
-    for d in range(depth, -1, -1):
-        level = cut(level, f"ctw-level{d}")
-        out.insert(0, level)
-        if d:
-            up = level.groupBy(F.shiftright("ctx", 8).alias("ctx"), "node").agg(
-                F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("pw").alias("deep"))
-            up = up.withColumn("pe", log_pe)
-            top = F.greatest("pe", "deep")
-            pw = top + F.log(F.exp(F.col("pe") - top) + F.exp(F.col("deep") - top)) - math.log(2)
+    def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, deep: np.ndarray | None):
+        self.key, self.zeros, self.ones = key, zeros, ones
+        pe = log_estimate(zeros.astype(np.float64), ones.astype(np.float64))
+        if deep is None:
+            self.pw, self.stop, self.go = pe, np.ones(len(key)), np.zeros(len(key))
+        else:
+            self.pw = np.logaddexp(pe, deep) - math.log(2)
             # Each weight from its own exponent: neither is formed as one minus the other.
-            level = up.select("ctx", "node", "zeros", "ones", pw.alias("pw"),
-                              (1 / (1 + F.exp(F.col("deep") - F.col("pe")))).alias("stop"),
-                              (1 / (1 + F.exp(F.col("pe") - F.col("deep")))).alias("go"))
+            with np.errstate(over="ignore"):
+                self.stop, self.go = 1 / (1 + np.exp(deep - pe)), 1 / (1 + np.exp(pe - deep))
+
+    def down(self, zero, one, rest, p_zero, p_one) -> tuple[np.ndarray, ...]:
+        """What these contexts and those above have said, from what those above have: the mixtures
+        so far, the weight left, and the prediction of the deepest context with observations."""
+        seen = self.zeros + self.ones
+        kt_zero, kt_one = (self.zeros + 0.5) / (seen + 1.0), (self.ones + 0.5) / (seen + 1.0)
+        return (zero + rest * self.stop * kt_zero, one + rest * self.stop * kt_one, rest * self.go,
+                np.where(seen > 0, zero + rest * kt_zero, p_zero), np.where(seen > 0, one + rest * kt_one, p_one))
+
+
+def _decision(codes: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, bit) of the i-th decision of every code in its longest context."""
+    byte = codes & 255
+    return (codes >> 8 << 8) | (1 << i) | (byte >> (8 - i)), (byte >> (7 - i)) & 1
+
+
+def _sums(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Distinct keys, ascending, and the sums of the values at each."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return [key[first], *(np.add.reduceat(v[order], first) if len(key) else v for v in values)]
+
+
+def _parent(key: np.ndarray) -> np.ndarray:
+    return (key >> 16 << 8) | (key & 255)
+
+
+def lower_levels(codes: np.ndarray, n: np.ndarray, depth: int, split: int) -> list[Level]:
+    """Levels ``split`` to ``depth`` of the codes (ascending, distinct) of whole contexts of length ``split``."""
+    parts = []
+    for i in range(8):
+        key, bit = _decision(codes, i)
+        # Codes ascend, so the keys of one decision do.
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        parts.append([key[first], np.add.reduceat((1 - bit) * n, first), np.add.reduceat(bit * n, first)])
+    out = [Level(*_sums(*(np.concatenate(x) for x in zip(*parts))), None)]
+    for _ in range(depth - split):
+        below = out[0]
+        out.insert(0, Level(*_sums(_parent(below.key), below.zeros, below.ones, below.pw)))
     return out
 
 
-def context_tree(codes: DataFrame, depth: int) -> DataFrame:
-    """level, ctx, node, zeros, ones, stop for every node of every decision's tree."""
-    out = None
-    for d, level in enumerate(tree_levels(codes, depth)):
-        own = level.select(F.lit(d).alias("level"), "ctx", "node", "zeros", "ones", "stop")
-        out = own if out is None else out.unionByName(own)
-    return out
+def _grouped(codes: DataFrame, depth: int, split: int, bucket_codes: int) -> DataFrame:
+    """The codes with the bucket of their context of length ``split``: its codes stay together."""
+    buckets = max(1, -(-codes.count() // bucket_codes))
+    ctx = F.shiftright("code", 8 * (depth - split) + 8)
+    return codes.select("code", "n", F.pmod(F.xxhash64(ctx), F.lit(buckets)).cast("int").alias("bucket"))
 
 
-def code_probabilities(codes: DataFrame, depth: int) -> DataFrame:
-    """code, n, log10: the probability of every code's byte in its context, by the whole tree of
-    the codes (code, n); codes with n = 0 are predicted, and count for nothing.
+def upper_state(lower: DataFrame, split: int) -> DataFrame:
+    """bucket, key, zero, one, rest, p_zero, p_one: what the contexts shorter than ``split`` say on
+    every decision of level ``split`` (bucket, key, zeros, ones, pw).
 
-    Down the levels a node carries what the contexts above it have said (``zero``,
-    ``one``), the weight they left (``rest``), and the prediction of the deepest
-    context with observations (``p_zero``, ``p_one``).
+    The levels are aggregates of the level below; the predictions go back down by joins.
     """
-    a, b = F.col("zeros"), F.col("ones")
+    node = F.col("key").bitwiseAND(F.lit(255))
+    a, b, rest = F.col("zeros"), F.col("ones"), F.col("rest")
+    level = lower.select(F.shiftright("key", 8).alias("ctx"), node.alias("node"), "zeros", "ones", "pw")
+    levels: list[DataFrame] = []
+    for d in range(split - 1, -1, -1):
+        up = level.groupBy(F.shiftright("ctx", 8).alias("ctx"), "node").agg(
+            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("pw").alias("deep"))
+        up = up.withColumn("pe", log_estimate(a, b))
+        top = F.greatest("pe", "deep")
+        pw = top + F.log(F.exp(F.col("pe") - top) + F.exp(F.col("deep") - top)) - math.log(2)
+        level = cut(up.select("ctx", "node", "zeros", "ones", pw.alias("pw"),
+                              (1 / (1 + F.exp(F.col("deep") - F.col("pe")))).alias("stop"),
+                              (1 / (1 + F.exp(F.col("pe") - F.col("deep")))).alias("go")), f"ctw-level{d}")
+        levels.insert(0, level)
+    start = {"zero": 0.0, "one": 0.0, "rest": 1.0, "p_zero": 0.5, "p_one": 0.5}
     kt = {"zero": (a + 0.5) / (a + b + 1.0), "one": (b + 0.5) / (a + b + 1.0)}
-    rest = F.col("rest")
     above = None
-    for d, level in enumerate(tree_levels(codes, depth)):
-        own = level.select("ctx", "node", "zeros", "ones", "stop", "go")
+    for level in levels:
+        own = level.withColumn("up", F.shiftright("ctx", 8))
         if above is None:
-            met = own.select("*", F.lit(0.0).alias("zero"), F.lit(0.0).alias("one"), F.lit(1.0).alias("rest"),
-                             F.lit(0.5).alias("p_zero"), F.lit(0.5).alias("p_one"))
+            met = own.select("*", *[F.lit(v).alias(k) for k, v in start.items()])
         else:
-            met = own.withColumn("up", F.shiftright("ctx", 8)).join(
-                above.withColumnRenamed("ctx", "up"), ["up", "node"]).drop("up")
+            met = own.join(above.withColumnRenamed("ctx", "up"), ["up", "node"])
         seen = a + b > 0
         above = met.select(
             "ctx", "node", *[(F.col(x) + rest * F.col("stop") * kt[x]).alias(x) for x in kt],
             (rest * F.col("go")).alias("rest"),
             *[F.when(seen, F.col(x) + rest * kt[x]).otherwise(F.col("p_" + x)).alias("p_" + x) for x in kt])
-    bits = decisions(codes, "code", "n").join(above.select("ctx", "node", "p_zero", "p_one"), ["ctx", "node"])
-    return cut(bits.groupBy("code").agg(
-        F.max("n").alias("n"),
-        F.sum(F.log10(F.when(F.col("one") == 1, F.col("p_one")).otherwise(F.col("p_zero")))).alias("log10")),
-        "ctw-codes")
+    mine = lower.select("bucket", "key", F.shiftright("key", 16).alias("ctx"), node.alias("node"))
+    if above is None:
+        return mine.select("bucket", "key", *[F.lit(v).alias(k) for k, v in start.items()])
+    return mine.join(above, ["ctx", "node"]).select("bucket", "key", *start)
 
 
-class Model:
-    """A tree held by one process: sorted node keys, stopping weights and KT estimates of a zero and a one.
+def code_probabilities(codes: DataFrame, depth: int, split: int = 3, bucket_codes: int = 300_000) -> DataFrame:
+    """code, n, log10: the probability of every code's byte in its context, by the whole tree of
+    the codes (code, n); codes with n = 0 are predicted, and count for nothing.
 
-    For use beside Spark on a corpus that fits; ``score`` uses the tables instead.
+    The levels from ``split`` down are computed per bucket of whole contexts of that
+    length, in arrays; those above, at most 256 ** ``split`` contexts, by Spark aggregates and joins.
     """
+    split = min(split, depth)
+    grouped = cut(_grouped(codes, depth, split, bucket_codes), "ctw-grouped")
 
-    def __init__(self, depth: int, nodes: pa.Table):
-        self.depth = depth
-        key, stop, zero, one = (nodes.column(c).to_numpy() for c in ("key", "stop", "zero", "one"))
-        order = np.argsort(key)
-        self.key, self.stop = key[order], stop[order]
-        self.zero, self.one = zero[order], one[order]
-
-    def log10(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of each code's byte in its context; codes ascending run fastest."""
-        out = np.zeros(len(codes))
-        byte = codes & 255
+    def sorted_codes(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        code, n = t.column("code").to_numpy(), t.column("n").to_numpy()
+        order = np.argsort(code)
+        return code[order], n[order]
+
+    def up(t: pa.Table) -> pa.Table:
+        top = lower_levels(*sorted_codes(t), depth, split)[0]
+        bucket = np.full(len(top.key), t.column("bucket")[0].as_py(), np.int32)
+        return pa.table({"bucket": bucket, "key": top.key, "zeros": top.zeros, "ones": top.ones, "pw": top.pw})
+
+    def down(t: pa.Table, state: pa.Table) -> pa.Table:
+        code, n = sorted_codes(t)
+        levels = lower_levels(code, n, depth, split)
+        order = np.argsort(state.column("key").to_numpy())
+        said = [state.column(c).to_numpy()[order] for c in ("zero", "one", "rest", "p_zero", "p_one")]
+        for k, level in enumerate(levels):
+            if k:
+                at = np.searchsorted(levels[k - 1].key, _parent(level.key))
+                said = [v[at] for v in said]
+            said = list(level.down(*said))
+        total = np.zeros(len(code))
         for i in range(8):
-            node = (1 << i) | (byte >> (8 - i))
-            bit = (byte >> (7 - i)) & 1
-            p = seen_below = None
-            for d in range(self.depth, -1, -1):
-                key = (d << 56) | (codes >> (8 * (self.depth - d) + 8) << 8) | node
-                at = np.minimum(np.searchsorted(self.key, key), max(0, len(self.key) - 1))
-                found = self.key[at] == key if len(self.key) else np.zeros(len(codes), bool)
-                if len(self.key):
-                    kt = np.where(bit == 1, self.one[at], self.zero[at])
-                    stop = self.stop[at]
-                else:
-                    kt = stop = np.full(len(codes), 0.5)
-                deeper = kt if p is None else np.where(seen_below, p, kt)
-                p = np.where(found, stop * kt + (1 - stop) * deeper, 0.5)
-                seen_below = found
-            out += np.log10(p)
-        return out
+            key, bit = _decision(code, i)
+            at = np.searchsorted(levels[-1].key, key)
+            total += np.log10(np.where(bit == 1, said[4][at], said[3][at]))
+        return pa.table({"code": code, "n": n, "log10": total})
 
-
-class Remembered:
-    """A model with the probabilities of the codes it has met, sorted."""
-
-    def __init__(self, model: Model):
-        self.model, self.codes, self.values = model, np.zeros(0, np.int64), np.zeros(0)
-
-    def log10(self, codes: np.ndarray) -> np.ndarray:
-        order = np.argsort(codes)
-        asked = codes[order]
-        at = np.minimum(np.searchsorted(self.codes, asked), max(0, len(self.codes) - 1))
-        new = self.codes[at] != asked if len(self.codes) else np.ones(len(asked), bool)
-        out = np.empty(len(asked))
-        out[~new] = self.values[at[~new]] if len(self.codes) else 0
-        if new.any():
-            out[new] = self.model.log10(asked[new])
-            if len(self.codes) > CACHE_CODES:
-                self.codes, self.values = np.zeros(0, np.int64), np.zeros(0)
-            where = np.searchsorted(self.codes, asked[new])
-            self.codes = np.insert(self.codes, where, asked[new])
-            self.values = np.insert(self.values, where, out[new])
-        back = np.empty(len(asked))
-        back[order] = out
-        return back
+    lower = cut(grouped.groupBy("bucket").applyInArrow(
+        up, "bucket int, key bigint, zeros bigint, ones bigint, pw double"), "ctw-lower")
+    state = upper_state(lower, split)
+    return cut(grouped.groupBy("bucket").cogroup(state.groupBy("bucket")).applyInArrow(
+        down, "code bigint, n bigint, log10 double"), "ctw-codes")
 
 
 class Known:
@@ -320,17 +334,6 @@ def least_count(df: DataFrame, count: Column, most: int) -> float:
     return 0.0
 
 
-def train(counts: DataFrame, depth: int, max_nodes: int) -> Model:
-    """The tree of the counted codes, at most ``max_nodes`` nodes of it."""
-    nodes = context_tree(counts.where("code is not null").select("code", "n"), depth)
-    seen = F.col("zeros") + F.col("ones")
-    least = least_count(nodes, seen, max_nodes)
-    key = F.shiftleft(F.col("level").cast("bigint"), 56).bitwiseOR(F.shiftleft("ctx", 8)).bitwiseOR(F.col("node"))
-    return Model(depth, nodes.where(seen >= least).select(
-        key.alias("key"), "stop", ((F.col("zeros") + 0.5) / (seen + 1.0)).alias("zero"),
-        ((F.col("ones") + 0.5) / (seen + 1.0)).alias("one")).toArrow())
-
-
 def score(docs: DataFrame, depth: int = 5, top_words: int = 200_000, top_codes: int = 2_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     spark = docs.sparkSession

@@ -115,23 +115,24 @@ def test_base_equals_the_definition(scored):
         assert (r.held_out, r.n_known, r.train_tokens) == (h, known, total) and r.base_score == pytest.approx(base)
 
 
-def test_probabilities_of_a_context_sum_to_one(spark):
-    counts = C.count_corpus(docs(spark, ROWS), 3)
-    for most in (10**6, 200):
-        model = C.train(counts, 3, most)
-        assert len(model.key) <= most
-        for ctx in (b"\n\n\n", b"eht", b"\xff\x00q", b"a \n"):
-            codes = np.array([ctx[0] << 24 | ctx[1] << 16 | ctx[2] << 8 | b for b in range(256)])
-            assert (10 ** model.log10(codes)).sum() == pytest.approx(1.0, rel=1e-4)
-
-
-def test_remembered_scores_do_not_change(spark):
-    model = C.train(C.count_corpus(docs(spark, ROWS), 2), 2, 10**6)
-    r = np.random.default_rng(1)
-    scorer = C.Remembered(model)
-    for _ in range(5):
-        codes = r.integers(0, 1 << 24, 500)
-        assert np.array_equal(scorer.log10(codes), model.log10(codes))
+@pytest.mark.parametrize("bucket_codes", [300_000, 40])
+def test_probabilities_of_a_context_sum_to_one(spark, bucket_codes):
+    counts = C.count_corpus(docs(spark, ROWS), 3).where("code is not null").select("code", "n")
+    asked = [ctx[0] << 24 | ctx[1] << 16 | ctx[2] << 8 | b for ctx in (b"\n\n\n", b"eht", b"\xff\x00q", b"a \n") for b in range(256)]
+    more = spark.createDataFrame([(c, 0) for c in asked], "code bigint, n bigint")
+    whole = counts.unionByName(more).groupBy("code").agg(F.sum("n").alias("n"))
+    got = {r.code: r.log10 for r in C.code_probabilities(whole, 3, bucket_codes=bucket_codes).collect()}
+    assert len(got) == whole.count()
+    for k in range(0, len(asked), 256):
+        assert sum(10 ** got[c] for c in asked[k:k + 256]) == pytest.approx(1.0, rel=1e-9)
+
+
+@pytest.mark.parametrize("split", [0, 1, 2, 3])
+def test_where_the_tree_is_split_changes_nothing(spark, split):
+    counts = C.count_corpus(docs(spark, ROWS), 3).where("code is not null").select("code", "n")
+    want = {r.code: r.log10 for r in C.code_probabilities(counts, 3).collect()}
+    got = {r.code: r.log10 for r in C.code_probabilities(counts, 3, split=split, bucket_codes=100).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
 
 
 def test_without_training_rows_and_empty(spark):
@@ -169,6 +170,3 @@ def test_a_zero_beside_very_many_ones_keeps_its_probability(spark):
     got = {r.code & 255: r.log10 for r in C.code_probabilities(codes, 2).collect()}
     rare = math.log10(0.5 / (n + 1))
     assert got[254] == pytest.approx(rare, abs=1e-6) and got[127] == pytest.approx(rare + 7 * math.log10(0.5), abs=1e-6)
-    counts = codes.where("n > 0").withColumn("word", F.lit(None).cast("string"))
-    model = C.train(counts, 2, 10**6)
-    assert model.log10(np.array([ctx | 254, ctx | 127])) == pytest.approx([got[254], got[127]], abs=1e-6)
