@@ -349,7 +349,8 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = 600, seed: int =
         "_toxic in (0, 1)").groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
     d = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").where(
         (fold_of(F.col("_id")) != 1) & F.col("text").isNotNull())
-    own = d.join(known, "_id").groupBy(F.xxhash64(F.lit(seed), "text").alias("_h"), "_toxic").agg(
+    # Texts are hashed where they are read: only ids and hashes meet the labels.
+    own = d.select("_id", F.xxhash64(F.lit(seed), "text").alias("_h")).join(known, "_id").groupBy("_h", "_toxic").agg(
         F.min("_id").alias("_id"))
     chosen = None
     for label in (0, 1):
