@@ -18,7 +18,8 @@ Defined results
 * unclosed and stray tags are repaired as browsers do for blocks (an open
   paragraph ends where the next block begins);
 * repeated pages are extracted alike; an empty table gives no rows;
-* pages of any length are parsed whole; other input columns are ignored.
+* pages of any length and any broken markup are parsed whole, in time linear in their
+  length; other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,7 +55,12 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
 _IN_HEAD = frozenset(("title", "meta", "link", "base", "basefont", "bgsound", "script", "style", "noscript", "template",
                       "head", "html", "noframes"))
 _SCOPES = frozenset(("ul", "ol", "dl", "table", "body", "div", "article", "section"))
-_MARK = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S)
+_NAME_END = re.compile(r"[\s/>]")
+_QUOTE_OR_END = re.compile("[>\"']")
+_LETTER = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+#: Zeros in front of a numbered character reference, and numbers too large for any character.
+_ZEROS = re.compile(r"&#([xX]?)0+(?=[0-9a-fA-F])")
+_TOO_LARGE = re.compile(r"&#(?:[0-9]{8,}|[xX][0-9a-fA-F]{8,});?")
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 
@@ -100,14 +106,121 @@ class Page:
         return len(self.parent) - 1
 
 
+class Marks:
+    """Tags, comments and declarations of a page, found in time linear in its length.
+
+    A tag reaches to the first ``>`` outside quotes; one whose quote or end is missing is
+    text.  What a search has found missing is remembered, so no stretch is searched
+    again from every ``<`` before it: characters that don't come any more, and quotes from
+    which no tag's end is reached.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.gone = {c: len(source) + 1 for c in "\"'>"}
+        self.dead: set[int] = set()
+        self.names, self.signs = [0, -1], [0, -1]  # a searched stretch's begin and what stands at its end
+
+    def _find(self, c: str, at: int) -> int:
+        if at >= self.gone[c]:
+            return -1
+        k = self.source.find(c, at)
+        if k < 0:
+            self.gone[c] = at
+        return k
+
+    def _next(self, held: list[int], pattern: re.Pattern, at: int) -> int:
+        """Where the pattern's next character stands; the page's length if none does."""
+        if not held[0] <= at <= held[1]:
+            m = pattern.search(self.source, at)
+            held[:] = at, m.start() if m else len(self.source)
+        return held[1]
+
+    def _tag_end(self, at: int) -> int:
+        seen = []
+        while True:
+            q = self._next(self.signs, _QUOTE_OR_END, at)
+            if q == len(self.source) or q in self.dead:
+                break
+            if self.source[q] == ">":
+                return q
+            seen.append(q)
+            closed = self._find(self.source[q], q + 1)
+            if closed < 0:
+                break
+            at = closed + 1
+        self.dead.update(seen)
+        return -1
+
+    def after(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """(start, end, is an end tag, name, attributes) of the next mark; no name if it isn't a tag."""
+        source = self.source
+        while True:
+            at = source.find("<", at)
+            if at < 0:
+                return None
+            sign = source[at + 1:at + 2]
+            if sign in ("!", "?"):
+                if source.startswith("<!--", at):
+                    end = source.find("-->", at + 4)
+                    return at, len(source) if end < 0 else end + 3, False, None, ""
+                end = self._find(">", at + 2)
+                if end >= 0:
+                    return at, end + 1, False, None, ""
+            else:
+                first = at + 2 if sign == "/" else at + 1
+                if source[first:first + 1] in _LETTER:
+                    name = self._next(self.names, _NAME_END, first)
+                    end = self._tag_end(name)
+                    if end >= 0:
+                        return at, end + 1, sign == "/", source[first:name].lower(), source[name:end]
+            at += 1
+
+
+class OpenTags:
+    """A stack of tags that knows where each tag stands in it."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, tag: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.tags))
+        self.tags.append(tag)
+
+    def holds(self, tag: str) -> bool:
+        return bool(self.places.get(tag))
+
+    def last(self, tag: str) -> int:
+        """Its highest place, -1 if it isn't there."""
+        at = self.places.get(tag)
+        return at[-1] if at else -1
+
+    def cut(self, at: int) -> None:
+        """Drop everything from a place on."""
+        for tag in self.tags[at:]:
+            self.places[tag].pop()
+        del self.tags[at:]
+
+
+def unescape(text: str) -> str:
+    """Character references decoded; a number of any length, beyond all characters, is U+FFFD."""
+    if "&#" in text:
+        text = _TOO_LARGE.sub("\ufffd", _ZEROS.sub(r"&#\1", text))
+    return entities.unescape(text)
+
+
 def parse(source: str) -> Page:
     """The page's block tree."""
     page = Page()
     stack: list[tuple[str, int]] = [("body", 0)]  # open block elements
     held: list[str] = []  # pieces of the text block being read
     linked = [0, 0]  # characters inside links, open links
-    skip: list[str] = []  # open elements without prose
-    inner: list[str] = []  # block elements open inside those
+    opened = OpenTags()  # the same elements' tags
+    opened.push("")
+    skip = OpenTags()  # open elements without prose
+    inner = OpenTags()  # block elements open inside those
+    marks = Marks(source)
     ends: dict[str, int] = {}  # where the last end tag of a skipped element stands
 
     def never_closed(tag: str) -> bool:
@@ -116,7 +229,7 @@ def parse(source: str) -> Page:
         return ends[tag] < at
 
     def end_block() -> None:
-        text = " ".join(entities.unescape("".join(held)).split())
+        text = " ".join(unescape("".join(held)).split())
         held.clear()
         if text:
             tag, node = stack[-1]
@@ -124,76 +237,76 @@ def parse(source: str) -> Page:
             page.blocks.append((leaf, text))
         linked[0] = 0
 
-    def close(tags: set[str], scopes: frozenset[str]) -> None:
+    def close(tags: set[str], scopes: frozenset[str] = frozenset()) -> None:
         """Close the nearest open element of ``tags`` unless a scope stands before it."""
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in tags:
-                end_block()
-                del stack[k:]
-                return
-            if stack[k][0] in scopes:
-                return
+        k = max(map(opened.last, tags))
+        if k > 0 and all(opened.last(t) <= k for t in scopes):
+            end_block()
+            opened.cut(k)
+            del stack[k:]
+
+    def leave_skipped() -> None:
+        skip.cut(0)
+        inner.cut(0)
 
     at = 0
     while True:
-        m = _MARK.search(source, at)
-        piece = source[at:m.start()] if m else source[at:]
-        if skip == ["head"] and piece.strip():
-            skip.clear()
-        if piece and not skip:
+        m = marks.after(at)
+        piece = source[at:m[0]] if m else source[at:]
+        if skip.tags == ["head"] and piece.strip():
+            skip.cut(0)
+        if piece and not skip.tags:
             held.append(piece)
             if linked[1]:
                 linked[0] += len(piece.strip())
         if not m:
             break
-        at = m.end()
-        name = m.group(2)
-        if name is None:
+        _, at, closing, tag, attributes = m
+        if tag is None:
             continue
-        tag, closing = name.lower(), bool(m.group(1))
-        if skip == ["head"] and not closing and tag not in _IN_HEAD:
-            skip.clear()
+        if skip.tags == ["head"] and not closing and tag not in _IN_HEAD:
+            skip.cut(0)
         if tag in SKIPPED:
             if closing:
-                if tag in skip:
-                    del skip[skip.index(tag):]
-                    if not skip:
-                        inner.clear()
-            elif not (m.group(3) or "").endswith("/"):
+                if skip.holds(tag):
+                    skip.cut(skip.places[tag][0])
+                    if not skip.tags:
+                        leave_skipped()
+            elif not attributes.endswith("/"):
                 if tag in RAW:
                     stop = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(source, at)
                     at = stop.end() if stop else len(source)
-                    if not skip and tag not in ("script", "style", "noscript"):
+                    if not skip.tags and tag not in ("script", "style", "noscript"):
                         end_block()
                 else:
-                    skip.append(tag)
+                    skip.push(tag)
             continue
-        if skip:
+        if skip.tags:
             if tag == "body" and not closing:
-                skip.clear()
-            elif tag not in _BLOCK or skip[0] == "head":
+                skip.cut(0)
+            elif tag not in _BLOCK or skip.tags[0] == "head":
                 continue
-            elif closing and tag in inner:
-                del inner[len(inner) - 1 - inner[::-1].index(tag):]
+            elif closing and inner.holds(tag):
+                inner.cut(inner.last(tag))
                 continue
-            elif any(map(never_closed, skip)) and not inner:
+            elif not inner.tags and any(skip.holds(t) and never_closed(t) for t in SKIPPED):
                 # The outermost element without an end tag ends with the line it stands in.
-                del skip[next(k for k, t in enumerate(skip) if never_closed(t)):]
-            elif closing and any(t == tag for t, _ in stack[1:]):
-                skip.clear()
-            if skip:
+                skip.cut(min(skip.places[t][0] for t in SKIPPED if skip.holds(t) and never_closed(t)))
+            elif closing and opened.holds(tag):
+                skip.cut(0)
+            if skip.tags:
                 if not closing:
-                    inner.append(tag)
+                    inner.push(tag)
                 continue
-            inner.clear()
+            leave_skipped()
         if tag in ("br", "hr", "img", "input") or tag in VOID:
             held.append(" ")
         elif tag == "a":
             linked[1] = 0 if closing else 1
         elif tag in _BLOCK:
             if closing:
-                if any(t == tag for t, _ in stack[1:]):
-                    close({tag}, frozenset())
+                if opened.holds(tag):
+                    close({tag})
                 else:
                     end_block()
             elif tag != "body":
@@ -201,7 +314,8 @@ def parse(source: str) -> Page:
                 if tag in _ENDS:
                     close(_ENDS[tag], frozenset(("ul", "ol", "dl", "table")))
                 end_block()
-                node = page.add(stack[-1][1], _element_features(tag, m.group(3) or ""))
+                node = page.add(stack[-1][1], _element_features(tag, attributes))
+                opened.push(tag)
                 stack.append((tag, node))
     end_block()
     return page

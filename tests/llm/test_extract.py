@@ -95,3 +95,30 @@ def test_left_out_end_tags_lose_no_text(html):
 def test_text_after_an_unclosed_head(model):
     assert X.extract_texts([f"<html><head><title>T</title><h1>A title of it</h1><p>{PROSE}<p>{PROSE}"], model) == [MAIN]
     assert [t for _, t in X.parse(f"<head><title>T</title>{PROSE}").blocks] == [PROSE]
+
+
+M = 1 << 20
+
+
+@pytest.mark.parametrize("page", [
+    '<a b="' * (M // 6), "<a b='x " * (M // 8), "<a" * (M // 2), "<!x " * (M // 4), "<div>" * 8000 + "</p>" * (M // 8),
+    "<object>" * (M // 20) + "</li>" * (M // 10) + "</object>", "<svg>" * (M // 16) + "<object></object>" * (M // 26),
+    "&#" + "1" * M + ";", "<h1>" * 8000 + "</p>x" * (M // 8)], ids=range(9))
+def test_broken_long_pages_take_linear_time(page):
+    import time
+
+    # Twice the page may take little more than twice the time (with room for a busy machine).
+    def seconds(p):
+        start = time.process_time()
+        X.parse(p)
+        return time.process_time() - start
+
+    half = min(seconds(page[:len(page) // 2]) for _ in range(2))
+    assert seconds(page) < 3 * half + 0.5 and seconds(page) < 4
+
+
+def test_marks_of_tags_with_missing_quotes():
+    assert X.parse('<p>a <b x="1>2</p> "c').blocks[0][1] == 'a <b x="1>2'
+    assert X.parse('<p x="a>b">t</p>').blocks[0][1] == "t"
+    assert [t for _, t in X.parse("<!-- x <p>no</p> --><p>yes</p><!-- <p>no").blocks] == ["yes"]
+    assert X.parse("<p>&#0000065;&#x0000042;&#99999999999999999999;</p>").blocks[0][1] == "AB�"
