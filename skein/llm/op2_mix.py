@@ -9,16 +9,19 @@ times and takes the fractional rest as a seeded sample: documents are ordered by
 a hash of (seed, id), and taken as long as they fit into what is missing; up to
 ``TOP_UPS`` more, each the nearest to what is still missing, make up the remainder.
 
-The point is found in two steps, so that a source holding most rows never meets
-in one task: sums per (source, hash bucket), a running sum over those buckets,
-and an ordering of documents inside the one bucket that holds the point.  What
-comes back to the documents is one row per source, so texts are never shuffled.
+The point is found in steps, so that a source or an id holding most rows never meets
+in one task: sums per (source, hash bucket) and a running sum over those buckets; in
+the bucket that holds the point, counts per kind of row (equal source, id and size) and
+a running sum over the kinds; of the kind that is taken in part, counts per partition
+of the input, and an order of the rows of one partition.  What comes back to the
+documents is one row per source, so texts are never shuffled.
 
 Defined results
 * null text: size 0; a null source is a source (ordered last); documents of
   size 0 are in the result with 0 taken words;
-* repeated ids and rows are separate documents; ties of the hash are ordered by
-  id, then size (equal rows are interchangeable);
+* repeated and null ids and equal rows are separate documents, k of m alike are taken; ties
+  of the hash are ordered by id, size, then place in the input (its partitions and rows in
+  them should come again when it is read again, as those of files do);
 * an empty table gives no rows; a source without words has target 0;
 * other input columns are ignored.
 """
@@ -90,9 +93,9 @@ def water_fill(sources: DataFrame, max_epochs: float, total: float | None = None
 
 def mix_plan(sized: DataFrame, weights: Sequence[float], max_epochs: float) -> tuple[DataFrame, int]:
     """One row per source: source_size, target, whole repetitions, and up to which
-    (hash, id, size) its documents get one more; and the number of sources.
+    (hash, id, size, row) its documents get one more; and the number of sources.
 
-    ``sized`` has doc_id, source, size, u.
+    ``sized`` has doc_id, source, size, u, rid.
     """
     bucketed = sized.withColumn("_b", F.pmod("u", F.lit(BUCKETS)))
     buckets = cut(bucketed.groupBy("source", "_b").agg(F.sum("size").alias("_sum")), "mix-buckets")
@@ -111,15 +114,34 @@ def mix_plan(sized: DataFrame, weights: Sequence[float], max_epochs: float) -> t
     run = buckets.withColumn("_end", F.sum("_sum").over(upto)).withColumn("_base", F.col("_end") - F.col("_sum"))
     edge = cut(run.join(_small(plan, n), same).where((F.col("_base") <= F.col("_rest")) & (
         F.col("_end") > F.col("_rest"))).select("_s", "_rest", "_base", F.col("_b").alias("_edge")), "mix-edges")
-    # Inside it documents are taken as long as all of them fit.
+    # Inside it rows are taken as long as all of them fit: whole kinds of rows, then k of one kind.
+    kinds = bucketed.join(_small(edge, n), same & (F.col("_b") == F.col("_edge"))).groupBy(
+        "source", "_rest", "_base", "u", "doc_id", "size").agg((F.count(F.lit(1)) * F.col("size")).alias("_words"))
     order = Window.partitionBy("source").orderBy("u", "doc_id", "size")
-    near = bucketed.join(_small(edge, n), same & (F.col("_b") == F.col("_edge"))).withColumn(
-        "_after", F.col("_base") + F.sum("size").over(order))
-    last = near.where(F.col("_after") <= F.col("_rest")).groupBy("_s").agg(
-        F.max(F.struct("u", "doc_id", "size")).alias("last"), F.max("_after").alias("_used"))
+    kinds = kinds.withColumn("_after", F.col("_base") + F.sum("_words").over(order))
+    first = kinds.where(F.col("_after") > F.col("_rest")).groupBy("source").agg(F.min(F.struct(
+        "u", "doc_id", "size", (F.col("_after") - F.col("_words")).alias("before"), "_rest")).alias("f"))
+    part = cut(first.select(
+        F.col("source").alias("_s"), *[F.col(f"f.{c}").alias(f"_{c}") for c in ("u", "doc_id", "size", "before")],
+        F.floor((F.col("f._rest") - F.col("f.before")) / F.col("f.size")).alias("_k")), "mix-part")
+    # The k-th row of that kind: in which partition of the input, and which of its rows.
+    alike = sized.join(_small(part, n), same & F.col("u").eqNullSafe(F.col("_u")) & F.col("doc_id").eqNullSafe(
+        F.col("_doc_id")) & (F.col("size") == F.col("_size"))).select("_s", "_k", F.shiftright("rid", 33).alias("_p"), "rid")
+    alike = cut(alike, "mix-alike")
+    per = alike.groupBy("_s", "_k", "_p").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_upto", F.sum("_n").over(Window.partitionBy("_s").orderBy("_p")))
+    here = per.where((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_n") < F.col("_k"))).select(
+        F.col("_s").alias("_h"), F.col("_p").alias("_hp"), (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_nth"))
+    nth = alike.join(_small(here, n), F.col("_s").eqNullSafe(F.col("_h")) & (F.col("_p") == F.col("_hp"))).withColumn(
+        "_at", F.row_number().over(Window.partitionBy("_s").orderBy("rid"))).where(F.col("_at") == F.col("_nth")).select(
+        F.col("_s").alias("_n"), "rid")
+    last = part.join(nth, F.col("_s").eqNullSafe(F.col("_n")), "left").select(
+        "_s", F.struct(F.col("_u").alias("u"), F.col("_doc_id").alias("doc_id"), F.col("_size").alias("size"),
+                       F.coalesce("rid", F.lit(-1)).cast("bigint").alias("rid")).alias("last"),
+        (F.col("_before") + F.col("_k") * F.col("_size")).alias("_used"))
     plan = plan.join(edge.select(F.col("_s").alias("_e"), "_edge", "_base"), F.col("_s").eqNullSafe(F.col("_e")),
                      "left").join(last.withColumnRenamed("_s", "_l"), F.col("_s").eqNullSafe(F.col("_l")), "left")
-    none = F.array().cast("array<struct<u:bigint,doc_id:bigint,size:bigint>>")
+    none = F.array().cast("array<bigint>")
     plan = cut(plan.select("_s", "source_size", "target", "whole", F.col("_edge").alias("edge"), "last",
                            none.alias("extra"), (F.col("_rest") - F.coalesce("_used", "_base", "_rest")).alias("gap")),
                "mix-plan")
@@ -127,10 +149,9 @@ def mix_plan(sized: DataFrame, weights: Sequence[float], max_epochs: float) -> t
     for _ in range(TOP_UPS):
         off = F.abs(F.col("gap") - F.col("size"))
         open_docs = sized.join(_small(plan, n), same).where(
-            (F.col("size") > 0) & (off < F.col("gap")) & ~_sampled("u", "doc_id", "size", ""))
-        best = open_docs.groupBy("_s").agg(F.min(F.struct(off.alias("off"), "size", "u", "doc_id")).alias("_best"))
-        one = F.array(F.struct(F.col("_best.u").alias("u"), F.col("_best.doc_id").alias("doc_id"),
-                               F.col("_best.size").alias("size")))
+            (F.col("size") > 0) & (off < F.col("gap")) & ~_sampled("u", "doc_id", "size", "rid", ""))
+        best = open_docs.groupBy("_s").agg(F.min(F.struct(off.alias("off"), "size", "u", "doc_id", "rid")).alias("_best"))
+        one = F.array("_best.rid")
         plan = plan.join(best.withColumnRenamed("_s", "_l"), F.col("_s").eqNullSafe(F.col("_l")), "left").select(
             "_s", "source_size", "target", "whole", "edge", "last",
             F.when(F.col("_best").isNull(), F.col("extra")).otherwise(F.concat("extra", one)).alias("extra"),
@@ -139,28 +160,30 @@ def mix_plan(sized: DataFrame, weights: Sequence[float], max_epochs: float) -> t
     return plan, n
 
 
-def _sampled(u: str, doc_id: str, size: str, prefix: str) -> Column:
+def _sampled(u: str, doc_id: str, size: str, rid: str, prefix: str) -> Column:
     """Is the document in its source's fractional sample?  Plan columns are behind ``prefix``."""
     edge, last, extra = (F.col(prefix + c) for c in ("edge", "last", "extra"))
-    me = F.struct(F.col(u).alias("u"), F.col(doc_id).cast("bigint").alias("doc_id"), F.col(size).alias("size"))
+    me = F.struct(F.col(u).alias("u"), F.col(doc_id).cast("bigint").alias("doc_id"), F.col(size).alias("size"),
+                  F.col(rid).alias("rid"))
     bucket = F.pmod(F.col(u), F.lit(BUCKETS))
     inside = F.when(edge.isNull(), False).when(bucket < edge, True).when(bucket > edge, False).otherwise(
         F.coalesce(me <= last, F.lit(False)))
-    return inside | F.coalesce(F.array_contains(extra, me), F.lit(False))
+    return inside | F.coalesce(F.array_contains(extra, F.col(rid)), F.lit(False))
 
 
 def with_copies(sized: DataFrame, plan: DataFrame, n: int, prefix: str = "") -> DataFrame:
-    """Join the plan to rows with doc_id, source and ``prefix`` + size, u; add ``prefix`` + copies."""
+    """Join the plan to rows with doc_id, source and ``prefix`` + size, u, rid; add ``prefix`` + copies."""
     p = plan.select(*[F.col(c).alias(f"{prefix}_{c}") for c in plan.columns])
     d = sized.join(_small(p, n), F.col("source").eqNullSafe(F.col(f"{prefix}__s")), "left")
-    more = _sampled(prefix + "u", "doc_id", prefix + "size", prefix + "_")
+    more = _sampled(prefix + "u", "doc_id", prefix + "size", prefix + "rid", prefix + "_")
     copies = F.when(F.col(prefix + "size") > 0, F.col(f"{prefix}_whole") + more.cast("int")).otherwise(0)
     return d.withColumn(prefix + "copies", copies.cast("bigint"))
 
 
 def sizes(docs: DataFrame, seed: int) -> DataFrame:
-    """doc_id, source, size, u (seeded hash) of every document."""
-    d = docs.select(F.col("doc_id").cast("bigint"), "source", word_count(F.col("text")).alias("size"))
+    """doc_id, source, size, u (seeded hash), rid (the row's number in the input) of every document."""
+    d = docs.select(F.col("doc_id").cast("bigint"), "source", word_count(F.col("text")).alias("size"),
+                    F.monotonically_increasing_id().alias("rid"))
     return d.withColumn("u", F.xxhash64(F.lit(seed), "doc_id"))
 
 
@@ -184,7 +207,8 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: flo
     plan, n = mix_plan(cut(sizes(docs, seed), "mix-sizes"), weights, max_epochs)
     prefix = free_prefix(docs.columns)
     d = docs.withColumn(prefix + "size", word_count(F.col("text"))).withColumn(
-        prefix + "u", F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint")))
+        prefix + "u", F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint"))).withColumn(
+        prefix + "rid", F.monotonically_increasing_id())
     d = with_copies(d, plan, n, prefix).where(F.col(prefix + "copies") > 0)
     return d.withColumn(prefix + "copy", F.explode(F.sequence(F.lit(1), F.col(prefix + "copies").cast("int")))).select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -71,3 +71,36 @@ def test_query_on_the_table(spark):
     # Whole documents: no source is further off than half of its largest document.
     off = out.groupBy("source").agg((F.abs(F.sum("taken") - F.first("target")) - F.max("size") / 2).alias("e"))
     assert max(r.e for r in off.collect()) <= 0
+
+
+def check_targets(out, most):
+    """Every source's taken words are off its target by half of its largest document at most."""
+    by = {}
+    for r in out:
+        t = by.setdefault(r.source, [r.target, 0, 0])
+        t[1], t[2] = t[1] + r.taken, max(t[2], r.size)
+    assert all(abs(taken - target) <= largest / 2 + 1e-6 for target, taken, largest in by.values()), by
+    assert all(r.taken <= 3 * r.size for r in out) and len(out) == most
+
+
+@pytest.mark.parametrize("ids", ["null", "one", "own"])
+def test_equal_rows_are_separate_documents(spark, ids):
+    same = {"null": lambda i: None, "one": lambda i: 5, "own": lambda i: i}[ids]
+    rows = [(same(i), "ten words are in this text for each of rows", "en", "a") for i in range(1000)]
+    rows += [(2000 + i, prose(i, 7), "en", "b") for i in range(400)] + [(None, prose(1, 3), "en", None)] * 50
+    out = mix(docs(spark, rows).repartition(6)).collect()
+    check_targets(out, 1450)
+    assert 0 < sum(r.taken for r in out if r.source == "a") < 10_000 * 3
+
+
+def test_a_table_five_times_over(spark):
+    rows = [(i, prose(i, 1 + i % 50), "en", "abc"[i % 3]) for i in range(200)]
+    table = docs(spark, rows * 5)
+    check_targets(mix(table).collect(), 1000)
+    from skein.llm.common import cut
+
+    stored = cut(table, "t-mix")
+    assert mixed(stored).count() == sum(r.copies for r in mix(stored).collect())
+    words = {r.source: r.n for r in mixed(stored).groupBy("source").agg(
+        F.sum(F.size(F.split("text", " "))).alias("n")).collect()}
+    assert words == {r.source: r.n for r in mix(stored).groupBy("source").agg(F.sum("taken").alias("n")).collect()}
