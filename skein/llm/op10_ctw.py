@@ -45,7 +45,10 @@ from pyspark.sql import functions as F
 
 from skein.llm.common import cut, slices, table
 
-FLUSH_WORDS, FLUSH_CODES = 400_000, 1_000_000
+#: Distinct words and codes that a task holds before it hands them over.
+FLUSH_WORDS, FLUSH_CODES = 200_000, 800_000
+#: Texts whose codes are listed at once.
+SLICE = 256
 #: The end token in the table of words; no word holds a blank.
 END = " "
 
@@ -81,12 +84,20 @@ def _stream(words: list[bytes]) -> bytes:
 def _counts(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        codes: list[pd.Series] = []
+        codes: list[np.ndarray] = []
+        times: list[np.ndarray] = []
 
         def add(texts: list[bytes], weight: int) -> None:
             if texts:
                 uniq, n = _unique(byte_codes(texts, depth)[0])
-                codes.append(pd.Series(n * weight, index=uniq))
+                codes.append(uniq)
+                times.append(n * weight)
+            if sum(map(len, codes)) > FLUSH_CODES:
+                merge()
+
+        def merge() -> None:
+            uniq, n = _sums(np.concatenate(codes), np.concatenate(times))
+            codes[:], times[:] = [uniq], [n]
 
         def hand_over() -> Iterator[pa.RecordBatch]:
             if words:
@@ -96,14 +107,14 @@ def _counts(depth: int):
                      pa.nulls(len(keys), pa.int64()), pa.array(ns, pa.int64())], ["word", "code", "n"])
                 words.clear()
             if codes:
-                s = pd.concat(codes)
-                s = s.groupby(level=0).sum()
+                merge()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(s), pa.string()), pa.array(s.index.to_numpy()), pa.array(s.to_numpy())],
+                    [pa.nulls(len(codes[0]), pa.string()), pa.array(codes[0]), pa.array(times[0])],
                     ["word", "code", "n"])
                 codes.clear()
+                times.clear()
 
-        for part in slices(batches, 1024):
+        for part in slices(batches, SLICE):
             texts, asked = [], []
             for text, held in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 own = (text or "").encode("utf-8", "replace").lower().split()
@@ -116,7 +127,7 @@ def _counts(depth: int):
                 words[END.encode()] += len(texts)
             add(texts, 1)
             add(asked, 0)
-            if len(words) > FLUSH_WORDS or sum(map(len, codes)) > FLUSH_CODES:
+            if len(words) > FLUSH_WORDS or sum(map(len, codes)) > FLUSH_CODES * 3 // 4:
                 yield from hand_over()
         yield from hand_over()
 
@@ -357,7 +368,7 @@ def score(docs: DataFrame, depth: int = 5, top_words: int = 200_000, top_codes:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value
         end = END.encode()
-        for part in slices(batches, 1024):
+        for part in slices(batches, SLICE):
             ids, _, held, at = (c.to_pylist() for c in part.columns)
             rows, texts = [], []
             tail: list[tuple] = []
