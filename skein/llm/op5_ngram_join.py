@@ -28,19 +28,32 @@ would do; near a group's common text the differences are short):
   f: one link each joins all of them;
 * any other linked pair shares at least (f(x) + f(y)) / 2 of its differences.  So
   prefixes of the differences (shingles that R lacks first, cheap ones before
-  expensive ones) must meet; only members of different components are proposed.
-
-So a group of m near copies costs about m comparisons and no link between
-components is lost.
-
-Which shingles count as expensive is kept as a bitmap over their hashes of at
-most ``2 ** MAX_BITS`` bits, whatever the corpus; a false hit only lengthens
-prefixes.  All counts cover all documents; verification intersects whole sets.
+  expensive ones) must meet; only members of different components are proposed, and
+  one of a pair is always a member that isn't linked to the one of least f;
+* of R's own shingles a group's members can lack only a few kinds, so lists of them
+  are long.  A pair may share nothing else only if it needs no more differences than
+  either lacks, (f(x) + f(y)) / 2 <= lacking(x), lacking(y).  Such a shingle is listed only
+  by members for which a partner in a band of f can fulfil that, and met only by
+  partners of that band;
+* a list with more than ``common`` members on both sides becomes a group of its own, whose
+  members share a difference and are described anew by their difference from a
+  reference set of that list (a leader again), up to ``ROUNDS`` times.  A list with at
+  most ``common`` members on one side gives at most that many pairs per member.
+
+So a group of m near copies costs a few comparisons per member and no link between
+components is lost; the last round lists all pairs of what is left.
+
+Which shingles count as expensive is kept as a bitmap of sixteen bits for each of
+them; a false hit only lengthens prefixes.  A bitmap of more than ``bitmap_bytes`` isn't
+broadcast: the documents' shingles then meet the expensive ones by a join.
+All counts cover all documents; verification intersects whole sets.
 
 Defined results
 * null text, or no words: empty set, n_shingles 0, linked with nothing;
 * fewer words than ``width``: one shingle, the whole sequence;
 * repeated rows: equal sets are linked; an empty table gives no rows;
+* a row without doc_id can't be named by a component: it is linked with nothing and
+  its component_id is null;
 * other input columns are ignored.
 """
 
@@ -58,7 +71,10 @@ from pyspark.sql import functions as F
 from skein.llm.common import cut, slices, table
 from skein.llm.components import components
 
-MAX_BITS = 24
+#: Rounds of describing long lists anew; the last one lists all pairs.
+ROUNDS = 4
+#: Bands of f in a group, at most (about).
+BANDS = 16
 #: Ids up to which a list of documents to read again is broadcast (8 bytes each).
 BROADCAST_IDS = 500_000
 #: Members of a leader that vote on its reference set.
@@ -120,15 +136,58 @@ def sets_of(docs: DataFrame, width: int, percent: int, whole: bool = False) -> D
         run, "doc_id bigint, n bigint, node binary, tokens array<bigint>")
 
 
-def expensive_bitmap(sets: DataFrame, common: int) -> np.ndarray:
-    """Bits of the shingles in more than ``common`` stored prefixes (a power of two of them)."""
-    counts = sets.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c"))
-    over = cut(counts.where(F.col("c") > common).select("t"), "join-expensive")
-    bits = min(MAX_BITS, max(16, math.ceil(math.log2(16 * max(1, over.count())))))
-    at = over.select(F.col("t").bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias("at")).distinct()
-    out = np.zeros(1 << bits, dtype=bool)
-    out[at.toArrow().column("at").to_numpy()] = True
-    return out
+class Expensive:
+    """Which shingles are expensive: a bitmap by hash, or a table where it would be too large."""
+
+    def __init__(self, sets: DataFrame, common: int, bitmap_bytes: int):
+        counts = sets.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c"))
+        self.table = cut(counts.where(F.col("c") > common).select("t"), "join-expensive")
+        bits = max(16, math.ceil(math.log2(16 * max(1, self.table.count()))))
+        self.bitmap = None
+        if 1 << bits <= 8 * bitmap_bytes:
+            at = self.table.select(F.col("t").bitwiseAND(F.lit((1 << bits) - 1)).alias("at"))
+            # Eight bits of the map in a row: at most 2 ** (bits - 3) rows reach the driver.
+            byte = at.groupBy(F.shiftright("at", 3).alias("k")).agg(
+                F.bit_or(F.expr("shiftright(128, cast(at & 7 as int))")).cast("int").alias("v"))
+            found = byte.toArrow()
+            self.bitmap = np.zeros(1 << (bits - 3), np.uint8)
+            self.bitmap[found.column("k").to_numpy()] = found.column("v").to_numpy()
+
+    def mark(self, sets: DataFrame) -> DataFrame:
+        """``sets`` with ``costly``: a byte per token, 1 for expensive ones."""
+        if self.bitmap is not None:
+            shared = sets.sparkSession.sparkContext.broadcast(self.bitmap)
+            mask = 8 * len(self.bitmap) - 1
+            names = sets.columns
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                bits = shared.value
+                for part in slices(batches, 1024):
+                    flags = []
+                    for tokens in part.column(names.index("tokens")):
+                        at = tokens.values.to_numpy() & mask
+                        flags.append(((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).tobytes())
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(flags, pa.binary())], [*names, "costly"])
+
+            return sets.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sets.schema) + ", costly binary")
+        # One row per set and token; equal sets are marked once.
+        known = self.table.select("t", F.lit(1).alias("hit"))
+        flat = sets.select("node", "tokens").dropDuplicates(["node"]).select("node", F.posexplode("tokens").alias("at", "t"))
+        flags = flat.join(known, "t", "left").where("hit is not null").groupBy("node").agg(
+            F.array_sort(F.collect_list("at")).alias("_at"))
+        names = sets.columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches, 1024):
+                flags = []
+                for tokens, hits in zip(part.column(names.index("tokens")), part.column(len(names)).to_pylist()):
+                    own = np.zeros(len(tokens.values), np.uint8)
+                    own[hits or []] = 1
+                    flags.append(own.tobytes())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(flags, pa.binary())], [*names, "costly"])
+
+        return sets.join(flags, "node", "left").select(*names, "_at").mapInArrow(
+            run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sets.schema) + ", costly binary")
 
 
 def choose_level(costly: np.ndarray, n: int, percent: int, matches: int) -> tuple[int, int]:
@@ -143,20 +202,21 @@ def choose_level(costly: np.ndarray, n: int, percent: int, matches: int) -> tupl
     return int(levels[k]), int(required[k])
 
 
-def prefix_rows(sets: DataFrame, bitmap: np.ndarray, percent: int, matches: int, heavy: bool) -> DataFrame:
+def prefix_rows(sets: DataFrame, percent: int, matches: int, heavy: bool) -> DataFrame:
     """t, node, n, l, r: the cheap prefix shingles of every node, or (``heavy``) the
-    expensive ones in the shortest prefix of the nodes without a usable level."""
-    shared = sets.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
-    mask = len(bitmap) - 1
+    expensive ones in the shortest prefix of the nodes without a usable level.
+
+    ``sets`` are marked (``costly``).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).astype(bool)
         for part in slices(batches, 1024):
             out: list[list] = [[], [], [], [], []]
             lists = part.column(2)
-            for n, node, tokens in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), lists):
+            for n, node, tokens, flags in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), lists,
+                                              part.column(3).to_pylist()):
                 t = tokens.values.to_numpy()
-                costly = bits[t & mask]
+                costly = np.frombuffer(flags, np.uint8).astype(bool)
                 level, r = choose_level(costly, n, percent, matches)
                 spare = n - least_shared(n, percent)
                 if heavy:
@@ -171,7 +231,7 @@ def prefix_rows(sets: DataFrame, bitmap: np.ndarray, percent: int, matches: int,
                 [pa.array(flat), pa.array(out[1], pa.binary()), *(pa.array(c, pa.int64()) for c in out[2:])],
                 ["t", "node", "n", "l", "r"])
 
-    return sets.where("n > 0").select("n", "node", "tokens").mapInArrow(
+    return sets.where("n > 0").select("n", "node", "tokens", "costly").mapInArrow(
         run, "t bigint, node binary, n bigint, l bigint, r bigint")
 
 
@@ -194,86 +254,123 @@ def cheap_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def leader_pairs(rows: DataFrame) -> DataFrame:
-    """leader, node: every holder of an expensive shingle with the smallest holder of it
-    (a leader is a member of itself)."""
+    """grp, node: every holder of an expensive shingle with the smallest holder of it, the leader
+    that names the group (a leader is a member of its own)."""
     first = rows.groupBy("t").agg(F.min("node").alias("leader"))
-    return rows.join(first, "t").select("leader", "node").distinct()
+    return rows.join(first, "t").select(F.xxhash64("leader").alias("grp"), "node").distinct()
 
 
-def references(of_leader: DataFrame, sets: DataFrame) -> DataFrame:
-    """leader, ref: the shingles of more than half of the leader's smallest members."""
-    small = Window.partitionBy("leader").orderBy("node")
-    few = of_leader.withColumn("_r", F.row_number().over(small)).where(F.col("_r") <= REFERENCE).drop("_r")
-    votes = few.join(sets, "node").select("leader", F.explode("tokens").alias("t")).groupBy("leader", "t").agg(
+def references(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """grp, ref: the shingles of more than half of the group's smallest members."""
+    small = Window.partitionBy("grp").orderBy("node")
+    few = members.withColumn("_r", F.row_number().over(small)).where(F.col("_r") <= REFERENCE).drop("_r")
+    votes = few.join(sets, "node").select("grp", F.explode("tokens").alias("t")).groupBy("grp", "t").agg(
         F.count(F.lit(1)).alias("votes"))
-    voters = few.groupBy("leader").agg(F.count(F.lit(1)).alias("voters"))
-    most = votes.join(voters, "leader").where("2 * votes > voters")
-    ref = most.groupBy("leader").agg(F.array_sort(F.collect_list("t")).alias("ref"))
-    return voters.join(ref, "leader", "left").select(
-        "leader", F.coalesce("ref", F.array().cast("array<bigint>")).alias("ref"))
+    voters = few.groupBy("grp").agg(F.count(F.lit(1)).alias("voters"))
+    most = votes.join(voters, "grp").where("2 * votes > voters")
+    ref = most.groupBy("grp").agg(F.array_sort(F.collect_list("t")).alias("ref"))
+    return voters.join(ref, "grp", "left").select(
+        "grp", F.coalesce("ref", F.array().cast("array<bigint>")).alias("ref"))
+
 
+def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """grp, node, n, d, own, tokens: each member's differences from its group's reference - their number,
+    how many of them the reference lacks, and as many as a prefix can need, in an order that
+    is the same for the whole group.
 
-def differences(pairs: DataFrame, sets: DataFrame, bitmap: np.ndarray, percent: int) -> DataFrame:
-    """leader, node, n, d, tokens: each member's differences from its leader's reference -
-    their number, and as many as a prefix can need, in the order of that leader."""
-    shared = pairs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
-    mask = len(bitmap) - 1
+    ``sets`` are whole and marked.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).astype(bool)
         for part in slices(batches, 512):
-            ds, tokens = [], []
-            for n, mine, theirs in zip(part.column(2).to_pylist(), part.column(3), part.column(4)):
+            ds, owns, tokens = [], [], []
+            for n, mine, flags, theirs in zip(part.column(2).to_pylist(), part.column(3), part.column(4).to_pylist(),
+                                              part.column(5)):
                 x, y = mine.values.to_numpy(), theirs.values.to_numpy()
-                own, missing = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
-                costly = bits[own & mask]
-                ordered = np.concatenate([own[~costly], own[costly], missing])
+                lacking = ~np.isin(x, y, assume_unique=True)
+                costly = np.frombuffer(flags, np.uint8).astype(bool)
+                missing = np.setdiff1d(y, x, assume_unique=True)
+                ordered = np.concatenate([x[lacking & ~costly], x[lacking & costly], missing])
                 ds.append(len(ordered))
+                owns.append(int(lacking.sum()))
                 tokens.append(ordered[:(100 - percent) * n // percent + 2])
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array(ds, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
-                ["leader", "node", "n", "d", "tokens"])
+                [*part.columns[:3], pa.array(ds, pa.int64()), pa.array(owns, pa.int64()),
+                 pa.array(tokens, pa.list_(pa.int64()))], ["grp", "node", "n", "d", "own", "tokens"])
 
-    j = pairs.join(sets.select("node", "n", "tokens"), "node").join(references(pairs, sets), "leader")
-    return j.select("leader", "node", "n", "tokens", "ref").mapInArrow(
-        run, "leader binary, node binary, n bigint, d bigint, tokens array<bigint>")
+    j = members.join(sets.select("node", "n", "tokens", "costly"), "node").join(references(members, sets), "grp")
+    return j.select("grp", "node", "n", "tokens", "costly", "ref").mapInArrow(
+        run, "grp bigint, node binary, n bigint, d bigint, own bigint, tokens array<bigint>")
 
 
 def certain_links(diff: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b) links of members to their leader's member of least f, and ``diff`` with f
+    """(a, b) links of members to their group's member of least f, and ``diff`` with f
     and ``least`` (minus that least f), both times (100 + percent)."""
     f = F.col("d") * (100 + percent) - F.col("n") * (100 - percent)
     rows = diff.withColumn("f", f)
-    best = rows.groupBy("leader").agg(F.min(F.struct("f", "node")).alias("_b"))
-    rows = rows.join(best, "leader").select(
-        "leader", "node", "n", "d", "tokens", "f", (-F.col("_b.f")).alias("least"), F.col("_b.node").alias("best"))
+    best = rows.groupBy("grp").agg(F.min(F.struct("f", "node")).alias("_b"))
+    rows = rows.join(best, "grp").select(
+        "grp", "node", "n", "d", "own", "tokens", "f", (-F.col("_b.f")).alias("least"), F.col("_b.node").alias("best"))
     links = rows.where((F.col("f") <= F.col("least")) & (F.col("node") != F.col("best")))
     return links.select(F.least("node", "best").alias("a"), F.greatest("node", "best").alias("b")).distinct(), rows
 
 
-def difference_pairs(rows: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
-    """a, b: members of one leader in different components whose differences may agree enough.
+def listed(rows: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
+    """grp, t, band, probe, node, n, f, c: the differences by which members can meet a member of
+    another component (c).
 
-    The one with the larger f (it isn't linked to the member of least f) probes with
-    as many differences as its least agreement allows, the other is indexed by
-    as many as its own allows.
+    Of a pair the one with the larger f probes; it isn't linked to the member of least f, so its f
+    is above ``least``.  It probes with as many differences as its least agreement allows, the
+    other is indexed by as many as its own allows.  Differences that the reference lacks have no
+    band; those it has stand in the bands of f of the partners that may share nothing else.
     """
-    unit = 2.0 * (100 + percent)
-    f, least, d, n = (F.col(c) for c in ("f", "least", "d", "n"))
-    share = F.greatest(F.lit(1), F.ceil((f + F.greatest(f, least)) / unit - 1e-6))
-    nearest = d * (100 + percent) - n * ((100 - percent) * (1 + 200.0 / percent))
-    asked = F.greatest(F.lit(1), F.ceil((f + F.greatest(-least, nearest)) / unit - 1e-6))
-    r = rows.join(of_node, "node", "left").withColumn("c", F.coalesce("component", "node"))
-
-    def prefix(agree: Column) -> Column:
-        return F.explode(F.slice("tokens", F.lit(1), F.greatest(F.lit(0), (d - agree + 1)).cast("int")))
-
-    index = r.select("leader", "node", "n", "f", "c", prefix(share).alias("t"))
-    probe = r.where(f > least).select("leader", "node", "n", "f", "c", prefix(asked).alias("t"))
-    j = index.alias("x").join(probe.alias("y"), ["leader", "t"]).where(
-        (F.col("x.c") != F.col("y.c")) & (F.col("x.f") <= F.col("y.f"))).where(
+    unit = 100 + percent  # f and least are in these units, agreement in two of them
+    f, least, d, n, own = (F.col(c) for c in ("f", "least", "d", "n", "own"))
+    above = F.greatest(f, least + 1)
+    share = F.greatest(F.lit(1), F.ceil((f + above) / (2.0 * unit) - 1e-6))
+    nearest = d * unit - n * ((100 - percent) * (1 + 200.0 / percent))
+    asked = F.greatest(F.lit(1), F.ceil((f + F.greatest(-least, nearest)) / (2.0 * unit) - 1e-6))
+    # The largest f of a partner with which all agreement can lie in the reference's shingles.
+    cap = (d - own) * (2 * unit) - f
+    r = rows.join(of_node, "node", "left").withColumn("c", F.coalesce("component", "node")).withColumn(
+        "cap", cap).withColumn("above", above)
+    span = r.groupBy("grp").agg(F.greatest(F.lit(unit), F.ceil((F.max("cap") + F.max("least")) / BANDS)).alias("wide"))
+    r = r.join(span, "grp")
+
+    def rows_of(agree: Column, probe: bool, bands: Column) -> DataFrame:
+        length = F.greatest(F.lit(0), d - agree + 1)
+        at = F.least(length, F.size("tokens")).cast("int")
+        mine = F.transform(F.slice("tokens", F.lit(1), at), lambda t, i: F.struct(t.alias("t"), (i < own).alias("lacked")))
+        flat = r.where(f > least) if probe else r
+        flat = flat.select("grp", "node", "n", "f", "c", bands.alias("bands"), F.explode(mine).alias("m"))
+        every = F.when(F.col("m.lacked"), F.array(F.lit(None).cast("bigint"))).otherwise(F.col("bands"))
+        return flat.select("grp", F.col("m.t").alias("t"), F.explode(every).alias("band"), F.lit(probe).alias("probe"),
+                           "node", "n", "f", "c")
+
+    none = F.array().cast("array<bigint>")
+    to = F.when(F.col("cap") >= F.col("above"), F.sequence(
+        F.floor(F.col("above") / F.col("wide")), F.floor(F.col("cap") / F.col("wide")))).otherwise(none)
+    mine = F.when(F.col("cap") >= -least, F.array(F.floor(f / F.col("wide")))).otherwise(none)
+    out = rows_of(share, False, to).unionByName(rows_of(asked, True, mine))
+    return out.withColumn("band", F.coalesce("band", F.lit(-(1 << 60))))
+
+
+def meetings(rows: DataFrame, common: int, last: bool, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b pairs of the lists with at most ``common`` members on a side; grp, node of the
+    groups that the longer lists become).  ``last``: the pairs of all lists."""
+    key = ["grp", "t", "band"]
+    index, probe = F.sum((~F.col("probe")).cast("int")), F.sum(F.col("probe").cast("int"))
+    lists = rows.groupBy(*key).agg(index.alias("_i"), probe.alias("_p"), F.min("c").alias("_c"), F.max("c").alias("_d")).where(
+        "_i > 0 and _p > 0 and _c != _d")
+    lists = cut(lists.select(*key, (F.least("_i", "_p") <= common).alias("short")), "join-lists")
+    short = lists if last else lists.where("short")
+    x = rows.where("not probe").join(short.select(*key), key).alias("x")
+    y = rows.where("probe").alias("y")
+    j = x.join(y, key).where((F.col("x.c") != F.col("y.c")) & (F.col("x.f") <= F.col("y.f"))).where(
         _length_ok(F.col("x.n"), F.col("y.n"), percent))
-    return j.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    pairs = j.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    longer = lists.where("false" if last else "not short").select(*key)
+    return pairs, rows.join(longer, key).select(F.xxhash64(*key).alias("grp"), "node").distinct()
 
 
 def whole_sets(nodes: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
@@ -285,9 +382,25 @@ def whole_sets(nodes: DataFrame, docs: DataFrame, reps: DataFrame, width: int, p
         "node", "n", "tokens"), "join-sets")
 
 
+def group_links(members: DataFrame, whole: DataFrame, links: DataFrame, common: int, percent: int,
+                rounds: int = ROUNDS) -> DataFrame:
+    """``links`` and those that join the components of the groups' members (grp, node)."""
+    for k in range(rounds):
+        certain, rows = certain_links(cut(differences(members, whole, percent), "join-differences"), percent)
+        links = cut(links.unionByName(certain), "join-links")
+        near = listed(cut(rows, "join-differences"), components(links).toDF("node", "component"), percent)
+        pairs, members = meetings(cut(near, "join-listed"), common, k == rounds - 1, percent)
+        links = links.unionByName(cut(verify(cut(pairs, "join-pairs"), whole, percent), "join-links"))
+        members = cut(members, "join-members")
+        if members.isEmpty():
+            break
+    return links
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b: the pairs that link, by their whole sets."""
-    j = pairs.join(sets.toDF("a", "na", "sa"), "a").join(sets.toDF("b", "nb", "sb"), "b")
+    own = sets.select("node", "n", "tokens")
+    j = pairs.join(own.toDF("a", "na", "sa"), "a").join(own.toDF("b", "nb", "sb"), "b")
     both = F.size(F.array_intersect("sa", "sb"))
     return j.where(both * 100 >= (F.col("na") + F.col("nb") - both) * percent).select("a", "b")
 
@@ -297,33 +410,27 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, common: int = 16,
-                    matches: int = 2) -> DataFrame:
+                    matches: int = 2, bitmap_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id for every document (doc_id, text)."""
     sets = cut(sets_of(docs, width, percent), "join-sets")
-    bitmap = expensive_bitmap(sets, common)
-    reps = cut(sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep")), "join-nodes")
-    pairs = cut(cheap_pairs(prefix_rows(sets, bitmap, percent, matches, heavy=False), percent), "join-pairs")
-    links = verify(pairs, whole_sets(_ends(pairs), docs, reps, width, percent), percent)
-    heavy = cut(prefix_rows(sets, bitmap, percent, matches, heavy=True).select("t", "node").distinct(), "join-heavy")
-    if heavy.isEmpty():
-        parts = components(cut(links, "join-links"))
-    else:
-        whole = whole_sets(heavy.select("node").distinct(), docs, reps, width, percent)
-        of_leader = cut(leader_pairs(heavy), "join-leaders")
-        certain, rows = certain_links(
-            cut(differences(of_leader, whole, bitmap, percent), "join-differences"), percent)
-        links = cut(links.unionByName(certain), "join-links")
-        rows = cut(rows, "join-differences")
-        parts = components(links)
-        more = cut(difference_pairs(rows, parts.toDF("node", "component"), percent), "join-pairs")
-        if not more.isEmpty():
-            parts = components(links.unionByName(cut(verify(more, whole, percent), "join-links")))
+    named = sets.where("n > 0 and doc_id is not null")
+    expensive = Expensive(named, common, bitmap_bytes)
+    marked = expensive.mark(named)
+    reps = cut(named.groupBy("node").agg(F.min("doc_id").alias("rep")), "join-nodes")
+    pairs = cut(cheap_pairs(prefix_rows(marked, percent, matches, heavy=False), percent), "join-pairs")
+    links = cut(verify(pairs, whole_sets(_ends(pairs), docs, reps, width, percent), percent), "join-links")
+    heavy = cut(prefix_rows(marked, percent, matches, heavy=True).select("t", "node").distinct(), "join-heavy")
+    if not heavy.isEmpty():
+        whole = cut(expensive.mark(whole_sets(heavy.select("node").distinct(), docs, reps, width, percent)), "join-whole")
+        links = group_links(cut(leader_pairs(heavy), "join-leaders"), whole, links, common, percent)
+    parts = components(links)
     named = parts.join(reps.toDF("id", "rep"), "id")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_node = named.join(smallest, "component").select(F.col("id").alias("node"), "component_id")
     own = reps.join(of_node, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
     return sets.select("doc_id", "n", "node").join(own, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,23 +68,67 @@ def test_components_equal_brute_force(spark, width, percent, common):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, width, percent)
 
 
-def test_large_groups_cost_about_one_comparison_each(spark):
+def proposed(spark, monkeypatch, rows, width, percent, **options):
+    """(result, pairs proposed among the members of large groups)."""
+    found = []
+    whole = J.meetings
+
+    def counted(*args):
+        pairs, members = whole(*args)
+        found.append(pairs.count())
+        return pairs, members
+
+    monkeypatch.setattr(J, "meetings", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in J.near_duplicates(docs(spark, rows), width, percent, **options).collect()}
+    monkeypatch.undo()
+    return got, sum(found)
+
+
+def test_large_groups_cost_about_one_comparison_each(spark, monkeypatch):
     """Near copies at, above and below the threshold: no pairs but members with leaders."""
     base = prose(7, 150)
     rows = [(i, edited(base, 1 + i % 6, i)) for i in range(600)]
-    d = docs(spark, rows)
-    sets = J.sets_of(d, 3, 90).cache()
-    bitmap = J.expensive_bitmap(sets, 16)
-    heavy = J.prefix_rows(sets, bitmap, 90, 2, heavy=True).select("t", "node").distinct().cache()
-    of_leader = J.leader_pairs(heavy)
-    nodes = heavy.select("node").distinct().count()
-    assert nodes > 500 and of_leader.count() <= 12 * nodes
-    whole = J.sets_of(d, 3, 90, whole=True).dropDuplicates(["node"]).select("node", "n", "tokens")
-    certain, diff = J.certain_links(J.differences(of_leader, whole, bitmap, 90), 90)
-    parts = components(certain).toDF("node", "component")
-    assert J.difference_pairs(diff, parts, 90).count() <= 10 * nodes
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_duplicates(d, 3, 90).collect()}
+    got, pairs = proposed(spark, monkeypatch, rows, 3, 90)
     assert got == brute(rows, 3, 90)
+    assert pairs <= 10 * len(rows)
+
+
+def test_twice_the_group_takes_twice_the_pairs(spark, monkeypatch):
+    base = prose(11, 60)
+    rows = [(i, edited(base, 1 + i % 6, 7000 + i)) for i in range(1600)]
+    small, few = proposed(spark, monkeypatch, rows[:800], 5, 80)
+    large, more = proposed(spark, monkeypatch, rows, 5, 80)
+    assert small == brute(rows[:800], 5, 80)
+    assert more <= 2.2 * few + 100, (few, more)
+
+
+def test_long_lists_become_groups_of_their_own(spark, monkeypatch):
+    """Truncated, extended and edited copies, of which many lack the same shingles."""
+    base = prose(21, 70).split()
+    rows = []
+    for i in range(240):
+        r = random.Random(i)
+        w = base[:len(base) - r.randrange(0, 40)] if i % 3 == 0 else base[r.randrange(0, 40):] if i % 3 == 1 else list(base)
+        w = w + [f"tail{r.randrange(3)}-{k}" for k in range(r.randrange(0, 12))]
+        if i % 4 == 0:
+            w[r.randrange(len(w))] = f"x{r.randrange(50)}"
+        rows.append((i, " ".join(w)))
+    for width, percent, common in ((5, 80, 1), (3, 90, 4)):
+        got, _ = proposed(spark, monkeypatch, rows, width, percent, common=common)
+        assert got == brute(rows, width, percent), (width, percent, common)
+
+
+def test_expensive_shingles_by_a_join(spark):
+    rows = cases()
+    got = J.near_duplicates(docs(spark, rows), 3, 90, bitmap_bytes=0).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 3, 90)
+
+
+def test_rows_without_an_id_are_linked_with_nothing(spark):
+    d = docs(spark, [(None, prose(1, 30)), (None, prose(1, 30)), (4, prose(1, 30)), (3, prose(1, 30)), (None, None)])
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(d, 3, 90).collect()), key=repr)
+    assert got == [(3, 28, 3), (4, 28, 3), (None, 0, None), (None, 28, None), (None, 28, None)]
 
 
 def test_levels_keep_their_promise():
