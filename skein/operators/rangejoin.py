@@ -31,7 +31,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import ColumnOrName, _col
@@ -42,10 +42,11 @@ MAX_LEVELS = 8
 
 def choose_bits(rules: DataFrame, lo: str = "lo", hi: str = "hi") -> int:
     """Bucket width from the median rule width (one tiny aggregate)."""
-    med = rules.select(F.percentile_approx(F.col(hi) - F.col(lo) + 1, 0.5).alias("m")).first()["m"]
-    if not med or med <= 1:
-        return 0
-    return min(62, int(math.ceil(math.log2(med))))
+    return _bits_for(rules.select(F.percentile_approx(F.col(hi) - F.col(lo) + 1, 0.5).alias("m")).first()["m"])
+
+
+def _bits_for(median: int | None) -> int:
+    return 0 if not median or median <= 1 else min(62, int(math.ceil(math.log2(median))))
 
 
 def _level_of(lo: Column, hi: Column, bits: int, max_span: int) -> Column:
@@ -58,71 +59,60 @@ def _level_of(lo: Column, hi: Column, bits: int, max_span: int) -> Column:
     return F.coalesce(expr, F.lit(63))
 
 
-def rule_violations(rules: DataFrame, lo: str = "lo", hi: str = "hi") -> dict[str, int]:
-    """Counts of NULL bounds, empty intervals (``lo > hi``) and overlapping neighbours.
+#: Rules up to which their order is checked in one partition (24 bytes each).
+FEW_RULES = 100_000
+
 
-    Rules are range-partitioned on ``lo`` and sorted; inside a partition a
-    rule overlaps if its ``lo`` is not above the running max ``hi`` before
-    it.  Across partitions only one summary row per partition is compared.
+def _overlaps(rules: DataFrame, lo: str, hi: str, few: bool) -> int:
+    """Rules (with both bounds) whose ``lo`` is not above every ``hi`` before them, in order of ``lo``.
+
+    The running maximum of ``hi`` is a window inside each partition of a range-partitioned
+    order; across partitions only one summary row per partition is compared.
     """
-    from pyspark.sql import Window
+    r = rules.select(F.col(lo).cast("bigint").alias("lo"), F.col(hi).cast("bigint").alias("hi"))
+    placed = r.coalesce(1) if few else r.repartitionByRange("lo")
+    placed = placed.withColumn("p", F.spark_partition_id())
+    before = Window.partitionBy("p").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    per = placed.withColumn("prev", F.max("hi").over(before)).groupBy("p").agg(
+        F.min("lo").alias("first_lo"), F.max("hi").alias("max_hi"), F.count_if(F.col("lo") <= F.col("prev")).alias("bad"))
+    earlier = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    return int(per.select((F.col("bad") + F.coalesce((F.col("first_lo") <= F.max("max_hi").over(earlier)).cast("int"), F.lit(
+        0))).alias("bad")).agg(F.coalesce(F.sum("bad"), F.lit(0))).first()[0])
+
 
+def rule_violations(rules: DataFrame, lo: str = "lo", hi: str = "hi") -> dict[str, int]:
+    """Counts of NULL bounds, empty intervals (``lo > hi``) and overlapping neighbours."""
     no_bound = F.col(lo).isNull() | F.col(hi).isNull()
-    nulls, empty = rules.agg(F.count_if(no_bound), F.count_if(F.col(lo) > F.col(hi))).first()
-    r = rules.where(~no_bound).select(F.col(lo).cast("bigint").alias("lo"), F.col(hi).cast("bigint").alias("hi"))
-    part = r.repartitionByRange("lo").sortWithinPartitions("lo", "hi").withColumn(
-        "_p", F.spark_partition_id()
-    )
-
-    def scan(batches):
-        import numpy as np
-        import pandas as pd
-
-        run_max, first_lo, p, bad, seen = 0, 0, 0, 0, False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            p = int(pdf["_p"].iloc[0])
-            los = pdf["lo"].to_numpy(dtype="int64")
-            his = np.maximum.accumulate(pdf["hi"].to_numpy(dtype="int64"))
-            if seen:
-                his = np.maximum(his, run_max)
-            prev = np.empty_like(his)
-            prev[1:] = his[:-1]
-            if seen:
-                prev[0] = run_max
-                bad += int((los <= prev).sum())
-            else:
-                first_lo = int(los[0])
-                bad += int((los[1:] <= prev[1:]).sum())
-            run_max = int(his[-1])
-            seen = True
-        if seen:
-            yield pd.DataFrame({"_p": [p], "first_lo": [first_lo], "max_hi": [run_max], "bad": [bad]})
-
-    summary = part.mapInPandas(scan, "_p int, first_lo bigint, max_hi bigint, bad bigint")
-    # One row per partition: bounded by the partition count.
-    prev = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    checked = summary.select(
-        "bad", (F.col("first_lo") <= F.max("max_hi").over(prev)).cast("int").alias("cross")
-    ).agg(F.sum("bad").alias("bad"), F.sum("cross").alias("cross")).first()
-    overlaps = int(checked["bad"] or 0) + int(checked["cross"] or 0)
+    nulls, empty, n = rules.agg(F.count_if(no_bound), F.count_if(F.col(lo) > F.col(hi)), F.count(F.lit(1))).first()
+    overlaps = _overlaps(rules.where(~no_bound), lo, hi, n <= FEW_RULES)
     return {"nulls": int(nulls), "empty": int(empty), "overlaps": overlaps}
 
 
-def check_rules(rules: DataFrame, lo: str = "lo", hi: str = "hi") -> None:
-    """Raise when a rule has no bounds, is empty, or overlaps another (which would duplicate rows)."""
-    v = rule_violations(rules, lo, hi)
+def _invalid(v: dict[str, int]) -> None:
     if any(v.values()):
         raise ValueError(f"invalid interval rules: {v}")
 
 
+def check_rules(rules: DataFrame, lo: str = "lo", hi: str = "hi") -> None:
+    """Raise when a rule has no bounds, is empty, or overlaps another (which would duplicate rows)."""
+    _invalid(rule_violations(rules, lo, hi))
+
+
+def _free(columns: Sequence[str], base: str = "_skein") -> str:
+    """A prefix that no given column name starts with, ignoring case."""
+    names = [c.lower() for c in columns]
+    while any(c.startswith(base) for c in names):
+        base += "_"
+    return base
+
+
 class RangeIndex:
     """Interval rules prepared once for many lookups (e.g. one per stream batch).
 
-    Preparing reads only the rule table: the bucket width, the levels in use
-    and, per level, the size of the exploded rule side (which decides
-    broadcast or shuffle).  :meth:`lookup` then only builds the join plan.
+    Preparing reads only the rule table: it is written once, one aggregate counts what
+    is wrong with single rules and gives the bucket width, one compares neighbours,
+    and one gives the levels in use with the size of their exploded rule side (which
+    decides broadcast or shuffle).  :meth:`lookup` then only builds the join plan.
     """
 
     def __init__(
@@ -142,64 +132,74 @@ class RangeIndex:
         self.salts = int(salts)
         # Every rule is used by the check, the measuring and the joins: write it once.
         r = written(rules.select(
-            F.col(lo).cast("bigint").alias("_lo"), F.col(hi).cast("bigint").alias("_hi"), *self.payload), "rules")
+            F.col(lo).cast("bigint").alias("_lo"), F.col(hi).cast("bigint").alias("_hi"),
+            *[F.col(c).alias(f"_v{k}") for k, c in enumerate(self.payload)]), "rules")
+        no_bound = F.col("_lo").isNull() | F.col("_hi").isNull()
+        good = F.col("_lo") <= F.col("_hi")
+        nulls, empty, n, median = r.agg(
+            F.count_if(no_bound), F.count_if(F.col("_lo") > F.col("_hi")), F.count(F.lit(1)),
+            F.percentile_approx(F.when(good, F.col("_hi") - F.col("_lo") + 1), 0.5)).first()
         if validate:
-            check_rules(r, "_lo", "_hi")
-        r = r.where(F.col("_lo") <= F.col("_hi"))
-        self.bits = choose_bits(r, "_lo", "_hi") if bits is None else int(bits)
-        r = written(r.withColumn("_lvl", _level_of(F.col("_lo"), F.col("_hi"), self.bits, max_span)), "rules")
+            overlaps = 0 if nulls or empty else _overlaps(r, "_lo", "_hi", n <= FEW_RULES)
+            _invalid({"nulls": int(nulls), "empty": int(empty), "overlaps": overlaps})
+        self.bits = _bits_for(median) if bits is None else int(bits)
+        r = r.where(good).withColumn("_lvl", _level_of(F.col("_lo"), F.col("_hi"), self.bits, max_span))
         # One aggregate gives every level in use and the size of its exploded side
         # (at most MAX_LEVELS rows reach the driver).
         span = F.expr("shiftright(_hi, _lvl) - shiftright(_lo, _lvl) + 1")
         width = F.lit(64)
-        for c in self.payload:
+        values = [f"_v{k}" for k in range(len(self.payload))]
+        for c in values:
             width = width + 16 + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
         stats = sorted(
             (row["_lvl"], row["size"])
             for row in r.groupBy("_lvl").agg(F.sum(span * width).alias("size")).collect()
         )
-        self.sides: list[tuple[int, DataFrame, bool, dict[str, str]]] = []
-        for i, (lv, size) in enumerate(stats):
-            names = {c: f"_skein_{i}_{c}" for c in self.payload}
+        self.sides: list[tuple[int, DataFrame, bool, list[str]]] = []
+        for lv, size in stats:
             side = r.where(F.col("_lvl") == lv).select(
-                F.explode(F.sequence(F.shiftright("_lo", lv), F.shiftright("_hi", lv))).alias("_b"),
-                "_lo", "_hi", *[F.col(c).alias(names[c]) for c in self.payload],
-            )
-            self.sides.append((lv, side, size <= broadcast_bytes, names))
-
-    def lookup(self, facts: DataFrame, number: ColumnOrName, default: dict[str, object] | None = None) -> DataFrame:
-        """``facts`` plus the payload of the rule holding ``number`` (or ``default``)."""
-        default = dict(default or {})
-        payload = self.payload
-        f = facts.withColumn("_skein_n", _col(number).cast("bigint"))
-        inside = F.col("_skein_n").between(F.col("_lo"), F.col("_hi"))
-        out = f
-        for lv, side, small, _names in self.sides:
-            on_bucket = F.shiftright(F.col("_skein_n"), lv) == F.col("_b")
+                F.explode(F.sequence(F.shiftright("_lo", lv), F.shiftright("_hi", lv))).alias("_b"), "_lo", "_hi", *values)
+            self.sides.append((lv, side, size <= broadcast_bytes, values))
+
+    def lookup(self, facts: DataFrame, number: ColumnOrName, default: dict[str, object] | None = None,
+               names: dict[str, str] | None = None) -> DataFrame:
+        """``facts`` plus the payload of the rule holding ``number`` (or ``default``).
+
+        ``names`` gives payload columns other names in the result; a name that ``facts`` has
+        already (ignoring case) raises ``ValueError``.  Any other column of ``facts`` is kept as it
+        is, whatever its name.
+        """
+        default, names = dict(default or {}), dict(names or {})
+        out_names = [names.get(c, c) for c in self.payload]
+        taken = {c.lower() for c in facts.columns}
+        clash = [c for c in out_names if c.lower() in taken]
+        if clash:
+            raise ValueError(f"facts have columns named like the rules' payload: {clash}; rename them by names={{...}}")
+        p = _free(facts.columns)
+        n = f"{p}_n"
+        out = facts.withColumn(n, _col(number).cast("bigint"))
+        for i, (lv, side, small, values) in enumerate(self.sides):
+            own = side.toDF(f"{p}_b", f"{p}_lo", f"{p}_hi", *[f"{p}_{i}{v}" for v in values])
+            inside = F.col(n).between(F.col(f"{p}_lo"), F.col(f"{p}_hi"))
+            on_bucket = F.shiftright(F.col(n), lv) == F.col(f"{p}_b")
             if small:
-                out = out.join(F.broadcast(side), on_bucket & inside, "left")
+                out = out.join(F.broadcast(own), on_bucket & inside, "left")
             elif self.salts > 1:
-                salted = side.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
-                row = [F.col(f"`{c.name}`") for c in f.schema if not c.dataType.typeName() == "map"]
-                left = out.withColumn("_ls", F.pmod(F.xxhash64(*row), F.lit(self.salts)).cast("int"))
-                out = left.join(salted, on_bucket & (F.col("_ls") == F.col("_s")) & inside, "left")
-                out = out.drop("_ls", "_s")
+                salted = own.withColumn(f"{p}_s", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
+                row = [F.col(f"`{c.name}`") for c in facts.schema if not c.dataType.typeName() == "map"]
+                left = out.withColumn(f"{p}_ls", F.pmod(F.xxhash64(*row), F.lit(self.salts)).cast("int"))
+                out = left.join(salted, on_bucket & (F.col(f"{p}_ls") == F.col(f"{p}_s")) & inside, "left")
+                out = out.drop(f"{p}_ls", f"{p}_s")
             else:
-                out = out.join(side, on_bucket & inside, "left")
-            out = out.drop("_b", "_lo", "_hi")
-        tagged = [names for _, _, _, names in self.sides]
-        merged = [
-            (F.coalesce(*[F.col(t[c]) for t in tagged]) if tagged else F.lit(None).cast(self.types[c])).alias(c)
-            for c in payload
-        ]
-        drop = [t[c] for t in tagged for c in payload]
-        out = out.select("*", *merged).drop(*drop, "_skein_n")
-        fills = [
-            F.coalesce(F.col(c), F.lit(default[c])).alias(c) if c in default else F.col(c)
-            for c in payload
-        ]
-        keep = [c for c in out.columns if c not in payload]
-        return out.select(*keep, *fills)
+                out = out.join(own, on_bucket & inside, "left")
+            out = out.drop(f"{p}_b", f"{p}_lo", f"{p}_hi")
+        found = []
+        for k, (c, name) in enumerate(zip(self.payload, out_names)):
+            parts = [F.col(f"{p}_{i}_v{k}") for i in range(len(self.sides))]
+            if c in default:
+                parts.append(F.lit(default[c]))
+            found.append((F.coalesce(*parts) if parts else F.lit(None)).cast(self.types[c]).alias(name))
+        return out.select(*[F.col(f"`{c}`") for c in facts.columns], *found)
 
 
 def range_lookup(

@@ -95,3 +95,39 @@ def test_salts_follow_the_row(spark):
     a = idx.lookup(facts.repartition(3), "n").groupBy("n", "province").count().collect()
     b = idx.lookup(facts.repartition(11), "n").groupBy("n", "province").count().collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) == [(0, "a", 2500), (10, "b", 2500)]
+
+
+ODD_NAMES = ["_lo", "_HI", "_b", "_s", "_ls", "_v0", "_lvl", "_skein_n", "_skein_0_v0", "a.b"]
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "salts": 3}])
+def test_fact_columns_of_any_name(spark, options):
+    rules = rules_df(spark, [(0, 9, "narrow"), (10, 2**40, "wide")])
+    facts = spark.range(0, 40).select(F.col("id").alias("n"), *[F.concat(F.lit(c), "id").alias(c) for c in ODD_NAMES])
+    out = range_lookup(facts, "n", rules, ["province"], {"province": UNKNOWN}, bits=1, **options)
+    assert out.columns == ["n", *ODD_NAMES, "province"]
+    for r in out.collect():
+        assert r.province == ("narrow" if r.n < 10 else "wide")
+        assert [r[c] for c in ODD_NAMES] == [f"{c}{r.n}" for c in ODD_NAMES]
+
+
+def test_a_payload_clash_raises_unless_renamed(spark):
+    index = RangeIndex(rules_df(spark, [(0, 9, "a")]), ["province"])
+    facts = spark.createDataFrame([(3, "mine"), (30, "mine")], "n bigint, Province string")
+    with pytest.raises(ValueError, match="province"):
+        index.lookup(facts, "n")
+    out = index.lookup(facts, "n", {"province": UNKNOWN}, names={"province": "found"})
+    assert sorted(map(tuple, out.collect())) == [(3, "mine", "a"), (30, "mine", UNKNOWN)]
+
+
+def test_the_rule_check_of_many_rules_is_distributed(spark, monkeypatch):
+    from skein.operators import rangejoin
+
+    monkeypatch.setattr(rangejoin, "FEW_RULES", 0)
+    many = [(i * 10, i * 10 + 5, str(i)) for i in range(2000)]
+    assert rule_violations(rules_df(spark, many).repartition(9))["overlaps"] == 0
+    assert rule_violations(rules_df(spark, [*many, (0, 100000, "long")]).repartition(9))["overlaps"] > 0
+    plan = []
+    monkeypatch.setattr(rangejoin.DataFrame, "mapInPandas", lambda *a, **k: plan.append(1), raising=False)
+    rule_violations(rules_df(spark, many))
+    assert not plan
