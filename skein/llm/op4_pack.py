@@ -12,8 +12,14 @@ fillings of its sequence that no other filling dominates, and branch on them,
 fullest first.  A branch whose waste exceeds what the best known solution allows
 is pruned; the first solution is best-fit decreasing, every better one found
 replaces it, and reaching the volume bound ends the search.  A chosen filling is
-applied as often as its counts allow in one step.  ``max_nodes`` bounds the
-branching; the best solution found by then is used, and it always packs all pieces.
+applied as often as its counts allow in one step.
+
+The search is bounded (:class:`Limits`, a parameter of ``pack``): the fillings
+enumerated for one sequence and the steps of that enumeration, the items up to which a
+filling is tested for dominance (beyond, it is kept), and the nodes of the branching.  The
+best solution found within them is used; it packs all pieces and is never worse than
+best-fit decreasing.  ``search_report`` tells how far it is from the lower bound and
+whether a limit ended it.
 
 Ranks within a length come from counts per (bucket, length) with buckets of a few
 thousand pieces, so a length that a third of all pieces share is no hot key.
@@ -33,6 +39,7 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +67,9 @@ def tokenizer_files() -> tuple[str, str, str]:
 class ByteBpe:
     """Token ids of a byte-level BPE vocabulary as little-endian unsigned 32-bit bytes.
 
+    ``ids`` gives what the tokenizer gives as its file loads: a special token's string in a
+    text is that token.  ``ids_of_parts`` takes all parts as plain text.
+
     ``tokenizers`` holds the vocabulary; words of Latin script are encoded through
     the same merges as ranks (several times faster) and remembered.  A text
     without adjacent white space splits at its blanks into parts that encode on
@@ -70,6 +80,8 @@ class ByteBpe:
         import tiktoken
         from tokenizers import Tokenizer
 
+        self.loaded = Tokenizer.from_file(json_file)
+        self.special = [t.content for t in self.loaded.get_added_tokens_decoder().values()]
         self.whole = Tokenizer.from_file(json_file)
         self.whole.encode_special_tokens = True
         with open(rank_file, "rb") as f:
@@ -87,6 +99,8 @@ class ByteBpe:
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(s in text for s in self.special):
+            return np.array(self.loaded.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if _ADJACENT.search(text):
             return self._encode(text)
         first, rest = _at_blanks(text)
@@ -161,7 +175,18 @@ def _fits_into(items: list[int], bins: list[int]) -> bool:
     return False
 
 
-def fillings(left: dict[int, int], lengths: list[int], room: int, most: int = 60, nodes: int = 400) -> list[tuple[int, ...]]:
+@dataclass(frozen=True)
+class Limits:
+    """Bounds of the search: nodes of the branching; fillings enumerated for a sequence, and steps
+    taken for that; items up to which a filling is tested for dominance."""
+
+    nodes: int = 20_000
+    fillings: int = 60
+    steps: int = 400
+    dominance_items: int = 8
+
+
+def fillings(left: dict[int, int], lengths: list[int], room: int, limits: Limits = Limits()) -> list[tuple[int, ...]]:
     """Undominated fillings of ``room`` from the lengths left (ascending list), fullest first.
 
     A filling whose items fit into another filling's items as bins is dominated;
@@ -170,13 +195,13 @@ def fillings(left: dict[int, int], lengths: list[int], room: int, most: int = 60
     if left.get(room):
         return [(room,)]
     found: list[tuple[int, ...]] = []
-    budget = nodes
+    budget = limits.steps
 
     def grow(chosen: list[int], room: int, upto: int) -> None:
         nonlocal budget
         k = bisect_right(lengths, min(room, upto)) - 1
         leaf = True
-        while k >= 0 and budget > 0 and len(found) < most:
+        while k >= 0 and budget > 0 and len(found) < limits.fillings:
             item = lengths[k]
             k -= 1
             if left[item] <= chosen.count(item):
@@ -191,7 +216,7 @@ def fillings(left: dict[int, int], lengths: list[int], room: int, most: int = 60
     found = sorted(set(found), key=lambda f: (-sum(f), [-x for x in f]))
     best: list[tuple[int, ...]] = []
     for f in found:
-        if not any(sum(b) >= sum(f) and len(b) <= len(f) and len(f) <= 8 and _fits_into(list(f), list(b)) for b in best):
+        if not any(sum(b) >= sum(f) and len(b) <= len(f) and len(f) <= limits.dominance_items and _fits_into(list(f), list(b)) for b in best):
             best.append(f)
     return best or [()]
 
@@ -242,7 +267,17 @@ def least_sequences(counts: dict[int, int], size: int) -> int:
     return best
 
 
-def bin_completion(counts: dict[int, int], size: int, max_nodes: int = 20_000) -> list[tuple[int, tuple[int, ...]]]:
+def search_report(counts: dict[int, int], size: int, limits: Limits = Limits()) -> dict[str, int | bool]:
+    """Sequences used by best-fit decreasing and by the search, their lower bound, and whether the
+    search ended on a limit (and not by reaching the bound or the end of its tree)."""
+    state: dict[str, bool] = {}
+    plan = bin_completion(counts, size, limits, state)
+    return {"best_fit": sum(t for t, _ in best_fit(counts, size)), "sequences": sum(t for t, _ in plan),
+            "least": least_sequences(counts, size), "limited": state.get("limited", False)}
+
+
+def bin_completion(counts: dict[int, int], size: int, limits: Limits = Limits(),
+                   state: dict[str, bool] | None = None) -> list[tuple[int, tuple[int, ...]]]:
     """Patterns with multiplicities that hold all counted pieces in few sequences."""
     counts = {x: n for x, n in counts.items() if n}
     total = sum(x * n for x, n in counts.items())
@@ -256,7 +291,7 @@ def bin_completion(counts: dict[int, int], size: int, max_nodes: int = 20_000) -
     stack = [(start, sorted(start), 0, None)]
     plan: list[tuple[int, tuple[int, ...]]] = []
     nodes = 0
-    while stack and nodes < max_nodes and best_n > bound:
+    while stack and nodes < limits.nodes and best_n > bound:
         left, lengths, waste, options = stack.pop()
         if options is None:
             if not lengths:
@@ -266,7 +301,7 @@ def bin_completion(counts: dict[int, int], size: int, max_nodes: int = 20_000) -
                 if plan:
                     plan.pop()
                 continue
-            options = [(lengths[-1], *f) for f in fillings(_less(left, lengths[-1]), lengths, size - lengths[-1])]
+            options = [(lengths[-1], *f) for f in fillings(_less(left, lengths[-1]), lengths, size - lengths[-1], limits)]
         if not options:
             if plan:
                 plan.pop()
@@ -281,6 +316,8 @@ def bin_completion(counts: dict[int, int], size: int, max_nodes: int = 20_000) -
             continue
         plan.append((times, own))
         stack.append((after, still, lost, None))
+    if state is not None:
+        state["limited"] = bool(stack) and best_n > bound
     return best
 
 
@@ -308,14 +345,14 @@ def place_table(plan: list[tuple[int, tuple[int, ...]]]) -> dict[str, np.ndarray
 # --- the Spark side -------------------------------------------------------------------
 
 
-def pack(cut_pieces: DataFrame, size: int = SIZE, max_nodes: int = 20_000) -> DataFrame:
+def pack(cut_pieces: DataFrame, size: int = SIZE, limits: Limits = Limits()) -> DataFrame:
     """Add sequence_id and offset to pieces (doc_id, piece, start, length, ...)."""
     spark = cut_pieces.sparkSession
     p = cut(cut_pieces, "pack-pieces")
     counts = p.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     n = sum(r["n"] for r in counts)
     places = spark.sparkContext.broadcast(
-        place_table(bin_completion({r["length"]: r["n"] for r in counts}, size, max_nodes)))
+        place_table(bin_completion({r["length"]: r["n"] for r in counts}, size, limits)))
     buckets = max(1, -(-n // BUCKET_ROWS))
     b = p.withColumn("_b", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
     per = b.groupBy("_b", "length").agg(F.count(F.lit(1)).alias("_n"))

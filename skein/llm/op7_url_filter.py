@@ -20,8 +20,7 @@ Defined results
 * without any blocked (or allowed) page there is no distrust (trust) at all;
 * an empty table gives no rows; other input columns are ignored.
 
-All state is in tables keyed by host; the driver sees counts and sums, and the edges
-of a graph with at most ``LOCAL_EDGES`` (same iteration, without a job per round).
+All state is in tables keyed by host, at every size; the driver sees counts and sums.
 """
 
 from __future__ import annotations
@@ -29,7 +28,6 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,8 +45,6 @@ RULES = (
 BROADCAST_HOSTS = 100_000
 #: Greatest relative change of any host's rank between two cuts at which iteration ends.
 TOLERANCE = 1e-6
-#: Host edges (of both kinds) up to which the settled ranks are found in one process.
-LOCAL_EDGES = 200_000
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
 
@@ -102,7 +98,7 @@ def host_edges(pages: DataFrame, min_labels: int = 2) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 10,
-              cut_every: int = 5) -> DataFrame:
+              cut_every: int = 8) -> DataFrame:
     """Personalised PageRank of (kind, host, seed) over (kind, src, dst, share).
 
     Several kinds run side by side; shares of a source sum to 1, seeds of all
@@ -140,32 +136,6 @@ def _moved(before: DataFrame, after: DataFrame) -> bool:
     return (most or 0.0) > TOLERANCE
 
 
-def settled(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, cut_every: int = 5) -> DataFrame:
-    """``propagate`` until the ranks are settled, for a graph that fits one process."""
-    e, s = edges.collect(), seeds.collect()
-    at: dict[tuple[str, str], int] = {}
-    for r in e:
-        at.setdefault((r["kind"], r["src"]), len(at))
-        at.setdefault((r["kind"], r["dst"]), len(at))
-    for r in s:
-        at.setdefault((r["kind"], r["host"]), len(at))
-    src = np.array([at[r["kind"], r["src"]] for r in e], dtype=np.int64)
-    dst = np.array([at[r["kind"], r["dst"]] for r in e], dtype=np.int64)
-    share = damping * np.array([r["share"] for r in e], dtype=float)
-    own = np.zeros(len(at))
-    for r in s:
-        own[at[r["kind"], r["host"]]] += (1 - damping) * r["seed"]
-    rank = own
-    while True:
-        before = rank
-        for _ in range(cut_every):
-            rank = np.bincount(dst, rank[src] * share, len(at)) + own
-        if not (rank - before > TOLERANCE * rank).any():
-            break
-    rows = [(kind, host, float(rank[k])) for (kind, host), k in at.items() if rank[k] > 0]
-    return edges.sparkSession.createDataFrame(rows, "kind string, host string, rank double")
-
-
 def host_verdicts(pages: DataFrame, judged: DataFrame, ratio: float = 2.0, min_labels: int = 2,
                   damping: float = 0.85, rounds: int | None = 10) -> DataFrame:
     """host, trust, distrust, host_verdict for every host that some rank reaches.
@@ -185,8 +155,7 @@ def host_verdicts(pages: DataFrame, judged: DataFrame, ratio: float = 2.0, min_l
     out = both.groupBy("kind", "src").agg(F.sum("weight").alias("_all"))
     shares = cut(both.join(out, ["kind", "src"]).select(
         "kind", "src", "dst", (F.col("weight") / F.col("_all")).alias("share")), "url-shares")
-    small = rounds is None and shares.count() + seeds.count() <= LOCAL_EDGES
-    rank = settled(shares, seeds, damping) if small else propagate(shares, seeds, damping, rounds)
+    rank = propagate(shares, seeds, damping, rounds)
     wide = rank.groupBy("host").agg(
         F.coalesce(F.sum(F.when(F.col("kind") == "trust", F.col("rank"))), F.lit(0.0)).alias("trust"),
         F.coalesce(F.sum(F.when(F.col("kind") == "distrust", F.col("rank"))), F.lit(0.0)).alias("distrust"))

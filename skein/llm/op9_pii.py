@@ -371,16 +371,20 @@ def _enough(part: str, kind: int) -> bool:
 
 
 def train_field(docs: DataFrame, train_docs: int = 400, train_chars: int = 20_000, seed: int = 5) -> Field:
-    """Fit on ``train_docs`` documents with a digit or ``@``, chosen by a hash of the text.
+    """Fit on the ``train_docs`` distinct texts with a digit or ``@`` whose hashes are least.
 
-    A hash threshold first leaves about 50 times as many documents as are wanted
-    (of any kind), whatever the corpus holds, so that the choice moves few texts.
+    Texts of more than ``train_chars`` characters don't train.  Only such texts count, each
+    once, so rare personal data or many copies of a text leave the field no smaller; hashes
+    are chosen first, so no other text moves.
     """
-    share = min(1.0, 50.0 * train_docs / max(1, docs.count()))
-    drawn = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
-    d = docs.select("text").where(drawn & F.col("text").rlike("[0-9@]") & (F.length("text") <= train_chars))
-    rows = d.orderBy(F.xxhash64(F.lit(seed), "text"), "text").limit(train_docs).collect()
-    return fit([r["text"] for r in rows])
+    d = docs.select("text", F.xxhash64(F.lit(seed), "text").alias("h")).where(
+        F.col("text").rlike("[0-9@]") & (F.length("text") <= train_chars))
+    least = [r["h"] for r in d.select("h").distinct().orderBy("h").limit(train_docs).collect()]
+    if not least:
+        return fit([])
+    wanted = docs.sparkSession.createDataFrame([(h,) for h in least], "h bigint")
+    rows = d.join(F.broadcast(wanted), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text")).collect()
+    return fit([r["text"] for r in sorted(rows, key=lambda r: (r["h"], r["text"]))])
 
 
 def find(docs: DataFrame, field: Field | None = None, sure: float = 0.95) -> DataFrame:

@@ -26,15 +26,13 @@ from tests.llm.helpers import docs, prose
 def whole():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_files()[0])
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_files()[0])
 
 
 def test_ids_equal_the_tokenizer(whole):
     bpe = ByteBpe(*tokenizer_files())
     texts = ["", " ", "a", " a", "a ", "a  b", "a\nb", "a\n b", "\n\n", "it's don't 'll x's", "12 345a b6", "été Ñandú ß", "日本語 テキスト",
-             "a b", "a  b", "x\x00y z", "<|endoftext|> <|im_end|>", "### ... !!", "tab\there", "😀 emoji", "a\x1cb c", "İstanbul ǅ ɐ"]
+             "a b", "a  b", "x\x00y z", "<|endoftext|> <|im_end|>", "a<|endoftext|>", "<|endoftext", "x  <|endoftext|>\n<|endoftext|>", "### ... !!", "tab\there", "😀 emoji", "a\x1cb c", "İstanbul ǅ ɐ"]
     texts += [prose(i, 30) for i in range(20)]
     r = random.Random(4)
     texts += ["".join(r.choice("ab 1.\n\t'sé #") for _ in range(40)) for _ in range(300)]
@@ -157,3 +155,18 @@ def test_a_hot_length_fills_whole_sequences(spark):
     out = pack(pieces(many)).collect()
     per = 1024 // out[0].length
     assert len(out) == 9000 and check_packing(out, 1024) == -(-9000 // per)
+
+
+def test_limits_and_the_report_of_the_search():
+    from skein.llm.op4_pack import Limits, search_report
+
+    r = random.Random(8)
+    for _ in range(20):
+        counts = {r.randrange(1, 60): r.randrange(1, 5) for _ in range(12)}
+        whole = search_report(counts, 60)
+        cut = search_report(counts, 60, Limits(nodes=1, fillings=1, steps=1, dominance_items=0))
+        assert whole["least"] <= whole["sequences"] <= whole["best_fit"] == cut["best_fit"]
+        assert cut["sequences"] <= cut["best_fit"]
+        assert whole["limited"] is False or whole["sequences"] > whole["least"]
+        if cut["sequences"] > cut["least"]:
+            assert cut["limited"] or whole["sequences"] == cut["sequences"] or whole["sequences"] < cut["sequences"]

@@ -153,3 +153,16 @@ def test_settled_beliefs_are_exact_on_a_long_chain():
     want = np.array(left) + np.array(right[::-1])
     want -= np.logaddexp.reduce(want, 1)[:, None]
     assert np.allclose(P.beliefs(unary, edges, pair, rounds=None)[0], want, atol=1e-2)
+
+
+def test_training_texts_are_distinct_and_qualify_however_rare(spark, monkeypatch):
+    rows = [(i, f"plain words only {i} words".replace(str(i), "x" * (i % 7))) for i in range(3000)]
+    rows += [(5000 + i, "call +1 555 010 0199 now") for i in range(500)]
+    rows += [(6000 + i, f"mail to user{i}@example.com or call +49 30 1234{i:04d}") for i in range(30)]
+    seen = []
+    monkeypatch.setattr(P, "fit", lambda texts: seen.append(texts))
+    d = docs(spark, rows)
+    P.train_field(d, train_docs=400)
+    P.train_field(d, train_docs=10)
+    P.train_field(d, train_docs=400, train_chars=10)
+    assert len(seen[0]) == len(set(seen[0])) == 31 and len(seen[1]) == 10 and set(seen[1]) <= set(seen[0]) and seen[2] == []

@@ -138,14 +138,3 @@ def test_ranks_are_the_converged_solution(spark, more, blocked):
             v = {r.page_id: r.verdict for r in got.values()}
             assert set(blocked) <= set(v)
             assert all(v[k] == "block" for k in blocked)
-
-
-def test_the_tables_settle_as_one_process_does(spark, monkeypatch):
-    p = pages(spark, WEB)
-    judged = judged_by_rules(p, RULES)
-    want = {r.host: r for r in host_verdicts(p, judged, damping=0.3, rounds=None).collect()}
-    monkeypatch.setattr(U, "LOCAL_EDGES", 0)
-    got = {r.host: r for r in host_verdicts(p, judged, damping=0.3, rounds=None).collect()}
-    assert want.keys() == got.keys()
-    for h, r in got.items():
-        assert (r.trust, r.distrust) == (pytest.approx(want[h].trust), pytest.approx(want[h].distrust))
