@@ -35,10 +35,10 @@ would do; near a group's common text the differences are short):
   either lacks, (f(x) + f(y)) / 2 <= lacking(x), lacking(y).  Such a shingle is listed only
   by members for which a partner in a band of f can fulfil that, and met only by
   partners of that band;
-* a list with more than ``common`` members on both sides becomes a group of its own, whose
-  members share a difference and are described anew by their difference from a
-  reference set of that list (a leader again), up to ``ROUNDS`` times.  A list with at
-  most ``common`` members on one side gives at most that many pairs per member.
+* a list with more than ``common`` members on both sides, and more than ``LIST`` in all, becomes
+  a group of its own, whose members share a difference and are described anew by their
+  difference from a reference set of that list (a leader again), up to ``ROUNDS``
+  times.  The other lists give at most ``LIST`` pairs per member of the longer side.
 
 So a group of m near copies costs a few comparisons per member and no link between
 components is lost; the last round lists all pairs of what is left.
@@ -73,6 +73,8 @@ from skein.llm.components import components
 
 #: Rounds of describing long lists anew; the last one lists all pairs.
 ROUNDS = 4
+#: Members of a list, on both sides together, up to which its pairs are formed.
+LIST = 128
 #: Bands of f in a group, at most (about).
 BANDS = 16
 #: Ids up to which a list of documents to read again is broadcast (8 bytes each).
@@ -334,8 +336,10 @@ def listed(rows: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
     cap = (d - own) * (2 * unit) - f
     r = rows.join(of_node, "node", "left").withColumn("c", F.coalesce("component", "node")).withColumn(
         "cap", cap).withColumn("above", above)
-    span = r.groupBy("grp").agg(F.greatest(F.lit(unit), F.ceil((F.max("cap") + F.max("least")) / BANDS)).alias("wide"))
-    r = r.join(span, "grp")
+    # Groups whose members are in one component already have nothing to find.
+    span = r.groupBy("grp").agg(F.greatest(F.lit(unit), F.ceil((F.max("cap") + F.max("least")) / BANDS)).alias("wide"),
+                                F.min("c").alias("_c"), F.max("c").alias("_d")).where("_c != _d")
+    r = cut(r.join(span.select("grp", "wide"), "grp"), "join-open")
 
     def rows_of(agree: Column, probe: bool, bands: Column) -> DataFrame:
         length = F.greatest(F.lit(0), d - agree + 1)
@@ -356,13 +360,13 @@ def listed(rows: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
 
 
 def meetings(rows: DataFrame, common: int, last: bool, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b pairs of the lists with at most ``common`` members on a side; grp, node of the
-    groups that the longer lists become).  ``last``: the pairs of all lists."""
+    """(a, b pairs of the lists with at most ``common`` members on a side or ``LIST`` in all; grp, node
+    of the groups that the longer lists become).  ``last``: the pairs of all lists."""
     key = ["grp", "t", "band"]
     index, probe = F.sum((~F.col("probe")).cast("int")), F.sum(F.col("probe").cast("int"))
     lists = rows.groupBy(*key).agg(index.alias("_i"), probe.alias("_p"), F.min("c").alias("_c"), F.max("c").alias("_d")).where(
         "_i > 0 and _p > 0 and _c != _d")
-    lists = cut(lists.select(*key, (F.least("_i", "_p") <= common).alias("short")), "join-lists")
+    lists = cut(lists.select(*key, ((F.least("_i", "_p") <= common) | (F.col("_i") + F.col("_p") <= LIST)).alias("short")), "join-lists")
     short = lists if last else lists.where("short")
     x = rows.where("not probe").join(short.select(*key), key).alias("x")
     y = rows.where("probe").alias("y")
@@ -370,7 +374,12 @@ def meetings(rows: DataFrame, common: int, last: bool, percent: int) -> tuple[Da
         _length_ok(F.col("x.n"), F.col("y.n"), percent))
     pairs = j.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     longer = lists.where("false" if last else "not short").select(*key)
-    return pairs, rows.join(longer, key).select(F.xxhash64(*key).alias("grp"), "node").distinct()
+    members = cut(rows.join(longer, key).select(F.xxhash64(*key).alias("grp"), "node").distinct(), "join-longer")
+    # Copies share many differences: of lists with the same members (by 128 bits of hash) one is enough.
+    same = members.groupBy("grp").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                      F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
+    one = same.groupBy("k", "x", "y").agg(F.min("grp").alias("grp")).select("grp")
+    return pairs, members.join(one, "grp").select("grp", "node")
 
 
 def whole_sets(nodes: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
