@@ -11,8 +11,8 @@ Each stage works on all that the one before it kept.  All but the last return th
 columns of ``documents`` (and any extra columns they came with).
 
 Defined results: null texts fail the quality rules; rows that share a doc_id are
-one document to the duplicate stage and stay or go together; an empty table gives
-an empty result.  The quality references and the mix are computed from the rows
+one document to the duplicate stage and stay or go together; a row without a doc_id
+is linked with nothing and stays; an empty table gives an empty result.  The quality references and the mix are computed from the rows
 that reach their stage, whatever their number.
 """
 
