@@ -81,7 +81,7 @@ BANDS = 16
 BROADCAST_IDS = 500_000
 #: Members of a leader that vote on its reference set.
 REFERENCE = 7
-_CACHE_WORDS = 200_000
+_CACHE_WORDS = 100_000
 _HASHES: dict[bytes, int] = {}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -155,23 +155,26 @@ class Expensive:
             self.bitmap = np.zeros(1 << (bits - 3), np.uint8)
             self.bitmap[found.column("k").to_numpy()] = found.column("v").to_numpy()
 
-    def mark(self, sets: DataFrame) -> DataFrame:
-        """``sets`` with ``costly``: a byte per token, 1 for expensive ones."""
+    def reader(self):
+        """A function for tasks: the flags (1 for expensive) of every ``tokens`` list of an Arrow batch."""
+        if self.bitmap is None:
+            return lambda part: [np.frombuffer(x, np.uint8).astype(bool) for x in part.column("costly").to_pylist()]
+        shared = self.table.sparkSession.sparkContext.broadcast(self.bitmap)
+        mask = 8 * len(self.bitmap) - 1
+
+        def read(part: pa.RecordBatch) -> list[np.ndarray]:
+            bits, out = shared.value, []
+            for tokens in part.column("tokens"):
+                at = tokens.values.to_numpy() & mask
+                out.append((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+            return out
+
+        return read
+
+    def prepare(self, sets: DataFrame) -> DataFrame:
+        """``sets`` for tasks that use :meth:`reader`: as they are, or with ``costly``, a byte per token."""
         if self.bitmap is not None:
-            shared = sets.sparkSession.sparkContext.broadcast(self.bitmap)
-            mask = 8 * len(self.bitmap) - 1
-            names = sets.columns
-
-            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                bits = shared.value
-                for part in slices(batches, 1024):
-                    flags = []
-                    for tokens in part.column(names.index("tokens")):
-                        at = tokens.values.to_numpy() & mask
-                        flags.append(((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).tobytes())
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(flags, pa.binary())], [*names, "costly"])
-
-            return sets.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sets.schema) + ", costly binary")
+            return sets
         # One row per set and token; equal sets are marked once.
         known = self.table.select("t", F.lit(1).alias("hit"))
         flat = sets.select("node", "tokens").dropDuplicates(["node"]).select("node", F.posexplode("tokens").alias("at", "t"))
@@ -188,8 +191,8 @@ class Expensive:
                     flags.append(own.tobytes())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(flags, pa.binary())], [*names, "costly"])
 
-        return sets.join(flags, "node", "left").select(*names, "_at").mapInArrow(
-            run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sets.schema) + ", costly binary")
+        return cut(sets.join(flags, "node", "left").select(*names, "_at").mapInArrow(
+            run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sets.schema) + ", costly binary"), "join-marked")
 
 
 def choose_level(costly: np.ndarray, n: int, percent: int, matches: int) -> tuple[int, int]:
@@ -204,21 +207,20 @@ def choose_level(costly: np.ndarray, n: int, percent: int, matches: int) -> tupl
     return int(levels[k]), int(required[k])
 
 
-def prefix_rows(sets: DataFrame, percent: int, matches: int, heavy: bool) -> DataFrame:
+def prefix_rows(sets: DataFrame, expensive: Expensive, percent: int, matches: int, heavy: bool) -> DataFrame:
     """t, node, n, l, r: the cheap prefix shingles of every node, or (``heavy``) the
     expensive ones in the shortest prefix of the nodes without a usable level.
 
-    ``sets`` are marked (``costly``).
+    ``sets`` are prepared by ``expensive``.
     """
+    read = expensive.reader()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1024):
             out: list[list] = [[], [], [], [], []]
-            lists = part.column(2)
-            for n, node, tokens, flags in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), lists,
-                                              part.column(3).to_pylist()):
+            for n, node, tokens, costly in zip(part.column("n").to_pylist(), part.column("node").to_pylist(),
+                                               part.column("tokens"), read(part)):
                 t = tokens.values.to_numpy()
-                costly = np.frombuffer(flags, np.uint8).astype(bool)
                 level, r = choose_level(costly, n, percent, matches)
                 spare = n - least_shared(n, percent)
                 if heavy:
@@ -233,7 +235,7 @@ def prefix_rows(sets: DataFrame, percent: int, matches: int, heavy: bool) -> Dat
                 [pa.array(flat), pa.array(out[1], pa.binary()), *(pa.array(c, pa.int64()) for c in out[2:])],
                 ["t", "node", "n", "l", "r"])
 
-    return sets.where("n > 0").select("n", "node", "tokens", "costly").mapInArrow(
+    return sets.where("n > 0").drop("doc_id").mapInArrow(
         run, "t bigint, node binary, n bigint, l bigint, r bigint")
 
 
@@ -275,33 +277,32 @@ def references(members: DataFrame, sets: DataFrame) -> DataFrame:
         "grp", F.coalesce("ref", F.array().cast("array<bigint>")).alias("ref"))
 
 
-def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def differences(members: DataFrame, sets: DataFrame, expensive: Expensive, percent: int) -> DataFrame:
     """grp, node, n, d, own, tokens: each member's differences from its group's reference - their number,
     how many of them the reference lacks, and as many as a prefix can need, in an order that
     is the same for the whole group.
 
-    ``sets`` are whole and marked.
+    ``sets`` are whole and prepared by ``expensive``.
     """
+    read = expensive.reader()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 512):
             ds, owns, tokens = [], [], []
-            for n, mine, flags, theirs in zip(part.column(2).to_pylist(), part.column(3), part.column(4).to_pylist(),
-                                              part.column(5)):
+            for n, mine, costly, theirs in zip(part.column("n").to_pylist(), part.column("tokens"), read(part),
+                                               part.column("ref")):
                 x, y = mine.values.to_numpy(), theirs.values.to_numpy()
                 lacking = ~np.isin(x, y, assume_unique=True)
-                costly = np.frombuffer(flags, np.uint8).astype(bool)
                 missing = np.setdiff1d(y, x, assume_unique=True)
                 ordered = np.concatenate([x[lacking & ~costly], x[lacking & costly], missing])
                 ds.append(len(ordered))
                 owns.append(int(lacking.sum()))
                 tokens.append(ordered[:(100 - percent) * n // percent + 2])
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array(ds, pa.int64()), pa.array(owns, pa.int64()),
+                [*(part.column(c) for c in ("grp", "node", "n")), pa.array(ds, pa.int64()), pa.array(owns, pa.int64()),
                  pa.array(tokens, pa.list_(pa.int64()))], ["grp", "node", "n", "d", "own", "tokens"])
 
-    j = members.join(sets.select("node", "n", "tokens", "costly"), "node").join(references(members, sets), "grp")
-    return j.select("grp", "node", "n", "tokens", "costly", "ref").mapInArrow(
+    return members.join(sets, "node").join(references(members, sets), "grp").mapInArrow(
         run, "grp bigint, node binary, n bigint, d bigint, own bigint, tokens array<bigint>")
 
 
@@ -391,11 +392,11 @@ def whole_sets(nodes: DataFrame, docs: DataFrame, reps: DataFrame, width: int, p
         "node", "n", "tokens"), "join-sets")
 
 
-def group_links(members: DataFrame, whole: DataFrame, links: DataFrame, common: int, percent: int,
-                rounds: int = ROUNDS) -> DataFrame:
+def group_links(members: DataFrame, whole: DataFrame, links: DataFrame, expensive: Expensive, common: int,
+                percent: int, rounds: int = ROUNDS) -> DataFrame:
     """``links`` and those that join the components of the groups' members (grp, node)."""
     for k in range(rounds):
-        certain, rows = certain_links(cut(differences(members, whole, percent), "join-differences"), percent)
+        certain, rows = certain_links(cut(differences(members, whole, expensive, percent), "join-differences"), percent)
         links = cut(links.unionByName(certain), "join-links")
         near = listed(cut(rows, "join-differences"), components(links).toDF("node", "component"), percent)
         pairs, members = meetings(cut(near, "join-listed"), common, k == rounds - 1, percent)
@@ -424,14 +425,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, common:
     sets = cut(sets_of(docs, width, percent), "join-sets")
     named = sets.where("n > 0 and doc_id is not null")
     expensive = Expensive(named, common, bitmap_bytes)
-    marked = expensive.mark(named)
+    marked = expensive.prepare(named)
     reps = cut(named.groupBy("node").agg(F.min("doc_id").alias("rep")), "join-nodes")
-    pairs = cut(cheap_pairs(prefix_rows(marked, percent, matches, heavy=False), percent), "join-pairs")
+    pairs = cut(cheap_pairs(prefix_rows(marked, expensive, percent, matches, heavy=False), percent), "join-pairs")
     links = cut(verify(pairs, whole_sets(_ends(pairs), docs, reps, width, percent), percent), "join-links")
-    heavy = cut(prefix_rows(marked, percent, matches, heavy=True).select("t", "node").distinct(), "join-heavy")
+    heavy = cut(prefix_rows(marked, expensive, percent, matches, heavy=True).select("t", "node").distinct(), "join-heavy")
     if not heavy.isEmpty():
-        whole = cut(expensive.mark(whole_sets(heavy.select("node").distinct(), docs, reps, width, percent)), "join-whole")
-        links = group_links(cut(leader_pairs(heavy), "join-leaders"), whole, links, common, percent)
+        whole = expensive.prepare(whole_sets(heavy.select("node").distinct(), docs, reps, width, percent))
+        links = group_links(cut(leader_pairs(heavy), "join-leaders"), whole, links, expensive, common, percent)
     parts = components(links)
     named = parts.join(reps.toDF("id", "rep"), "id")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
