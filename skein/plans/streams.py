@@ -133,7 +133,7 @@ def stream_state_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def update(new, old):
         total = new.groupby("word", sort=False)["n"].sum()
-        before = old.set_index("word")["cnt"].reindex(total.index).fillna(0)
+        before = old.set_index("word")["cnt"].reindex(total.index).astype("float64").fillna(0)
         return (total + before).astype("int64").rename("cnt").reset_index()
 
     def start():
