@@ -14,6 +14,7 @@ from skein.operators.rangejoin import RangeIndex, check_rules, range_lookup, rul
 from skein.operators.ranking import (
     order_columns,
     sort_by_rule,
+    position_in_ranges,
     top_counts_all_keys,
     top_n,
     top_n_distinct_counts,
@@ -38,6 +39,7 @@ __all__ = [
     "rule_violations",
     "sort_by_rule",
     "sum_by",
+    "position_in_ranges",
     "top_counts_all_keys",
     "top_n",
     "top_n_batches",

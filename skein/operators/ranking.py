@@ -23,6 +23,11 @@ from skein.session import written
 
 SortRule = Sequence[str | tuple[str, str]]
 
+#: Rows sampled for every range of a global order.
+SAMPLE_PER_RANGE = 32
+#: Copies of a tied row that one task makes again.
+COPIES = 1_000_000
+
 
 def order_columns(rule: SortRule) -> list[Column]:
     """``[("fv", "desc"), ("age", "asc"), "name"]`` -> sort expressions."""
@@ -71,6 +76,108 @@ def with_position(df: DataFrame, rule: SortRule, name: str = "pos") -> DataFrame
     )
 
 
+def _precedes(rule: SortRule, bound: Column) -> Column:
+    """Whether a row stands before ``bound`` (a struct of the rule's columns); never null."""
+    out, same = F.lit(False), F.lit(True)
+    for k, item in enumerate(rule):
+        name, direction = (item, "asc") if isinstance(item, str) else item
+        mine, other = F.struct(F.col(name).alias("v")), F.struct(bound[f"k{k}"].alias("v"))
+        # Inside a struct null is the smallest value, as it is in a sort.
+        out = out | (same & ((mine > other) if direction.lower() == "desc" else (mine < other)))
+        same = same & F.col(name).eqNullSafe(bound[f"k{k}"])
+    return out
+
+
+def _bounds(df: DataFrame, rule: SortRule, ranges: int) -> list[tuple[tuple, int]]:
+    """At most ``ranges - 1`` distinct bounds in order, each with the number of quantiles it is."""
+    rows = df.count()
+    if ranges < 2 or rows < 2:
+        return []
+    keys = [i if isinstance(i, str) else i[0] for i in rule]
+    part = df.select(*[F.col(c).alias(f"k{k}") for k, c in enumerate(keys)])
+    part = part.sample(min(1.0, SAMPLE_PER_RANGE * ranges / rows), seed=17)
+    plain = [(f"k{k}", "asc" if isinstance(i, str) else i[1]) for k, i in enumerate(rule)]
+    # A sample of about SAMPLE_PER_RANGE rows a range: small enough for one task.
+    step = max(1, min(SAMPLE_PER_RANGE, rows // ranges))
+    place = F.row_number().over(Window.orderBy(*order_columns(plain)))
+    found = part.withColumn("_place", place).where(F.col("_place") % step == 0).groupBy(
+        *[n for n, _ in plain]).agg(F.count(F.lit(1)).alias("_times")).orderBy(*order_columns(plain)).collect()
+    return [(tuple(r)[:-1], r["_times"]) for r in found]
+
+
+def position_in_ranges(df: DataFrame, rule: SortRule, name: str = "pos", ranges: int | None = None) -> DataFrame:
+    """Add the 1-based position of each row in the total order ``rule``.
+
+    Nothing is sorted as a whole and nothing is written.  A sample of about 32 rows for each of
+    ``ranges`` ranges (default: the session's shuffle partitions) gives bounds, which are fixed in
+    the plan as literals; a row finds its range by a binary search in them.  Its position is
+    ``rows in earlier ranges + its rank within its range``; one row per range goes through the
+    single-task offset window.
+
+    A bound that is several quantiles stands for a hot tie.  Its rows are counted by their whole
+    content before they are shuffled, dealt by a hash into as many ranges as it has quantiles, and
+    made again from their counts, so that neither a tie nor a row with many copies fills one task.
+
+    The answer is that of :func:`with_position`, which writes the sorted table once and is quicker
+    where the table is small; this one needs no scratch space and holds when a third of the rows tie.
+    The input is read for its count, the sample, the ranges' counts and the ranks, and must give the
+    same rows every time.  Columns of the rule are of atomic types, and none is a map.  Make the rule a
+    total order (end with a unique column) for a deterministic result.
+    """
+    cols = df.columns
+    base = "_skein"
+    while any(c.lower().startswith(base) for c in cols):
+        base += "_"
+    at, sub, n, off, rank = (f"{base}{k}" for k in ("at", "sub", "n", "off", "rank"))
+    if ranges is None:
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _bounds(df, rule, ranges)
+    placed = df.withColumn(at, F.lit(0)).withColumn(sub, F.lit(-1))
+    if bounds:
+        types = {f.name: f.dataType for f in df.schema.fields}
+        keys = [i if isinstance(i, str) else i[0] for i in rule]
+        table = F.array(*[
+            F.struct(*[F.lit(v).cast(types[c]).alias(f"k{k}") for k, (c, v) in enumerate(zip(keys, bound))])
+            for bound, _ in bounds])
+        steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+
+        def move(seen: Column, step: Column) -> Column:
+            to = seen + step
+            inside = F.when(to <= len(bounds), ~_precedes(rule, F.get(table, F.least(to, F.lit(len(bounds))) - 1)))
+            return F.when(inside, to).otherwise(seen)
+
+        placed = df.withColumn(at, F.aggregate(steps, F.lit(0), move))
+        # Tied rows stand at the front of their bound's range, in parts of their own.
+        tied = {k + 1: times for k, (_, times) in enumerate(bounds) if times > 1}
+        part = F.lit(None).cast("int")
+        if tied:
+            parts = F.get(F.array(F.lit(0), *[F.lit(t if t > 1 else 0) for _, t in bounds]), F.col(at))
+            last = F.get(table, F.col(at) - 1)
+            same = F.lit(True)
+            for k, c in enumerate(keys):
+                same = same & F.col(c).eqNullSafe(last[f"k{k}"])
+            part = F.when((parts > 0) & same, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), parts).cast("int"))
+        placed = placed.withColumn(sub, F.coalesce(part, F.lit(1 << 30)))
+    counts = placed.groupBy(at, sub).agg(F.count(F.lit(1)).alias(n))
+    before = Window.orderBy(at, sub).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(counts.select(at, sub, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(off)))
+    own = [F.col(f"`{c}`") for c in cols]
+    single = placed if not (bounds and tied) else placed.where(F.col(sub) == 1 << 30)
+    ranked = single.withColumn(rank, F.row_number().over(Window.partitionBy(at, sub).orderBy(*order_columns(rule))))
+    out = ranked.join(offsets, [at, sub]).select(*own, (F.col(off) + F.col(rank)).cast("bigint").alias(name))
+    if not (bounds and tied):
+        return out
+    alike = placed.where(F.col(sub) < 1 << 30).groupBy(*own, at, sub).agg(F.count(F.lit(1)).alias(n))
+    running = Window.partitionBy(at, sub).orderBy(*own).rowsBetween(Window.unboundedPreceding, -1)
+    alike = alike.withColumn(rank, F.coalesce(F.sum(n).over(running), F.lit(0))).join(offsets, [at, sub])
+    # A row with very many copies is dealt in blocks of them before they are made.
+    blocks = alike.withColumn(sub, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1, F.lit(COPIES).cast("bigint"))))
+    blocks = blocks.repartition(F.col(off), F.col(rank), F.col(sub))
+    copy = F.explode(F.sequence(F.col(sub), F.least(F.col(sub) + COPIES, F.col(n)) - 1))
+    return out.unionByName(blocks.withColumn(at, copy).select(
+        *own, (F.col(off) + F.col(rank) + F.col(at) + 1).cast("bigint").alias(name)))
+
+
 def top_n(df: DataFrame, n: int, rule: SortRule) -> DataFrame:
     """First ``n`` rows of the whole table in ``rule`` order (``TakeOrderedAndProject``)."""
     return df.orderBy(*order_columns(rule)).limit(int(n))

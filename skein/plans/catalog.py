@@ -37,6 +37,7 @@ from skein.operators import (
     field_stats,
     grand_total,
     map_partitions,
+    position_in_ranges,
     sort_by_rule,
     sum_by,
     top_counts_all_keys,
@@ -201,6 +202,12 @@ def multi_key_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return u.withColumn("rendered", render_user("name", "age", "fv"))
 
 
+def multi_key_sort_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same order and positions from ranges, without a sorted table."""
+    u = position_in_ranges(users(spark, sf_dir), USER_RULE, "pos")
+    return u.withColumn("rendered", render_user("name", "age", "fv"))
+
+
 # ------------------------------------------------------ C4 log profiling --
 
 def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,6 +384,7 @@ BATCH_QUERIES = {
     "topn_partition_function": topn_partition_function,
     "distinct_groups": distinct_groups,
     "multi_key_sort": multi_key_sort,
+    "multi_key_sort_ranges": multi_key_sort_ranges,
     "log_status_count": log_status_count,
     "log_size_stats": log_size_stats,
     "log_size_range": log_size_range,

@@ -105,6 +105,12 @@ msgs AS (
   FROM orders
 )"""
 
+_USER_ORDER = """
+SELECT name, age, fv,
+       CAST(row_number() OVER (ORDER BY fv DESC, age ASC, name ASC) AS BIGINT) AS pos,
+       printf('name: %s, age: %d, fv: %d', name, age, fv) AS rendered
+FROM (SELECT c_name AS name, c_nationkey AS age, CAST(floor(c_acctbal) AS INTEGER) AS fv FROM customer)"""
+
 ORACLE_SQL: dict[str, str] = {
     "word_count": _WORD_COUNT,
     "word_count_top": _WORD_COUNT + "\nORDER BY cnt DESC, word ASC LIMIT 100",
@@ -133,11 +139,8 @@ SELECT string_split(url, '/')[-1] AS teacher, count(*) AS cnt FROM pages GROUP B
     "topn_group_partitions": "WITH " + _SUBJECTS + _TOP_GROUP.format(where=""),
     "topn_partition_function": "WITH " + _SUBJECTS + _TOP_GROUP.format(where=""),
     "distinct_groups": "WITH " + _SUBJECTS + "\nSELECT DISTINCT subject FROM sc",
-    "multi_key_sort": """
-SELECT name, age, fv,
-       CAST(row_number() OVER (ORDER BY fv DESC, age ASC, name ASC) AS BIGINT) AS pos,
-       printf('name: %s, age: %d, fv: %d', name, age, fv) AS rendered
-FROM (SELECT c_name AS name, c_nationkey AS age, CAST(floor(c_acctbal) AS INTEGER) AS fv FROM customer)""",
+    "multi_key_sort": _USER_ORDER,
+    "multi_key_sort_ranges": _USER_ORDER,
     "log_status_count": "WITH " + _LOG + "\nSELECT status, count(*) AS cnt FROM recs GROUP BY status",
     "log_size_stats": "WITH " + _LOG + """
 SELECT max_value, min_value,

@@ -5,6 +5,7 @@ from skein.functions import parse_users, subject_teacher
 from skein.operators import (
     count_by,
     partition_per_key,
+    position_in_ranges,
     sort_by_rule,
     top_counts_all_keys,
     top_n,
@@ -147,3 +148,40 @@ def test_colocated_count_combines_before_its_shuffle(spark):
     assert "partial_count" in plan
     assert sorted((r.g, r.t, r.cnt) for r in placed.collect()) == sorted(
         (r.g, r.t, r.cnt) for r in count_by(df, ["g", "t"]).collect())
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 40])
+def test_positions_with_hot_ties_nulls_and_copies(spark, ranges):
+    # A third of the rows share a key, half of those are alike in every column; some keys are null.
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(
+            F.concat(F.lit("k"), (F.col("id") % 97).cast("string"))).alias("key"),
+        F.when(F.col("id") % 6 == 0, F.lit(0)).otherwise(F.col("id") % 11).alias("_skeinat")).repartition(5, "_skeinat")
+    rule = [("key", "desc"), "_skeinat"]
+    got = position_in_ranges(df, rule, "pos", ranges).orderBy("pos").collect()
+    assert [r.pos for r in got] == list(range(1, 3001))
+    want = [(r.key, r._skeinat) for r in sort_by_rule(df, rule).collect()]
+    assert [(r.key, r._skeinat) for r in got] == want
+    only_key = position_in_ranges(df, [("key", "asc")], "pos", ranges).orderBy("pos").collect()
+    assert [r.key for r in only_key] == [r.key for r in sort_by_rule(df, ["key"]).collect()]
+    assert sorted(r.pos for r in only_key) == list(range(1, 3001))
+
+
+def test_positions_split_a_hot_tie_and_write_nothing(spark):
+    df = spark.range(0, 20_000).select(F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).alias("k"), "id")
+    pos = position_in_ranges(df, ["k"], "pos", 12)
+    plan = pos._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in plan.lower()
+    # Two thirds of the rows are one tie, in several parts of their own.
+    hot = pos.where("k = 5").agg(F.min("pos"), F.max("pos"), F.countDistinct("pos")).first()
+    below = df.where("k < 5").count()
+    assert tuple(hot) == (below + 1, below + df.where("k = 5").count(), df.where("k = 5").count())
+
+
+def test_positions_of_small_and_empty_tables(spark):
+    one = spark.createDataFrame([("a", 1.5)], "k string, v double")
+    assert [tuple(r) for r in position_in_ranges(one, ["k"]).collect()] == [("a", 1.5, 1)]
+    assert position_in_ranges(one.where("false"), ["k"]).collect() == []
+    odd = spark.createDataFrame([(float("nan"),), (None,), (-0.0,), (1e300,), (-5.0,)], "v double")
+    got = position_in_ranges(odd, [("v", "desc")], "pos", 5).orderBy("pos").collect()
+    assert [str(r.v) for r in got] == ["nan", "1e+300", "-0.0", "-5.0", "None"]
