@@ -336,8 +336,11 @@ def ip_region_lookup_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ip_region_lookup_multilevel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of all orders against narrow, wide and very wide rules, nothing broadcast."""
-    index = RangeIndex(inputs.multilevel_rules(spark, sf_dir), ["province"], broadcast_bytes=0)
+    """Numbers of all orders against narrow, wide and very wide rules, nothing broadcast.
+
+    From key 2^18 on, a customer's numbers reach into the next nation's rule: both hold them.
+    """
+    index = RangeIndex(inputs.multilevel_rules(spark, sf_dir), ["province"], broadcast_bytes=0, overlapping=True)
     return index.lookup(inputs.multilevel_numbers(spark, sf_dir), "n", {"province": inputs.UNKNOWN_REGION})
 
 

@@ -131,3 +131,48 @@ def test_the_rule_check_of_many_rules_is_distributed(spark, monkeypatch):
     monkeypatch.setattr(rangejoin.DataFrame, "mapInPandas", lambda *a, **k: plan.append(1), raising=False)
     rule_violations(rules_df(spark, many))
     assert not plan
+
+
+OVERLAPPING = [(0, 9, "a"), (5, 20, "b"), (5, 20, "b"), (7, 7, "c"), (21, 30, "d"), (40, 2**40, "wide"), (1000, 1003, "e"),
+               (90_000, 90_004, "f"), (2**45, 2**50, "huge"), (-50, -40, "g"), (1002, 1010, None)]
+
+
+@pytest.mark.parametrize("opts", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "salts": 3}, {"bits": 2, "max_span": 4}])
+@pytest.mark.parametrize("few", [True, False])
+def test_overlapping_rules_give_a_row_each(spark, monkeypatch, opts, few):
+    if not few:
+        monkeypatch.setattr("skein.operators.rangejoin.FEW_RULES", 0)
+    nums = [*range(-60, 60), 999, 1000, 1002, 1003, 1004, 1010, 1011, 89_999, 90_004, 2**40, 2**40 + 1, 2**44, 2**45, 2**50,
+            2**50 + 1, 2**62, -2**63, 2**63 - 1, 7, 7, None]
+    want = []
+    for n in nums:
+        held = [] if n is None else [p or UNKNOWN for lo, hi, p in OVERLAPPING if lo <= n <= hi]
+        want += [(-999 if n is None else n, p) for p in held or [UNKNOWN]]
+    assert lookup_all(spark, OVERLAPPING, nums, overlapping=True, **opts) == sorted(want)
+
+
+def test_overlapping_allowed_but_absent_or_wrong(spark):
+    assert lookup_all(spark, [(1, 5, "a")], [0, 1, None], overlapping=True) == [(-999, UNKNOWN), (0, UNKNOWN), (1, "a")]
+    with pytest.raises(ValueError):
+        lookup_all(spark, [(1, 5, "a"), (3, 2, "b")], [1], overlapping=True)
+    odd = [(1, 5, "a"), (4, 6, "b"), (9, 8, "c"), (None, 9, "d")]
+    assert lookup_all(spark, odd, [5, 8], overlapping=True, validate=False) == [(5, "a"), (5, "b"), (8, UNKNOWN)]
+
+
+def test_multilevel_query_with_large_customer_keys(spark, tmp_path):
+    import duckdb
+
+    from skein.plans import all_oracles, all_queries
+    from tests.conftest import SF001
+
+    con = duckdb.connect()
+    shift = "(SELECT unnest([0, 262000, 300000, 899000]) AS k)"
+    for name, rows in (("nation", "SELECT * FROM t"),
+                       ("customer", f"SELECT * REPLACE (c_custkey + k AS c_custkey) FROM t, {shift}"),
+                       ("orders", f"SELECT * REPLACE (o_custkey + k AS o_custkey) FROM t, {shift}")):
+        con.sql(f"COPY (WITH t AS (FROM '{SF001}/{name}.parquet') {rows}) TO '{tmp_path}/{name}.parquet'")
+        con.sql(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet'")
+    want = sorted(con.sql(all_oracles()["ip_region_lookup_multilevel"]).fetchall())
+    assert len(want) > con.sql("SELECT count(*) FROM orders").fetchall()[0][0]  # some numbers have two rules
+    found = all_queries()["ip_region_lookup_multilevel"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found)) == want
