@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -54,6 +55,8 @@ BUCKET_ROWS = 4000
 #: White space by Unicode; a text in which none stands beside another falls apart at its blanks.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ADJACENT = re.compile(f"[{SPACE}][{SPACE}]|^[{SPACE}]")
+#: Characters beyond the Latin script's.
+_BEYOND = re.compile("[\u0250-\U0010ffff]")
 _CACHE_WORDS = 150_000
 
 
@@ -70,10 +73,10 @@ class ByteBpe:
     ``ids`` gives what the tokenizer gives as its file loads: a special token's string in a
     text is that token.  ``ids_of_parts`` takes all parts as plain text.
 
-    ``tokenizers`` holds the vocabulary; words of Latin script are encoded through
-    the same merges as ranks (several times faster) and remembered.  A text
-    without adjacent white space splits at its blanks into parts that encode on
-    their own: a blank belongs to the word behind it.
+    ``tokenizers`` holds the vocabulary; texts of Latin script are encoded whole through
+    the same merges as ranks (several times faster).  Any other text, if it has no adjacent
+    white space, splits at its blanks into parts that encode on their own (a blank belongs
+    to the word behind it) and are remembered.
     """
 
     def __init__(self, json_file: str, rank_file: str, pattern: str):
@@ -90,18 +93,18 @@ class ByteBpe:
         self.known: dict[str, bytes] = {}
 
     def _encode(self, part: str) -> bytes:
-        if part.isascii() or max(part) < "ɐ":
-            ids = self.ranked.encode_ordinary(part)
-        else:
+        if _BEYOND.search(part):
             ids = self.whole.encode(part, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        else:
+            ids = self.ranked.encode_ordinary(part)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
         if any(s in text for s in self.special):
             return np.array(self.loaded.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if _ADJACENT.search(text):
+        if not _BEYOND.search(text) or _ADJACENT.search(text):
             return self._encode(text)
         first, rest = _at_blanks(text)
         return self.ids_of_parts([first, *rest])

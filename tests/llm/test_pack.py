@@ -170,3 +170,16 @@ def test_limits_and_the_report_of_the_search():
         assert whole["limited"] is False or whole["sequences"] > whole["least"]
         if cut["sequences"] > cut["least"]:
             assert cut["limited"] or whole["sequences"] == cut["sequences"] or whole["sequences"] < cut["sequences"]
+
+
+def test_latin_texts_are_encoded_in_one_call(monkeypatch):
+    bpe = ByteBpe(*tokenizer_files())
+    calls = []
+    encode = bpe._encode
+    monkeypatch.setattr(bpe, "_encode", lambda part: calls.append(part) or encode(part))
+    latin = ["Rare words: zqxv wvutq, élan Ångström ſ ɏ 12345678901.\nThe last line", "it's  two  blanks \t\n", " led by one"]
+    other = "a word, слово and a “quote” \u0250 語"
+    for text in [*latin, other]:
+        ids = [int(x) for x in np.frombuffer(bpe.ids(text), "<u4")]
+        assert ids == bpe.loaded.encode(text, add_special_tokens=False).ids
+    assert calls[:3] == latin and "".join(calls[3:]) == other and len(calls) > 4
