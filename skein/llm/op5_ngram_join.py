@@ -38,7 +38,10 @@ would do; near a group's common text the differences are short):
 * a list with more than ``common`` members on both sides, and more than ``LIST`` in all, becomes
   a group of its own, whose members share a difference and are described anew by their
   difference from a reference set of that list (a leader again), up to ``ROUNDS``
-  times.  The other lists give at most ``LIST`` pairs per member of the longer side.
+  times.  The other lists give at most ``LIST`` pairs per member of the longer side;
+* near copies of each other meet in as many lists as they share differences.  Each member names
+  the longest list it is in; two that name the same one are in it both, and a pair is
+  formed there only.
 
 So a group of m near copies costs a few comparisons per member and no link between
 components is lost; the last round lists all pairs of what is left.
@@ -360,6 +363,20 @@ def listed(rows: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
     return out.withColumn("band", F.coalesce("band", F.lit(-(1 << 60))))
 
 
+def met(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """a, b: the pairs of the given lists (grp, t, band, k: their length), those in which both name the
+    same longest list only from that list."""
+    key = ["grp", "t", "band"]
+    own = Window.partitionBy("grp", "node", "probe")
+    mine = cut(rows.join(lists, key).withColumn("longest", F.max(F.struct("k", "t", "band")).over(own)).withColumn(
+        "here", (F.col("longest.t") == F.col("t")) & (F.col("longest.band") == F.col("band"))).drop("k"), "join-met")
+    x, y = mine.where("not probe").alias("x"), mine.where("probe").alias("y")
+    once = F.col("x.here") | (F.col("x.longest") != F.col("y.longest"))
+    j = x.join(y, key).where(once & (F.col("x.c") != F.col("y.c")) & (F.col("x.f") <= F.col("y.f"))).where(
+        _length_ok(F.col("x.n"), F.col("y.n"), percent))
+    return j.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
 def meetings(rows: DataFrame, common: int, last: bool, percent: int) -> tuple[DataFrame, DataFrame]:
     """(a, b pairs of the lists with at most ``common`` members on a side or ``LIST`` in all; grp, node
     of the groups that the longer lists become).  ``last``: the pairs of all lists."""
@@ -367,13 +384,9 @@ def meetings(rows: DataFrame, common: int, last: bool, percent: int) -> tuple[Da
     index, probe = F.sum((~F.col("probe")).cast("int")), F.sum(F.col("probe").cast("int"))
     lists = rows.groupBy(*key).agg(index.alias("_i"), probe.alias("_p"), F.min("c").alias("_c"), F.max("c").alias("_d")).where(
         "_i > 0 and _p > 0 and _c != _d")
-    lists = cut(lists.select(*key, ((F.least("_i", "_p") <= common) | (F.col("_i") + F.col("_p") <= LIST)).alias("short")), "join-lists")
-    short = lists if last else lists.where("short")
-    x = rows.where("not probe").join(short.select(*key), key).alias("x")
-    y = rows.where("probe").alias("y")
-    j = x.join(y, key).where((F.col("x.c") != F.col("y.c")) & (F.col("x.f") <= F.col("y.f"))).where(
-        _length_ok(F.col("x.n"), F.col("y.n"), percent))
-    pairs = j.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    k = F.col("_i") + F.col("_p")
+    lists = cut(lists.select(*key, k.alias("k"), ((F.least("_i", "_p") <= common) | (k <= LIST)).alias("short")), "join-lists")
+    pairs = met(rows, (lists if last else lists.where("short")).select(*key, "k"), percent).distinct()
     longer = lists.where("false" if last else "not short").select(*key)
     members = cut(rows.join(longer, key).select(F.xxhash64(*key).alias("grp"), "node").distinct(), "join-longer")
     # Copies share many differences: of lists with the same members (by 128 bits of hash) one is enough.
