@@ -170,7 +170,7 @@ def test_near_copies_meet_in_their_longest_list_only(spark):
     rows = [(1, t, -1, probe, bytes([x]), 100, x, bytes([x])) for t, xs in lists.items() for x in xs for probe in (False, True)]
     table = spark.createDataFrame(rows, "grp long, t long, band long, probe boolean, node binary, n long, f long, c binary")
     sizes = spark.createDataFrame([(1, t, -1, 2 * len(xs)) for t, xs in lists.items()], "grp long, t long, band long, k long")
-    found = [(bytes(a), bytes(b)) for a, b in met(table, sizes, 80).collect()]
+    found = [(bytes(a), bytes(b)) for a, b in J.met(table, sizes, 80).collect()]
     every = [(bytes([x]), bytes([y])) for xs in lists.values() for x in xs for y in xs if x < y]
     assert set(found) == set(every)
     assert len(found) < 3 * len(set(every)) < len(every) / 4
