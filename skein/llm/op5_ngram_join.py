@@ -27,8 +27,9 @@ would do; near a group's common text the differences are short):
   f(x) + f(y) <= 0 link for certain, and then both link to the member of least
   f: one link each joins all of them;
 * any other linked pair shares at least (f(x) + f(y)) / 2 of its differences.  So
-  prefixes of the differences (shingles that R lacks first, cheap ones before
-  expensive ones) must meet; only members of different components are proposed, and
+  prefixes of the differences (shingles that R lacks first, of these the ones that
+  several of the ``VOTERS`` smallest members hold last, the most frequent at the end, so that
+  prefixes hold what few share) must meet; only members of different components are proposed, and
   one of a pair is always a member that isn't linked to the one of least f;
 * of R's own shingles a group's members can lack only a few kinds, so lists of them
   are long.  A pair may share nothing else only if it needs no more differences than
@@ -39,6 +40,8 @@ would do; near a group's common text the differences are short):
   a group of its own, whose members share a difference and are described anew by their
   difference from a reference set of that list (a leader again), up to ``ROUNDS``
   times.  The other lists give at most ``LIST`` pairs per member of the longer side;
+* a group whose members are all in another one adds nothing and is left out, as are the rows
+  of a list for which the other side's least and largest f, n and component leave no partner;
 * near copies of each other meet in as many lists as they share differences.  Each member names
   the longest list it is in; two that name the same one are in it both, and a pair is
   formed there only.
@@ -82,8 +85,12 @@ LIST = 128
 BANDS = 16
 #: Ids up to which a list of documents to read again is broadcast (8 bytes each).
 BROADCAST_IDS = 500_000
-#: Members of a leader that vote on its reference set.
-REFERENCE = 7
+#: Members of a leader that vote on its reference set, and on the order of the differences.
+REFERENCE, VOTERS = 7, 32
+#: Shingles with a place in that order, at most.
+ORDERED = 4096
+#: Groups, the largest of a member's, that are tried for whether they hold all of another.
+WIDER = 4
 _CACHE_WORDS = 100_000
 _HASHES: dict[bytes, int] = {}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -267,17 +274,53 @@ def leader_pairs(rows: DataFrame) -> DataFrame:
     return rows.join(first, "t").select(F.xxhash64("leader").alias("grp"), "node").distinct()
 
 
+def widest(members: DataFrame) -> DataFrame:
+    """The members (grp, node) of the groups that can add a pair: those of two members or more, one of
+    equal groups, and none of which all members are found in a wider one.
+
+    A wider group holds the member that is in the fewest groups too, so its ``WIDER`` largest are
+    tried; a group that is kept for that bound costs time, no pair.
+    """
+    # Equal groups by 128 bits of hash.
+    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                       F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")).where("m > 1")
+    one = sizes.groupBy("m", "x", "y").agg(F.min("grp").alias("grp")).select("grp", "m")
+    mine = Window.partitionBy("node")
+    kept = cut(members.join(one, "grp").withColumn("g", F.count(F.lit(1)).over(mine)).withColumn(
+        "at", F.row_number().over(mine.orderBy(F.desc("m"), "grp"))), "join-groups")
+    fewest = kept.groupBy("grp").agg(F.min(F.struct("g", "node"))["node"].alias("node"))
+    wider = kept.where(F.col("at") <= WIDER).select("node", F.col("grp").alias("wider"), F.col("m").alias("more"))
+    tried = fewest.join(wider, "node").join(one, "grp").where("more > m").select("grp", "wider")
+    inside = kept.join(tried, "grp").join(kept.select(F.col("grp").alias("wider"), "node"), ["wider", "node"])
+    gone = inside.groupBy("grp", "wider").agg(F.count(F.lit(1)).alias("k"), F.first("m").alias("m")).where("k = m")
+    return cut(kept.join(gone.select("grp").distinct(), "grp", "left_anti").select("grp", "node"), "join-members")
+
+
 def references(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """grp, ref: the shingles of more than half of the group's smallest members."""
+    """grp, ref, often: the shingles of more than half of the group's ``REFERENCE`` smallest members, and
+    the others that several of the ``VOTERS`` smallest hold, the most frequent first."""
     small = Window.partitionBy("grp").orderBy("node")
-    few = members.withColumn("_r", F.row_number().over(small)).where(F.col("_r") <= REFERENCE).drop("_r")
-    votes = few.join(sets, "node").select("grp", F.explode("tokens").alias("t")).groupBy("grp", "t").agg(
-        F.count(F.lit(1)).alias("votes"))
-    voters = few.groupBy("grp").agg(F.count(F.lit(1)).alias("voters"))
-    most = votes.join(voters, "grp").where("2 * votes > voters")
-    ref = most.groupBy("grp").agg(F.array_sort(F.collect_list("t")).alias("ref"))
+    few = members.withColumn("_r", F.row_number().over(small)).where(F.col("_r") <= VOTERS).withColumn(
+        "_r", (F.col("_r") <= REFERENCE).cast("int"))
+    votes = few.join(sets, "node").select("grp", "_r", F.explode("tokens").alias("t")).groupBy("grp", "t").agg(
+        F.sum("_r").alias("votes"), F.count(F.lit(1)).alias("holders"))
+    voters = few.groupBy("grp").agg(F.sum("_r").alias("voters"))
+    most = votes.join(voters, "grp").where("2 * votes > voters or holders > 1").withColumn("_m", F.expr("2 * votes > voters"))
+    ref = most.groupBy("grp").agg(
+        F.array_sort(F.collect_list(F.when(F.col("_m"), F.col("t")))).alias("ref"),
+        F.sort_array(F.collect_list(F.when(~F.col("_m"), F.struct("holders", "t"))), asc=False).alias("often"))
+    none = F.array().cast("array<bigint>")
     return voters.join(ref, "grp", "left").select(
-        "grp", F.coalesce("ref", F.array().cast("array<bigint>")).alias("ref"))
+        "grp", F.coalesce("ref", none).alias("ref"), F.coalesce(F.slice("often", 1, ORDERED)["t"], none).alias("often"))
+
+
+def places(tokens: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """0 for tokens that aren't among ``often``, else the higher the further ahead they stand there."""
+    if not len(often):
+        return np.zeros(len(tokens), np.int64)
+    order = np.argsort(often)
+    at = order[np.minimum(np.searchsorted(often, tokens, sorter=order), len(often) - 1)]
+    return np.where(often[at] == tokens, len(often) - at, 0)
 
 
 def differences(members: DataFrame, sets: DataFrame, expensive: Expensive, percent: int) -> DataFrame:
@@ -292,12 +335,13 @@ def differences(members: DataFrame, sets: DataFrame, expensive: Expensive, perce
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 512):
             ds, owns, tokens = [], [], []
-            for n, mine, costly, theirs in zip(part.column("n").to_pylist(), part.column("tokens"), read(part),
-                                               part.column("ref")):
+            for n, mine, costly, theirs, often in zip(part.column("n").to_pylist(), part.column("tokens"), read(part),
+                                                      part.column("ref"), part.column("often")):
                 x, y = mine.values.to_numpy(), theirs.values.to_numpy()
                 lacking = ~np.isin(x, y, assume_unique=True)
                 missing = np.setdiff1d(y, x, assume_unique=True)
-                ordered = np.concatenate([x[lacking & ~costly], x[lacking & costly], missing])
+                rare_first = np.lexsort((costly[lacking], places(x[lacking], often.values.to_numpy())))
+                ordered = np.concatenate([x[lacking][rare_first], missing])
                 ds.append(len(ordered))
                 owns.append(int(lacking.sum()))
                 tokens.append(ordered[:(100 - percent) * n // percent + 2])
@@ -322,8 +366,9 @@ def certain_links(diff: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
 
 def listed(rows: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
-    """grp, t, band, probe, node, n, f, c: the differences by which members can meet a member of
-    another component (c).
+    """grp, t, band, probe, node, n, f, c, reach: the differences by which members can meet a member of
+    another component (c).  A partner with an f above ``reach`` must agree in more differences than
+    follow from here on, so a pair's first common difference is within the reach of both.
 
     Of a pair the one with the larger f probes; it isn't linked to the member of least f, so its f
     is above ``least``.  It probes with as many differences as its least agreement allows, the
@@ -348,12 +393,13 @@ def listed(rows: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
     def rows_of(agree: Column, probe: bool, bands: Column) -> DataFrame:
         length = F.greatest(F.lit(0), d - agree + 1)
         at = F.least(length, F.size("tokens")).cast("int")
-        mine = F.transform(F.slice("tokens", F.lit(1), at), lambda t, i: F.struct(t.alias("t"), (i < own).alias("lacked")))
+        mine = F.transform(F.slice("tokens", F.lit(1), at), lambda t, i: F.struct(
+            t.alias("t"), (i < own).alias("lacked"), ((d - i) * (2 * unit) - f).alias("reach")))
         flat = r.where(f > least) if probe else r
         flat = flat.select("grp", "node", "n", "f", "c", bands.alias("bands"), F.explode(mine).alias("m"))
         every = F.when(F.col("m.lacked"), F.array(F.lit(None).cast("bigint"))).otherwise(F.col("bands"))
         return flat.select("grp", F.col("m.t").alias("t"), F.explode(every).alias("band"), F.lit(probe).alias("probe"),
-                           "node", "n", "f", "c")
+                           "node", "n", "f", "c", F.col("m.reach").alias("reach"))
 
     none = F.array().cast("array<bigint>")
     to = F.when(F.col("cap") >= F.col("above"), F.sequence(
@@ -377,23 +423,49 @@ def met(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     return j.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
+def facing(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """The rows in ``lists`` that can have a partner on the list's other side, as far as the extremes of
+    that side's f, n and c tell."""
+    probe = F.col("probe")
+
+    def other(side: str) -> Column:
+        near = (F.col("n") * 100 >= F.col(f"{side}_n0") * percent) & (F.col(f"{side}_n1") * 100 >= F.col("n") * percent)
+        alone = (F.col(f"{side}_c0") == F.xxhash64("c")) & (F.col(f"{side}_c1") == F.xxhash64("c"))
+        return near & ~alone
+
+    f, reach = F.col("f"), F.col("reach")
+    met_by = F.when(probe, other("i") & (F.col("i_f0") <= F.least(f, reach))).otherwise(
+        other("p") & (F.col("p_f1") >= f) & (F.col("p_f0") <= reach))
+    return rows.join(lists, ["grp", "t", "band"]).where(met_by).select(*rows.columns).drop("reach")
+
+
 def meetings(rows: DataFrame, common: int, last: bool, percent: int) -> tuple[DataFrame, DataFrame]:
     """(a, b pairs of the lists with at most ``common`` members on a side or ``LIST`` in all; grp, node
     of the groups that the longer lists become).  ``last``: the pairs of all lists."""
     key = ["grp", "t", "band"]
-    index, probe = F.sum((~F.col("probe")).cast("int")), F.sum(F.col("probe").cast("int"))
-    lists = rows.groupBy(*key).agg(index.alias("_i"), probe.alias("_p"), F.min("c").alias("_c"), F.max("c").alias("_d")).where(
-        "_i > 0 and _p > 0 and _c != _d")
-    k = F.col("_i") + F.col("_p")
-    lists = cut(lists.select(*key, k.alias("k"), ((F.least("_i", "_p") <= common) | (k <= LIST)).alias("short")), "join-lists")
-    pairs = met(rows, (lists if last else lists.where("short")).select(*key, "k"), percent).distinct()
-    longer = lists.where("false" if last else "not short").select(*key)
-    members = cut(rows.join(longer, key).select(F.xxhash64(*key).alias("grp"), "node").distinct(), "join-longer")
-    # Copies share many differences: of lists with the same members (by 128 bits of hash) one is enough.
-    same = members.groupBy("grp").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"),
-                                      F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
-    one = same.groupBy("k", "x", "y").agg(F.min("grp").alias("grp")).select("grp")
-    return pairs, members.join(one, "grp").select("grp", "node")
+
+    def side(name: str, mine: Column) -> list[Column]:
+        n, c, f = (F.when(mine, x) for x in (F.col("n"), F.xxhash64("c"), F.col("f")))
+        return [F.min(n).alias(f"{name}_n0"), F.max(n).alias(f"{name}_n1"),
+                F.min(c).alias(f"{name}_c0"), F.max(c).alias(f"{name}_c1"),
+                F.min(f).alias(f"{name}_f0"), F.max(f).alias(f"{name}_f1")]
+
+    # One component on both sides, or no f of a prober that reaches the least one listed: nothing to find.
+    lists = cut(rows.groupBy(*key).agg(*side("i", ~F.col("probe")), *side("p", F.col("probe"))).where(
+        "i_f0 <= p_f1 and (i_c0 != p_c1 or i_c1 != p_c0)"), "join-lists")
+    near = cut(facing(rows, lists, percent), "join-facing")
+    count = lambda mine: F.sum(mine.cast("int"))
+    sizes = near.groupBy(*key).agg(
+        count(~F.col("probe")).alias("i"), count(F.col("probe")).alias("p"), F.bit_xor(F.xxhash64("node", "probe")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "node", "probe")).alias("y")).where("i > 0 and p > 0")
+    # Copies share whole passages: of a group's lists with the same members (by 128 bits of hash) one is enough.
+    one = sizes.groupBy("grp", "i", "p", "x", "y").agg(F.min(F.struct("t", "band")).alias("_o"))
+    k = F.col("i") + F.col("p")
+    lists = cut(one.select("grp", "_o.t", "_o.band", k.alias("k"), (
+        (F.least("i", "p") <= common) | (k <= LIST) | F.lit(last)).alias("short")), "join-lists")
+    pairs = met(near, lists.where("short").drop("short"), percent).distinct()
+    longer = lists.where("not short").select(*key)
+    return pairs, near.join(longer, key).select(F.xxhash64(*key).alias("grp"), "node").distinct()
 
 
 def whole_sets(nodes: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
@@ -409,14 +481,14 @@ def group_links(members: DataFrame, whole: DataFrame, links: DataFrame, expensiv
                 percent: int, rounds: int = ROUNDS) -> DataFrame:
     """``links`` and those that join the components of the groups' members (grp, node)."""
     for k in range(rounds):
+        members = widest(members)
+        if members.isEmpty():
+            break
         certain, rows = certain_links(cut(differences(members, whole, expensive, percent), "join-differences"), percent)
         links = cut(links.unionByName(certain), "join-links")
         near = listed(cut(rows, "join-differences"), components(links).toDF("node", "component"), percent)
         pairs, members = meetings(cut(near, "join-listed"), common, k == rounds - 1, percent)
         links = links.unionByName(cut(verify(cut(pairs, "join-pairs"), whole, percent), "join-links"))
-        members = cut(members, "join-members")
-        if members.isEmpty():
-            break
     return links
 
 

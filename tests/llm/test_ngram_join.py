@@ -174,3 +174,33 @@ def test_near_copies_meet_in_their_longest_list_only(spark):
     every = [(bytes([x]), bytes([y])) for xs in lists.values() for x in xs for y in xs if x < y]
     assert set(found) == set(every)
     assert len(found) < 3 * len(set(every)) < len(every) / 4
+
+
+def test_groups_within_another_add_nothing(spark):
+    groups = {1: range(1, 7), 2: range(1, 5), 3: range(1, 7), 4: [9], 5: range(5, 8), 6: [5, 6]}
+    members = spark.createDataFrame([(g, bytes([x])) for g, xs in groups.items() for x in xs], "grp long, node binary")
+    got = {}
+    for r in J.widest(members).collect():
+        got.setdefault(r.grp, set()).add(r.node[0])
+    assert got == {1: set(range(1, 7)), 5: {5, 6, 7}}
+
+
+def test_shared_passages_take_a_few_rows_of_a_text(spark, monkeypatch):
+    """Texts of one base and three of ten passages: not near copies, but each passage is in many of them."""
+    from itertools import combinations
+
+    base, passages = prose(31, 150), [" ".join(f"p{k}w{j}" for j in range(30)) for k in range(10)]
+    rows = [(i, " ".join([base, *(passages[k] for k in ks)])) for i, ks in enumerate(combinations(range(10), 3))]
+    rows += [(1000 + i, edited(t, 1, i)) for i, t in rows[::7]]
+    taken, whole = [], J.cut
+
+    def counted(df, tag):
+        out = whole(df, tag)
+        if tag == "join-met":
+            taken.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "cut", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_duplicates(docs(spark, rows), 3, 80).collect()}
+    assert got == brute(rows, 3, 80)
+    assert 0 < sum(taken) < 50 * len(rows), taken
